@@ -1,0 +1,26 @@
+"""Size checks before a broadcast.
+
+A side is broadcast only when a row-count probe proves it small: the probe
+reads at most ``max_rows + 1`` rows (``limit`` stops the scan early on a
+large input).  Past the bound the DataFrame is returned unhinted, and the
+planner keeps its shuffle join (AQE may still switch at run time from
+measured sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+    if row_count_at_most(df, max_rows):
+        return F.broadcast(df)
+    return df
