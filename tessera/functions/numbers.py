@@ -52,13 +52,13 @@ def is_multiple(a, b) -> Column:
 def parse_int(c) -> Column:
     """``int(text)``, NULL when Python would raise."""
     s = _col(c)
-    return F.when(s.rlike(INT_TEXT), F.try_cast(F.trim(s), "bigint"))
+    return F.when(s.rlike(INT_TEXT), F.trim(s).try_cast("bigint"))
 
 
 def parse_float(c) -> Column:
     """``float(text)``, NULL when Python would raise."""
     s = _col(c)
-    return F.when(s.rlike(FLOAT_TEXT), F.try_cast(F.trim(s), "double"))
+    return F.when(s.rlike(FLOAT_TEXT), F.trim(s).try_cast("double"))
 
 
 def parse_int_floor(c) -> Column:

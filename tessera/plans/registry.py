@@ -1129,11 +1129,11 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 @register("stream_group_count", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def q_stream_group_count(spark, sf):
     scratch_dir(spark, "streams")  # makes sure a checkpoint folder is named
-    return stream.stream_counts(spark, f"{sf.rstrip('/')}/events.parquet", EVENTS_SCHEMA, "event_type")
+    return stream.stream_counts(spark, sf, EVENTS_SCHEMA, "event_type", glob="events.parquet")
 
 
 @register("ledger_stream", SQL_LEDGER)
 def q_ledger_stream(spark, sf):
     scratch_dir(spark, "streams")
-    return stream.stream_ledger(spark, f"{sf.rstrip('/')}/events.parquet", EVENTS_SCHEMA, "user_id",
-                                ["ts", "event_id"], "event_type", "round(value * 100)", ["signup"], ["purchase"])
+    return stream.stream_ledger(spark, sf, EVENTS_SCHEMA, "user_id", ["ts", "event_id"], "event_type",
+                                "round(value * 100)", ["signup"], ["purchase"], glob="events.parquet")

@@ -1,7 +1,8 @@
 """Structured Streaming forms of the ledger fold and of the value count.
 
-Both run as ``availableNow`` queries over a file source (micro-batches
-bounded by ``maxFilesPerTrigger``), write every micro-batch with
+Both run as ``availableNow`` queries over a file source (a folder of
+files, optionally narrowed by a glob; micro-batches bounded by
+``maxFilesPerTrigger``), write every micro-batch with
 ``foreachBatch`` to a folder under the session's checkpoint folder, and
 return a batch DataFrame over that folder.  Streaming state and progress
 live in the same shared folder, so a lost executor or a restarted driver
@@ -27,14 +28,21 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{require_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
+def _file_stream(spark: SparkSession, source: str, schema: str, fmt: str, files_per_trigger: int,
+                 glob: str | None) -> DataFrame:
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(source)
+
+
 def stream_counts(spark: SparkSession, source: str, schema: str, key: str,
-                  files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
+                  files_per_trigger: int = 1, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
     """Count per ``key`` kept up to date as files arrive; returns the final
     table (``key, n``)."""
     base = _run_dir(spark, "counts")
     out = f"{base}/table"
-    stream = (spark.readStream.format(fmt).schema(schema)
-              .option("maxFilesPerTrigger", files_per_trigger).load(source))
+    stream = _file_stream(spark, source, schema, fmt, files_per_trigger, glob)
     counts = stream.groupBy(key).agg(F.count("*").alias("n"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -49,7 +57,8 @@ def stream_counts(spark: SparkSession, source: str, schema: str, key: str,
 
 def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, order: Sequence[str],
                   kind: str, amount_cents_expr: str, deposit_kinds: Sequence[str],
-                  withdraw_kinds: Sequence[str], files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
+                  withdraw_kinds: Sequence[str], files_per_trigger: int = 1, fmt: str = "parquet",
+                  glob: str | None = None) -> DataFrame:
     """The guarded ledger of ``folds.ledger`` with per-account state kept by
     ``applyInPandasWithState``; returns the latest totals per account.
 
@@ -59,8 +68,7 @@ def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, o
     base = _run_dir(spark, "ledger")
     out = f"{base}/table"
     kinds = list(deposit_kinds) + list(withdraw_kinds)
-    stream = (spark.readStream.format(fmt).schema(schema)
-              .option("maxFilesPerTrigger", files_per_trigger).load(source))
+    stream = _file_stream(spark, source, schema, fmt, files_per_trigger, glob)
     ev = (stream.where(F.col(kind).isin(kinds))
           .select(F.col(account), *[F.col(c) for c in order],
                   F.col(kind).isin(list(withdraw_kinds)).alias("_w"),
