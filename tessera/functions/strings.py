@@ -14,7 +14,23 @@ from pyspark.sql import functions as F
 # The characters Python's str.strip() / str.split() treat as
 # whitespace, and the line boundaries of str.splitlines().
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
-WHITESPACE_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_WHITESPACE) + "]"
+
+
+def _char_class(chars: str) -> str:
+    """A regex character class of ``chars`` as ranges of code points."""
+    points = sorted({ord(c) for c in chars})
+    parts, start, prev = [], points[0], points[0]
+    for p in points[1:] + [None]:
+        if p is not None and p == prev + 1:
+            prev = p
+            continue
+        parts.append(f"\\x{{{start:x}}}" if start == prev else f"\\x{{{start:x}}}-\\x{{{prev:x}}}")
+        if p is not None:
+            start = prev = p
+    return "[" + "".join(parts) + "]"
+
+
+WHITESPACE_CLASS = _char_class(PY_WHITESPACE)
 LINE_BREAK_REGEX = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]"
 
 
@@ -34,19 +50,21 @@ def split_literal(c, delimiter: str, limit: int = -1) -> Column:
 
 def split_whitespace(c) -> Column:
     """``str.split()`` with no argument: runs of whitespace, no empty words."""
-    stripped = py_strip(c)
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
-        F.split(stripped, WHITESPACE_CLASS + "+")
-    )
+    parts = F.split(py_strip(c), WHITESPACE_CLASS + "+")
+    # stripped text that is empty splits into [''], which str.split() gives as []
+    return F.array_remove(parts, "")
 
 
 def split_lines(c) -> Column:
     """``str.splitlines()``: no empty last element, empty text gives []."""
     text = _col(c)
-    body = F.regexp_replace(text, "(" + LINE_BREAK_REGEX + ")\\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.split(body, LINE_BREAK_REGEX)
-    )
+    n = F.length(text)
+    # one final line break is dropped first (a plain test of the last
+    # characters, not a regex scan of the whole text)
+    body = (F.when(F.substring(text, -2, 2) == "\r\n", F.substring(text, 1, n - 2))
+            .when(F.substring(text, -1, 1).rlike("^(" + LINE_BREAK_REGEX + ")$"), F.substring(text, 1, n - 1))
+            .otherwise(text))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK_REGEX))
 
 
 def title_case(c) -> Column:

@@ -928,9 +928,9 @@ def q_strip_replace(spark, sf):
 """)
 def q_palindrome(spark, sf):
     d = _t(spark, sf).documents.where(F.col("lang") != "de")
-    words = strings.split_whitespace(F.col("text"))
-    return d.select("doc_id", F.size(words).cast("bigint").alias("n_words"),
-                    F.size(F.filter(words, strings.is_palindrome)).cast("bigint").alias("n_palindromes"))
+    words = d.select("doc_id", strings.split_whitespace(F.col("text")).alias("words"))
+    return words.select("doc_id", F.size("words").cast("bigint").alias("n_words"),
+                        F.size(F.filter("words", strings.is_palindrome)).cast("bigint").alias("n_palindromes"))
 
 
 @register("split_str", """

@@ -68,8 +68,11 @@ def word_list(df: DataFrame, text_col: str, keys: list[str], word: str = "word")
     is found inside the row with array functions: no window, no shuffle.
     """
     words = F.transform(split_lines(F.col(text_col)), py_strip)
-    first_blank = F.array_position(words, "")
-    exploded = df.select(*keys, first_blank.alias("_blank"), F.posexplode(words).alias("_pos", word))
+    # the array is built once in its own projection; used twice in the same
+    # projection as the generator, it would be rebuilt for every output row
+    staged = (df.select(*keys, words.alias("_w"))
+              .select(*keys, F.array_position("_w", "").alias("_blank"), "_w"))
+    exploded = staged.select(*keys, "_blank", F.posexplode("_w").alias("_pos", word))
     line_no = (F.col("_pos") + 1).cast("bigint")
     return (exploded.where(F.col(word) != "")
             .select(*keys, line_no.alias("line_no"), word,
