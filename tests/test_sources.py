@@ -1,0 +1,174 @@
+import os
+
+import pytest
+from conftest import rows
+from fixtures import BIRTHDAY_JSON, MOVES, names_lines
+from pyspark.sql import functions as F
+
+from tessera.functions.strings import split_lines
+from tessera.sources import html, json as jsn, literals, parse, text
+
+TRICKY_TEXTS = ["", "a", "a\n", "a\n\nb", "a\r\nb\rc\n", "\n", "x\x0by\x0cz", "a b ", "end\r\n",
+                "  spaced  \n\tline\t", "a\n\n"]
+
+
+def test_split_lines_matches_python(spark):
+    df = spark.createDataFrame([(t,) for t in TRICKY_TEXTS], "t string")
+    got = {r["t"]: list(r["l"]) for r in df.select("t", split_lines(F.col("t")).alias("l")).collect()}
+    for t in TRICKY_TEXTS:
+        assert got[t] == t.splitlines(), repr(t)
+
+
+def test_lines_of_positions(spark):
+    df = spark.createDataFrame([(1, "x\ny\n"), (2, ""), (3, "only")], "id long, t string")
+    out = rows(text.lines_of(df, "t", ["id"]), "id", "line_no", "line")
+    assert out == [(1, 1, "x"), (1, 2, "y"), (3, 1, "only")]
+
+
+def test_read_lines_numbers_lines_per_file(spark, scratch):
+    names = names_lines()
+    for i, chunk in enumerate([names[:60], names[60:]]):
+        with open(os.path.join(scratch, f"part{i}.txt"), "w") as f:
+            f.write("\n".join(chunk))
+    out = text.read_lines(spark, scratch)
+    got = sorted((os.path.basename(r["file"]), r["line_no"], r["line"]) for r in out.collect())
+    expected = sorted([("part0.txt", i + 1, v) for i, v in enumerate(names[:60])]
+                      + [("part1.txt", i + 1, v) for i, v in enumerate(names[60:])])
+    assert got == expected
+
+
+def test_read_lines_many_splits(spark, scratch):
+    # a file split into several blocks keeps exact, gap-free line numbers
+    lines = [f"line {i:06d}" for i in range(40000)]
+    path = os.path.join(scratch, "big.txt")
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        out = text.read_lines(spark, path)
+        assert out.rdd.getNumPartitions() > 1
+        got = [(r["line_no"], r["line"]) for r in out.orderBy("line_no").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(i + 1, v) for i, v in enumerate(lines)]
+
+
+def test_typed_lines_strict_and_lenient(spark):
+    df = spark.createDataFrame([(" 12 ",), ("7",), ("x1",)], "v string")
+    lenient = rows(text.typed_lines(df, "v", strict=False), "v", "value", "is_valid")
+    assert lenient == [(" 12 ", 12, True), ("7", 7, True), ("x1", None, False)]
+    with pytest.raises(Exception):
+        text.typed_lines(df, "v", strict=True).collect()
+
+
+def test_word_list_stops_at_first_blank(spark):
+    df = spark.createDataFrame([(1, " apple \nBanana\n   \ncherry\n\ndate")], "id long, t string")
+    out = rows(text.word_list(df, "t", ["id"]), "line_no", "word", "before_blank")
+    assert out == [(1, "apple", True), (2, "Banana", True), (4, "cherry", False), (6, "date", False)]
+
+
+def test_json_entries_and_whole_file(spark, scratch):
+    path = os.path.join(scratch, "birthdays.json")
+    with open(path, "w") as f:
+        f.write(BIRTHDAY_JSON)
+    out = rows(jsn.read_json_object(spark, path, "name", "birthday"))
+    assert out == [("Artur", "1980-07-02"), ("Ewa", "1988-04-13"), ("Ewelina", "1982-07-02")]
+
+
+def test_entries_to_json_round_trip(spark):
+    df = spark.createDataFrame([("g", "b", 2), ("g", "a", 1), ("h", "z", 3)], "g string, k string, v long")
+    js = jsn.entries_to_json(df, ["g"], "k", "v")
+    assert rows(js) == [("g", '{"a":1,"b":2}'), ("h", '{"z":3}')]
+    back = rows(jsn.json_entries(js, "json", ["g"]))
+    assert back == [("g", "a", "1"), ("g", "b", "2"), ("h", "z", "3")]
+
+
+def test_write_text_round_trip(spark, scratch):
+    df = spark.createDataFrame([("A string to write",)], "s string")
+    text.write_text(df, "s", os.path.join(scratch, "out"))
+    assert rows(spark.read.text(os.path.join(scratch, "out"))) == [("A string to write",)]
+
+
+def test_headings(spark):
+    pages = [
+        (1, "<html><h1 class='x'><a href='/a'>Link\ntext</a> rest</h1></html>"),
+        (2, "<h1>  Own &amp; text  </h1><h1>Second</h1>"),
+        (3, "<h1>\n</h1>"),
+        (4, "<p>no heading</p>"),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    out = rows(html.headings(df, "html", ["page_id"]), "page_id", "heading_no", "heading")
+    assert out == [(1, 1, "Link text"), (2, 1, "Own & text"), (2, 2, "Second"), (3, 1, ""), (4, None, None)]
+
+
+def test_headings_by_class(spark):
+    df = spark.createDataFrame([(1, '<div class="story-heading big"><a>Top story</a></div><div class="ad">x</div>')],
+                               "page_id long, html string")
+    out = rows(html.headings(df, "html", ["page_id"], css_class="story-heading"), "heading")
+    assert out == [("Top story",)]
+
+
+def test_move_reasons(spark):
+    df = spark.createDataFrame(MOVES, "text string, expected string")
+    got = df.select("expected", parse.move_reason(F.col("text"), F.lit(3)).alias("r")).collect()
+    assert all(r["r"] == r["expected"] for r in got)
+
+
+def test_amount_reasons(spark):
+    df = spark.createDataFrame([("50", 100), ("150.9", 100), ("x", 100), ("-1", 100), ("100.7", 100)],
+                               "amt string, lim long")
+    got = [r[0] for r in df.select(parse.amount_reason(F.col("amt"), F.col("lim"))).collect()]
+    assert got == ["ok", "above_limit", "not_number", "negative", "ok"]
+
+
+def test_int_list_and_rejects(spark):
+    df = spark.createDataFrame([("1,2,3",), ("4, x",), ("5",)], "t string")
+    parsed = df.withColumn("vals", parse.int_list(F.col("t"))).withColumn(
+        "is_valid", parse.int_list_valid(F.col("vals")))
+    ok, bad = parse.split_rejects(parsed)
+    assert sorted(r["t"] for r in ok.collect()) == ["1,2,3", "5"]
+    assert [r["t"] for r in bad.collect()] == ["4, x"]
+
+
+def test_parse_numbers_match_python(spark):
+    samples = ["1", " 2 ", "-3", "+4", "1.5", "5d", "1e3", ".5", "abc", "", "inf", "nan", "7."]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = {r["s"]: (r["i"], r["f"], r["fl"]) for r in df.select(
+        "s", parse.parse_number(F.col("s"), "int").alias("i"), parse.parse_number(F.col("s"), "float").alias("f"),
+        parse.parse_number(F.col("s"), "int_floor").alias("fl")).collect()}
+
+    def py(fn, s):
+        try:
+            return fn(s)
+        except ValueError:
+            return None
+
+    import math
+    for s in samples:
+        i, f, fl = got[s]
+        assert i == py(int, s), s
+        pf = py(float, s)
+        if pf is None:
+            assert f is None, s
+        elif math.isnan(pf):
+            assert f is not None and math.isnan(f)
+        else:
+            assert f == pf, s
+        if pf is not None and math.isfinite(pf):
+            assert fl == math.floor(pf), s
+
+
+def test_literal_map_and_int_sequence(spark):
+    df = spark.createDataFrame([(1, 3), (5, 4)], "a long, b long")
+    got = [list(r[0]) for r in df.select(literals.int_sequence(F.col("a"), F.col("b"))).collect()]
+    assert got == [[1, 2, 3], []]
+    m = literals.literal_map({"Ace": 11, "Two": 2})
+    assert spark.range(1).select(F.element_at(m, F.lit("Ace"))).first()[0] == 11
+
+
+def test_seeded_choice_is_partition_independent(spark):
+    df = spark.range(0, 500)
+    a = rows(df.select("id", literals.seeded_choice_step(3, ["id"], 0, 50, 5).alias("v")))
+    b = rows(df.repartition(7).select("id", literals.seeded_choice_step(3, ["id"], 0, 50, 5).alias("v")))
+    assert a == b
+    assert {v for _, v in a} <= set(range(0, 50, 5))
