@@ -5,9 +5,11 @@ Scale rule: a key (user, day, game) may hold a large share of all rows, so
 no operator here puts a whole key into one window partition.
 
 * Running sums and the previous value are *segmented scans*: rows are cut
-  into chunks by a column that grows with the order (an hour or a day of the
-  timestamp, a block of positions).  The window runs per (key, chunk); a
-  small table of per-chunk totals gives each chunk its offset.
+  into chunks by a column that grows with the order (an hour or a minute of
+  the timestamp, a block of positions).  The window runs per (key, chunk); a
+  small table of per-chunk totals gives each chunk its offset.  With
+  ``hot_rows`` only keys above that many rows are cut (found by a partial
+  count per key), so ordinary keys cost one offset row each.
 * First occurrences are an aggregate (partial, map-side) plus a join back;
   the aggregate side has one row per group, so AQE can split a skewed join
   partition of the large side.
@@ -43,14 +45,31 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
 
 # ---- segmented scans ------------------------------------------------------
 
+def _with_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int | None) -> DataFrame:
+    """Add ``_chunk``.  With ``hot_rows``, only keys holding more than that many
+    rows are cut into chunks; every other key is one chunk (NULL), so small
+    keys pay nothing for the offsets.  Hot keys are found by a partial count
+    per key.  The hot-key table is broadcast: it has at most
+    ``rows / hot_rows`` entries (a million keys per trillion rows at the
+    default of the registry), so its size is bounded by construction and the
+    large side is tagged without a shuffle."""
+    if hot_rows is None:
+        return df.withColumn("_chunk", chunk)
+    hot = (df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+           .select(*keys, F.lit(True).alias("_hot")))
+    tagged = _join_on_keys(df, F.broadcast(hot), keys, "left")
+    return tagged.withColumn("_chunk", F.when(F.col("_hot"), chunk)).drop("_hot")
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapping[str, Column],
-                 chunk: Column | None = None, exclusive: bool = False) -> DataFrame:
+                 chunk: Column | None = None, exclusive: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Add one running sum per entry of ``sums`` (name -> value column).
 
     Rows are ordered by ``order`` inside each key (``order`` must be a total
     order, e.g. end with a unique id).  ``exclusive`` sums the rows strictly
     before.  ``chunk`` must not decrease along ``order`` within a key; with it
     the scan is segmented (see module doc), without it a plain window is used.
+    ``hot_rows`` limits the segmentation to keys with more rows than that.
     """
     keys = list(keys)
     ordc = _order_cols(order)
@@ -62,7 +81,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapp
             out = out.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
         return out
 
-    d = df.withColumn("_chunk", chunk)
+    d = _with_chunk(df, keys, chunk, hot_rows)
     part = keys + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, upper)
     local = d
@@ -82,13 +101,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapp
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str,
-                   chunk: Column | None = None) -> DataFrame:
+                   chunk: Column | None = None, hot_rows: int | None = None) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same key (NULL for the first)."""
     keys = list(keys)
     ordc = _order_cols(order)
     if chunk is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ordc)))
-    d = df.withColumn("_chunk", chunk)
+    d = _with_chunk(df, keys, chunk, hot_rows)
     part = keys + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc)
     local = d.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(value).over(w))
@@ -100,9 +119,9 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "step",
-                chunk: Column | None = None) -> DataFrame:
+                chunk: Column | None = None, hot_rows: int | None = None) -> DataFrame:
     """1-based position of each row inside its key (a running count)."""
-    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")}, chunk=chunk)
+    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")}, chunk=chunk, hot_rows=hot_rows)
 
 
 # ---- first occurrences ----------------------------------------------------
@@ -148,11 +167,11 @@ def first_valid(df: DataFrame, key: Sequence[str], order: Sequence, valid: Colum
 
 def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: str,
                 players: Sequence[str] = ("X", "O"), chunk: Column | None = None,
-                out: str = "player") -> DataFrame:
+                out: str = "player", hot_rows: int | None = None) -> DataFrame:
     """Whose turn a move is: parity of the number of *accepted* moves before
     it in the game (a rejected move does not pass the turn)."""
     counted = running_sums(df, game, order, {"_before": F.col(accepted).cast("bigint")},
-                           chunk=chunk, exclusive=True)
+                           chunk=chunk, exclusive=True, hot_rows=hot_rows)
     arr = F.array(*[F.lit(p) for p in players])
     idx = F.pmod(F.col("_before"), F.lit(len(players))).cast("int")
     return (counted.withColumn("accepted_before", F.col("_before"))
@@ -162,7 +181,8 @@ def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: s
 # ---- sessions replayed as games -------------------------------------------
 
 def running_counters(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                     targets: Sequence[str], chunk: Column | None = None) -> DataFrame:
+                     targets: Sequence[str], chunk: Column | None = None,
+                     hot_rows: int | None = None) -> DataFrame:
     """Running counts per session: ``step`` (all rows), ``n_new`` (values not
     seen before), ``n_miss`` (new values outside ``targets``; a repeated miss
     is not counted again)."""
@@ -172,16 +192,17 @@ def running_counters(df: DataFrame, session: Sequence[str], value: str, order: S
         "step": F.lit(1).cast("bigint"),
         "n_new": F.col("is_new").cast("bigint"),
         "n_miss": (F.col("is_new") & miss).cast("bigint"),
-    }, chunk=chunk).withColumn("is_miss", miss)
+    }, chunk=chunk, hot_rows=hot_rows).withColumn("is_miss", miss)
 
 
 def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                    targets: Sequence[str], miss_budget: int, chunk: Column | None = None) -> DataFrame:
+                    targets: Sequence[str], miss_budget: int, chunk: Column | None = None,
+                    hot_rows: int | None = None) -> DataFrame:
     """Per session: the step at which every target value has been seen, the
     step at which the miss budget is used up, and the outcome (whichever
     comes first; ``unfinished`` if neither).  ``min_steps`` = number of targets."""
     session = list(session)
-    c = running_counters(df, session, value, order, targets, chunk=chunk)
+    c = running_counters(df, session, value, order, targets, chunk=chunk, hot_rows=hot_rows)
     is_target_first = F.col("is_new") & F.col(value).isin(list(targets))
     per = c.groupBy(*session).agg(
         F.count("*").alias("n_steps"),

@@ -124,8 +124,13 @@ def _hands(t: Tables) -> DataFrame:
                              F.col("rank") == cards.FLEXIBLE_RANK, cards.BLACKJACK)
 
 
-def _day_chunk():
-    return F.date_trunc("day", F.col("ts"))
+# Keys (a user, a day) with more rows than this are cut into one-minute
+# chunks by the segmented scans; smaller keys are one window partition each.
+HOT_KEY_ROWS = 1_000_000
+
+
+def _minute_chunk():
+    return F.date_trunc("minute", F.col("ts"))
 
 
 def _hour_chunk():
@@ -660,7 +665,8 @@ def q_list_ends(spark, sf):
 def q_running_balance(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "value")
     out = windows.running_sums(e, ["user_id"], ["ts", "event_id"],
-                               {"running_cents": numbers.to_cents(F.col("value"))}, chunk=_day_chunk())
+                               {"running_cents": numbers.to_cents(F.col("value"))},
+                               chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
     return out.select("event_id", "user_id", "running_cents")
 
 
@@ -671,7 +677,8 @@ def q_running_balance(spark, sf):
 """)
 def q_adjacent_compare(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
-    out = windows.previous_value(e, ["user_id"], ["ts", "event_id"], "event_type", "prev_type", chunk=_day_chunk())
+    out = windows.previous_value(e, ["user_id"], ["ts", "event_id"], "event_type", "prev_type",
+                                 chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
     changed = F.coalesce(F.col("prev_type") != F.col("event_type"), F.lit(False))
     return out.select("event_id", "user_id", "prev_type", changed.alias("changed"))
 
@@ -711,7 +718,8 @@ SQL_COUNTERS = f"""
 """)
 def q_running_counters(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
-    out = windows.running_counters(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS, chunk=_day_chunk())
+    out = windows.running_counters(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS,
+                                   chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
     return out.select("event_id", "user_id", "step", "n_new", "n_miss")
 
 
@@ -733,7 +741,7 @@ def q_running_counters(spark, sf):
 def q_coverage_replay(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     return windows.coverage_replay(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS, 2,
-                                   chunk=_day_chunk())
+                                   chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
 
 
 @register("first_claim", """
@@ -781,7 +789,8 @@ def q_first_valid(spark, sf):
 def q_turn_parity(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts", F.to_date("ts").cast("string").alias("day"))
     claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"])
-    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", chunk=_hour_chunk())
+    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", chunk=_minute_chunk(),
+                              hot_rows=HOT_KEY_ROWS)
     return out.select("event_id", "day", "accepted", "accepted_before", "player")
 
 

@@ -30,6 +30,18 @@ def test_segmented_running_sum_equals_window(spark):
     assert rows(excl, "event_id", "rs") == rows(ref, "event_id", "rs")
 
 
+def test_hot_key_only_segmentation(spark):
+    # key 0 (10,000 rows) is above the threshold, the other keys (~200 rows) are not
+    df = _skewed(spark)
+    order = ["t", "event_id"]
+    plain = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
+    hot = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, chunk=F.floor(F.col("t") / 50), hot_rows=5000)
+    assert rows(plain, "event_id", "rs") == rows(hot, "event_id", "rs")
+    lag_hot = windows.previous_value(df, ["k"], order, "s", "prev", chunk=F.floor(F.col("t") / 50), hot_rows=5000)
+    ref = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
+    assert rows(lag_hot, "event_id", "prev") == rows(ref, "event_id", "prev")
+
+
 def test_segmented_lag_equals_lag(spark):
     df = _skewed(spark)
     order = ["t", "event_id"]
