@@ -19,16 +19,23 @@ def _col(c) -> Column:
 
 
 def value_counts(df: DataFrame, value: str, position: Sequence[str], count: str = "n",
-                 first_prefix: str = "first_") -> DataFrame:
+                 first_prefix: str = "first_", rank: str | None = None) -> DataFrame:
     """Occurrences per distinct value and where it was first seen.
 
     ``position`` columns (e.g. ``doc_id, line_no``) order the input; the
-    first position is returned as ``first_<col>`` columns, which order the
-    values by first appearance (the dict-counter iteration order).
+    first position is returned as ``first_<col>`` columns.  With ``rank``,
+    the values are also numbered 1.. by first appearance (the dict-counter
+    iteration order) with a distributed global ordinal, never a window over
+    all values in one partition.
     """
     first = F.min(F.struct(*[F.col(c) for c in position])).alias("_first")
     agg = df.groupBy(value).agg(F.count("*").alias(count), first)
-    return agg.select(value, count, *[F.col("_first")[c].alias(first_prefix + c) for c in position])
+    firsts = [F.col("_first")[c].alias(first_prefix + c) for c in position]
+    out = agg.select(value, count, *firsts)
+    if rank is not None:
+        from tessera.operators.windows import global_ordinal
+        out = global_ordinal(out, [first_prefix + c for c in position], rank)
+    return out
 
 
 def sliced_counts(df: DataFrame, text: str, head: int, tail: int, out: str = "key",
@@ -54,18 +61,33 @@ def occurrence_split(df: DataFrame, keys: Sequence[str], out: str = "occurrences
 
 
 def first_seen_distinct(df: DataFrame, group: Sequence[str], value: str, order: Sequence,
-                        first_id: str | None = None, rank: str = "seen_rank") -> DataFrame:
+                        first_id: str | None = None, rank: str = "seen_rank",
+                        chunk_rows: int | None = None) -> DataFrame:
     """Distinct values per group, in first-seen order.
 
     The first occurrence is a partial ``min(struct(order))`` aggregate; the
-    rank is a window over the *distinct* values of a group (one row per
-    value), not over the raw rows.
+    rank runs over the *distinct* values of a group (one row per value), not
+    over the raw rows.  When a group may hold very many distinct values,
+    ``chunk_rows`` numbers them with the segmented scan (groups with more
+    than that many values are cut into chunks of the first position; the
+    first ``order`` column must then be a column name of integral or
+    timestamp type).
     """
     group = list(group)
     ordc = F.struct(*[_col(c) for c in order])
     firsts = df.groupBy(*group, value).agg(F.min(ordc).alias("_first"))
-    w = Window.partitionBy(*group).orderBy("_first")
-    out = firsts.withColumn(rank, F.row_number().over(w).cast("bigint"))
+    if chunk_rows is None:
+        w = Window.partitionBy(*group).orderBy("_first")
+        out = firsts.withColumn(rank, F.row_number().over(w).cast("bigint"))
+    else:
+        from tessera.operators.windows import minute_bucket, row_numbers
+        # chunks follow the first order column (minutes of a timestamp, or
+        # the integral value itself), which never decreases along the order
+        lead_name = order[0]
+        lead = F.col("_first")[lead_name]
+        lead_type = df.schema[lead_name].dataType.simpleString()
+        chunk = minute_bucket(lead) if lead_type.startswith("timestamp") else lead.cast("bigint")
+        out = row_numbers(firsts, group, ["_first"], rank, chunk=chunk, hot_rows=chunk_rows)
     cols = [*group, value, rank]
     if first_id is not None:
         # the last order column is the unique id of the row

@@ -21,6 +21,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -43,8 +44,48 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: s
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Key columns that are never NULL, for partitioning and joining.
+
+    A nullable key ``k`` becomes ``(coalesce(k, default), isnull(k))``: equal
+    pairs mean equal keys, NULL included.  The segmented scans partition the
+    window by these columns and join the chunk offsets on the same columns
+    with a plain equi-join, so the join reuses the window's partitioning and
+    only the small offsets table is shuffled (a NULL-safe join condition
+    would make Spark shuffle the large side again).
+    """
+    out = []
+    for k in keys:
+        field = df.schema[k]
+        if not field.nullable:
+            out.append(k)
+            continue
+        dt = field.dataType
+        if isinstance(dt, T.StringType):
+            default = F.lit("")
+        elif isinstance(dt, T.BooleanType):
+            default = F.lit(False)
+        elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            default = F.lit("1970-01-01").cast(dt)
+        elif isinstance(dt, T.NumericType):
+            default = F.lit(0).cast(dt)
+        else:
+            raise TypeError(f"key {k} of type {dt.simpleString()} is not supported")
+        df = df.withColumn(f"_nk_{k}", F.coalesce(F.col(k), default)).withColumn(f"_nn_{k}", F.col(k).isNull())
+        out += [f"_nk_{k}", f"_nn_{k}"]
+    return df, out
+
+
 # ---- segmented scans ------------------------------------------------------
 
+def minute_bucket(ts) -> Column:
+    """Minutes since 1970-01-01 of a wall-clock timestamp (no time zone, so
+    it never goes backwards), for use as a chunk."""
+    t = _col(ts)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 1440 + F.hour(t) * 60 + F.minute(t)
+
+
 def _with_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int | None) -> DataFrame:
     """Add ``_chunk``.  With ``hot_rows``, only keys holding more than that many
     rows are cut into chunks; every other key is one chunk (NULL), so small
@@ -53,12 +94,15 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int
     ``rows / hot_rows`` entries (a million keys per trillion rows at the
     default of the registry), so its size is bounded by construction and the
     large side is tagged without a shuffle."""
+    c = chunk.cast("bigint")
     if hot_rows is None:
-        return df.withColumn("_chunk", chunk)
+        return df.withColumn("_chunk", c)
     hot = (df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
            .select(*keys, F.lit(True).alias("_hot")))
     tagged = _join_on_keys(df, F.broadcast(hot), keys, "left")
-    return tagged.withColumn("_chunk", F.when(F.col("_hot"), chunk)).drop("_hot")
+    # a key is wholly hot or wholly not, so the constant 0 never mixes with
+    # real chunk numbers inside one key
+    return tagged.withColumn("_chunk", F.when(F.col("_hot"), c).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapping[str, Column],
@@ -67,8 +111,9 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapp
 
     Rows are ordered by ``order`` inside each key (``order`` must be a total
     order, e.g. end with a unique id).  ``exclusive`` sums the rows strictly
-    before.  ``chunk`` must not decrease along ``order`` within a key; with it
-    the scan is segmented (see module doc), without it a plain window is used.
+    before.  ``chunk`` (integral, e.g. ``minute_bucket(ts)``) must not
+    decrease along ``order`` within a key; with it the scan is segmented (see
+    module doc), without it a plain window is used.
     ``hot_rows`` limits the segmentation to keys with more rows than that.
     """
     keys = list(keys)
@@ -82,21 +127,23 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapp
         return out
 
     d = _with_chunk(df, keys, chunk, hot_rows)
-    part = keys + ["_chunk"]
+    d, pk = _non_null_keys(d, keys)
+    part = pk + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, upper)
     local = d
     for i, (name, value) in enumerate(sums.items()):
         local = local.withColumn(f"_v{i}", value).withColumn(
             f"_l{i}", F.coalesce(F.sum(f"_v{i}").over(w), F.lit(0)))
-    # per-chunk totals; the window output is already partitioned by (key, chunk)
+    # per-chunk totals (partial aggregate), then the offset of each chunk is
+    # the sum of the chunks before it: a window over one row per chunk
     totals = local.groupBy(*part).agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(sums))])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*pk).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")
                                      for i in range(len(sums))])
-    joined = _join_on_keys(local, offsets, part)
+    joined = local.join(offsets, part)
     for i, name in enumerate(sums):
         joined = joined.withColumn(name, F.col(f"_o{i}") + F.col(f"_l{i}"))
-    drop = ["_chunk"] + [f"_{p}{i}" for i in range(len(sums)) for p in "vlo"]
+    drop = ["_chunk"] + [c for c in pk if c not in keys] + [f"_{p}{i}" for i in range(len(sums)) for p in "vlo"]
     return joined.drop(*drop)
 
 
@@ -108,14 +155,16 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     if chunk is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ordc)))
     d = _with_chunk(df, keys, chunk, hot_rows)
-    part = keys + ["_chunk"]
+    d, pk = _non_null_keys(d, keys)
+    part = pk + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc)
     local = d.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(value).over(w))
     lasts = local.groupBy(*part).agg(F.max_by(F.col(value), F.struct(*ordc)).alias("_last"))
-    prev = lasts.select(*part, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_prev"))
-    joined = _join_on_keys(local, prev, part)
+    prev = lasts.select(*part, F.lag("_last").over(Window.partitionBy(*pk).orderBy("_chunk")).alias("_prev"))
+    joined = local.join(prev, part)
+    drop = ["_chunk", "_rn", "_lag", "_prev"] + [c for c in pk if c not in keys]
     return (joined.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev")).otherwise(F.col("_lag")))
-            .drop("_chunk", "_rn", "_lag", "_prev"))
+            .drop(*drop))
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "step",
@@ -239,15 +288,23 @@ def global_ordinal(df: DataFrame, order: Sequence, out: str = "rank",
     """1-based position of each row in a total ``order`` over the whole table.
 
     Never a single-partition window: rows are range-partitioned and sorted
-    inside each partition; a partition's offset is the number of rows in the
-    partitions before it (one row per partition, broadcast), and a row's
-    index inside its partition comes from ``monotonically_increasing_id``.
+    inside each partition, and ``monotonically_increasing_id`` numbers them
+    inside their partition.  That frame is checkpointed once to the
+    session's checkpoint folder (range bounds come from a sample, which
+    differs between two evaluations of an input whose row order is not
+    fixed, so both uses must read the same materialised partitions; this
+    also cuts the lineage).  A partition's offset is the number of rows in
+    the partitions before it: one row per partition, broadcast.
     ``order`` must be a total order (end with a unique column).
     """
+    from tessera.session import require_checkpoint_dir
+
+    require_checkpoint_dir(df.sparkSession)
     ordc = _order_cols(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *ordc).sortWithinPartitions(*ordc)
-              .withColumn("_rid", F.monotonically_increasing_id()))
+              .withColumn("_rid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     ranged = ranged.withColumn("_part", F.shiftright(F.col("_rid"), 33))
     counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_rid").alias("_first"))
     # one row per partition: a window without keys over it is tiny

@@ -41,11 +41,19 @@ def register(op_id: str, sql: str | None = None):
     return deco
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a scratch folder is named only when
+    the session names none (local runs and tests)."""
+    from tessera.session import checkpoint_dir
+    current = checkpoint_dir(spark)
+    if current:
+        return ensure_checkpoint_dir(spark, current)
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tessera-ckpt-"))
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's checkpoint folder (a scratch folder
-    is set only when the session names none, as in local runs)."""
-    root = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tessera-ckpt-"))
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder under the session's checkpoint folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 # ---- SQL fragments mirroring the Spark expressions ---------------------------
@@ -130,7 +138,7 @@ HOT_KEY_ROWS = 1_000_000
 
 
 def _minute_chunk():
-    return F.date_trunc("minute", F.col("ts"))
+    return windows.minute_bucket("ts")
 
 
 def _hour_chunk():
@@ -488,14 +496,16 @@ def q_element_search(spark, sf):
 # =============================================================================
 
 @register("group_count", f"""
-  WITH l AS ({SQL_LINES})
-  SELECT line, count(*) AS n, min({{'d': doc_id, 'l': line_no}}).d AS first_doc_id,
-         min({{'d': doc_id, 'l': line_no}}).l AS first_line_no
-  FROM l GROUP BY line
+  WITH l AS ({SQL_LINES}),
+  c AS (SELECT line, count(*) AS n, min({{'d': doc_id, 'l': line_no}}).d AS first_doc_id,
+               min({{'d': doc_id, 'l': line_no}}).l AS first_line_no
+        FROM l GROUP BY line)
+  SELECT *, CAST(row_number() OVER (ORDER BY first_doc_id, first_line_no) AS BIGINT) AS first_seen_rank FROM c
 """)
 def q_group_count(spark, sf):
+    checkpoint_root(spark)  # the first-seen rank checkpoints its sorted frame
     lines = text.lines_of(_t(spark, sf).documents, "text", ["doc_id"])
-    return agg.value_counts(lines, "line", ["doc_id", "line_no"])
+    return agg.value_counts(lines, "line", ["doc_id", "line_no"], rank="first_seen_rank")
 
 
 @register("slice_group_count", """
@@ -542,7 +552,7 @@ def q_distinct_vals(spark, sf):
 """)
 def q_ordered_distinct(spark, sf):
     return agg.first_seen_distinct(_t(spark, sf).events, ["user_id"], "event_type", ["ts", "event_id"],
-                                   first_id="first_event_id")
+                                   first_id="first_event_id", chunk_rows=HOT_KEY_ROWS)
 
 
 @register("max_fold", f"""
@@ -802,6 +812,7 @@ def q_turn_parity(spark, sf):
   SELECT p_partkey, CAST(row_number() OVER (ORDER BY p_retailprice, p_partkey) AS BIGINT) AS rank FROM part
 """)
 def q_sort_asc(spark, sf):
+    checkpoint_root(spark)
     p = _t(spark, sf).part.select("p_partkey", "p_retailprice")
     return windows.global_ordinal(p, ["p_retailprice", "p_partkey"]).select("p_partkey", "rank")
 

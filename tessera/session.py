@@ -59,7 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    return spark.sparkContext.getCheckpointDir()
+    current = spark.sparkContext.getCheckpointDir()
+    # the context adds a per-application subfolder; report the root
+    return current.rsplit("/", 1)[0] if current else None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
@@ -73,7 +75,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    spark.conf.set("spark.checkpoint.dir", fallback)
+    try:
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    except Exception:  # noqa: BLE001 - a core setting some sessions refuse at run time
+        pass
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 

@@ -25,6 +25,15 @@ def test_first_seen_distinct_order(spark):
     df = spark.createDataFrame([(0, i, v) for i, v in enumerate(DUPS)], "g int, pos int, v long")
     out = agg.first_seen_distinct(df, ["g"], "v", ["pos"])
     assert [r["v"] for r in out.orderBy("seen_rank").collect()] == list(range(1, 14))
+    # the segmented form (the group counts as hot above 5 values) gives the same ranks
+    seg = agg.first_seen_distinct(df, ["g"], "v", ["pos"], chunk_rows=5)
+    assert rows(seg, "v", "seen_rank") == rows(out, "v", "seen_rank")
+
+
+def test_value_counts_rank(spark):
+    names = spark.createDataFrame([(i + 1, n) for i, n in enumerate(names_lines())], "line_no long, name string")
+    out = agg.value_counts(names, "name", ["line_no"], rank="first_seen_rank")
+    assert rows(out, "first_seen_rank", "name") == [(1, "Darthk"), (2, "Luke"), (3, "Darth"), (4, "Lea")]
 
 
 def test_board_lines(spark):

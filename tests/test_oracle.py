@@ -42,7 +42,7 @@ def test_every_query_has_an_oracle():
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns == ["line", "n", "first_doc_id", "first_line_no"]
+    assert df.columns == ["line", "n", "first_doc_id", "first_line_no", "first_seen_rank"]
     assert df.count() > 0
 
 

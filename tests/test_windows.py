@@ -113,3 +113,25 @@ def test_row_numbers_segmented(spark):
     seg = windows.row_numbers(df, ["k"], ["t", "event_id"], chunk=F.floor(F.col("t") / 100))
     ref = df.withColumn("step", F.row_number().over(Window.partitionBy("k").orderBy("t", "event_id")))
     assert rows(seg, "event_id", "step") == rows(ref, "event_id", "step")
+
+
+def test_segmented_scan_keeps_null_keys(spark):
+    df = _skewed(spark).withColumn("k", F.when(F.col("k") == 5, F.lit(None)).otherwise(F.col("k")))
+    order = ["t", "event_id"]
+    plain = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
+    seg = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, chunk=F.floor(F.col("t") / 50))
+    assert seg.count() == df.count()
+    assert rows(plain, "event_id", "rs") == rows(seg, "event_id", "rs")
+    lag = windows.previous_value(df, ["k"], order, "s", "prev", chunk=F.floor(F.col("t") / 50))
+    ref = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
+    assert rows(lag, "event_id", "prev") == rows(ref, "event_id", "prev")
+
+
+def test_global_ordinal_over_shuffled_input(spark):
+    # an aggregated input has no fixed row order; ranks must still be exact
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 5003).alias("k")).groupBy("k").agg(
+        F.count("*").alias("n"))
+    got = windows.global_ordinal(df, ["n", "k"], partitions=7)
+    ref = sorted((r["n"], r["k"]) for r in df.collect())
+    expected = sorted((k, i + 1) for i, (n, k) in enumerate(ref))
+    assert rows(got, "k", "rank") == expected
