@@ -22,7 +22,7 @@ from tessera.functions import dates, numbers, strings
 from tessera.functions.numbers import FLOAT_TEXT, INT_TEXT
 from tessera.functions.strings import LINE_BREAK_REGEX, PY_WHITESPACE, WHITESPACE_CLASS
 from tessera.operators import aggregates as agg
-from tessera.operators import folds, relational, sampling, windows
+from tessera.operators import folds, relational, sampling, sizing, windows
 from tessera.sources import cards, html, literals, parse, text
 from tessera.sources import json as jsn
 from tessera.session import Tables, ensure_checkpoint_dir
@@ -189,7 +189,7 @@ def q_json_map_scan(spark, sf):
 """)
 def q_json_map_write(spark, sf):
     t = _t(spark, sf)
-    nr = t.nation.join(relational.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    nr = t.nation.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
     return jsn.entries_to_json(nr, ["r_name"], "n_name", "n_nationkey")
 
 
@@ -971,7 +971,7 @@ def q_split_str(spark, sf):
 """)
 def q_join_str(spark, sf):
     t = _t(spark, sf)
-    nr = t.nation.join(relational.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    nr = t.nation.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
     # a region holds a bounded number of nations, so its list is one small value
     return nr.groupBy("r_name").agg(coll.sorted_join(F.collect_list("n_name"), ", ").alias("nations"))
 
