@@ -48,10 +48,16 @@ def split_literal(c, delimiter: str, limit: int = -1) -> Column:
     return F.split(_col(c), re.escape(delimiter), limit)
 
 
+# Python whitespace outside Java's \s class ([ \t\n\x0B\f\r]); mapped to a
+# blank by ``translate`` (a per-character lookup) before a plain \s+ split,
+# which is several times faster than a regex class listing them all
+_EXTRA_WHITESPACE = "".join(ch for ch in PY_WHITESPACE if ch not in " \t\n\x0b\x0c\r")
+
+
 def split_whitespace(c) -> Column:
     """``str.split()`` with no argument: runs of whitespace, no empty words."""
-    parts = F.split(py_strip(c), WHITESPACE_CLASS + "+")
-    # stripped text that is empty splits into [''], which str.split() gives as []
+    parts = F.split(F.translate(_col(c), _EXTRA_WHITESPACE, " " * len(_EXTRA_WHITESPACE)), "\\s+")
+    # leading/trailing whitespace leaves empty strings at the ends; drop them
     return F.array_remove(parts, "")
 
 

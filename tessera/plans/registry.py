@@ -839,14 +839,14 @@ def q_head_n(spark, sf):
 
 @register("random_pick", f"""
   WITH w AS (SELECT doc_id, lang, {sql_split_ws('text')} AS words FROM documents),
-  e AS (SELECT doc_id, lang, generate_subscripts(words, 1) AS pos, unnest(words) AS word FROM w)
-  SELECT lang, arg_min(word, {sql_md5_key(42, 'doc_id', 'pos')}) AS word FROM e GROUP BY lang
+  c AS (SELECT lang, words, -ln(1.0 - {sql_md5_unit(42, 'doc_id')}) / len(words) AS race,
+               CAST(floor({sql_md5_unit(43, 'doc_id')} * len(words)) AS INTEGER) + 1 AS pos
+        FROM w WHERE len(words) > 0)
+  SELECT lang, arg_min(words[pos], race) AS word FROM c GROUP BY lang
 """)
 def q_random_pick(spark, sf):
     d = _t(spark, sf).documents
-    words = d.select("doc_id", "lang", F.posexplode(strings.split_whitespace(F.col("text"))).alias("_p", "word"))
-    words = words.withColumn("pos", F.col("_p") + 1)
-    return sampling.random_pick(words, ["lang"], "word", ["doc_id", "pos"], 42)
+    return sampling.random_element(d, ["lang"], strings.split_whitespace(F.col("text")), ["doc_id"], 42, "word")
 
 
 @register("shuffle_deal", f"""
