@@ -16,6 +16,7 @@ account ledger.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -73,61 +74,80 @@ LEDGER_TOTALS_SCHEMA = ("{acct} {acct_type}, balance bigint, n_deposits bigint,
 LEDGER_EVENTS_SCHEMA = "{acct} {acct_type}, event_id bigint, accepted boolean, balance_after bigint"
 
 
-def _walk(acct: np.ndarray, signed: np.ndarray, is_w: np.ndarray, valid: np.ndarray,
-          state: dict) -> tuple[np.ndarray, np.ndarray, list]:
-    """Walk one batch (rows sorted by account, then order).
+@dataclass
+class AccountState:
+    """Running state of one account while its events are walked."""
 
-    ``state`` carries the open account across batches.  Returns per-row
-    accepted flags and balances, and the totals of accounts closed in this
-    batch (the last one stays open in ``state``).
+    key: object = None
+    balance: int = 0
+    deposits: int = 0
+    withdrawals: int = 0
+    rejected: int = 0
+    rejected_amount: int = 0
+
+    def totals(self) -> tuple:
+        return (self.key, self.balance, self.deposits, self.withdrawals, self.rejected, self.rejected_amount)
+
+
+def walk_account(signed: np.ndarray, is_w: np.ndarray, valid: np.ndarray, state: AccountState,
+                 accepted: np.ndarray, balance_after: np.ndarray) -> None:
+    """Apply one account's events (in order) to ``state``, filling the
+    per-event ``accepted`` / ``balance_after`` outputs.
+
+    Vectorised: a block is applied with a prefix sum that assumes every
+    event is accepted; the first event that would be rejected (an invalid
+    amount, or a withdrawal above the balance) ends the block.  Blocks grow
+    while nothing is rejected and shrink after a rejection.
+    """
+    bal, pos, n, block = state.balance, 0, len(signed), 1024
+    while pos < n:
+        end = min(n, pos + block)
+        seg = np.where(valid[pos:end], signed[pos:end], 0)
+        after = bal + np.cumsum(seg)
+        before = after - seg
+        bad = ~valid[pos:end] | (is_w[pos:end] & (-signed[pos:end] > before))
+        if not bad.any():
+            accepted[pos:end] = True
+            balance_after[pos:end] = after
+            bal, pos, block = int(after[-1]), end, min(block * 2, 1 << 16)
+            continue
+        j = int(np.argmax(bad))
+        accepted[pos:pos + j] = True
+        balance_after[pos:pos + j] = after[:j]
+        bal = int(before[j])
+        balance_after[pos + j] = bal
+        pos, block = pos + j + 1, 16
+    ok = accepted[:n]
+    state.balance = bal
+    state.deposits += int(np.count_nonzero(ok & ~is_w))
+    state.withdrawals += int(np.count_nonzero(ok & is_w))
+    state.rejected += int(np.count_nonzero(~ok))
+    state.rejected_amount += int(np.abs(signed[~ok]).sum())
+
+
+def walk_batch(acct: np.ndarray, signed: np.ndarray, is_w: np.ndarray, valid: np.ndarray,
+               state: AccountState | None) -> tuple[np.ndarray, np.ndarray, list, AccountState | None]:
+    """Walk one Arrow batch of rows sorted by (account, order).
+
+    ``state`` is the account left open by the previous batch.  Returns the
+    per-row outputs, the totals of the accounts finished in this batch and
+    the account left open at its end.
     """
     n = len(acct)
     accepted = np.zeros(n, dtype=bool)
     balance_after = np.zeros(n, dtype=np.int64)
-    closed = []
-    starts = np.flatnonzero(np.r_[True, acct[1:] != acct[:-1]]) if n else np.array([], dtype=np.int64)
+    finished = []
+    if n == 0:
+        return accepted, balance_after, finished, state
+    starts = np.flatnonzero(np.r_[True, acct[1:] != acct[:-1]])
     bounds = list(starts) + [n]
-    for si in range(len(starts)):
-        lo, hi = bounds[si], bounds[si + 1]
-        key = acct[lo]
-        if state.get("open") is None or state["key"] != key:
-            if state.get("open") is not None:
-                closed.append(state["key_totals"]())
-            state.update(open=True, key=key, bal=0, dep=0, wd=0, rej=0, rej_amt=0)
-            state["key_totals"] = (lambda s=state: (s["key"], s["bal"], s["dep"], s["wd"], s["rej"], s["rej_amt"]))
-        bal = state["bal"]
-        pos = lo
-        block = 1024
-        while pos < hi:
-            end = min(hi, pos + block)
-            seg = signed[pos:end]
-            ok_seg = valid[pos:end]
-            seg_eff = np.where(ok_seg, seg, 0)
-            after = bal + np.cumsum(seg_eff)
-            before = after - seg_eff
-            bad = ~ok_seg | (is_w[pos:end] & (-seg > before))
-            if not bad.any():
-                accepted[pos:end] = True
-                balance_after[pos:end] = after
-                bal = int(after[-1])
-                pos = end
-                block = min(block * 2, 1 << 16)
-                continue
-            j = int(np.argmax(bad))
-            accepted[pos:pos + j] = True
-            balance_after[pos:pos + j] = after[:j]
-            bal = int(before[j])
-            balance_after[pos + j] = bal
-            pos = pos + j + 1
-            block = 16
-        seg_w = is_w[lo:hi]
-        acc = accepted[lo:hi]
-        state["bal"] = bal
-        state["dep"] += int(np.count_nonzero(acc & ~seg_w))
-        state["wd"] += int(np.count_nonzero(acc & seg_w))
-        state["rej"] += int(np.count_nonzero(~acc))
-        state["rej_amt"] += int(np.abs(signed[lo:hi][~acc]).sum())
-    return accepted, balance_after, closed
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        if state is None or state.key != acct[lo]:
+            if state is not None:
+                finished.append(state.totals())
+            state = AccountState(key=acct[lo])
+        walk_account(signed[lo:hi], is_w[lo:hi], valid[lo:hi], state, accepted[lo:hi], balance_after[lo:hi])
+    return accepted, balance_after, finished, state
 
 
 def ledger(events: DataFrame, account: str, order: Sequence[str], kind: str, amount: Column,
@@ -152,27 +172,24 @@ def ledger(events: DataFrame, account: str, order: Sequence[str], kind: str, amo
     ev = ev.repartition(n, account).sortWithinPartitions(account, *order)
     ev = ev.select(account, "_w", "_amt", "_eid")
 
+    totals_cols = [account, "balance", "n_deposits", "n_withdrawals", "n_rejected", "rejected_amount"]
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict = {}
+        state: AccountState | None = None
         for pdf in batches:
             if pdf.empty:
                 continue
             acct = pdf[account].to_numpy()
             amt = pdf["_amt"].to_numpy(dtype=np.int64)
             is_w = pdf["_w"].to_numpy(dtype=bool)
-            valid = amt >= 0
-            signed = np.where(is_w, -amt, amt)
-            acc, bal_after, closed = _walk(acct, signed, is_w, valid, state)
+            acc, bal_after, finished, state = walk_batch(acct, np.where(is_w, -amt, amt), is_w, amt >= 0, state)
             if per_event:
                 yield pd.DataFrame({account: acct, "event_id": pdf["_eid"].to_numpy(),
                                     "accepted": acc, "balance_after": bal_after})
-            elif closed:
-                yield pd.DataFrame(closed, columns=[account, "balance", "n_deposits", "n_withdrawals",
-                                                    "n_rejected", "rejected_amount"])
-        if not per_event and state.get("open") is not None:
-            yield pd.DataFrame([state["key_totals"]()], columns=[account, "balance", "n_deposits",
-                                                                 "n_withdrawals", "n_rejected",
-                                                                 "rejected_amount"])
+            elif finished:
+                yield pd.DataFrame(finished, columns=totals_cols)
+        if not per_event and state is not None:
+            yield pd.DataFrame([state.totals()], columns=totals_cols)
 
     schema = (LEDGER_EVENTS_SCHEMA if per_event else LEDGER_TOTALS_SCHEMA).format(acct=account,
                                                                                   acct_type=acct_type)

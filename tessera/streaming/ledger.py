@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tessera.operators.folds import _walk
+from tessera.operators.folds import AccountState, walk_account
 from tessera.session import require_checkpoint_dir
 
 
@@ -82,15 +82,15 @@ def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, o
     def update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order_cols, kind="stable")
         prev = state.get if state.exists else (0, 0, 0, 0, 0)
-        # the walk of folds.ledger, continued from the stored state; every
-        # row of this call belongs to one account (label 0)
-        s = {"open": True, "key": 0, "bal": int(prev[0]), "dep": int(prev[1]),
-             "wd": int(prev[2]), "rej": int(prev[3]), "rej_amt": int(prev[4])}
+        # the walk of folds.ledger, continued from the stored state
+        s = AccountState(key[0], *[int(x) for x in prev])
         amt = pdf["_amt"].to_numpy(dtype=np.int64)
         is_w = pdf["_w"].to_numpy(dtype=bool)
-        _walk(np.zeros(len(pdf), dtype=np.int64), np.where(is_w, -amt, amt), is_w, amt >= 0, s)
-        state.update((s["bal"], s["dep"], s["wd"], s["rej"], s["rej_amt"]))
-        yield pd.DataFrame([(key[0], s["bal"], s["dep"], s["wd"], s["rej"], s["rej_amt"])],
+        n = len(pdf)
+        walk_account(np.where(is_w, -amt, amt), is_w, amt >= 0, s,
+                     np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64))
+        state.update((s.balance, s.deposits, s.withdrawals, s.rejected, s.rejected_amount))
+        yield pd.DataFrame([s.totals()],
                            columns=[account, "balance", "n_deposits", "n_withdrawals", "n_rejected",
                                     "rejected_amount"])
 
