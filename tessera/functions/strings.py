@@ -73,19 +73,26 @@ def split_lines(c) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK_REGEX))
 
 
+# Characters whose title case is not their upper case ('ß' -> 'Ss', the
+# 'ǆ' digraphs, ligatures), derived from Python's own case tables.
+_TITLE_EXCEPTIONS = {ch: ch.title() for ch in map(chr, range(0x30000)) if ch.title() != ch.upper()}
+
+
 def title_case(c) -> Column:
-    """``str.title()``: upper after any uncased character, lower elsewhere.
+    """``str.title()``: title case after any uncased character, lower elsewhere.
 
     Spark's ``initcap`` only restarts after a blank (``o'neil`` -> ``O'neil``
     where Python gives ``O'Neil``).  A character is *cased* when its upper
     and lower forms differ.
     """
     chars = F.split(_col(c), "")
+    exceptions = F.create_map(*[F.lit(x) for kv in _TITLE_EXCEPTIONS.items() for x in kv])
 
     def one(ch, i):
         prev = F.get(chars, i - 1)  # 0-based; NULL before the first character
         prev_cased = F.upper(prev) != F.lower(prev)
-        return F.when((i == 0) | ~prev_cased, F.upper(ch)).otherwise(F.lower(ch))
+        title = F.coalesce(F.try_element_at(exceptions, ch), F.upper(ch))
+        return F.when((i == 0) | ~prev_cased, title).otherwise(F.lower(ch))
 
     return F.when(_col(c) == "", F.lit("")).otherwise(F.array_join(F.transform(chars, one), ""))
 

@@ -54,6 +54,28 @@ def build_session(
     return spark
 
 
+def partition_settings(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20,
+                       max_partitions: int = 100_000) -> dict[str, str]:
+    """Scan-split and shuffle sizes for a job over ``input_bytes`` on
+    ``total_cores`` task slots, so that partitions stay near ``target_bytes``
+    (they must fit in one task's share of executor memory when sorted or
+    aggregated).  The shuffle starts with enough partitions for the worst
+    case (shuffle as large as the input) and AQE coalesces small ones and
+    splits skewed ones at run time.
+
+    100 TB on 8,000 cores: 256 MB splits, 100,000 initial shuffle partitions
+    (capped), AQE target 256 MB, skew threshold 1 GB.
+    """
+    partitions = max(2 * total_cores, min(max_partitions, -(-input_bytes // target_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
     value = spark.conf.get("spark.checkpoint.dir", None)
