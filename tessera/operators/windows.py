@@ -175,15 +175,23 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str =
 
 # ---- first occurrences ----------------------------------------------------
 
-def first_flags(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "is_first") -> DataFrame:
+def first_flags(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "is_first",
+                max_broadcast_groups: int | None = None) -> DataFrame:
     """``out`` is true on the first row of each group in ``order``.
 
     The first row per group is found by a partial ``min(struct(order))``
-    aggregate and joined back (no window over a whole group).
+    aggregate and joined back (no window over a whole group).  With
+    ``max_broadcast_groups``, a probe counts the distinct groups on the group
+    columns alone; when there are at most that many, the one-row-per-group
+    table is broadcast and the large side is not shuffled at all.
     """
     group = list(group)
     ordc = _order_cols(order)
     firsts = df.groupBy(*group).agg(F.min(F.struct(*ordc)).alias("_first"))
+    if max_broadcast_groups is not None:
+        from tessera.operators.sizing import row_count_at_most
+        if row_count_at_most(df.select(*group).distinct(), max_broadcast_groups):
+            firsts = F.broadcast(firsts)
     joined = _join_on_keys(df, firsts, group)
     return joined.withColumn(out, F.struct(*ordc) == F.col("_first")).drop("_first")
 
@@ -195,9 +203,10 @@ def repeat_flags(df: DataFrame, session: Sequence[str], value: str, order: Seque
     return flagged.withColumn(out, ~F.col("_is_first")).drop("_is_first")
 
 
-def first_claims(df: DataFrame, slot: Sequence[str], order: Sequence, out: str = "accepted") -> DataFrame:
+def first_claims(df: DataFrame, slot: Sequence[str], order: Sequence, out: str = "accepted",
+                 max_broadcast_groups: int | None = None) -> DataFrame:
     """First writer of a slot wins; later claims of the slot are rejected."""
-    return first_flags(df, slot, order, out)
+    return first_flags(df, slot, order, out, max_broadcast_groups)
 
 
 def first_valid(df: DataFrame, key: Sequence[str], order: Sequence, valid: Column,

@@ -135,6 +135,9 @@ def _hands(t: Tables) -> DataFrame:
 # Keys (a user, a day) with more rows than this are cut into one-minute
 # chunks by the segmented scans; smaller keys are one window partition each.
 HOT_KEY_ROWS = 1_000_000
+# A one-row-per-group table with at most this many groups (proven by a
+# distinct count on the group columns) is broadcast.
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def _minute_chunk():
@@ -762,7 +765,8 @@ def q_coverage_replay(spark, sf):
 def q_first_claim(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts",
                                     F.to_date("ts").cast("string").alias("day"))
-    return windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"]).select(
+    return windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"],
+                                max_broadcast_groups=MAX_BROADCAST_GROUPS).select(
         "event_id", "event_type", "day", "accepted")
 
 
@@ -798,7 +802,8 @@ def q_first_valid(spark, sf):
 """)
 def q_turn_parity(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts", F.to_date("ts").cast("string").alias("day"))
-    claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"])
+    claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"],
+                                   max_broadcast_groups=MAX_BROADCAST_GROUPS)
     out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", chunk=_minute_chunk(),
                               hot_rows=HOT_KEY_ROWS)
     return out.select("event_id", "day", "accepted", "accepted_before", "player")
