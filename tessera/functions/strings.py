@@ -78,6 +78,13 @@ def split_lines(c) -> Column:
 _TITLE_EXCEPTIONS = {ch: ch.title() for ch in map(chr, range(0x30000)) if ch.title() != ch.upper()}
 
 
+# A capital sigma that is not followed by a cased letter (case-ignorable
+# characters skipped) lower-cases to the final form.
+_CASE_IGNORABLE = "\\p{Mn}\\p{Me}\\p{Cf}\\p{Lm}\\p{Sk}'.:·’"
+_CASED = "\\p{IsLowercase}\\p{IsUppercase}\\p{IsTitlecase}"
+_FINAL_SIGMA = f"Σ(?![{_CASE_IGNORABLE}]*[{_CASED}])"
+
+
 def title_case(c) -> Column:
     """``str.title()``: title case after any uncased character, lower elsewhere.
 
@@ -85,7 +92,9 @@ def title_case(c) -> Column:
     where Python gives ``O'Neil``).  A character is *cased* when its upper
     and lower forms differ.
     """
-    chars = F.split(_col(c), "")
+    # lower case of a capital sigma depends on what follows (Unicode Final_Sigma,
+    # as Python applies it): decided once on the whole text before splitting
+    chars = F.split(F.regexp_replace(_col(c), _FINAL_SIGMA, "ς"), "")
     exceptions = F.create_map(*[F.lit(x) for kv in _TITLE_EXCEPTIONS.items() for x in kv])
 
     def one(ch, i):

@@ -47,7 +47,7 @@ TEXTS = st.lists(st.text(alphabet=string.ascii_letters + " \t\n\r\x0b\x0c\x1c\x8
                  min_size=1, max_size=60)
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(TEXTS)
 def test_string_helpers_follow_python(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
