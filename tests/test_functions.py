@@ -55,7 +55,8 @@ def test_number_class(spark):
 
 
 def test_title_strip_and_split_follow_python(spark):
-    samples = ["o'neil", "hello world", "HOUSEHOLD", "x-ray 2nd", "", "  padded\t\n", "ΑΒΓ δέλτα", "a b"]
+    samples = ["o'neil", "hello world", "HOUSEHOLD", "x-ray 2nd", "", "  padded\t\n", "ΑΒΓ δέλτα", "a b",
+               "ΟΔΟΣ", "AΣ'B", "ΣΣ", "straße", "ǆungla"]
     df = spark.createDataFrame([(s,) for s in samples], "s string")
     got = df.select("s", strings.title_case("s").alias("t"), strings.py_strip("s").alias("p"),
                     strings.split_whitespace("s").alias("w")).collect()
