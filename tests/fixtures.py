@@ -49,11 +49,13 @@ def names_lines() -> list[str]:
 LIST_A = [1, 1, 2, 3, 5, 5, 8, 13, 21, 34, 55, 89]
 LIST_B = [1, 2, 3, 4, 5, 5, 6, 7, 8, 9, 10, 11, 12, 13]
 DUPS = [1, 2, 2, 3, 4, 5, 6, 7, 8, 9, 10, 10, 11, 12, 13]
+LIST_A2 = [1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89]
+LIST_B2 = [1, 2, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]
 SQUARES = [1, 4, 9, 16, 25, 36, 49, 64, 81, 100]
 ORDERED_MIXED = [1, 2, 3, 4, 5.5, 6, 8, 9, 11]
 PROBES = [0, 1, 2, 3, 4, 5.5, 6, 7, 8, 9, 10]
 
-BIRTHDAYS = [("Ewa", "1988-04-13"), ("Ewelina", "1982-07-02"), ("Karol", "1985-11-30"), ("Artur", "1980-03-14")]
+BIRTHDAYS = [("Ewa", "1988-04-13"), ("Ewelina", "1982-07-02"), ("Karol", "1983-07-13"), ("Artur", "1980-03-14")]
 BIRTHDAY_JSON = '{"Ewa": "1988-04-13", "Ewelina": "1982-07-02", "Artur": "1980-07-02"}'
 
 BOARDS = [

@@ -1,5 +1,5 @@
 from conftest import rows
-from fixtures import BIRTHDAYS, LIST_A, LIST_B, ORDERED_MIXED, PROBES, SQUARES, happy_lines, prime_lines
+from fixtures import BIRTHDAYS, LIST_A, LIST_A2, LIST_B, LIST_B2, ORDERED_MIXED, PROBES, SQUARES, happy_lines, prime_lines
 from pyspark.sql import functions as F
 
 from tessera.functions.strings import normalise_key
@@ -93,6 +93,6 @@ def test_presence_probes(spark):
 
 
 def test_distinct_semi(spark):
-    a = _list(spark, LIST_A).select("v")
-    b = _list(spark, LIST_B).select("v")
+    a = _list(spark, LIST_A2).select("v")
+    b = _list(spark, LIST_B2).select("v")
     assert rows(relational.distinct_semi(a, b, "v")) == [(x,) for x in [1, 2, 3, 5, 8, 13]]
