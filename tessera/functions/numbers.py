@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else (c if isinstance(c, Column) else F.lit(c))
+from tessera.functions._column import as_column as _col
 
 
 # Text accepted by Python's int() and float() (underscore

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions._column import as_column as _col
+
 # The characters Python's str.strip() / str.split() treat as
 # whitespace, and the line boundaries of str.splitlines().
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
@@ -34,10 +36,6 @@ WHITESPACE_CLASS = _char_class(PY_WHITESPACE)
 LINE_BREAK_REGEX = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def py_strip(c) -> Column:
     """``str.strip()``: Spark's ``trim`` removes spaces only."""
     return F.btrim(_col(c), F.lit(PY_WHITESPACE))

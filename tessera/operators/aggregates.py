@@ -11,13 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions._column import as_column as _col
 from tessera.functions.strings import slice_both_ends
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def value_counts(df: DataFrame, value: str, position: Sequence[str], count: str = "n",
                  first_prefix: str = "first_", rank: str | None = None) -> DataFrame:
     """Occurrences per distinct value and where it was first seen.

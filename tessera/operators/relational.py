@@ -12,16 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions._column import as_column as _col
 from tessera.operators.sizing import bounded_broadcast
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ---- filters --------------------------------------------------------------
 
 def keep_below(df: DataFrame, column: str, border) -> DataFrame:

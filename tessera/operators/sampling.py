@@ -17,14 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions._column import as_column as _col
 from tessera.operators.sizing import row_count_at_most
 from tessera.sources.literals import seeded_order_key, seeded_unit_hash
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
     return df.orderBy(*[_col(c) for c in order]).limit(k)
 

@@ -21,11 +21,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from tessera.functions._column import as_column as _col
+from pyspark.sql import types as T
 
 
 def _order_cols(order: Sequence) -> list[Column]:

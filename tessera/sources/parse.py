@@ -11,14 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions._column import as_column as _col
 from tessera.functions.numbers import parse_float, parse_int, parse_int_floor
 from tessera.functions.strings import split_literal
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def split_rejects(df: DataFrame, flag: str = "is_valid") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) by a boolean column; NULL counts as rejected."""
     ok = F.coalesce(F.col(flag), F.lit(False))
