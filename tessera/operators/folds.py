@@ -15,11 +15,13 @@ account ledger.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -194,3 +196,8 @@ def ledger(events: DataFrame, account: str, order: Sequence[str], kind: str, amo
     schema = (LEDGER_EVENTS_SCHEMA if per_event else LEDGER_TOTALS_SCHEMA).format(acct=account,
                                                                                   acct_type=acct_type)
     return ev.mapInPandas(fold, schema)
+
+
+# Functions of this module run inside Python workers (mapInPandas).  They are
+# pickled by value, so executors need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

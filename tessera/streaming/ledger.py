@@ -11,11 +11,13 @@ resumes from the last committed batch.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -106,3 +108,9 @@ def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, o
     rows = spark.read.parquet(out)
     latest = F.max_by(F.struct(*[c for c in rows.columns if c not in (account, "batch_id")]), F.col("batch_id"))
     return rows.groupBy(account).agg(latest.alias("_s")).select(account, "_s.*")
+
+
+# Functions of this module run inside Python workers (applyInPandasWithState).
+# They are pickled by value, so executors need numpy and pandas but not this
+# package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
