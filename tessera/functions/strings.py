@@ -46,29 +46,44 @@ def split_literal(c, delimiter: str, limit: int = -1) -> Column:
     return F.split(_col(c), re.escape(delimiter), limit)
 
 
-# Python whitespace outside Java's \s class ([ \t\n\x0B\f\r]); mapped to a
-# blank by ``translate`` (a per-character lookup) before a plain \s+ split,
-# which is several times faster than a regex class listing them all
-_EXTRA_WHITESPACE = "".join(ch for ch in PY_WHITESPACE if ch not in " \t\n\x0b\x0c\r")
+# Java's \s in Unicode mode (?U) is the White_Space property; with
+# \x1c-\x1f added it is exactly Python's whitespace (str.split / str.isspace),
+# and it runs as fast as the ASCII \s class.
+PY_WHITESPACE_REGEX = "(?U)[\\s\\x1c-\\x1f]+"
 
 
 def split_whitespace(c) -> Column:
     """``str.split()`` with no argument: runs of whitespace, no empty words."""
-    parts = F.split(F.translate(_col(c), _EXTRA_WHITESPACE, " " * len(_EXTRA_WHITESPACE)), "\\s+")
     # leading/trailing whitespace leaves empty strings at the ends; drop them
-    return F.array_remove(parts, "")
+    return F.array_remove(F.split(_col(c), PY_WHITESPACE_REGEX), "")
+
+
+# line breaks of str.splitlines() other than '\n'
+_OTHER_LINE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def split_lines(c) -> Column:
-    """``str.splitlines()``: no empty last element, empty text gives []."""
+    """``str.splitlines()``: no empty last element, empty text gives [].
+
+    Text holding no line break but '\n' (checked with plain substring
+    searches) is split on '\n' directly, a single-character split that
+    avoids the regex engine; other text takes the full line-break regex.
+    """
     text = _col(c)
     n = F.length(text)
+    only_newlines = F.lit(True)
+    for ch in _OTHER_LINE_BREAKS:
+        only_newlines = only_newlines & ~F.contains(text, F.lit(ch))
+    fast = F.split(F.when(F.endswith(text, F.lit("\n")), F.substring(text, 1, n - 1)).otherwise(text), "\n")
     # one final line break is dropped first (a plain test of the last
     # characters, not a regex scan of the whole text)
     body = (F.when(F.substring(text, -2, 2) == "\r\n", F.substring(text, 1, n - 2))
             .when(F.substring(text, -1, 1).rlike("^(" + LINE_BREAK_REGEX + ")$"), F.substring(text, 1, n - 1))
             .otherwise(text))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK_REGEX))
+    full = F.split(body, LINE_BREAK_REGEX)
+    return (F.when(text == "", F.array().cast("array<string>"))
+            .when(only_newlines, fast)
+            .otherwise(full))
 
 
 # Characters whose title case is not their upper case ('ß' -> 'Ss', the
