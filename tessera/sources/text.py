@@ -79,6 +79,21 @@ def word_list(df: DataFrame, text_col: str, keys: list[str], word: str = "word")
                     ((F.col("_blank") == 0) | (line_no < F.col("_blank"))).alias("before_blank")))
 
 
+def word_list_of_lines(lines: DataFrame, keys: list[str], line_no: str = "line_no", line: str = "line",
+                       word: str = "word") -> DataFrame:
+    """``word_list`` for a table of lines (e.g. ``read_lines`` of word files).
+
+    The first blank line per file comes from a partial ``min`` aggregate
+    joined back, so a file of any length is spread over many tasks.
+    """
+    stripped = lines.withColumn(word, py_strip(F.col(line)))
+    blanks = (stripped.where(F.col(word) == "").groupBy(*keys)
+              .agg(F.min(line_no).alias("_blank")))
+    kept = stripped.where(F.col(word) != "").join(blanks, keys, "left")
+    before = F.col("_blank").isNull() | (F.col(line_no) < F.col("_blank"))
+    return kept.select(*keys, line_no, word, before.alias("before_blank"))
+
+
 def write_text(df: DataFrame, column: str | Column, path: str) -> None:
     """Write one string column as text files, replacing what is there."""
     col = F.col(column) if isinstance(column, str) else column

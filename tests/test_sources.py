@@ -67,6 +67,17 @@ def test_word_list_stops_at_first_blank(spark):
     assert out == [(1, "apple", True), (2, "Banana", True), (4, "cherry", False), (6, "date", False)]
 
 
+def test_word_list_of_lines_from_files(spark, scratch):
+    for name, body in (("w1.txt", " apple \nBanana\n   \ncherry\n"), ("w2.txt", "kiwi\nlime")):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write(body)
+    lines = text.read_lines(spark, scratch)
+    out = text.word_list_of_lines(lines, ["file"])
+    got = sorted((os.path.basename(r["file"]), r["line_no"], r["word"], r["before_blank"]) for r in out.collect())
+    assert got == [("w1.txt", 1, "apple", True), ("w1.txt", 2, "Banana", True), ("w1.txt", 4, "cherry", False),
+                   ("w2.txt", 1, "kiwi", True), ("w2.txt", 2, "lime", True)]
+
+
 def test_json_entries_and_whole_file(spark, scratch):
     path = os.path.join(scratch, "birthdays.json")
     with open(path, "w") as f:
