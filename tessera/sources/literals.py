@@ -59,6 +59,15 @@ def seeded_choice_step(seed: int, keys: list, start: int, stop: int, step: int)
     return (F.lit(start) + idx * F.lit(step)).cast("bigint")
 
 
+def random_table(spark: SparkSession, n: int, seed: int, columns: Mapping[str, tuple[int, int, int]]) -> DataFrame:
+    """``n`` rows, one seeded ``randrange(start, stop, step)`` value per named
+    column (``{"a": (0, 50, 5)}``), generated in parallel by ``spark.range``;
+    each value depends only on (seed, column, row id)."""
+    rows = spark.range(n)
+    return rows.select(F.col("id"), *[seeded_choice_step(seed + i, ["id"], *spec).alias(name)
+                                      for i, (name, spec) in enumerate(columns.items())])
+
+
 def seeded_order_key(seed: int, *keys) -> Column:
     """Sort key for a seeded shuffle: md5 text of (seed, keys)."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") if isinstance(k, str)

@@ -183,3 +183,13 @@ def test_seeded_choice_is_partition_independent(spark):
     b = rows(df.repartition(7).select("id", literals.seeded_choice_step(3, ["id"], 0, 50, 5).alias("v")))
     assert a == b
     assert {v for _, v in a} <= set(range(0, 50, 5))
+
+
+def test_random_table(spark):
+    t = literals.random_table(spark, 1000, 5, {"a": (0, 50, 5), "b": (0, 100, 5)})
+    got = t.collect()
+    assert len(got) == 1000
+    assert {r["a"] for r in got} <= set(range(0, 50, 5)) and {r["b"] for r in got} <= set(range(0, 100, 5))
+    assert len({r["a"] for r in got}) == 10
+    again = literals.random_table(spark, 1000, 5, {"a": (0, 50, 5), "b": (0, 100, 5)}).repartition(3)
+    assert rows(again) == rows(t)
