@@ -5,11 +5,12 @@ Scale rule: a key (user, day, game) may hold a large share of all rows, so
 no operator here puts a whole key into one window partition.
 
 * Running sums and the previous value are *segmented scans*: rows are cut
-  into chunks by a column that grows with the order (an hour or a minute of
-  the timestamp, a block of positions).  The window runs per (key, chunk); a
-  small table of per-chunk totals gives each chunk its offset.  With
-  ``hot_rows`` only keys above that many rows are cut (found by a partial
-  count per key), so ordinary keys cost one offset row each.
+  into chunks along the order (``Segments``: equal slices of a measure such
+  as the timestamp, sized from each key's own row count, or an explicit
+  chunk column).  The window runs per (key, chunk); a small table of
+  per-chunk totals gives each chunk its offset.  With ``hot_rows`` only keys
+  above that many rows are cut (found by a partial count per key), so
+  ordinary keys cost one offset row each.
 * First occurrences are an aggregate (partial, map-side) plus a join back;
   the aggregate side has one row per group, so AQE can split a skewed join
   partition of the large side.
@@ -18,6 +19,7 @@ no operator here puts a whole key into one window partition.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,55 +78,94 @@ def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[
 
 # ---- segmented scans ------------------------------------------------------
 
-def minute_bucket(ts) -> Column:
-    """Minutes since 1970-01-01 of a wall-clock timestamp (no time zone, so
-    it never goes backwards), for use as a chunk."""
+def wall_seconds(ts) -> Column:
+    """Seconds since 1970-01-01 00:00 of a wall-clock timestamp.  No time
+    zone is involved, so it never goes backwards along the timestamp."""
     t = _col(ts)
     days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 1440 + F.hour(t) * 60 + F.minute(t)
-
-
-def _with_chunk(df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int | None) -> DataFrame:
-    """Add ``_chunk``.  With ``hot_rows``, only keys holding more than that many
-    rows are cut into chunks; every other key is one chunk (NULL), so small
-    keys pay nothing for the offsets.  Hot keys are found by a partial count
-    per key.  The hot-key table is broadcast: it has at most
-    ``rows / hot_rows`` entries (a million keys per trillion rows at the
-    default of the registry), so its size is bounded by construction and the
-    large side is tagged without a shuffle."""
-    c = chunk.cast("bigint")
-    if hot_rows is None:
-        return df.withColumn("_chunk", c)
-    hot = (df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-           .select(*keys, F.lit(True).alias("_hot")))
-    tagged = _join_on_keys(df, F.broadcast(hot), keys, "left")
-    # a key is wholly hot or wholly not, so the constant 0 never mixes with
-    # real chunk numbers inside one key
-    return tagged.withColumn("_chunk", F.when(F.col("_hot"), c).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
+def minute_bucket(ts) -> Column:
+    """Minutes since 1970-01-01 of a wall-clock timestamp, for use as a chunk."""
+    return F.floor(wall_seconds(ts) / 60).cast("bigint")
+
+
+@dataclass(frozen=True)
+class Segments:
+    """How a segmented scan cuts the rows of a key into chunks.
+
+    * ``measure``: a number that never decreases along the order (e.g.
+      ``wall_seconds(ts)`` or a position).  Each cut key gets about
+      ``rows / chunk_rows`` chunks of equal measure width, computed from its
+      own count, minimum and maximum, so chunks hold ~``chunk_rows`` rows
+      whatever the density of the key.
+    * ``chunk``: or an explicit chunk number that never decreases along the
+      order (a day, a block of positions).
+    * ``hot_rows``: only keys with more rows than this are cut; every other
+      key is one chunk and costs one offset row.
+    """
+
+    measure: Column | None = None
+    chunk: Column | None = None
+    hot_rows: int | None = None
+    chunk_rows: int = 250_000
+
+
+def _with_chunk(df: DataFrame, keys: Sequence[str], seg: Segments) -> DataFrame:
+    """Add ``_chunk`` (bigint, never NULL) as described by ``seg``.
+
+    Key statistics come from one partial aggregate per key.  With
+    ``hot_rows`` the statistics table holds only hot keys and is broadcast:
+    it has at most ``rows / hot_rows`` entries (a million keys per trillion
+    rows at the registry's setting), so its size is bounded by construction
+    and the large side is tagged without a shuffle.
+    """
+    if seg.measure is None and seg.chunk is None:
+        raise ValueError("Segments needs a measure or a chunk")
+    if seg.measure is None and seg.hot_rows is None:
+        return df.withColumn("_chunk", seg.chunk.cast("bigint"))
+    m = seg.measure.cast("double") if seg.measure is not None else None
+    aggs = [F.count("*").alias("_n")]
+    if m is not None:
+        aggs += [F.min(m).alias("_lo"), F.max(m).alias("_hi")]
+    stats = df.groupBy(*keys).agg(*aggs)
+    if seg.hot_rows is not None:
+        stats = F.broadcast(stats.where(F.col("_n") > seg.hot_rows))
+    tagged = _join_on_keys(df, stats.withColumn("_cut", F.lit(True)), keys, "left")
+    if m is None:
+        chunk = seg.chunk.cast("bigint")
+    else:
+        n_chunks = F.ceil(F.col("_n") / F.lit(seg.chunk_rows))
+        span = F.col("_hi") - F.col("_lo")
+        pos = F.floor((m - F.col("_lo")) / span * n_chunks)
+        chunk = F.when(span > 0, F.least(pos, n_chunks - 1)).otherwise(F.lit(0)).cast("bigint")
+    # a key is wholly cut or not, so the constant 0 never mixes with real
+    # chunk numbers inside one key
+    out = tagged.withColumn("_chunk", F.when(F.col("_cut"), chunk).otherwise(F.lit(0).cast("bigint")))
+    return out.drop("_cut", "_n", *(["_lo", "_hi"] if m is not None else []))
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapping[str, Column],
-                 chunk: Column | None = None, exclusive: bool = False, hot_rows: int | None = None) -> DataFrame:
+                 exclusive: bool = False, segments: Segments | None = None) -> DataFrame:
     """Add one running sum per entry of ``sums`` (name -> value column).
 
     Rows are ordered by ``order`` inside each key (``order`` must be a total
     order, e.g. end with a unique id).  ``exclusive`` sums the rows strictly
-    before.  ``chunk`` (integral, e.g. ``minute_bucket(ts)``) must not
-    decrease along ``order`` within a key; with it the scan is segmented (see
-    module doc), without it a plain window is used.
-    ``hot_rows`` limits the segmentation to keys with more rows than that.
+    before.  With ``segments`` the scan is segmented (see module doc),
+    without it a plain window is used.
     """
     keys = list(keys)
     ordc = _order_cols(order)
     upper = -1 if exclusive else 0
-    if chunk is None:
+    if segments is None:
         w = Window.partitionBy(*keys).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, upper)
         out = df
         for name, value in sums.items():
             out = out.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
         return out
 
-    d = _with_chunk(df, keys, chunk, hot_rows)
+    d = _with_chunk(df, keys, segments)
     d, pk = _non_null_keys(d, keys)
     part = pk + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, upper)
@@ -146,13 +187,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapp
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str,
-                   chunk: Column | None = None, hot_rows: int | None = None) -> DataFrame:
+                   segments: Segments | None = None) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same key (NULL for the first)."""
     keys = list(keys)
     ordc = _order_cols(order)
-    if chunk is None:
+    if segments is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ordc)))
-    d = _with_chunk(df, keys, chunk, hot_rows)
+    d = _with_chunk(df, keys, segments)
     d, pk = _non_null_keys(d, keys)
     part = pk + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc)
@@ -166,9 +207,9 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "step",
-                chunk: Column | None = None, hot_rows: int | None = None) -> DataFrame:
+                segments: Segments | None = None) -> DataFrame:
     """1-based position of each row inside its key (a running count)."""
-    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")}, chunk=chunk, hot_rows=hot_rows)
+    return running_sums(df, keys, order, {out: F.lit(1).cast("bigint")}, segments=segments)
 
 
 # ---- first occurrences ----------------------------------------------------
@@ -222,12 +263,12 @@ def first_valid(df: DataFrame, key: Sequence[str], order: Sequence, valid: Colum
 
 
 def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: str,
-                players: Sequence[str] = ("X", "O"), chunk: Column | None = None,
-                out: str = "player", hot_rows: int | None = None) -> DataFrame:
+                players: Sequence[str] = ("X", "O"), out: str = "player",
+                segments: Segments | None = None) -> DataFrame:
     """Whose turn a move is: parity of the number of *accepted* moves before
     it in the game (a rejected move does not pass the turn)."""
     counted = running_sums(df, game, order, {"_before": F.col(accepted).cast("bigint")},
-                           chunk=chunk, exclusive=True, hot_rows=hot_rows)
+                           exclusive=True, segments=segments)
     arr = F.array(*[F.lit(p) for p in players])
     idx = F.pmod(F.col("_before"), F.lit(len(players))).cast("int")
     return (counted.withColumn("accepted_before", F.col("_before"))
@@ -237,8 +278,7 @@ def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: s
 # ---- sessions replayed as games -------------------------------------------
 
 def running_counters(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                     targets: Sequence[str], chunk: Column | None = None,
-                     hot_rows: int | None = None) -> DataFrame:
+                     targets: Sequence[str], segments: Segments | None = None) -> DataFrame:
     """Running counts per session: ``step`` (all rows), ``n_new`` (values not
     seen before), ``n_miss`` (new values outside ``targets``; a repeated miss
     is not counted again)."""
@@ -248,17 +288,16 @@ def running_counters(df: DataFrame, session: Sequence[str], value: str, order: S
         "step": F.lit(1).cast("bigint"),
         "n_new": F.col("is_new").cast("bigint"),
         "n_miss": (F.col("is_new") & miss).cast("bigint"),
-    }, chunk=chunk, hot_rows=hot_rows).withColumn("is_miss", miss)
+    }, segments=segments).withColumn("is_miss", miss)
 
 
 def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                    targets: Sequence[str], miss_budget: int, chunk: Column | None = None,
-                    hot_rows: int | None = None) -> DataFrame:
+                    targets: Sequence[str], miss_budget: int, segments: Segments | None = None) -> DataFrame:
     """Per session: the step at which every target value has been seen, the
     step at which the miss budget is used up, and the outcome (whichever
     comes first; ``unfinished`` if neither).  ``min_steps`` = number of targets."""
     session = list(session)
-    c = running_counters(df, session, value, order, targets, chunk=chunk, hot_rows=hot_rows)
+    c = running_counters(df, session, value, order, targets, segments=segments)
     is_target_first = F.col("is_new") & F.col(value).isin(list(targets))
     per = c.groupBy(*session).agg(
         F.count("*").alias("n_steps"),

@@ -132,16 +132,18 @@ def _hands(t: Tables) -> DataFrame:
                              F.col("rank") == cards.FLEXIBLE_RANK, cards.BLACKJACK)
 
 
-# Keys (a user, a day) with more rows than this are cut into one-minute
-# chunks by the segmented scans; smaller keys are one window partition each.
+# Keys (a user, a day) with more rows than this are cut by the segmented
+# scans into chunks of about CHUNK_ROWS rows along the timestamp; smaller
+# keys are one window partition each.
 HOT_KEY_ROWS = 1_000_000
+CHUNK_ROWS = 250_000
 # A one-row-per-group table with at most this many groups (proven by a
 # distinct count on the group columns) is broadcast.
 MAX_BROADCAST_GROUPS = 100_000
 
 
-def _minute_chunk():
-    return windows.minute_bucket("ts")
+def _time_segments() -> windows.Segments:
+    return windows.Segments(measure=windows.wall_seconds("ts"), hot_rows=HOT_KEY_ROWS, chunk_rows=CHUNK_ROWS)
 
 
 def _hour_chunk():
@@ -679,7 +681,7 @@ def q_running_balance(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "value")
     out = windows.running_sums(e, ["user_id"], ["ts", "event_id"],
                                {"running_cents": numbers.to_cents(F.col("value"))},
-                               chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
+                               segments=_time_segments())
     return out.select("event_id", "user_id", "running_cents")
 
 
@@ -691,7 +693,7 @@ def q_running_balance(spark, sf):
 def q_adjacent_compare(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     out = windows.previous_value(e, ["user_id"], ["ts", "event_id"], "event_type", "prev_type",
-                                 chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
+                                 segments=_time_segments())
     changed = F.coalesce(F.col("prev_type") != F.col("event_type"), F.lit(False))
     return out.select("event_id", "user_id", "prev_type", changed.alias("changed"))
 
@@ -732,7 +734,7 @@ SQL_COUNTERS = f"""
 def q_running_counters(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     out = windows.running_counters(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS,
-                                   chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
+                                   segments=_time_segments())
     return out.select("event_id", "user_id", "step", "n_new", "n_miss")
 
 
@@ -754,7 +756,7 @@ def q_running_counters(spark, sf):
 def q_coverage_replay(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     return windows.coverage_replay(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS, 2,
-                                   chunk=_minute_chunk(), hot_rows=HOT_KEY_ROWS)
+                                   segments=_time_segments())
 
 
 @register("first_claim", """
@@ -804,8 +806,7 @@ def q_turn_parity(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts", F.to_date("ts").cast("string").alias("day"))
     claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"],
                                    max_broadcast_groups=MAX_BROADCAST_GROUPS)
-    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", chunk=_minute_chunk(),
-                              hot_rows=HOT_KEY_ROWS)
+    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", segments=_time_segments())
     return out.select("event_id", "day", "accepted", "accepted_before", "player")
 
 

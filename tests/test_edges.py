@@ -22,8 +22,8 @@ def test_empty_inputs(spark):
     assert text.word_list(empty_text, "t", ["id"]).count() == 0
     ev = spark.createDataFrame([], EVENT_SCHEMA)
     assert windows.coverage_replay(ev, ["session"], "v", ["step"], ["a"], 1).count() == 0
-    assert windows.running_counters(ev, ["session"], "v", ["step"], ["a"], chunk=F.col("step"),
-                                    hot_rows=10).count() == 0
+    assert windows.running_counters(ev, ["session"], "v", ["step"], ["a"],
+                                    segments=windows.Segments(measure=F.col("step"), hot_rows=10)).count() == 0
     cards = spark.createDataFrame([], "hand long, v int")
     assert folds.hand_values(cards, ["hand"], F.col("v"), F.lit(False)).count() == 0
     assert agg.value_counts(spark.createDataFrame([], "pos long, x string"), "x", ["pos"]).count() == 0

@@ -3,6 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators import windows
+from tessera.operators.windows import Segments
 
 
 def _skewed(spark):
@@ -22,9 +23,9 @@ def test_segmented_running_sum_equals_window(spark):
     order = ["t", "event_id"]
     plain = windows.running_sums(df, ["k"], order, {"rs": F.col("v"), "cnt": F.lit(1)})
     seg = windows.running_sums(df, ["k"], order, {"rs": F.col("v"), "cnt": F.lit(1)},
-                               chunk=F.floor(F.col("t") / 50))
+                               segments=Segments(chunk=F.floor(F.col("t") / 50)))
     assert rows(plain, "event_id", "rs", "cnt") == rows(seg, "event_id", "rs", "cnt")
-    excl = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, chunk=F.floor(F.col("t") / 50), exclusive=True)
+    excl = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=Segments(chunk=F.floor(F.col("t") / 50)), exclusive=True)
     w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     ref = df.withColumn("rs", F.coalesce(F.sum("v").over(w), F.lit(0)))
     assert rows(excl, "event_id", "rs") == rows(ref, "event_id", "rs")
@@ -35,9 +36,9 @@ def test_hot_key_only_segmentation(spark):
     df = _skewed(spark)
     order = ["t", "event_id"]
     plain = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
-    hot = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, chunk=F.floor(F.col("t") / 50), hot_rows=5000)
+    hot = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=Segments(chunk=F.floor(F.col("t") / 50), hot_rows=5000))
     assert rows(plain, "event_id", "rs") == rows(hot, "event_id", "rs")
-    lag_hot = windows.previous_value(df, ["k"], order, "s", "prev", chunk=F.floor(F.col("t") / 50), hot_rows=5000)
+    lag_hot = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(chunk=F.floor(F.col("t") / 50), hot_rows=5000))
     ref = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
     assert rows(lag_hot, "event_id", "prev") == rows(ref, "event_id", "prev")
 
@@ -45,14 +46,14 @@ def test_hot_key_only_segmentation(spark):
 def test_segmented_lag_equals_lag(spark):
     df = _skewed(spark)
     order = ["t", "event_id"]
-    seg = windows.previous_value(df, ["k"], order, "s", "prev", chunk=F.floor(F.col("t") / 37))
+    seg = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(chunk=F.floor(F.col("t") / 37)))
     ref = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
     assert rows(seg, "event_id", "prev") == rows(ref, "event_id", "prev")
 
 
 def test_segmented_plan_spreads_hot_key(spark):
     df = _skewed(spark)
-    seg = windows.running_sums(df, ["k"], ["t", "event_id"], {"rs": F.col("v")}, chunk=F.floor(F.col("t") / 50))
+    seg = windows.running_sums(df, ["k"], ["t", "event_id"], {"rs": F.col("v")}, segments=Segments(chunk=F.floor(F.col("t") / 50)))
     plan = seg._jdf.queryExecution().executedPlan().toString()
     # the row-level window is partitioned by key *and* chunk
     assert "_chunk" in plan and "Window" in plan
@@ -110,7 +111,7 @@ def test_global_ordinal_is_exact(spark):
 
 def test_row_numbers_segmented(spark):
     df = _skewed(spark)
-    seg = windows.row_numbers(df, ["k"], ["t", "event_id"], chunk=F.floor(F.col("t") / 100))
+    seg = windows.row_numbers(df, ["k"], ["t", "event_id"], segments=Segments(chunk=F.floor(F.col("t") / 100)))
     ref = df.withColumn("step", F.row_number().over(Window.partitionBy("k").orderBy("t", "event_id")))
     assert rows(seg, "event_id", "step") == rows(ref, "event_id", "step")
 
@@ -119,10 +120,10 @@ def test_segmented_scan_keeps_null_keys(spark):
     df = _skewed(spark).withColumn("k", F.when(F.col("k") == 5, F.lit(None)).otherwise(F.col("k")))
     order = ["t", "event_id"]
     plain = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
-    seg = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, chunk=F.floor(F.col("t") / 50))
+    seg = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=Segments(chunk=F.floor(F.col("t") / 50)))
     assert seg.count() == df.count()
     assert rows(plain, "event_id", "rs") == rows(seg, "event_id", "rs")
-    lag = windows.previous_value(df, ["k"], order, "s", "prev", chunk=F.floor(F.col("t") / 50))
+    lag = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(chunk=F.floor(F.col("t") / 50)))
     ref = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
     assert rows(lag, "event_id", "prev") == rows(ref, "event_id", "prev")
 
@@ -135,3 +136,19 @@ def test_global_ordinal_over_shuffled_input(spark):
     ref = sorted((r["n"], r["k"]) for r in df.collect())
     expected = sorted((k, i + 1) for i, (n, k) in enumerate(ref))
     assert rows(got, "k", "rank") == expected
+
+
+def test_adaptive_segments_equal_window(spark):
+    # chunks sized from each key's own count: the hot key (10,000 rows) gets
+    # ~10,000 / 700 chunks of equal width in t, the others stay whole
+    df = _skewed(spark)
+    order = ["t", "event_id"]
+    seg = Segments(measure=F.col("t"), hot_rows=5000, chunk_rows=700)
+    got = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=seg)
+    ref = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
+    assert rows(got, "event_id", "rs") == rows(ref, "event_id", "rs")
+    lag = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(measure=F.col("t"), chunk_rows=700))
+    ref_lag = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
+    assert rows(lag, "event_id", "prev") == rows(ref_lag, "event_id", "prev")
+    chunks = windows._with_chunk(df, ["k"], seg).where(F.col("k") == 0).select("_chunk").distinct().count()
+    assert 10 <= chunks <= 15
