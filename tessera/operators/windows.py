@@ -123,8 +123,10 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], seg: Segments) -> DataFrame:
     """
     if seg.measure is None and seg.chunk is None:
         raise ValueError("Segments needs a measure or a chunk")
+    # a NULL order value sorts first (ascending), so its chunk comes first too
+    explicit = F.coalesce(seg.chunk.cast("bigint"), F.lit(-(2 ** 63)).cast("bigint")) if seg.chunk is not None else None
     if seg.measure is None and seg.hot_rows is None:
-        return df.withColumn("_chunk", seg.chunk.cast("bigint"))
+        return df.withColumn("_chunk", explicit)
     m = seg.measure.cast("double") if seg.measure is not None else None
     aggs = [F.count("*").alias("_n")]
     if m is not None:
@@ -134,12 +136,14 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], seg: Segments) -> DataFrame:
         stats = F.broadcast(stats.where(F.col("_n") > seg.hot_rows))
     tagged = _join_on_keys(df, stats.withColumn("_cut", F.lit(True)), keys, "left")
     if m is None:
-        chunk = seg.chunk.cast("bigint")
+        chunk = explicit
     else:
         n_chunks = F.ceil(F.col("_n") / F.lit(seg.chunk_rows))
         span = F.col("_hi") - F.col("_lo")
         pos = F.floor((m - F.col("_lo")) / span * n_chunks)
-        chunk = F.when(span > 0, F.least(pos, n_chunks - 1)).otherwise(F.lit(0)).cast("bigint")
+        # least() skips NULLs, so a NULL measure is placed first explicitly
+        chunk = (F.when(m.isNull(), F.lit(-1)).when(span > 0, F.least(pos, n_chunks - 1))
+                 .otherwise(F.lit(0)).cast("bigint"))
     # a key is wholly cut or not, so the constant 0 never mixes with real
     # chunk numbers inside one key
     out = tagged.withColumn("_chunk", F.when(F.col("_cut"), chunk).otherwise(F.lit(0).cast("bigint")))
@@ -232,7 +236,8 @@ def first_flags(df: DataFrame, group: Sequence[str], order: Sequence, out: str =
         if row_count_at_most(df.select(*group).distinct(), max_broadcast_groups):
             firsts = F.broadcast(firsts)
     joined = _join_on_keys(df, firsts, group)
-    return joined.withColumn(out, F.struct(*ordc) == F.col("_first")).drop("_first")
+    # NULL-safe: an order field that is NULL still identifies the first row
+    return joined.withColumn(out, F.struct(*ordc).eqNullSafe(F.col("_first"))).drop("_first")
 
 
 def repeat_flags(df: DataFrame, session: Sequence[str], value: str, order: Sequence,

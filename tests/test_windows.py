@@ -152,3 +152,21 @@ def test_adaptive_segments_equal_window(spark):
     assert rows(lag, "event_id", "prev") == rows(ref_lag, "event_id", "prev")
     chunks = windows._with_chunk(df, ["k"], seg).where(F.col("k") == 0).select("_chunk").distinct().count()
     assert 10 <= chunks <= 15
+
+
+def test_segments_keep_rows_with_null_order_values(spark):
+    df = _skewed(spark).withColumn("t", F.when(F.col("event_id") % 101 == 0, F.lit(None)).otherwise(F.col("t")))
+    order = ["t", "event_id"]
+    ref = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
+    for seg in (Segments(measure=F.col("t"), hot_rows=5000, chunk_rows=700),
+                Segments(chunk=F.floor(F.col("t") / 50)),
+                Segments(chunk=F.floor(F.col("t") / 50), hot_rows=5000)):
+        got = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=seg)
+        assert got.count() == df.count()
+        assert rows(got, "event_id", "rs") == rows(ref, "event_id", "rs")
+
+
+def test_first_flags_with_null_order_value(spark):
+    df = spark.createDataFrame([(1, None, 10), (1, 5, 11), (2, 3, 12)], "g long, t long, id long")
+    out = windows.first_flags(df, ["g"], ["t", "id"])
+    assert rows(out, "id", "is_first") == [(10, True), (11, False), (12, True)]
