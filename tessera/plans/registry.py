@@ -188,14 +188,19 @@ def q_json_map_scan(spark, sf):
 
 
 @register("json_map_write", """
-  SELECT r_name, '{' || string_agg('"' || n_name || '":' || CAST(n_nationkey AS VARCHAR), ',' ORDER BY n_name)
-         || '}' AS json
-  FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
+  WITH c AS (SELECT r_name, n_name, count(*) AS n FROM customer
+             JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+             GROUP BY r_name, n_name)
+  SELECT r_name, '{' || string_agg('"' || n_name || '":' || CAST(n AS VARCHAR), ',' ORDER BY n_name) || '}' AS json
+  FROM c GROUP BY r_name
 """)
 def q_json_map_write(spark, sf):
     t = _t(spark, sf)
     nr = t.nation.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-    return jsn.entries_to_json(nr, ["r_name"], "n_name", "n_nationkey")
+    per_nation = (t.customer.join(sizing.bounded_broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
+                  .groupBy("r_name", "n_name").agg(F.count("*").alias("n")))
+    # one object per region: a region holds a bounded number of nations
+    return jsn.entries_to_json(per_nation, ["r_name"], "n_name", "n")
 
 
 @register("text_write", "SELECT p_name AS value FROM part")
@@ -978,11 +983,15 @@ def q_split_str(spark, sf):
 
 @register("join_str", """
   SELECT r_name, string_agg(n_name, ', ' ORDER BY n_name) AS nations
-  FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal < 0)
+  GROUP BY r_name
 """)
 def q_join_str(spark, sf):
     t = _t(spark, sf)
-    nr = t.nation.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    indebted = t.customer.where(F.col("c_acctbal") < 0).select(F.col("c_nationkey").alias("n_nationkey"))
+    nations = relational.semi_join(t.nation, indebted, "n_nationkey")
+    nr = nations.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
     # a region holds a bounded number of nations, so its list is one small value
     return nr.groupBy("r_name").agg(coll.sorted_join(F.collect_list("n_name"), ", ").alias("nations"))
 
