@@ -596,6 +596,9 @@ def q_unanimous_groups(spark, sf):
 
 
 def _cells(t: Tables) -> DataFrame:
+    # each order is a 3x3 board whose cells are its line numbers 1..9 in row
+    # order (the data's line numbers are 1..7, so no row is left out); a
+    # cell's value is its part key mod 3 (0 = empty), the largest if repeated
     li = t.lineitem.where(F.col("l_linenumber").between(1, 9))
     idx = F.col("l_linenumber") - 1
     return (li.groupBy("l_orderkey", F.floor(idx / 3).cast("bigint").alias("r"),
