@@ -146,7 +146,7 @@ def _time_segments() -> windows.Segments:
     return windows.Segments(measure=windows.wall_seconds("ts"), hot_rows=HOT_KEY_ROWS, chunk_rows=CHUNK_ROWS)
 
 
-def _hour_chunk():
+def _hour_of_ts():
     return F.date_trunc("hour", F.col("ts"))
 
 
@@ -591,7 +591,7 @@ def q_distinct_chars(spark, sf):
      AND min(event_type) <> ''
 """)
 def q_unanimous_groups(spark, sf):
-    e = _t(spark, sf).events.select("user_id", _hour_chunk().cast("string").alias("hour"), "event_type")
+    e = _t(spark, sf).events.select("user_id", _hour_of_ts().cast("string").alias("hour"), "event_type")
     return agg.uniform_groups(e, [["user_id"], ["user_id", "hour"]], "event_type")
 
 
