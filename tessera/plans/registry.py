@@ -42,12 +42,15 @@ def register(op_id: str, sql: str | None = None):
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a scratch folder is named only when
-    the session names none (local runs and tests)."""
+    """The session's checkpoint folder.  Only a local session that names
+    none gets a scratch folder; a cluster session must name a shared one
+    (``spark.checkpoint.dir``), never a machine-local folder."""
     from tessera.session import checkpoint_dir
     current = checkpoint_dir(spark)
     if current:
         return ensure_checkpoint_dir(spark, current)
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster session")
     return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tessera-ckpt-"))
 
 
