@@ -43,11 +43,11 @@ def test_all_invalid_and_single_row(spark):
     assert (r["covered_step"], r["outcome"], r["steps_used"]) == (1, "covered", 1)
 
 
-TEXTS = st.lists(st.text(alphabet=string.ascii_letters + " \t\n\r\x0b\x0c\x1c\x85\xa0 ßéΣ'-", max_size=30),
+TEXTS = st.lists(st.text(alphabet=string.ascii_letters + " \t\n\r\x0b\x0c\x1c\x85\xa0 ßéΣ'-ﬁǅǆİıςσ́აԵև.·:", max_size=30),
                  min_size=1, max_size=60)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=25, deadline=None, derandomize=True)
 @given(TEXTS)
 def test_string_helpers_follow_python(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
@@ -61,7 +61,7 @@ def test_string_helpers_follow_python(spark, texts):
         assert r["title"] == t.title(), repr(t)
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=25, deadline=None, derandomize=True)
 @given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(-1000, 1000)), min_size=1, max_size=60))
 def test_floor_arithmetic_follows_python(spark, pairs):
     df = spark.createDataFrame(pairs, "a long, b long")
