@@ -131,3 +131,19 @@ def fibonacci(n) -> Column:
         lambda acc, _: F.struct(acc["b"].alias("a"), (acc["a"] + acc["b"]).cast("decimal(38,0)").alias("b")),
     )
     return F.when(x >= 1, state["a"])
+
+
+def fibonacci_terms(n) -> Column:
+    """The first ``n`` terms 1, 1, 2, 3, ... as ``array<decimal(38,0)>``;
+    empty when ``n`` is below 1 (one pass, no per-term recomputation)."""
+    x = _col(n)
+    zero = F.lit(0).cast("decimal(38,0)")
+    one = F.lit(1).cast("decimal(38,0)")
+    start = F.struct(zero.alias("a"), one.alias("b"), F.array().cast("array<decimal(38,0)>").alias("terms"))
+    steps = F.sequence(F.lit(1), F.greatest(x, F.lit(1)))
+    state = F.aggregate(
+        steps, start,
+        lambda acc, _: F.struct(acc["b"].alias("a"), (acc["a"] + acc["b"]).cast("decimal(38,0)").alias("b"),
+                                F.array_append(acc["terms"], acc["b"]).alias("terms")),
+    )
+    return F.when(x >= 1, state["terms"]).otherwise(F.array().cast("array<decimal(38,0)>"))

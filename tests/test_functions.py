@@ -26,6 +26,12 @@ def test_fibonacci(spark):
     assert int(got[8]) == a and int(got[7]) == 7540113804746346429
 
 
+def test_fibonacci_terms(spark):
+    got = _one(spark, [-1, 0, 1, 2, 3, 4, 9], "int", numbers.fibonacci_terms)
+    assert [[int(v) for v in g] for g in got] == [[], [], [1], [1, 1], [1, 1, 2], [1, 1, 2, 3],
+                                                   [1, 1, 2, 3, 5, 8, 13, 21, 34]]
+
+
 def test_divisors_full_set(spark):
     got = _one(spark, [1, 2, 4, 9, 10, 36, 97, 0, -4], "int", numbers.divisors)
     assert [list(g) if g is not None else None for g in got] == [
