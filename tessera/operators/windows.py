@@ -241,9 +241,9 @@ def first_flags(df: DataFrame, group: Sequence[str], order: Sequence, out: str =
 
 
 def repeat_flags(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                 out: str = "repeated") -> DataFrame:
+                 out: str = "repeated", max_broadcast_groups: int | None = None) -> DataFrame:
     """Was this value already seen earlier in the session?"""
-    flagged = first_flags(df, list(session) + [value], order, "_is_first")
+    flagged = first_flags(df, list(session) + [value], order, "_is_first", max_broadcast_groups)
     return flagged.withColumn(out, ~F.col("_is_first")).drop("_is_first")
 
 
@@ -283,11 +283,12 @@ def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: s
 # ---- sessions replayed as games -------------------------------------------
 
 def running_counters(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                     targets: Sequence[str], segments: Segments | None = None) -> DataFrame:
+                     targets: Sequence[str], segments: Segments | None = None,
+                     max_broadcast_groups: int | None = None) -> DataFrame:
     """Running counts per session: ``step`` (all rows), ``n_new`` (values not
     seen before), ``n_miss`` (new values outside ``targets``; a repeated miss
     is not counted again)."""
-    flagged = first_flags(df, list(session) + [value], order, "is_new")
+    flagged = first_flags(df, list(session) + [value], order, "is_new", max_broadcast_groups)
     miss = ~F.col(value).isin(list(targets))
     return running_sums(flagged, session, order, {
         "step": F.lit(1).cast("bigint"),
@@ -297,12 +298,14 @@ def running_counters(df: DataFrame, session: Sequence[str], value: str, order: S
 
 
 def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                    targets: Sequence[str], miss_budget: int, segments: Segments | None = None) -> DataFrame:
+                    targets: Sequence[str], miss_budget: int, segments: Segments | None = None,
+                    max_broadcast_groups: int | None = None) -> DataFrame:
     """Per session: the step at which every target value has been seen, the
     step at which the miss budget is used up, and the outcome (whichever
     comes first; ``unfinished`` if neither).  ``min_steps`` = number of targets."""
     session = list(session)
-    c = running_counters(df, session, value, order, targets, segments=segments)
+    c = running_counters(df, session, value, order, targets, segments=segments,
+                         max_broadcast_groups=max_broadcast_groups)
     is_target_first = F.col("is_new") & F.col(value).isin(list(targets))
     per = c.groupBy(*session).agg(
         F.count("*").alias("n_steps"),

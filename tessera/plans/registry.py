@@ -723,7 +723,8 @@ def q_line_number(spark, sf):
 """)
 def q_repeat_flag(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "event_type", "ts")
-    return windows.repeat_flags(e, ["user_id"], "event_type", ["ts", "event_id"]).select("event_id", "repeated")
+    return windows.repeat_flags(e, ["user_id"], "event_type", ["ts", "event_id"],
+                                max_broadcast_groups=MAX_BROADCAST_GROUPS).select("event_id", "repeated")
 
 
 _TARGETS_SQL = "(" + ", ".join(f"'{x}'" for x in TARGETS) + ")"
@@ -745,7 +746,7 @@ SQL_COUNTERS = f"""
 def q_running_counters(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     out = windows.running_counters(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS,
-                                   segments=_time_segments())
+                                   segments=_time_segments(), max_broadcast_groups=MAX_BROADCAST_GROUPS)
     return out.select("event_id", "user_id", "step", "n_new", "n_miss")
 
 
@@ -767,7 +768,7 @@ def q_running_counters(spark, sf):
 def q_coverage_replay(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     return windows.coverage_replay(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS, 2,
-                                   segments=_time_segments())
+                                   segments=_time_segments(), max_broadcast_groups=MAX_BROADCAST_GROUPS)
 
 
 @register("first_claim", """
