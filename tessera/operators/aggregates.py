@@ -77,13 +77,18 @@ def first_seen_distinct(df: DataFrame, group: Sequence[str], value: str, order:
         w = Window.partitionBy(*group).orderBy("_first")
         out = firsts.withColumn(rank, F.row_number().over(w).cast("bigint"))
     else:
-        from tessera.operators.windows import Segments, row_numbers, wall_seconds
+        from tessera.operators.windows import Segments, epoch_seconds, row_numbers, wall_seconds
         # chunks follow the first order column (seconds of a timestamp, or
-        # the integral value itself), which never decreases along the order
+        # the number itself), which never decreases along the order
         lead_name = order[0]
         lead = F.col("_first")[lead_name]
         lead_type = df.schema[lead_name].dataType.simpleString()
-        measure = wall_seconds(lead) if lead_type.startswith("timestamp") else lead.cast("double")
+        if lead_type == "timestamp_ntz":
+            measure = wall_seconds(lead)
+        elif lead_type == "timestamp":
+            measure = epoch_seconds(lead)
+        else:
+            measure = lead.cast("double")
         out = row_numbers(firsts, group, ["_first"], rank,
                           segments=Segments(measure=measure, hot_rows=chunk_rows, chunk_rows=chunk_rows))
     cols = [*group, value, rank]

@@ -79,13 +79,32 @@ def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[
 # ---- segmented scans ------------------------------------------------------
 
 def wall_seconds(ts) -> Column:
-    """Seconds since 1970-01-01 00:00 of a wall-clock timestamp.  No time
-    zone is involved, so it never goes backwards along the timestamp."""
+    """Seconds since 1970-01-01 00:00 of a wall-clock ``timestamp_ntz``.  No
+    time zone is involved, so it never goes backwards along the timestamp
+    (for a zoned ``timestamp`` use ``epoch_seconds``)."""
     t = _col(ts)
     days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
     return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
+def epoch_seconds(ts) -> Column:
+    """Seconds since the epoch of a zoned ``timestamp`` (its wall clock can
+    go back at a daylight-saving change; the instant never does)."""
+    return F.unix_seconds(_col(ts))
+
+
+def time_measure(df: DataFrame, column: str) -> Column:
+    """A measure that never decreases along ``column`` (for ``Segments``):
+    wall-clock seconds of a ``timestamp_ntz``, epoch seconds of a zoned
+    ``timestamp``, the value itself for numbers."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return wall_seconds(column)
+    if isinstance(kind, T.TimestampType):
+        return epoch_seconds(column)
+    return F.col(column).cast("double")
+
+
 def minute_bucket(ts) -> Column:
     """Minutes since 1970-01-01 of a wall-clock timestamp, for use as a chunk."""
     return F.floor(wall_seconds(ts) / 60).cast("bigint")

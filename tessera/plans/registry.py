@@ -146,6 +146,7 @@ MAX_BROADCAST_GROUPS = 100_000
 
 
 def _time_segments() -> windows.Segments:
+    # events.ts is a timestamp_ntz: wall-clock seconds never go backwards
     return windows.Segments(measure=windows.wall_seconds("ts"), hot_rows=HOT_KEY_ROWS, chunk_rows=CHUNK_ROWS)
 
 

@@ -170,3 +170,20 @@ def test_first_flags_with_null_order_value(spark):
     df = spark.createDataFrame([(1, None, 10), (1, 5, 11), (2, 3, 12)], "g long, t long, id long")
     out = windows.first_flags(df, ["g"], ["t", "id"])
     assert rows(out, "id", "is_first") == [(10, True), (11, False), (12, True)]
+
+
+def test_time_measure_never_goes_back_across_dst(spark):
+    # zoned timestamps around a fall-back change: the wall clock repeats an
+    # hour, the epoch measure keeps increasing
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(i,) for i in range(6)], "i int").select(
+            "i", F.to_utc_timestamp(F.lit("2024-11-03 05:00:00"), "UTC").alias("base"))
+        df = df.select("i", (F.col("base") + F.make_dt_interval(F.lit(0), F.col("i") * 30)).alias("ts"))
+        got = [r["m"] for r in df.select("i", windows.time_measure(df, "ts").alias("m")).orderBy("i").collect()]
+        assert got == sorted(got) and len(set(got)) == len(got)
+        # the local wall clock alone would go back by an hour here
+        wall = [r["w"] for r in df.select("i", F.hour("ts").alias("w")).orderBy("i").collect()]
+        assert wall != sorted(wall)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
