@@ -60,12 +60,14 @@ def stream_counts(spark: SparkSession, source: str, schema: str, key: str,
 def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, order: Sequence[str],
                   kind: str, amount_cents_expr: str, deposit_kinds: Sequence[str],
                   withdraw_kinds: Sequence[str], files_per_trigger: int = 1, fmt: str = "parquet",
-                  glob: str | None = None) -> DataFrame:
+                  glob: str | None = None, presorted: bool = False) -> DataFrame:
     """The guarded ledger of ``folds.ledger`` with per-account state kept by
     ``applyInPandasWithState``; returns the latest totals per account.
 
-    Within a micro-batch an account's events are sorted by ``order``;
-    micro-batches are assumed to arrive in time order.
+    Within a micro-batch an account's events are sorted by ``order`` (their
+    rows for that batch are held together); with ``presorted`` the source
+    already delivers them in order and they are walked chunk by chunk.
+    Micro-batches are assumed to arrive in time order.
     """
     base = _run_dir(spark, "ledger")
     out = f"{base}/table"
@@ -82,15 +84,17 @@ def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, o
     order_cols = list(order)
 
     def update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order_cols, kind="stable")
+        chunks = pdfs if presorted else [pd.concat(list(pdfs), ignore_index=True)
+                                         .sort_values(order_cols, kind="stable")]
         prev = state.get if state.exists else (0, 0, 0, 0, 0)
         # the walk of folds.ledger, continued from the stored state
         s = AccountState(key[0], *[int(x) for x in prev])
-        amt = pdf["_amt"].to_numpy(dtype=np.int64)
-        is_w = pdf["_w"].to_numpy(dtype=bool)
-        n = len(pdf)
-        walk_account(np.where(is_w, -amt, amt), is_w, amt >= 0, s,
-                     np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64))
+        for pdf in chunks:
+            amt = pdf["_amt"].to_numpy(dtype=np.int64)
+            is_w = pdf["_w"].to_numpy(dtype=bool)
+            n = len(pdf)
+            walk_account(np.where(is_w, -amt, amt), is_w, amt >= 0, s,
+                         np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64))
         state.update((s.balance, s.deposits, s.withdrawals, s.rejected, s.rejected_amount))
         yield pd.DataFrame([s.totals()],
                            columns=[account, "balance", "n_deposits", "n_withdrawals", "n_rejected",
