@@ -78,3 +78,20 @@ def test_partition_settings():
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
     assert partition_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def _py_word_list(t: str):
+    words = [w.strip() for w in t.splitlines()]
+    first_blank = next((i for i, w in enumerate(words) if w == ""), None)
+    return [(i + 1, w, first_blank is None or i < first_blank) for i, w in enumerate(words) if w != ""]
+
+
+@settings(max_examples=25, deadline=None, derandomize=True)
+@given(TEXTS)
+def test_word_list_follows_python(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {}
+    for r in text.word_list(df, "t", ["i"]).collect():
+        got.setdefault(r["i"], []).append((r["line_no"], r["word"], r["before_blank"]))
+    for i, t in enumerate(texts):
+        assert sorted(got.get(i, [])) == _py_word_list(t), repr(t)
