@@ -74,12 +74,31 @@ def main() -> None:
     t_plain, c_plain = run(plain, "plain")
     t_seg, c_seg = run(seg, "segmented")
     hot = big.where(F.col("user_id") == 0).count()
+
+    # first-row flags per (user, event type): the aggregate side has one row
+    # per group; joined back with a sort-merge join, the hot user's groups
+    # make skewed partitions that AQE's skew join splits
+    typed = big.withColumn("event_type", F.element_at(F.array(*[F.lit(t) for t in "abcde"]),
+                                                       (F.col("event_id") % 5 + 1).cast("int")))
+    flags = windows.repeat_flags(typed, ["user_id"], "event_type", order).withColumn(
+        "rs", F.col("repeated").cast("bigint"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(8 << 20))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(8 << 20))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    t_noskew, c_noskew = run(flags, "join_no_skew_handling")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    t_skew, c_skew = run(flags, "join_aqe_skew_join")
     spark.stop()
     longest = _longest_tasks(log_dir, stages_of)
-    print(f"rows={c_plain[0]} hot_user_rows={hot} shuffle_partitions={parts} "
-          f"plain_window={t_plain:.1f}s segmented={t_seg:.1f}s "
-          f"longest_task_plain={longest.get('plain', 0):.1f}s longest_task_segmented={longest.get('segmented', 0):.1f}s "
-          f"equal={c_plain == c_seg}")
+    print(f"rows={c_plain[0]} hot_user_rows={hot} shuffle_partitions={parts}")
+    print(f"running sum: plain_window={t_plain:.1f}s (longest task {longest.get('plain', 0):.1f}s) "
+          f"segmented={t_seg:.1f}s (longest task {longest.get('segmented', 0):.1f}s) equal={c_plain == c_seg}")
+    print(f"repeat flags join-back: no_skew_handling={t_noskew:.1f}s "
+          f"(longest task {longest.get('join_no_skew_handling', 0):.1f}s) "
+          f"aqe_skew_join={t_skew:.1f}s (longest task {longest.get('join_aqe_skew_join', 0):.1f}s) "
+          f"equal={c_noskew == c_skew}")
 
 
 def _longest_tasks(log_dir: str, stages_of: dict) -> dict:
