@@ -23,16 +23,35 @@ def read_json_object(spark: SparkSession, path: str, key: str = "key", value: st
     return json_entries(raw, "value", [], key, value)
 
 
-def entries_to_json(df: DataFrame, group: list[str], key: str, value: str, out: str = "json") -> DataFrame:
-    """One JSON object per group, keys in sorted order (``json.dumps``).
-
-    The object is built per group, so a group must be small enough to be
-    one value (a dimension, not a fact table); for a large table write JSON
-    lines instead (``write_json_lines``).
+def entries_to_json(df: DataFrame, group: list[str], key: str, value: str, out: str = "json",
+                    style: str = "compact", order_by: str | None = None) -> DataFrame:
+    """One JSON object per group.
+
+    ``style="compact"`` is Spark's ``to_json`` (``{"a":1}``); ``"python"`` is
+    ``json.dumps`` with its default separators (``{"a": 1, "b": 2}``), each key
+    and value escaped by ``to_json`` (non-ASCII text is kept as it is, as with
+    ``ensure_ascii=False``; very large or small doubles use Spark's number
+    format).  Entries are in key order, or in the
+    order of ``order_by`` (e.g. a position column, as a dict keeps insertion
+    order).  The object is built per group, so a group must be small enough
+    to be one value (a dimension, not a fact table); for a large table write
+    JSON lines instead (``write_json_lines``).
     """
-    entries = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"),
-                                                   F.col(value).alias("v"))))
-    return df.groupBy(*group).agg(F.to_json(F.map_from_entries(entries)).alias(out))
+    sort_key = F.col(order_by) if order_by is not None else F.col(key).cast("string")
+    entry = F.struct(sort_key.alias("o"), F.col(key).cast("string").alias("k"), F.col(value).alias("v"))
+    entries = F.array_sort(F.collect_list(entry))
+    if style == "compact":
+        pairs = F.transform(entries, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))
+        text = F.to_json(F.map_from_entries(pairs))
+    elif style == "python":
+        def scalar(c):  # JSON text of one value: to_json of a one-element array, brackets removed
+            js = F.to_json(F.array(c))
+            return F.substring(js, 2, F.length(js) - 2)
+        items = F.transform(entries, lambda e: F.concat(scalar(e["k"]), F.lit(": "), scalar(e["v"])))
+        text = F.concat(F.lit("{"), F.array_join(items, ", "), F.lit("}"))
+    else:
+        raise ValueError(f"unknown style {style!r}")
+    return df.groupBy(*group).agg(text.alias(out))
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -94,6 +94,17 @@ def test_entries_to_json_round_trip(spark):
     assert back == [("g", "a", "1"), ("g", "b", "2"), ("h", "z", "3")]
 
 
+def test_python_style_json_matches_the_golden_file(spark):
+    rows_in = [(1, "Ewa", "1988-04-13"), (2, "Ewelina", "1982-07-02"), (3, "Artur", "1980-07-02")]
+    df = spark.createDataFrame([(0, *r) for r in rows_in], "g int, pos int, name string, day string")
+    got = jsn.entries_to_json(df, ["g"], "name", "day", style="python", order_by="pos").first()["json"]
+    assert got == BIRTHDAY_JSON  # json.dumps of the same dict
+    import json
+    assert got == json.dumps({n: d for _, n, d in rows_in})
+    esc = spark.createDataFrame([(0, 'a"b', 1.5)], "g int, k string, v double")
+    assert jsn.entries_to_json(esc, ["g"], "k", "v", style="python").first()["json"] == json.dumps({'a"b': 1.5})
+
+
 def test_write_text_round_trip(spark, scratch):
     df = spark.createDataFrame([("A string to write",)], "s string")
     text.write_text(df, "s", os.path.join(scratch, "out"))
