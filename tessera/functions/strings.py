@@ -103,20 +103,22 @@ def title_case(c) -> Column:
 
     Spark's ``initcap`` only restarts after a blank (``o'neil`` -> ``O'neil``
     where Python gives ``O'Neil``).  A character is *cased* when its upper
-    and lower forms differ.
+    and lower forms differ.  Each character is paired with its predecessor
+    by ``zip_with`` over a shifted copy of the array (a lambda that indexed
+    the outer array would rebuild it for every character).
     """
     # lower case of a capital sigma depends on what follows (Unicode Final_Sigma,
     # as Python applies it): decided once on the whole text before splitting
     chars = F.split(F.regexp_replace(_col(c), _FINAL_SIGMA, "ς"), "")
     exceptions = F.create_map(*[F.lit(x) for kv in _TITLE_EXCEPTIONS.items() for x in kv])
+    prevs = F.concat(F.array(F.lit("")), F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))))
 
-    def one(ch, i):
-        prev = F.get(chars, i - 1)  # 0-based; NULL before the first character
+    def one(ch, prev):
         prev_cased = F.upper(prev) != F.lower(prev)
         title = F.coalesce(F.try_element_at(exceptions, ch), F.upper(ch))
-        return F.when((i == 0) | ~prev_cased, title).otherwise(F.lower(ch))
+        return F.when(prev_cased, F.lower(ch)).otherwise(title)
 
-    return F.when(_col(c) == "", F.lit("")).otherwise(F.array_join(F.transform(chars, one), ""))
+    return F.when(_col(c) == "", F.lit("")).otherwise(F.array_join(F.zip_with(chars, prevs, one), ""))
 
 
 def normalise_key(c) -> Column:

@@ -115,3 +115,16 @@ def test_clamp_and_cents(spark):
     assert rows(df.select(numbers.clamp("n", hi=6).alias("c"), numbers.to_cents("x").alias("ct"))) == [
         (3, -2), (6, 1999)]
     assert math.isclose(19.99 * 100, 1999, rel_tol=1e-9)
+
+
+def test_per_character_functions_are_linear(spark):
+    # a lambda that indexed an outer array would rebuild it per character
+    # (quadratic); 40 texts of 20,000 characters must take well under a minute
+    import time
+    text = ("word O'neil ΟΔΟΣ x-ray " * 900)[:20000]
+    df = spark.createDataFrame([(i, text) for i in range(40)], "i int, t string")
+    t0 = time.perf_counter()
+    out = df.select(strings.title_case("t").alias("a"), strings.mask_chars("t", ["a", "e"]).alias("b"),
+                    strings.distinct_char_count("t").alias("c")).collect()
+    assert time.perf_counter() - t0 < 60
+    assert out[0]["a"] == text.title()
