@@ -96,14 +96,17 @@ _TITLE_EXCEPTIONS = {ch: ch.title() for ch in map(chr, range(0x30000)) if ch.tit
 _CASE_IGNORABLE = "\\p{Mn}\\p{Me}\\p{Cf}\\p{Lm}\\p{Sk}'.:·’"
 _CASED = "\\p{IsLowercase}\\p{IsUppercase}\\p{IsTitlecase}"
 _FINAL_SIGMA = f"Σ(?![{_CASE_IGNORABLE}]*[{_CASED}])"
+_CASED_CHAR = f"^[{_CASED}]$"
 
 
 def title_case(c) -> Column:
     """``str.title()``: title case after any uncased character, lower elsewhere.
 
     Spark's ``initcap`` only restarts after a blank (``o'neil`` -> ``O'neil``
-    where Python gives ``O'Neil``).  A character is *cased* when its upper
-    and lower forms differ.  Each character is paired with its predecessor
+    where Python gives ``O'Neil``).  A character is *cased* as in Python:
+    it has a case mapping or a Lowercase / Uppercase / Titlecase property
+    (characters newer than the JVM's Unicode version may differ).  Each
+    character is paired with its predecessor
     by ``zip_with`` over a shifted copy of the array (a lambda that indexed
     the outer array would rebuild it for every character).
     """
@@ -114,7 +117,10 @@ def title_case(c) -> Column:
     prevs = F.concat(F.array(F.lit("")), F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))))
 
     def one(ch, prev):
-        prev_cased = F.upper(prev) != F.lower(prev)
+        # cased: has a case mapping, or carries the Lowercase / Uppercase /
+        # Titlecase property (e.g. 'ª', 'ĸ'); the regex runs only for
+        # characters without a mapping
+        prev_cased = (F.upper(prev) != F.lower(prev)) | prev.rlike(_CASED_CHAR)
         title = F.coalesce(F.try_element_at(exceptions, ch), F.upper(ch))
         return F.when(prev_cased, F.lower(ch)).otherwise(title)
 
