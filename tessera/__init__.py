@@ -13,7 +13,7 @@ expressions); ``text``, ``json``, ``html``, ``literals``, ``parse``
 from tessera.functions import collections, dates, numbers, strings
 from tessera.operators import aggregates, folds, relational, sampling, sizing, windows
 from tessera.sources import html, json, literals, parse, text
-from tessera.streaming import ledger as streams
+from tessera import streaming as streams
 
 __version__ = "0.1.0"
 

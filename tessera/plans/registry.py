@@ -26,7 +26,7 @@ from tessera.operators import folds, relational, sampling, sizing, windows
 from tessera.sources import cards, html, literals, parse, text
 from tessera.sources import json as jsn
 from tessera.session import Tables, ensure_checkpoint_dir
-from tessera.streaming import ledger as stream
+from tessera import streaming as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

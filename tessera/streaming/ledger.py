@@ -1,18 +1,17 @@
-"""Structured Streaming forms of the ledger fold and of the value count.
-
-Both run as ``availableNow`` queries over a file source (a folder of
-files, optionally narrowed by a glob; micro-batches bounded by
-``maxFilesPerTrigger``), write every micro-batch with
-``foreachBatch`` to a folder under the session's checkpoint folder, and
-return a batch DataFrame over that folder.  Streaming state and progress
-live in the same shared folder, so a lost executor or a restarted driver
-resumes from the last committed batch.
+"""Structured Streaming form of the ledger fold.
+
+An ``availableNow`` query over a file source (a folder of files, optionally
+narrowed by a glob; micro-batches bounded by ``maxFilesPerTrigger``) keeps
+per-account state with ``applyInPandasWithState``, writes every
+micro-batch with ``foreachBatch`` to a folder under the session's
+checkpoint folder, and returns the latest totals as a batch DataFrame.
+Streaming state and progress live in the same shared folder, so a lost
+executor or a restarted driver resumes from the last committed batch.
 """
 
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,38 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.operators.folds import AccountState, walk_account
-from tessera.session import require_checkpoint_dir
-
-
-def _run_dir(spark: SparkSession, name: str) -> str:
-    return f"{require_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-
-
-def _file_stream(spark: SparkSession, source: str, schema: str, fmt: str, files_per_trigger: int,
-                 glob: str | None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(source)
-
-
-def stream_counts(spark: SparkSession, source: str, schema: str, key: str,
-                  files_per_trigger: int = 1, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
-    """Count per ``key`` kept up to date as files arrive; returns the final
-    table (``key, n``)."""
-    base = _run_dir(spark, "counts")
-    out = f"{base}/table"
-    stream = _file_stream(spark, source, schema, fmt, files_per_trigger, glob)
-    counts = stream.groupBy(key).agg(F.count("*").alias("n"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # complete mode: each micro-batch holds the whole (small) result table
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+from tessera.streaming._common import file_stream, run_dir
 
 
 def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, order: Sequence[str],
@@ -67,10 +35,10 @@ def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, o
     Within a micro-batch an account's events are sorted by ``order``;
     micro-batches are assumed to arrive in time order.
     """
-    base = _run_dir(spark, "ledger")
+    base = run_dir(spark, "ledger")
     out = f"{base}/table"
     kinds = list(deposit_kinds) + list(withdraw_kinds)
-    stream = _file_stream(spark, source, schema, fmt, files_per_trigger, glob)
+    stream = file_stream(spark, source, schema, fmt, files_per_trigger, glob)
     ev = (stream.where(F.col(kind).isin(kinds))
           .select(F.col(account), *[F.col(c) for c in order],
                   F.col(kind).isin(list(withdraw_kinds)).alias("_w"),

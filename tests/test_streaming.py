@@ -3,9 +3,9 @@ import os
 from conftest import SF001, rows
 from pyspark.sql import functions as F
 
+from tessera import streaming as stream
 from tessera.operators import folds
 from tessera.plans.registry import EVENTS_SCHEMA
-from tessera.streaming import ledger as stream
 
 
 def _split_events(spark, scratch, parts=4):
