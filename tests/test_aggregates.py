@@ -79,3 +79,13 @@ def test_max_per_key_and_count_matching(spark):
     df = spark.createDataFrame([("a", 3.0), ("a", 7.5), ("b", None)], "k string, v double")
     assert rows(agg.max_per_key(df, ["k"], "v")) == [("a", 7.5), ("b", None)]
     assert rows(agg.count_matching(df, ["k"], F.col("v") > 5)) == [("a", 1), ("b", 0)]
+
+
+def test_first_seen_distinct_segmented_on_timestamps(spark):
+    from conftest import SF01
+    # distinct values per event type ranked by first appearance; every group
+    # has more than 50 distinct users, so all groups are cut into chunks
+    e = spark.read.parquet(f"{SF01}/events.parquet")
+    plain = agg.first_seen_distinct(e, ["event_type"], "user_id", ["ts", "event_id"])
+    seg = agg.first_seen_distinct(e, ["event_type"], "user_id", ["ts", "event_id"], chunk_rows=50)
+    assert rows(seg, "event_type", "user_id", "seen_rank") == rows(plain, "event_type", "user_id", "seen_rank")
