@@ -187,3 +187,23 @@ def test_time_measure_never_goes_back_across_dst(spark):
         assert wall != sorted(wall)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_segmented_counters_and_parity_on_events(spark):
+    # thresholds small enough that most users / days are cut into chunks
+    e = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "user_id", "ts", "event_type")
+    seg = Segments(measure=windows.wall_seconds("ts"), hot_rows=30, chunk_rows=10)
+    targets = ["signup", "purchase", "view"]
+    order = ["ts", "event_id"]
+    a = windows.running_counters(e, ["user_id"], "event_type", order, targets, segments=seg)
+    b = windows.running_counters(e, ["user_id"], "event_type", order, targets)
+    cols = ("event_id", "step", "n_new", "n_miss")
+    assert rows(a, *cols) == rows(b, *cols)
+    c = windows.coverage_replay(e, ["user_id"], "event_type", order, targets, 2, segments=seg)
+    d = windows.coverage_replay(e, ["user_id"], "event_type", order, targets, 2)
+    assert rows(c) == rows(d)
+    day = e.withColumn("day", F.to_date("ts"))
+    claimed = windows.first_claims(day, ["event_type", "day"], order)
+    p1 = windows.turn_parity(claimed, ["day"], order, "accepted", segments=seg)
+    p2 = windows.turn_parity(claimed, ["day"], order, "accepted")
+    assert rows(p1, "event_id", "accepted_before", "player") == rows(p2, "event_id", "accepted_before", "player")
