@@ -19,7 +19,10 @@ from tessera.functions.strings import py_strip, split_lines
 def lines_of(df: DataFrame, text_col: str, keys: list[str],
              line_no: str = "line_no", line: str = "line") -> DataFrame:
     """One row per line of ``text_col``: ``keys + [line_no (1-based), line]``."""
-    exploded = df.select(*keys, F.posexplode(split_lines(F.col(text_col))).alias("_pos", line))
+    # the outer form plus a NULL filter: for a plain posexplode Catalyst infers
+    # a size(array) > 0 filter and evaluates the split a second time
+    exploded = (df.select(*keys, F.posexplode_outer(split_lines(F.col(text_col))).alias("_pos", line))
+                .where(F.col("_pos").isNotNull()))
     return exploded.select(*keys, (F.col("_pos") + 1).cast("bigint").alias(line_no), line)
 
 
@@ -72,7 +75,10 @@ def word_list(df: DataFrame, text_col: str, keys: list[str], word: str = "word")
     # projection as the generator, it would be rebuilt for every output row
     staged = (df.select(*keys, words.alias("_w"))
               .select(*keys, F.array_position("_w", "").alias("_blank"), "_w"))
-    exploded = staged.select(*keys, "_blank", F.posexplode("_w").alias("_pos", word))
+    # outer form + NULL filter: a plain posexplode makes Catalyst infer a
+    # size(array) > 0 filter below the projection, computing the array twice
+    exploded = (staged.select(*keys, "_blank", F.posexplode_outer("_w").alias("_pos", word))
+                .where(F.col("_pos").isNotNull()))
     line_no = (F.col("_pos") + 1).cast("bigint")
     return (exploded.where(F.col(word) != "")
             .select(*keys, line_no.alias("line_no"), word,
