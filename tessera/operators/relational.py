@@ -38,8 +38,10 @@ def keep_in(df: DataFrame, column: str, values: Sequence, negate: bool = False)
 def repeat_rows(df: DataFrame, times, index: str = "rep") -> DataFrame:
     """Each row ``times`` times (rows with fewer than one repeat vanish)."""
     n = _col(times)
+    # explode_outer: a plain explode would make Catalyst build the sequence
+    # twice (once for an inferred size() > 0 filter)
     return (df.where(n >= 1)
-            .withColumn(index, F.explode(F.sequence(F.lit(1), n)))
+            .withColumn(index, F.explode_outer(F.sequence(F.lit(1), n)))
             .withColumn(index, F.col(index).cast("bigint")))
 
 

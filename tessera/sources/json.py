@@ -14,7 +14,10 @@ def json_entries(df: DataFrame, json_col: str, keys: list[str],
     not a JSON object yields no entries.
     """
     parsed = F.from_json(F.col(json_col), "map<string,string>")
-    return df.select(*keys, F.explode(parsed).alias(key, value))
+    # outer form + NULL filter: a plain explode makes Catalyst infer a
+    # size(map) > 0 filter and parse every JSON text twice
+    return (df.select(*keys, F.explode_outer(parsed).alias(key, value))
+            .where(F.col(key).isNotNull()))
 
 
 def read_json_object(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
