@@ -153,6 +153,20 @@ def board_lines(cells: DataFrame, board: Sequence[str], row: str, col: str, valu
     return lines.where(win).select(*board, "kind", "line", F.col("_lo").alias("winner"))
 
 
+def board_outcomes(cells: DataFrame, board: Sequence[str], row: str, col: str, value: str, size: int,
+                   empty=0) -> DataFrame:
+    """Per board: ``has_line`` (any uniform, complete, non-empty line) and
+    ``winner`` (the value of those lines when they all agree, else NULL).
+    Boards without a line are kept with ``has_line = false``."""
+    board = list(board)
+    lines = board_lines(cells, board, row, col, value, size, empty)
+    per_board = lines.groupBy(*board).agg(F.min("winner").alias("_lo"), F.max("winner").alias("_hi"))
+    boards = cells.select(*board).distinct()
+    joined = boards.join(per_board, board, "left")
+    return joined.select(*board, F.col("_lo").isNotNull().alias("has_line"),
+                         F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("winner"))
+
+
 def pivot_counts(df: DataFrame, row_key, col_key, col_values: Sequence, names: Sequence[str] | None = None,
                  ) -> DataFrame:
     """Counts of ``row_key`` x ``col_key`` with one column per listed value

@@ -44,6 +44,14 @@ def test_board_lines(spark):
     assert got == [(1, "diag", 0, 1), (2, "col", 0, 2), (2, "diag", 0, 2)]
 
 
+def test_board_outcomes(spark):
+    cells = [(b, r, c, v) for b, board in enumerate(BOARDS, 1) for r, row in enumerate(board)
+             for c, v in enumerate(row)]
+    df = spark.createDataFrame(cells, "board int, r int, c int, v int")
+    got = rows(agg.board_outcomes(df, ["board"], "r", "c", "v", 4), "board", "has_line", "winner")
+    assert got == [(1, True, 1), (2, True, 2), (3, False, None)]
+
+
 def test_board_lines_transposed_is_same(spark):
     cells = [(b, r, c, v) for b, board in enumerate(BOARDS, 1) for r, row in enumerate(board)
              for c, v in enumerate(row)]
