@@ -204,3 +204,54 @@ def test_random_table(spark):
     assert len({r["a"] for r in got}) == 10
     again = literals.random_table(spark, 1000, 5, {"a": (0, 50, 5), "b": (0, 100, 5)}).repartition(3)
     assert rows(again) == rows(t)
+
+
+def _py_headings(html_text: str) -> list[str]:
+    """h1 headings with Python's html.parser: the link text when the heading
+    holds a link, else its first text child; newlines to blanks, stripped."""
+    from html.parser import HTMLParser
+
+    class Collector(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.depth, self.in_a, self.parts, self.link, self.first = [], 0, False, [], None, None
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "h1":
+                self.depth, self.parts, self.link, self.first = 1, [], None, None
+            elif self.depth:
+                if tag == "a" and self.link is None:
+                    self.in_a, self.link = True, []
+                if self.first is None:
+                    self.first = ""
+
+        def handle_endtag(self, tag):
+            if tag == "a":
+                self.in_a = False
+            if tag == "h1" and self.depth:
+                self.depth = 0
+                text = "".join(self.link) if self.link is not None else (self.first or "")
+                self.out.append(text.replace("\n", " ").strip() if self.link is not None else text.strip())
+
+        def handle_data(self, data):
+            if self.depth:
+                if self.in_a and self.link is not None:
+                    self.link.append(data)
+                if self.first is None:
+                    self.first = data
+
+    c = Collector()
+    c.feed(html_text)
+    return c.out
+
+
+def test_headings_match_python_html_parser(spark):
+    from conftest import SF01
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    got = {}
+    for r in html.headings(pages, "html", ["page_id"]).collect():
+        got.setdefault(r["page_id"], []).append((r["heading_no"], r["heading"]))
+    for r in pages.collect():
+        want = _py_headings(r["html"])
+        mine = [h for _, h in sorted(got.get(r["page_id"], [])) if h is not None]
+        assert mine == want, r["page_id"]
