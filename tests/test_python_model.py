@@ -40,3 +40,32 @@ def test_json_entries_match_python(spark):
                   for e in events for k, v in json.loads(e["props"]).items())
     got = sorted((r["event_id"], r["key"], r["value"]) for r in QUERIES["json_map_scan"](spark, SF01).collect())
     assert got == want
+
+
+def test_more_text_queries_match_python(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()
+    # word list: stripped lines, blank lines dropped, flag before the first blank
+    want_words = []
+    for d in docs:
+        words = [w.strip() for w in d["text"].splitlines()]
+        blank = next((i for i, w in enumerate(words) if w == ""), None)
+        want_words += [(d["doc_id"], i + 1, w, blank is None or i < blank) for i, w in enumerate(words) if w]
+    got_words = [(r["doc_id"], r["line_no"], r["word"], r["before_blank"])
+                 for r in QUERIES["wordlist_scan"](spark, SF01).collect()]
+    assert sorted(got_words) == sorted(want_words)
+    # whole texts, newline to blank, stripped
+    want_clean = {d["doc_id"]: d["text"].replace("\n", " ").strip() for d in docs}
+    assert {r["doc_id"]: r["cleaned"] for r in QUERIES["strip_replace"](spark, SF01).collect()} == want_clean
+
+    cust = spark.read.parquet(f"{SF01}/customer.parquet").select("c_custkey", "c_mktsegment").collect()
+    want_case = {c["c_custkey"]: (c["c_mktsegment"].upper(), c["c_mktsegment"].lower(), c["c_mktsegment"].title())
+                 for c in cust}
+    got_case = {r["c_custkey"]: (r["upper_seg"], r["lower_seg"], r["title_seg"])
+                for r in QUERIES["case_norm"](spark, SF01).collect()}
+    assert got_case == want_case
+
+    parts = spark.read.parquet(f"{SF01}/part.parquet").select("p_partkey", "p_name").collect()
+    assert {r["p_partkey"]: r["n_distinct_chars"] for r in QUERIES["distinct_chars"](spark, SF01).collect()} == {
+        p["p_partkey"]: len(set(p["p_name"])) for p in parts}
+    masked = {p["p_partkey"]: " ".join(ch if ch in "AER" else "_" for ch in p["p_name"].upper()) for p in parts}
+    assert {r["p_partkey"]: r["masked"] for r in QUERIES["mask_chars"](spark, SF01).collect()} == masked
