@@ -69,3 +69,68 @@ def test_more_text_queries_match_python(spark):
         p["p_partkey"]: len(set(p["p_name"])) for p in parts}
     masked = {p["p_partkey"]: " ".join(ch if ch in "AER" else "_" for ch in p["p_name"].upper()) for p in parts}
     assert {r["p_partkey"]: r["masked"] for r in QUERIES["mask_chars"](spark, SF01).collect()} == masked
+
+
+def _py(fn, s):
+    try:
+        return fn(s)
+    except ValueError:
+        return None
+
+
+def test_numeric_queries_match_python(spark):
+    import math
+    parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
+    got = {r["p_partkey"]: r for r in QUERIES["numeric_parse"](spark, SF01).collect()}
+    for p in parts:
+        r = got[p["p_partkey"]]
+        brand = p["p_brand"].split("#", 1)[1]
+        assert r["brand_value"] == _py(int, brand)
+        assert r["name_value"] == _py(float, p["p_name"])
+        price = _py(float, str(p["p_retailprice"]))
+        assert r["price_floor"] == (math.floor(price) if price is not None else None)
+
+    fib = {r["p_partkey"]: r["fib"] for r in QUERIES["fibonacci"](spark, SF01).collect()}
+    for p in parts:
+        a, b = 0, 1
+        for _ in range(p["p_size"]):
+            a, b = b, a + b
+        assert fib[p["p_partkey"]] == (a if p["p_size"] >= 1 else None)
+
+    divs = {}
+    for r in QUERIES["divisors"](spark, SF01).collect():
+        divs.setdefault(r["n"], []).append(r["divisor"])
+    assert {n: sorted(v) for n, v in divs.items()} == {
+        n: [d for d in range(1, n + 1) if n % d == 0] for n in {p["p_size"] for p in parts if p["p_size"] >= 1}}
+
+    sup = spark.read.parquet(f"{SF01}/supplier.parquet").collect()
+    mods = {r["s_suppkey"]: (r["mod_7"], r["mod_neg_3"]) for r in QUERIES["floor_mod"](spark, SF01).collect()}
+    for s in sup:
+        c = round(s["s_acctbal"] * 100)
+        assert mods[s["s_suppkey"]] == (c % 7, c % -3)
+
+    cust = spark.read.parquet(f"{SF01}/customer.parquet").collect()
+    rnd = {r["c_custkey"]: (r["half_floor"], r["half_ceil"], r["half_even"]) for r in QUERIES["rounding"](spark, SF01).collect()}
+    for c in cust:
+        h = c["c_acctbal"] / 2
+        assert rnd[c["c_custkey"]] == (math.floor(h), math.ceil(h), round(h))
+
+
+def test_divmod_and_int_lists_match_python(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice",
+                                                                "l_quantity").collect()
+    want = sorted((r["l_orderkey"], r["l_linenumber"], *divmod(round(r["l_extendedprice"] * 100), int(r["l_quantity"])))
+                  for r in li)
+    got = sorted((r["l_orderkey"], r["l_linenumber"], r["quotient"], r["remainder"])
+                 for r in QUERIES["divmod_pair"](spark, SF01).collect())
+    assert got == want
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_orderdate", "o_orderpriority").collect()
+    got = {r["o_orderkey"]: r for r in QUERIES["int_list_parse"](spark, SF01).collect()}
+    for o in orders:
+        for name, text in (("date", o["o_orderdate"].strftime("%Y-%m-%d")), ("prio", o["o_orderpriority"])):
+            vals = [_py(int, x) for x in text.split("-")]
+            ok = all(v is not None for v in vals)
+            r = got[o["o_orderkey"]]
+            assert (r[f"{name}_parts"], r[f"{name}_valid"], r[f"{name}_total"]) == (len(vals), ok,
+                                                                                    sum(vals) if ok else None)
