@@ -134,3 +134,69 @@ def test_divmod_and_int_lists_match_python(spark):
             r = got[o["o_orderkey"]]
             assert (r[f"{name}_parts"], r[f"{name}_valid"], r[f"{name}_total"]) == (len(vals), ok,
                                                                                     sum(vals) if ok else None)
+
+
+def test_ordered_event_queries_match_python(spark):
+    ev = spark.read.parquet(f"{SF01}/events.parquet").collect()
+    by_user = {}
+    for e in sorted(ev, key=lambda r: (r["ts"], r["event_id"])):
+        by_user.setdefault(e["user_id"], []).append(e)
+    targets = {"signup", "purchase", "view"}
+    run, prev, rep, cnt, cov, ends, seen_rank = {}, {}, {}, {}, {}, {}, {}
+    for u, es in by_user.items():
+        total, seen, misses, last = 0, set(), 0, None
+        covered = budget = None
+        order_seen = []
+        for step, e in enumerate(es, start=1):
+            total += round(e["value"] * 100)
+            run[e["event_id"]] = total
+            prev[e["event_id"]] = (last, last is not None and last != e["event_type"])
+            new = e["event_type"] not in seen
+            rep[e["event_id"]] = not new
+            if new:
+                seen.add(e["event_type"])
+                order_seen.append((e["event_type"], e["event_id"]))
+                if e["event_type"] not in targets:
+                    misses += 1
+                    if misses == 2 and budget is None:
+                        budget = step
+                if targets <= seen and covered is None:
+                    covered = step
+            cnt[e["event_id"]] = (step, len(seen), misses)
+            last = e["event_type"]
+        outcome = ("covered" if covered is not None and (budget is None or covered < budget)
+                   else "exhausted" if budget is not None else "unfinished")
+        used = min(x for x in (covered, budget) if x is not None) if (covered or budget) else len(es)
+        cov[u] = (covered, budget, outcome, used, 3)
+        ends[u] = (es[0]["event_type"], es[-1]["event_type"])
+        for k, (t, eid) in enumerate(order_seen, start=1):
+            seen_rank[(u, t)] = (eid, k)
+
+    assert {r["event_id"]: r["running_cents"] for r in QUERIES["running_balance"](spark, SF01).collect()} == run
+    assert {r["event_id"]: (r["prev_type"], r["changed"])
+            for r in QUERIES["adjacent_compare"](spark, SF01).collect()} == prev
+    assert {r["event_id"]: r["repeated"] for r in QUERIES["repeat_flag"](spark, SF01).collect()} == rep
+    assert {r["event_id"]: (r["step"], r["n_new"], r["n_miss"])
+            for r in QUERIES["running_counters"](spark, SF01).collect()} == cnt
+    assert {r["user_id"]: (r["covered_step"], r["budget_step"], r["outcome"], r["steps_used"], r["min_steps"])
+            for r in QUERIES["coverage_replay"](spark, SF01).collect()} == cov
+    assert {r["user_id"]: (r["first_type"], r["last_type"]) for r in QUERIES["list_ends"](spark, SF01).collect()} == ends
+    assert {(r["user_id"], r["event_type"]): (r["first_event_id"], r["seen_rank"])
+            for r in QUERIES["ordered_distinct"](spark, SF01).collect()} == seen_rank
+
+    # first claim per (event type, day) and the turn of each move in its day
+    claimed, turn = {}, {}
+    by_day = {}
+    for e in sorted(ev, key=lambda r: (r["ts"], r["event_id"])):
+        by_day.setdefault(e["ts"].date(), []).append(e)
+    for day, es in by_day.items():
+        slots, accepted_before = set(), 0
+        for e in es:
+            ok = (e["event_type"], day) not in slots
+            slots.add((e["event_type"], day))
+            claimed[e["event_id"]] = ok
+            turn[e["event_id"]] = (accepted_before, "X" if accepted_before % 2 == 0 else "O")
+            accepted_before += ok
+    assert {r["event_id"]: r["accepted"] for r in QUERIES["first_claim"](spark, SF01).collect()} == claimed
+    assert {r["event_id"]: (r["accepted_before"], r["player"])
+            for r in QUERIES["turn_parity"](spark, SF01).collect()} == turn
