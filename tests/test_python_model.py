@@ -200,3 +200,32 @@ def test_ordered_event_queries_match_python(spark):
     assert {r["event_id"]: r["accepted"] for r in QUERIES["first_claim"](spark, SF01).collect()} == claimed
     assert {r["event_id"]: (r["accepted_before"], r["player"])
             for r in QUERIES["turn_parity"](spark, SF01).collect()} == turn
+
+
+def test_hands_and_settlement_match_the_loop(spark):
+    from tessera.sources import cards
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_partkey").collect()
+    hands = {}
+    for r in li:
+        hands.setdefault(r["l_orderkey"], []).append(cards.RANKS[r["l_partkey"] % 13])
+
+    def loop_value(hand):  # add a card, then take 10 off per ace while over 21
+        value, aces = 0, 0
+        for rank in hand:
+            value += cards.VALUES[rank]
+            aces += rank == "Ace"
+            while value > 21 and aces:
+                value, aces = value - 10, aces - 1
+        return value
+
+    values = {k: loop_value(h) for k, h in hands.items()}
+    got = {r["l_orderkey"]: r["hand_value"] for r in QUERIES["hand_value"](spark, SF01).collect()}
+    assert got == values
+
+    def settle(p, d, bet):
+        win = p == 21 or (p < 21 and (d > 21 or p > d))
+        return bet if win else -bet
+
+    want = {k: settle(values[k], values[k + 1], 10 * len(hands[k])) for k in values if k + 1 in values}
+    got = {r["game"]: r["amount"] for r in QUERIES["hand_settle"](spark, SF01).collect()}
+    assert got == want
