@@ -229,3 +229,55 @@ def test_hands_and_settlement_match_the_loop(spark):
     want = {k: settle(values[k], values[k + 1], 10 * len(hands[k])) for k in values if k + 1 in values}
     got = {r["game"]: r["amount"] for r in QUERIES["hand_settle"](spark, SF01).collect()}
     assert got == want
+
+
+def test_aggregate_and_relational_queries_match_python(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").collect()
+    # boards: cell (line-1)//3, (line-1)%3 holds the largest partkey % 3 of its rows
+    cells = {}
+    for r in li:
+        if 1 <= r["l_linenumber"] <= 9:
+            key = (r["l_orderkey"], (r["l_linenumber"] - 1) // 3, (r["l_linenumber"] - 1) % 3)
+            cells[key] = max(cells.get(key, -1), r["l_partkey"] % 3)
+    lines = {}
+    for (b, i, j), v in cells.items():
+        tags = [("row", i), ("col", j)] + ([("diag", 0)] if i == j else []) + ([("anti", 0)] if i + j == 2 else [])
+        for t in tags:
+            lines.setdefault((b, *t), []).append(v)
+    want = sorted((b, k, n, vs[0]) for (b, k, n), vs in lines.items()
+                  if len(vs) == 3 and len(set(vs)) == 1 and vs[0] != 0)
+    got = sorted((r["l_orderkey"], r["kind"], r["line"], r["winner"]) for r in QUERIES["matrix_lines"](spark, SF01).collect())
+    assert got == want
+
+    # one row per (l_orderkey, l_linenumber) occurrence with the key's count
+    occ = Counter((r["l_orderkey"], r["l_linenumber"]) for r in li)
+    got = Counter((r["l_orderkey"], r["l_linenumber"], r["occurrences"], r["kind"])
+                  for r in QUERIES["dup_split"](spark, SF01).collect())
+    assert got == Counter((k[0], k[1], occ[k], "repeated" if occ[k] > 1 else "single")
+                          for r in li for k in [(r["l_orderkey"], r["l_linenumber"])])
+
+    parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
+    quantities = {r["l_quantity"] for r in li}
+    got = {r["p_size"]: r["found"] for r in QUERIES["element_search"](spark, SF01).collect()}
+    assert got == {p["p_size"]: float(p["p_size"]) in quantities for p in parts}
+    ranks = {p["p_partkey"]: i + 1 for i, p in enumerate(sorted(parts, key=lambda p: (p["p_retailprice"], p["p_partkey"])))}
+    assert {r["p_partkey"]: r["rank"] for r in QUERIES["sort_asc"](spark, SF01).collect()} == ranks
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet").collect()
+    days = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
+    piv = {}
+    for e in ev:
+        piv.setdefault(e["event_type"], Counter())[days[e["ts"].weekday()]] += 1
+    got = {r["event_type"]: {d: r[d] for d in days} for r in QUERIES["transpose"](spark, SF01).collect()}
+    assert got == {t: {d: c[d] for d in days} for t, c in piv.items()}
+
+    groups = {}
+    for e in ev:
+        hour = e["ts"].replace(minute=0, second=0, microsecond=0).strftime("%Y-%m-%d %H:%M:%S")
+        groups.setdefault((e["user_id"], None, 1), []).append(e["event_type"])
+        groups.setdefault((e["user_id"], hour, 0), []).append(e["event_type"])
+    want = sorted((u, h, lvl, vs[0], len(vs)) for (u, h, lvl), vs in groups.items()
+                  if len(vs) >= 2 and len(set(vs)) == 1 and vs[0] != "")
+    got = sorted((r["user_id"], r["hour"], r["level"], r["event_type"], r["n"])
+                 for r in QUERIES["unanimous_groups"](spark, SF01).collect())
+    assert sorted(got, key=str) == sorted(want, key=str)
