@@ -281,3 +281,41 @@ def test_aggregate_and_relational_queries_match_python(spark):
     got = sorted((r["user_id"], r["hour"], r["level"], r["event_type"], r["n"])
                  for r in QUERIES["unanimous_groups"](spark, SF01).collect())
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_seeded_random_queries_match_python_md5(spark):
+    import hashlib
+    import math
+
+    def unit(seed, *keys):
+        h = hashlib.md5(":".join([str(seed), *map(str, keys)]).encode()).hexdigest()
+        return int(h[:8], 16) / 4294967296.0
+
+    cust = spark.read.parquet(f"{SF01}/customer.parquet").collect()
+    want = {c["c_custkey"]: (math.floor(unit(7, c["c_custkey"]) * 10) * 5, math.floor(unit(8, c["c_custkey"]) * 10) * 5)
+            for c in cust}
+    assert {r["c_custkey"]: (r["a"], r["b"]) for r in QUERIES["random_table"](spark, SF01).collect()} == want
+
+    parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
+    by_type = {}
+    for p in parts:
+        by_type.setdefault(p["p_type"], []).append(p["p_partkey"])
+    want = set()
+    for t, keys in by_type.items():
+        order = sorted(keys, key=lambda k: (hashlib.md5(f"11:{k}".encode()).hexdigest(), k))
+        want |= {(t, k, i + 1, i % 2 + 1) for i, k in enumerate(order[:2])}
+    got = {(r["p_type"], r["p_partkey"], r["deal_rank"], r["hand"]) for r in QUERIES["shuffle_deal"](spark, SF01).collect()}
+    assert got == want
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang", "text").collect()
+    best = {}
+    for d in docs:
+        words = d["text"].split()
+        if not words:
+            continue
+        race = -math.log(1.0 - unit(42, d["doc_id"])) / len(words)
+        pos = math.floor(unit(43, d["doc_id"]) * len(words))
+        if d["lang"] not in best or race < best[d["lang"]][0]:
+            best[d["lang"]] = (race, words[pos])
+    assert {r["lang"]: r["word"] for r in QUERIES["random_pick"](spark, SF01).collect()} == {
+        k: w for k, (_, w) in best.items()}
