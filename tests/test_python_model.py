@@ -319,3 +319,65 @@ def test_seeded_random_queries_match_python_md5(spark):
             best[d["lang"]] = (race, words[pos])
     assert {r["lang"]: r["word"] for r in QUERIES["random_pick"](spark, SF01).collect()} == {
         k: w for k, (_, w) in best.items()}
+
+
+def test_string_and_validation_queries_match_python(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet").collect()
+    assert {r["page_id"]: r["sliced"] for r in QUERIES["slice_str"](spark, SF01).collect()} == {
+        p["page_id"]: p["url"][7:len(p["url"]) - 4] for p in pages}
+    parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
+    assert {r["p_partkey"]: r["first_word"] for r in QUERIES["substring_before"](spark, SF01).collect()} == {
+        p["p_partkey"]: p["p_name"].split(" ", 1)[0] for p in parts}
+    assert {r["p_partkey"]: r["has_ring"] for r in QUERIES["contains_str"](spark, SF01).collect()} == {
+        p["p_partkey"]: "RING" in p["p_name"].upper() for p in parts}
+    assert {r["p_partkey"]: r["bar"] for r in QUERIES["repeat_str"](spark, SF01).collect()} == {
+        p["p_partkey"]: "#" * p["p_size"] for p in parts}
+    arr = {r["p_partkey"]: r for r in QUERIES["array_ops"](spark, SF01).collect()}
+    for p in parts:
+        words = p["p_name"].split(" ")
+        r = arr[p["p_partkey"]]
+        assert (r["n_words"], r["has_ring"], r["n_distinct"], r["first_word"], r["last_item"], r["nested_first"]) == (
+            len(words), "ring" in words, len(set(words + [p["p_brand"]])), words[0], p["p_brand"], words[0][0])
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet").collect()
+    got = {r["o_orderkey"]: (r["prio_head"], r["prio_tail"], r["n_parts"]) for r in QUERIES["split_str"](spark, SF01).collect()}
+    for o in orders:
+        parts_ = o["o_orderpriority"].split("-")
+        assert got[o["o_orderkey"]] == (parts_[0], parts_[1] if len(parts_) > 1 else None, len(parts_))
+    cust = spark.read.parquet(f"{SF01}/customer.parquet").collect()
+    assert {r["c_custkey"]: r["statement"] for r in QUERIES["format_text"](spark, SF01).collect()} == {
+        c["c_custkey"]: "Account owner: %s, balance: %.2f" % (c["c_name"], c["c_acctbal"]) for c in cust}
+
+    # move and amount rules over lineitem joined to part
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").collect()
+    size = {p["p_partkey"]: p["p_size"] for p in parts}
+
+    def move_text(r):
+        ln, a, b = str(r["l_linenumber"]), str(r["l_partkey"] % 9), str(r["l_suppkey"] % 3)
+        if r["l_returnflag"] == "R":
+            return ln
+        if r["l_returnflag"] == "A":
+            return f"{ln},{a}"
+        return f"{ln},{'x' if r['l_linestatus'] == 'F' else a},{b}"
+
+    def move_reason(text, n):
+        fields = text.split(",")
+        if len(fields) < 2:
+            return "too_few"
+        if len(fields) > 2:
+            return "too_many"
+        vals = [_py(int, f) for f in fields]
+        if None in vals:
+            return "not_integer"
+        return "too_low" if min(vals) < 1 else "too_high" if max(vals) > n else "ok"
+
+    def amount_reason(text, limit):
+        v = _py(float, text)
+        v = None if v is None else math.floor(v)
+        return "not_number" if v is None else "negative" if v < 0 else "above_limit" if v > limit else "ok"
+
+    import math
+    want = Counter((move_reason(move_text(r), 7), amount_reason(str(r["l_quantity"]), size[r["l_partkey"]]))
+                   for r in li if r["l_partkey"] in size)
+    got = {(r["move_reason"], r["amount_reason"]): r["n"] for r in QUERIES["range_validate"](spark, SF01).collect()}
+    assert got == dict(want)
