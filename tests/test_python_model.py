@@ -381,3 +381,44 @@ def test_string_and_validation_queries_match_python(spark):
                    for r in li if r["l_partkey"] in size)
     got = {(r["move_reason"], r["amount_reason"]): r["n"] for r in QUERIES["range_validate"](spark, SF01).collect()}
     assert got == dict(want)
+
+
+def test_remaining_row_queries_match_python(spark):
+    parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
+    # first valid registration per part name, in part key order
+    seen, want = set(), {}
+    for p in sorted(parts, key=lambda r: r["p_partkey"]):
+        text = p["p_type"] if p["p_type"] == "PROMO" else str(p["p_size"])
+        valid = _py(int, text) is not None
+        first = valid and p["p_name"] not in seen
+        if first:
+            seen.add(p["p_name"])
+        want[p["p_partkey"]] = (first, "not_numeric" if not valid else "ok" if first else "duplicate")
+    assert {r["p_partkey"]: (r["registered"], r["reason"])
+            for r in QUERIES["first_valid"](spark, SF01).collect()} == want
+    assert {r["p_partkey"]: r["value"] for r in QUERIES["typed_lines"](spark, SF01).collect()} == {
+        p["p_partkey"]: int(p["p_brand"].split("#")[1]) for p in parts}
+    assert {r["p_partkey"]: r["year_100"] for r in QUERIES["year_at_100"](spark, SF01).collect()} == {
+        p["p_partkey"]: 2024 + 100 - p["p_size"] for p in parts}
+
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()
+    assert sorted((r["doc_id"], r["line_no"], r["n_chars"]) for r in QUERIES["line_number"](spark, SF01).collect()) == \
+        sorted((d["doc_id"], i + 1, len(line)) for d in docs for i, line in enumerate(d["text"].splitlines()))
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet").collect()
+    want = Counter()
+    for o in orders:
+        n = _py(int, o["o_orderpriority"][:1])
+        for k in range(1, (n or 0) + 1):
+            want[(o["o_orderkey"], k)] += 1
+    assert Counter((r["o_orderkey"], r["rep"]) for r in QUERIES["repeat_rows"](spark, SF01).collect()) == want
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet").collect()
+    purchases = Counter(e["user_id"] for e in ev if e["event_type"] == "purchase")
+    assert {r["user_id"]: r["n_purchase"] for r in QUERIES["count_value"](spark, SF01).collect()} == {
+        u: purchases[u] for u in {e["user_id"] for e in ev}}
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").collect()
+    best = {}
+    for r in li:
+        best[r["l_orderkey"]] = max(best.get(r["l_orderkey"], -1), round(r["l_extendedprice"] * 100))
+    assert {r["l_orderkey"]: r["max_price_cents"] for r in QUERIES["max_fold"](spark, SF01).collect()} == best
