@@ -422,3 +422,53 @@ def test_remaining_row_queries_match_python(spark):
     for r in li:
         best[r["l_orderkey"]] = max(best.get(r["l_orderkey"], -1), round(r["l_extendedprice"] * 100))
     assert {r["l_orderkey"]: r["max_price_cents"] for r in QUERIES["max_fold"](spark, SF01).collect()} == best
+
+
+def test_simple_queries_match_python(spark):
+    t = {n: spark.read.parquet(f"{SF01}/{n}.parquet").collect()
+         for n in ("part", "orders", "lineitem", "events", "customer", "supplier", "nation", "region", "pages")}
+    li, part, orders, ev = t["lineitem"], t["part"], t["orders"], t["events"]
+
+    def q(name, *cols):
+        return Counter(tuple(r[c] for c in cols) for r in QUERIES[name](spark, SF01).collect())
+
+    assert q("filter_lt", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity") == Counter(
+        (r["l_orderkey"], r["l_linenumber"], r["l_partkey"], r["l_quantity"]) for r in li if r["l_quantity"] < 10)
+    assert q("filter_even", "o_orderkey") == Counter((o["o_orderkey"],) for o in orders if o["o_orderkey"] % 2 == 0)
+    assert q("isin_literal", "event_id", "event_type") == Counter(
+        (e["event_id"], e["event_type"]) for e in ev if e["event_type"] in ("signup", "purchase"))
+    small = {p["p_partkey"] for p in part if p["p_size"] < 5}
+    assert q("semi_join", "l_orderkey", "l_linenumber", "l_partkey") == Counter(
+        (r["l_orderkey"], r["l_linenumber"], r["l_partkey"]) for r in li if r["l_partkey"] in small)
+    low = {s["s_suppkey"] for s in t["supplier"] if s["s_acctbal"] < 0}
+    assert set(q("distinct_semi", "l_suppkey")) == {(r["l_suppkey"],) for r in li if r["l_suppkey"] in low}
+    names = {n["n_nationkey"]: n["n_name"] for n in t["nation"]}
+    assert q("dict_lookup", "c_custkey", "n_name", "found") == Counter(
+        (c["c_custkey"], names.get(c["c_nationkey"] + 20, "not found"), c["c_nationkey"] + 20 in names)
+        for c in t["customer"])
+    assert q("count_rows", "n_rows") == Counter({(len(li),): 1})
+    assert set(q("distinct_vals", "p_name")) == {(p["p_name"],) for p in part}
+    assert q("current_year", "yr", "n") == Counter(Counter(o["o_orderdate"].year for o in orders).items())
+    assert q("first_char", "event_id", "letter") == Counter((e["event_id"], e["event_type"][:1].lower()) for e in ev)
+    assert q("clamp_min", "p_partkey", "capped") == Counter((p["p_partkey"], min(p["p_size"], 6)) for p in part)
+    assert q("slice_group_count", "key", "n") == Counter(
+        Counter(p["url"][7:len(p["url"]) - 4] for p in t["pages"]).items())
+    assert q("date_text", "o_orderkey", "iso", "roundtrip_ok") == Counter(
+        (o["o_orderkey"], o["o_orderdate"].strftime("%Y-%m-%d"), True) for o in orders)
+    cls = Counter()
+    for p in part:
+        s = p["p_size"]
+        cls[("multiple_of_4" if s % 4 == 0 else "even" if s % 2 == 0 else "multiple_of_divisor" if s % 3 == 0
+             else "odd")] += 1
+    assert {c: n for (c, n, _) in q("multiple_class", "class", "n", "n_multiple_of_divisor")} == dict(cls)
+    top = max(li, key=lambda r: (r["l_extendedprice"], -r["l_orderkey"], -r["l_linenumber"], -r["l_partkey"],
+                                  -r["l_suppkey"]))
+    assert q("top_1", "l_orderkey", "l_linenumber") == Counter({(top["l_orderkey"], top["l_linenumber"]): 1})
+    regions = {r["r_regionkey"]: r["r_name"] for r in t["region"]}
+    per_region = {}
+    for n in t["nation"]:
+        per_region.setdefault(regions[n["n_regionkey"]], []).append(n)
+    indebted = {c["c_nationkey"] for c in t["customer"] if c["c_acctbal"] < 0}
+    assert q("join_str", "r_name", "nations") == Counter(
+        (r, ", ".join(sorted(n["n_name"] for n in ns if n["n_nationkey"] in indebted)))
+        for r, ns in per_region.items() if any(n["n_nationkey"] in indebted for n in ns))
