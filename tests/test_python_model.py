@@ -472,3 +472,51 @@ def test_simple_queries_match_python(spark):
     assert q("join_str", "r_name", "nations") == Counter(
         (r, ", ".join(sorted(n["n_name"] for n in ns if n["n_nationkey"] in indebted)))
         for r, ns in per_region.items() if any(n["n_nationkey"] in indebted for n in ns))
+
+
+def test_last_queries_match_python(spark):
+    from tessera.sources import cards
+    t = {n: spark.read.parquet(f"{SF01}/{n}.parquet").collect()
+         for n in ("part", "orders", "lineitem", "events", "customer", "nation", "region", "documents")}
+
+    def q(name, *cols):
+        return Counter(tuple(r[c] for c in cols) for r in QUERIES[name](spark, SF01).collect())
+
+    assert q("lines_scan", "doc_id", "line_no", "line") == Counter(
+        (d["doc_id"], i + 1, line) for d in t["documents"] for i, line in enumerate(d["text"].splitlines()))
+    labels = {"F": "fulfilled", "O": "open", "P": "partial"}
+    assert q("literal_table", "label", "n") == Counter(
+        Counter(labels.get(o["o_orderstatus"], "unknown") for o in t["orders"]).items())
+    sizes = Counter(p["p_size"] for p in t["part"])
+    assert q("int_range", "n", "n_parts") == Counter((n, sizes[n]) for n in range(1, max(sizes) + 1))
+    assert q("value_lookup", "l_orderkey", "l_linenumber", "rank", "card_value") == Counter(
+        (r["l_orderkey"], r["l_linenumber"], cards.RANKS[r["l_partkey"] % 13],
+         cards.VALUES[cards.RANKS[r["l_partkey"] % 13]]) for r in t["lineitem"])
+    brands = sorted({p["p_brand"] for p in t["part"]})
+    deck = [(b, s, i + 1) for b in brands for i, s in enumerate(cards.SUITS)]
+    assert q("cross_join", "p_brand", "suit", "suit_no") == Counter(deck)
+    assert q("head_n", "p_brand", "suit", "suit_no") == Counter(sorted(deck, key=lambda x: (x[0], x[2]))[:5])
+
+    building = {c["c_custkey"] for c in t["customer"] if c["c_mktsegment"] == "BUILDING"}
+    big = {o["o_custkey"] for o in t["orders"] if o["o_totalprice"] > 450000}
+    assert set(q("intersect_distinct", "c_custkey")) == {(k,) for k in building & big}
+    assert set(q("except_distinct", "c_custkey")) == {(k,) for k in building - big}
+    assert set(q("double_except", "c_custkey")) == {(k,) for k in building - (building - big)}
+    assert q("overlap_check", "n_first", "n_second", "only_first", "only_second") == Counter(
+        {(len(building & big), len(building & big), 0, 0): 1})
+
+    per_user = {}
+    for e in t["events"]:
+        per_user.setdefault(e["user_id"], Counter())[e["event_type"]] += 1
+    assert q("map_ops", "user_id", "event_type", "n", "has_purchase", "n_purchase") == Counter(
+        (u, k, n, "purchase" in c, c.get("purchase", 0)) for u, c in per_user.items() for k, n in c.items())
+
+    import json
+    regions = {r["r_regionkey"]: r["r_name"] for r in t["region"]}
+    nation = {n["n_nationkey"]: (regions[n["n_regionkey"]], n["n_name"]) for n in t["nation"]}
+    per_region = {}
+    for c in t["customer"]:
+        r, n = nation[c["c_nationkey"]]
+        per_region.setdefault(r, Counter())[n] += 1
+    assert q("json_map_write", "r_name", "json") == Counter(
+        (r, json.dumps(dict(sorted(c.items())), separators=(",", ":"))) for r, c in per_region.items())
