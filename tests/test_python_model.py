@@ -520,3 +520,35 @@ def test_last_queries_match_python(spark):
         per_region.setdefault(r, Counter())[n] += 1
     assert q("json_map_write", "r_name", "json") == Counter(
         (r, json.dumps(dict(sorted(c.items())), separators=(",", ":"))) for r, c in per_region.items())
+
+
+def test_headings_streams_and_ledger_queries_match_python(spark):
+    from test_sources import _py_headings
+    pages = spark.read.parquet(f"{SF01}/pages.parquet").collect()
+    got = Counter((r["page_id"], r["heading_no"], r["heading"]) for r in QUERIES["heading_extract"](spark, SF01).collect())
+    assert got == Counter((p["page_id"], i + 1, h) for p in pages for i, h in enumerate(_py_headings(p["html"])))
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet").collect()
+    assert {r["event_type"]: r["n"] for r in QUERIES["stream_group_count"](spark, SF01).collect()} == dict(
+        Counter(e["event_type"] for e in ev))
+
+    state = {}
+    for e in sorted((e for e in ev if e["event_type"] in ("signup", "purchase")),
+                    key=lambda r: (r["user_id"], r["ts"], r["event_id"])):
+        bal, dep, wd, rej, rej_amt = state.get(e["user_id"], (0, 0, 0, 0, 0))
+        amt = round(e["value"] * 100)
+        if e["event_type"] == "signup" and amt >= 0:
+            bal, dep = bal + amt, dep + 1
+        elif e["event_type"] == "purchase" and 0 <= amt <= bal:
+            bal, wd = bal - amt, wd + 1
+        else:
+            rej, rej_amt = rej + 1, rej_amt + abs(amt)
+        state[e["user_id"]] = (bal, dep, wd, rej, rej_amt)
+    for name in ("ledger_fold", "ledger_stream"):
+        got = {r["user_id"]: (r["balance"], r["n_deposits"], r["n_withdrawals"], r["n_rejected"], r["rejected_amount"])
+               for r in QUERIES[name](spark, SF01).collect()}
+        assert got == state, name
+
+    parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
+    assert Counter(r["value"] for r in QUERIES["text_write"](spark, SF01).collect()) == Counter(
+        p["p_name"] for p in parts)
