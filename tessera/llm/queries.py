@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tessera.llm import bpe, packing, sharding, token_files, url_filter
 from tessera.llm._common import scratch_path, with_crc32
 from tessera.llm.exact_dedup import exact_dedup, normalised
+from tessera.llm.forest import forest_search
+from tessera.llm.line_dedup import line_dedup
+from tessera.llm.near_dedup import near_dedup
 from tessera.session import table
 
 # Fixed values of the contracts.
@@ -26,6 +29,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=[digest])
 
 
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = table(spark, sf_dir, "embeddings")
+    return forest_search(points, points.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup(table(spark, sf_dir, "documents"), words=4, materialise=False)
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,6 +49,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, materialise=False)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
@@ -64,4 +82,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op4_byte_bpe, op7_token_files, op8_url_filter, op9_best_fit_packing, op10_sharding)}
+    op1_exact_dedup, op2_prefix_forest, op3_near_dedup, op4_byte_bpe, op6_line_dedup, op7_token_files, op8_url_filter, op9_best_fit_packing, op10_sharding)}
