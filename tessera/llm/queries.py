@@ -11,6 +11,7 @@ from tessera.llm import bpe, packing, sharding, token_files, url_filter
 from tessera.llm._common import scratch_path, with_crc32
 from tessera.llm.exact_dedup import exact_dedup, normalised
 from tessera.llm.forest import forest_search
+from tessera.llm.language_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.near_dedup import near_dedup
 from tessera.session import table
@@ -49,6 +50,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id(docs, declared=F.col("lang"), host=F.col("source"), carry=("lang", "source")).drop("rid")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs, materialise=False)
@@ -82,4 +88,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_prefix_forest, op3_near_dedup, op4_byte_bpe, op6_line_dedup, op7_token_files, op8_url_filter, op9_best_fit_packing, op10_sharding)}
+    op1_exact_dedup, op2_prefix_forest, op3_near_dedup, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_token_files, op8_url_filter, op9_best_fit_packing, op10_sharding)}
