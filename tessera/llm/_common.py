@@ -9,7 +9,7 @@ import tempfile
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +98,19 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in low]
 
 
+def map_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name (its own lookup trips over dots):
+    ``run`` sees and yields columns by position."""
+    plain = T.StructType([T.StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=plain.names)
+
+    return frame.toDF(*[f"i{k}" for k in range(len(frame.columns))]).mapInArrow(named, plain).toDF(*schema.names)
+
+
 def text_slices(text: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of a string
     column with about ``max_bytes`` of text each (one longer text stands
@@ -141,7 +154,7 @@ def with_crc32(df: DataFrame, ids_col: str = "ids", out_col: str = "ids_crc32")
             crc = [zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(crc, pa.int64())], names=[*keep, out_col])
 
-    return frame.mapInArrow(digest, schema)
+    return map_arrow(frame, digest, schema)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._common import col, ragged, ship, without
+from tessera.llm._common import col, map_arrow, ragged, ship, without
 from tessera.llm._words import WordCache, chunks
 
 _NONE = 1 << 62
@@ -128,7 +128,7 @@ def encode_text(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
     keep = without(docs, [ids_col])
     text = hidden_text(keep)
     frame = docs.select(*[col(c) for c in keep], col(text_col).alias(text))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))])
+    schema = T.StructType([f for f in docs.schema.fields if f.name in keep] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _loaded(ranks_path, pattern)
@@ -139,7 +139,7 @@ def encode_text(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ragged(ids, offsets, pa.int32())],
                                                  names=[*keep, ids_col])
 
-    return frame.mapInArrow(encode, schema)
+    return map_arrow(frame, encode, schema)
 
 
 def decode_ids(frame: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded",
@@ -150,7 +150,7 @@ def decode_ids(frame: DataFrame, ranks_path: str, pattern: str, ids_col: str = "
     keep = without(frame, [bytes_col])
     ids_name = hidden_text(keep)
     source = frame.select(*[col(c) for c in keep], F.coalesce(col(ids_col), F.array().cast("array<int>")).alias(ids_name))
-    schema = T.StructType([frame.schema[c] for c in keep] + [T.StructField(bytes_col, T.BinaryType())])
+    schema = T.StructType([f for f in frame.schema.fields if f.name in keep] + [T.StructField(bytes_col, T.BinaryType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _loaded(ranks_path, pattern)
@@ -165,7 +165,7 @@ def decode_ids(frame: DataFrame, ranks_path: str, pattern: str, ids_col: str = "
                     None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], out.cast(pa.binary())], names=[*keep, bytes_col])
 
-    return source.mapInArrow(decode, schema)
+    return map_arrow(source, decode, schema)
 
 
 def hidden_text(names: list[str]) -> str:

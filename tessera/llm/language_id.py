@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm._common import col, ship, stored, text_slices
+from tessera.llm._common import col, map_arrow, ship, stored, text_slices
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
@@ -163,9 +164,9 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 lists = pa.ListArray.from_arrays(np.arange(0, out.size + 1, out.shape[1], dtype=np.int32), pa.array(out.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*part.schema.names[:-1], "__text"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
-    scored = stored(frame.mapInArrow(score, f"{kinds}, `__text` array<double>"), "language-scores")
-    names = ["rid", "doc_id", *carry]
+    kinds = T.StructType([*frame.schema.fields[:-1], T.StructField("__text", T.ArrayType(T.DoubleType()))])
+    scored = stored(map_arrow(frame, score, kinds), "language-scores")
+    names = ["rid", "doc_id", *[col(c) for c in carry]]
     if n_lang == 0:
         return scored.select(*names, F.lit(UNKNOWN).alias("language"), F.lit(1.0).alias("probability"), F.lit(False).alias("kept"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._common import col, hidden, mix64, ship, stored, text_slices, without
+from tessera.llm._common import col, hidden, map_arrow, mix64, ship, stored, text_slices, without
 from tessera.llm._links import near_links
 from tessera.llm._shingles import hash_runs, min_hashes, powers
 
@@ -212,4 +212,4 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lines_, pa.int64()), pa.array(dropped, pa.int64())], names=schema.names)
 
-    return frame.mapInArrow(cut, schema)
+    return map_arrow(frame, cut, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._common import col, hidden, ragged, ship, stored, without
+from tessera.llm._common import col, map_arrow, ragged, ship, stored, without
 from tessera.llm._hub import tokenizer
 
 
@@ -95,7 +95,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
                     [*(c.take(pa.array(row)) for c in part.columns[:-1]), pa.array(number.astype(np.int32)),
                      pa.array(start), pa.array(length), ragged(ids, ends, pa.int32())], names=schema.names)
 
-    return frame.mapInArrow(cut, schema)
+    return map_arrow(frame, cut, schema)
 
 
 def pack(pieces: DataFrame, capacity: int, length_col: str = "length", cell_items: int = 1 << 15,
@@ -112,12 +112,12 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length", cell_item
     spark = pieces.sparkSession
     ship(spark)
     keep = without(pieces, ["sequence_id", "offset"])
-    size, rid = hidden(pieces, "size"), hidden(pieces, "rid")
+    plain, size, rid = [f"c{k}" for k in range(len(keep))], "size", "rid"
     length = F.greatest(F.coalesce(col(length_col).cast("bigint"), F.lit(0)), F.lit(0))
     length = F.when(length > capacity, F.raise_error(F.lit("a piece is longer than a sequence"))).otherwise(length)
-    items = stored(pieces.select(*[col(c) for c in keep], length.alias(size), F.monotonically_increasing_id().alias(rid)),
+    items = stored(pieces.select(*[col(c).alias(p) for c, p in zip(keep, plain, strict=True)], length.alias(size), F.monotonically_increasing_id().alias(rid)),
                    "pack-items")
-    columns = [*[col(c) for c in keep]]
+    columns = plain
     parts = [items.where(F.col(size) == capacity).select(*columns, (-F.col(rid) - 1).alias("sequence_id"),
                                                          F.lit(0).cast("bigint").alias("offset"))]
     work = items.where(F.col(size) < capacity)
@@ -161,4 +161,4 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length", cell_item
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out.toDF(*keep, "sequence_id", "offset")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._common import col, hidden, ship, stored, without
+from tessera.llm._common import col, hidden, map_arrow, ship, stored, without
 
 #: Beyond this many items numpy's own sampler refuses.
 _NUMPY_LIMIT = 10**9
@@ -137,7 +137,7 @@ def shard_rows(df: DataFrame, n_shards: int, seed: int = 0, block_rows: int = 1
         if at != (sizes[part] if part < len(sizes) else 0):
             raise RuntimeError("the input's partitions changed; use materialise=True")
 
-    dealt = df.mapInArrow(scatter, schema)
+    dealt = map_arrow(df, scatter, schema)
     # the exchange, and the second permutation: inside a block rows are ordered by their random key
     rank = F.row_number().over(Window.partitionBy(cell).orderBy(key)) - 1
     return dealt.withColumn("slot", rank + F.col(base)).select(*[col(c) for c in df.columns], "shard", "slot")

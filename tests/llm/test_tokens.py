@@ -1,0 +1,180 @@
+"""Byte-level BPE, token files and packing against the public libraries."""
+
+import base64
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tessera.llm import _hub, _words, bpe, packing, token_files
+from tessera.llm._common import with_crc32
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ENCODER = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={
+    base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))})
+ODD = st.text(st.one_of(st.sampled_from("  \n\t\r\u00a0\u2003\x1c.,'!<|>_ab1sé\u0301ßΣς😀İ"), st.characters(codec="utf-8")), max_size=40)
+
+
+def _library(name):
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    t.encode_special_tokens = True
+    return t
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(ODD, max_size=6))
+def test_bpe_of_odd_texts(texts):
+    model = bpe._loaded(RANKS, public_tokenizers.PATTERN)
+    ids, offsets = model.encode(texts)
+    data, ends = model.decode(ids, offsets)
+    for k, text in enumerate(texts):
+        assert ids[offsets[k]:offsets[k + 1]].tolist() == ENCODER.encode_ordinary(text)
+        assert data[ends[k]:ends[k + 1]].tobytes() == text.encode()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(min_size=1, max_size=200))
+def test_segment_tree_merges_like_the_library(piece):
+    model = bpe._loaded(RANKS, public_tokenizers.PATTERN)
+    assert bpe.merge_bytes(piece, model.ranks) == ENCODER._encode_single_piece(piece)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(ODD, max_size=6))
+def test_cached_words_give_the_librarys_ids(name, texts):
+    model, library = _hub.tokenizer(public_tokenizers.path(name)), _cached(name)
+    ids, offsets = model.encode(texts, 2)
+    for k, text in enumerate(texts):
+        assert ids[offsets[k]:offsets[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids + [2]
+
+
+_libraries = {}
+
+
+def _cached(name):
+    if name not in _libraries:
+        _libraries[name] = _library(name)
+    return _libraries[name]
+
+
+def test_cache_starts_anew():
+    cache = _words.WordCache(lambda words: [[len(w)] for w in words], limit=3)
+    for text in ("a bb", "ccc dddd eeeee", "a bb", "", "ccc"):
+        ids, offsets = cache.encode([_words.chunks(text)])
+        want = [len(w) + (k > 0) for k, w in enumerate(text.split(" "))] if text else []
+        assert ids.tolist() == want and offsets.tolist() == [0, len(want)]
+
+
+def test_bpe_edges(edges, nothing):
+    ids = bpe.encode_text(edges, RANKS, public_tokenizers.PATTERN)
+    assert ids.columns.count("ids") == 1
+    back = bpe.decode_ids(ids, RANKS, public_tokenizers.PATTERN).collect()
+    assert len(back) == edges.count()
+    for r in back:
+        assert r["ids"] == ENCODER.encode_ordinary(r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode()
+    assert bpe.decode_ids(bpe.encode_text(nothing, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([0, 1, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1]), max_size=40))
+def test_codec_round_trip(values):
+    control, data = token_files.pack_ids(np.array(values, np.uint32))
+    assert len(control) == -(-len(values) // 4)
+    assert token_files.unpack_ids(control, data, len(values)).tolist() == values
+
+
+def test_token_files(edges, nothing, spark, scratch):
+    path, tok = public_tokenizers.path("word_bpe_49k.json"), _cached("word_bpe_49k.json")
+    token_files.write_token_files(edges, f"{scratch}/a", path, 2, block_ids=50)
+    got = token_files.read_token_files(spark, f"{scratch}/a").orderBy("start").collect()
+    source = [(r["doc_id"], tok.encode(r["text"] or "", add_special_tokens=False).ids + [2]) for r in edges.collect()]
+    assert sorted(((r["doc_id"], r["ids"]) for r in got), key=str) == sorted(source, key=str)
+    ids = [r["doc_id"] for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    assert [r["start"] for r in got] == np.cumsum([0] + [len(r["ids"]) for r in got])[:-1].tolist()
+    ranks = [r["id"] for r in spark.read.parquet(f"{scratch}/a/ranks").orderBy("rank").collect()]
+    counts = np.bincount([i for _, row in source for i in row])
+    assert ranks == sorted(np.flatnonzero(counts).tolist(), key=lambda i: (-counts[i], i))
+    token_files.write_token_files(nothing, f"{scratch}/b", path, 2)
+    assert token_files.read_token_files(spark, f"{scratch}/b").collect() == []
+
+
+def test_crc32(spark):
+    rows = with_crc32(spark.createDataFrame([(1, [1, 2**31 - 1]), (2, []), (3, None)], "k int, ids array<int>")).orderBy("k").collect()
+    assert [r["ids_crc32"] for r in rows] == [zlib.crc32(np.array(v, "<u4").tobytes()) for v in ([1, 2**31 - 1], [], [])]
+
+
+def _sequences(rows, capacity):
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"] or 0))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += max(0, length)
+        assert at <= capacity
+    return len(by)
+
+
+def test_pieces_and_packing(edges, nothing):
+    path, tok = public_tokenizers.path("byte_bpe_50k.json"), _cached("byte_bpe_50k.json")
+    pieces = packing.cut_pieces(edges, path, 2, 64, carry=("doc_id", "rid", "n.lines"))
+    rows = packing.pack(pieces, 64, cell_items=50).collect()
+    _sequences(rows, 64)
+    want = []
+    for r in edges.collect():
+        ids = tok.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        first = (len(ids) - 1) % 64 + 1
+        cuts = [0, *range(first, len(ids) + 1, 64)]
+        want += [(r["doc_id"], k, a, b - a, ids[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+    assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids"]) for r in rows), key=str) == sorted(want, key=str)
+    assert packing.pack(packing.cut_pieces(nothing, path, 2, 64), 64).collect() == []
+
+
+def test_packing_meets_the_bound(spark):
+    rng = random.Random(1)
+    lengths = [rng.randint(1, 100) for _ in range(4000)] + [51] * 300 + [34] * 200 + [0, None, -4]
+    frame = spark.createDataFrame([(k, n) for k, n in enumerate(lengths)], "k int, length int").withColumn("Offset", F.lit("x"))
+    rows = packing.pack(frame, 100, cell_items=500).collect()
+    assert len(rows) == len(lengths)
+    used = _sequences(rows, 100)
+    bound = packing.bin_bound(np.array([max(0, n or 0) for n in lengths]), 100)
+    assert bound <= used <= bound * 1.01 + 1
+
+
+def test_too_long_a_piece_fails(spark):
+    with pytest.raises(Exception, match="longer than a sequence"):
+        packing.pack(spark.createDataFrame([(11,)], "length int"), 10).collect()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 10), min_size=1, max_size=9))
+def test_bound_never_exceeds_the_best_packing(lengths):
+    def fits(bins, rest):
+        if not rest:
+            return True
+        tried = set()
+        for k, room in enumerate(bins):
+            if room >= rest[0] and room not in tried:
+                tried.add(room)
+                if fits([*bins[:k], room - rest[0], *bins[k + 1:]], rest[1:]):
+                    return True
+        return False
+
+    rest = sorted(lengths, reverse=True)
+    best = next(n for n in range(1, len(rest) + 1) if fits([10] * n, rest))
+    bins, offsets, free = packing.best_fit(np.array(lengths), 10)
+    assert packing.bin_bound(np.array(lengths), 10) <= best <= len(free)
+    for b in range(len(free)):
+        own = sorted((int(offsets[i]), lengths[i]) for i in np.flatnonzero(bins == b))
+        assert [o for o, _ in own] == np.cumsum([0] + [n for _, n in own])[:-1].tolist()
+        assert sum(n for _, n in own) + free[b] == 10
