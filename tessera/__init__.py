@@ -11,11 +11,11 @@ expressions); ``text``, ``json``, ``html``, ``literals``, ``parse``
 """
 
 from tessera.functions import collections, dates, numbers, strings
-from tessera.operators import aggregates, folds, relational, sampling, sizing, windows
+from tessera.operators import aggregates, folds, relational, sampling, windows
 from tessera.sources import html, json, literals, parse, text
 from tessera import streaming as streams
 
 __version__ = "0.1.0"
 
 __all__ = ["aggregates", "collections", "dates", "folds", "html", "json", "literals", "numbers", "parse",
-           "relational", "sampling", "sizing", "streams", "strings", "text", "windows"]
+           "relational", "sampling", "streams", "strings", "text", "windows"]

@@ -112,13 +112,29 @@ def divisors(n) -> Column:
     supplies the large ones.
     """
     x = _col(n).cast("bigint")
-    root = F.floor(F.sqrt(x)).cast("bigint")
+    # the double root may be one off beyond 2**53: corrected in whole numbers
+    guess = F.floor(F.sqrt(x)).cast("bigint")
+    wide = guess.cast("decimal(20,0)")
+    root = F.when(wide * wide > x, guess - 1).when((wide + 1) * (wide + 1) <= x, guess + 1).otherwise(guess)
     small = F.filter(F.sequence(F.lit(1).cast("bigint"), F.greatest(root, F.lit(1).cast("bigint"))),
                      lambda d: F.try_mod(x, d) == 0)
-    large = F.transform(small, lambda d: x / d).cast("array<bigint>")
+    large = F.transform(small, lambda d: F.call_function("div", x, d))
     return F.when(x >= 1, F.array_sort(F.array_distinct(F.concat(small, large))))
 
 
+#: Terms that a bigint holds.
+FIBONACCI_BIGINT_TERMS = 92
+
+
+def fibonacci_of(df, column: str, out: str = "fib"):
+    """``df`` with the ``column``-th term of 1, 1, 2, 3, 5, ... as a bigint; NULL
+    below 1 and beyond what a bigint holds.  A term is worked out once per
+    distinct number and joined, not once per row."""
+    wanted = df.select(F.col(column).alias("_n")).where((F.col("_n") >= 1) & (F.col("_n") <= FIBONACCI_BIGINT_TERMS)).distinct()
+    terms = wanted.select("_n", fibonacci("_n").cast("bigint").alias(out))
+    return df.join(terms, F.col(column) == F.col("_n"), "left").drop("_n")
+
+
 def fibonacci(n) -> Column:
     """n-th term of 1, 1, 2, 3, 5, ... (exact to decimal(38,0)); NULL below 1."""
     x = _col(n)

@@ -156,10 +156,12 @@ def first_char_lower(c) -> Column:
     return F.lower(F.left(_col(c), F.lit(1)))
 
 
-def contains_text(c, needle: str, ignore_case: bool = True) -> Column:
+def contains_text(c, needle, ignore_case: bool = True) -> Column:
+    """``needle`` is a constant or, as a Column, a text held by the row."""
+    wanted = needle if isinstance(needle, Column) else F.lit(needle)
     if ignore_case:
-        return F.contains(F.upper(_col(c)), F.lit(needle.upper()))
-    return F.contains(_col(c), F.lit(needle))
+        return F.contains(F.upper(_col(c)), F.upper(wanted))
+    return F.contains(_col(c), wanted)
 
 
 def repeat_text(c, n) -> Column:
@@ -167,9 +169,10 @@ def repeat_text(c, n) -> Column:
     return F.repeat(_col(c), F.greatest(F.lit(0), _col(n)))
 
 
-def mask_chars(c, shown: list[str], placeholder: str = "_", sep: str = " ") -> Column:
-    """Show only characters in ``shown`` (case-insensitive), ``_`` elsewhere."""
-    allowed = F.array(*[F.lit(s.upper()) for s in shown])
+def mask_chars(c, shown, placeholder: str = "_", sep: str = " ") -> Column:
+    """Show only characters in ``shown`` (case-insensitive), ``_`` elsewhere;
+    ``shown`` is a list or, as a Column, a text held by the row."""
+    allowed = F.split(F.upper(shown), "") if isinstance(shown, Column) else F.array(*[F.lit(s.upper()) for s in shown])
     chars = F.split(F.upper(_col(c)), "")
     masked = F.transform(
         chars, lambda ch: F.when(F.array_contains(allowed, ch), ch).otherwise(F.lit(placeholder))

@@ -10,9 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions._column import as_column as _col
 from tessera.functions.strings import slice_both_ends
+from tessera.operators.ordering import order_value, unpacked
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def value_counts(df: DataFrame, value: str, position: Sequence[str], count: str = "n",
@@ -25,9 +29,16 @@ def value_counts(df: DataFrame, value: str, position: Sequence[str], count: str
     iteration order) with a distributed global ordinal, never a window over
     all values in one partition.
     """
-    first = F.min(F.struct(*[F.col(c) for c in position])).alias("_first")
-    agg = df.groupBy(value).agg(F.count("*").alias(count), first)
-    firsts = [F.col("_first")[c].alias(first_prefix + c) for c in position]
+    ordinal = order_value(df, position)
+    agg = df.groupBy(value).agg(F.count("*").alias(count), F.min(ordinal).alias("_first"))
+    if len(position) == 2 and all(isinstance(df.schema[c].dataType, _WHOLE) for c in position):
+        parts = unpacked(F.col("_first"))  # the positions are never NULL
+    elif len(position) == 1 and isinstance(df.schema[position[0]].dataType, _WHOLE):
+        parts = [F.col("_first")]
+    else:
+        agg = df.groupBy(value).agg(F.count("*").alias(count), F.min(F.struct(*position)).alias("_first"))
+        parts = [F.col("_first")[c] for c in position]
+    firsts = [p.cast(df.schema[c].dataType).alias(first_prefix + c) for p, c in zip(parts, position, strict=True)]
     out = agg.select(value, count, *firsts)
     if rank is not None:
         from tessera.operators.windows import global_ordinal
@@ -53,7 +64,9 @@ def occurrence_split(df: DataFrame, keys: Sequence[str], out: str = "occurrences
     not a count per element (quadratic) and not a window over a hot key."""
     keys = list(keys)
     counts = df.groupBy(*keys).agg(F.count("*").alias(out))
-    joined = df.join(counts, keys)
+    from tessera.operators.windows import _join_on_keys
+
+    joined = _join_on_keys(df, counts, keys)  # a NULL key is a key like any other
     return joined.withColumn("kind", F.when(F.col(out) > 1, F.lit("repeated")).otherwise(F.lit("single")))
 
 
@@ -62,39 +75,27 @@ def first_seen_distinct(df: DataFrame, group: Sequence[str], value: str, order:
                         chunk_rows: int | None = None) -> DataFrame:
     """Distinct values per group, in first-seen order.
 
-    The first occurrence is a partial ``min(struct(order))`` aggregate; the
+    The first occurrence is a partial hash aggregate of one order value; the
     rank runs over the *distinct* values of a group (one row per value), not
-    over the raw rows.  When a group may hold very many distinct values,
-    ``chunk_rows`` numbers them with the segmented scan (groups with more
-    than that many values are cut into chunks of the first position; the
-    first ``order`` column must then be a column name of integral or
-    timestamp type).
+    over the raw rows.  With ``chunk_rows`` groups of many distinct values are
+    numbered by the segmented scan.
     """
     group = list(group)
-    ordc = F.struct(*[_col(c) for c in order])
-    firsts = df.groupBy(*group, value).agg(F.min(ordc).alias("_first"))
+    d = df.withColumn("_ord", order_value(df, order))
+    firsts = d.groupBy(*group, value).agg(F.min("_ord").alias("_first"))
     if chunk_rows is None:
         w = Window.partitionBy(*group).orderBy("_first")
         out = firsts.withColumn(rank, F.row_number().over(w).cast("bigint"))
     else:
-        from tessera.operators.windows import Segments, epoch_seconds, row_numbers, wall_seconds
-        # chunks follow the first order column (seconds of a timestamp, or
-        # the number itself), which never decreases along the order
-        lead_name = order[0]
-        lead = F.col("_first")[lead_name]
-        lead_type = df.schema[lead_name].dataType.simpleString()
-        if lead_type == "timestamp_ntz":
-            measure = wall_seconds(lead)
-        elif lead_type == "timestamp":
-            measure = epoch_seconds(lead)
-        else:
-            measure = lead.cast("double")
-        out = row_numbers(firsts, group, ["_first"], rank,
-                          segments=Segments(measure=measure, hot_rows=chunk_rows, chunk_rows=chunk_rows))
+        from tessera.operators.windows import Segments, row_numbers
+        out = row_numbers(firsts, group, [F.col("_first")], rank, segments=Segments(chunk_rows=chunk_rows))
     cols = [*group, value, rank]
     if first_id is not None:
         # the last order column is the unique id of the row
-        out = out.withColumn(first_id, F.col("_first")[order[-1]])
+        kind = df.schema[order[-1]].dataType
+        packed = isinstance(out.schema["_first"].dataType, T.DecimalType)
+        last = (unpacked(F.col("_first"))[1] if len(order) == 2 else F.col("_first")) if packed else F.col("_first")[order[-1]]
+        out = out.withColumn(first_id, last.cast(kind))
         cols.insert(len(group) + 1, first_id)
     return out.select(*cols)
 
@@ -117,16 +118,18 @@ def uniform_groups(df: DataFrame, grouping_sets: Sequence[Sequence[str]], value:
         for c in gs:
             if c not in all_cols:
                 all_cols.append(c)
-    sets = [[F.col(c) for c in gs] for gs in grouping_sets]
-    g = df.groupingSets(sets, *[F.col(c) for c in all_cols]).agg(
-        F.grouping_id(*[F.col(c) for c in all_cols]).cast("bigint").alias(level),
-        F.count("*").alias(count),
-        F.min(value).alias("_lo"), F.max(value).alias("_hi"),
-        F.count(value).alias("_nonnull"),
-    )
-    keep = ((F.col("_lo") == F.col("_hi")) & (F.col(count) >= min_rows)
-            & (F.col("_nonnull") == F.col(count)) & (F.col("_lo") != F.lit("")))
-    return g.where(keep).select(*all_cols, level, F.col("_lo").alias(value), count)
+    # per value first (hash, partial): a group is uniform if it has one value
+    per = df.groupBy(*all_cols, value).agg(F.count("*").alias("_n"))
+    sets = [[F.col(c) for c in gs] + [F.col(value)] for gs in grouping_sets]
+    g = per.groupingSets(sets, *[F.col(c) for c in all_cols], F.col(value)).agg(
+        F.grouping_id(*[F.col(c) for c in all_cols], F.col(value)).cast("bigint").alias(level), F.sum("_n").alias(count))
+    g = g.withColumn(level, F.shiftright(level, 1))  # the value itself is in every set
+    kinds = g.groupBy(*all_cols, level).agg(F.count("*").alias("_k"))
+    keep = (F.col("_k") == 1) & (F.col(count) >= min_rows) & F.col(value).isNotNull() & (F.col(value) != F.lit(""))
+    from tessera.operators.windows import _join_on_keys
+
+    joined = _join_on_keys(g, kinds, [*all_cols, level])
+    return joined.where(keep).select(*all_cols, level, value, count)
 
 
 def board_lines(cells: DataFrame, board: Sequence[str], row: str, col: str, value: str, size: int,

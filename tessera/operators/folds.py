@@ -6,24 +6,26 @@ account ledger.
 * ``ledger`` is a fold whose decisions feed back (a rejected withdrawal
   changes every later decision), so it has no window or associative form.
   Rows are hash-partitioned by account and sorted inside each partition;
-  ``mapInPandas`` then walks each partition in Arrow batches, carrying
-  (account, balance, counters) across batch boundaries.  Memory per task is
-  one batch, whatever the size of an account, and no group is collected.
-  Inside a batch the walk is vectorised: a prefix sum assumes every
-  withdrawal is accepted up to the first one that would overdraw.
+  ``mapInArrow`` then walks each partition in batches, carrying the open
+  account's balance across batch boundaries.  Memory per task is one batch,
+  whatever the size of an account, and no group is collected.  All accounts of
+  a batch are tried at once with a prefix sum that assumes every withdrawal is
+  accepted; only accounts where one is not are walked event by event, from
+  there on.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.sources.literals import literal_map
 
@@ -71,133 +73,119 @@ def settle_outcome(player_value, dealer_value, cap: int = 21) -> Column:
 
 # ---- guarded ledger -------------------------------------------------------
 
-LEDGER_TOTALS_SCHEMA = ("{acct} {acct_type}, balance bigint, n_deposits bigint, n_withdrawals bigint, "
-                        "n_rejected bigint, rejected_amount bigint")
-LEDGER_EVENTS_SCHEMA = "{acct} {acct_type}, event_id bigint, accepted boolean, balance_after bigint"
+TOTALS = ("balance", "n_deposits", "n_withdrawals", "n_rejected", "rejected_amount")
+REASONS = ("ok", "no_amount", "negative", "insufficient")
 
 
-@dataclass
-class AccountState:
-    """Running state of one account while its events are walked."""
+def walk_batch(starts: np.ndarray, amount: np.ndarray, is_w: np.ndarray, valid: np.ndarray,
+               opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(accepted, balance_after)`` of the events of several accounts.
 
-    key: object = None
-    balance: int = 0
-    deposits: int = 0
-    withdrawals: int = 0
-    rejected: int = 0
-    rejected_amount: int = 0
-
-    def totals(self) -> tuple:
-        return (self.key, self.balance, self.deposits, self.withdrawals, self.rejected, self.rejected_amount)
-
-
-def walk_account(signed: np.ndarray, is_w: np.ndarray, valid: np.ndarray, state: AccountState,
-                 accepted: np.ndarray, balance_after: np.ndarray) -> None:
-    """Apply one account's events (in order) to ``state``, filling the
-    per-event ``accepted`` / ``balance_after`` outputs.
-
-    Vectorised: a block is applied with a prefix sum that assumes every
-    event is accepted; the first event that would be rejected (an invalid
-    amount, or a withdrawal above the balance) ends the block.  Blocks grow
-    while nothing is rejected and shrink after a rejection.
-    """
-    bal, pos, n, block = state.balance, 0, len(signed), 1024
-    while pos < n:
-        end = min(n, pos + block)
-        seg = np.where(valid[pos:end], signed[pos:end], 0)
-        after = bal + np.cumsum(seg)
-        before = after - seg
-        bad = ~valid[pos:end] | (is_w[pos:end] & (-signed[pos:end] > before))
-        if not bad.any():
-            accepted[pos:end] = True
-            balance_after[pos:end] = after
-            bal, pos, block = int(after[-1]), end, min(block * 2, 1 << 16)
-            continue
-        j = int(np.argmax(bad))
-        accepted[pos:pos + j] = True
-        balance_after[pos:pos + j] = after[:j]
-        bal = int(before[j])
-        balance_after[pos + j] = bal
-        pos, block = pos + j + 1, 16
-    ok = accepted[:n]
-    state.balance = bal
-    state.deposits += int(np.count_nonzero(ok & ~is_w))
-    state.withdrawals += int(np.count_nonzero(ok & is_w))
-    state.rejected += int(np.count_nonzero(~ok))
-    state.rejected_amount += int(np.abs(signed[~ok]).sum())
-
-
-def walk_batch(acct: np.ndarray, signed: np.ndarray, is_w: np.ndarray, valid: np.ndarray,
-               state: AccountState | None) -> tuple[np.ndarray, np.ndarray, list, AccountState | None]:
-    """Walk one Arrow batch of rows sorted by (account, order).
-
-    ``state`` is the account left open by the previous batch.  Returns the
-    per-row outputs, the totals of the accounts finished in this batch and
-    the account left open at its end.
+    Account ``k`` has the rows from ``starts[k]`` on and opens with ``opening[k]``.
     """
-    n = len(acct)
-    accepted = np.zeros(n, dtype=bool)
-    balance_after = np.zeros(n, dtype=np.int64)
-    finished = []
-    if n == 0:
-        return accepted, balance_after, finished, state
-    starts = np.flatnonzero(np.r_[True, acct[1:] != acct[:-1]])
-    bounds = list(starts) + [n]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        if state is None or state.key != acct[lo]:
-            if state is not None:
-                finished.append(state.totals())
-            state = AccountState(key=acct[lo])
-        walk_account(signed[lo:hi], is_w[lo:hi], valid[lo:hi], state, accepted[lo:hi], balance_after[lo:hi])
-    return accepted, balance_after, finished, state
+    n = len(amount)
+    lengths = np.diff(np.append(starts, n))
+    signed = np.where(valid, np.where(is_w, -amount, amount), 0)
+    total = np.cumsum(signed)
+    after = total + np.repeat(opening - (total[starts] - signed[starts]), lengths)
+    accepted = valid & ~(is_w & (amount > after - signed))
+    run = np.repeat(np.arange(len(starts)), lengths)
+    stopped = np.flatnonzero(valid & ~accepted)
+    if len(stopped) == 0:
+        return accepted, after
+    walked, first = np.unique(run[stopped], return_index=True)
+    for k, at in zip(walked.tolist(), stopped[first].tolist(), strict=True):
+        end = int(starts[k] + lengths[k])
+        balance = int(after[at] - signed[at])
+        yes, balances = [], []
+        for x, w, ok in zip(amount[at:end].tolist(), is_w[at:end].tolist(), valid[at:end].tolist(), strict=True):
+            ok = ok and not (w and x > balance)
+            if ok:
+                balance += -x if w else x
+            yes.append(ok)
+            balances.append(balance)
+        accepted[at:end], after[at:end] = yes, balances
+    return accepted, after
 
 
 def ledger(events: DataFrame, account: str, order: Sequence[str], kind: str, amount: Column,
            deposit_kinds: Sequence[str], withdraw_kinds: Sequence[str], event_id: str | None = None,
-           per_event: bool = False, partitions: int | None = None) -> DataFrame:
+           per_event: bool = False, partitions: int | None = None, opening: str | None = None) -> DataFrame:
     """Guarded balance per account, in ``order``: a deposit is always accepted,
     a withdrawal only if it does not exceed the balance; a rejected
-    withdrawal leaves the balance unchanged.  Negative amounts are rejected.
+    withdrawal leaves the balance unchanged.  Negative and NULL amounts are
+    rejected (a NULL adds nothing to ``rejected_amount``).  Events without an
+    account belong to one account of their own, the NULL account.
 
     Returns per account ``balance, n_deposits, n_withdrawals, n_rejected,
-    rejected_amount`` or, with ``per_event``, each event with ``accepted``
-    and ``balance_after``.  ``amount`` must be integral (cents).
+    rejected_amount`` or, with ``per_event``, each event with ``accepted``,
+    ``balance_after`` and ``reason``.  ``amount`` must be integral (cents).
+    ``opening`` names a column with the account's balance before its first
+    event here (the same on all its rows; NULL is 0).
     """
     kinds = list(deposit_kinds) + list(withdraw_kinds)
-    acct_type = events.schema[account].dataType.simpleString()
     eid = F.col(event_id).cast("bigint") if event_id else F.lit(None).cast("bigint")
+    start = F.coalesce(F.col(opening).cast("bigint"), F.lit(0)) if opening else F.lit(0).cast("bigint")
     ev = (events.where(F.col(kind).isin(kinds))
           .select(F.col(account), *[F.col(c) for c in order if c != account],
                   F.col(kind).isin(list(withdraw_kinds)).alias("_w"),
-                  amount.cast("bigint").alias("_amt"), eid.alias("_eid")))
+                  amount.cast("bigint").alias("_amt"), eid.alias("_eid"), start.alias("_open")))
     n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = ev.repartition(n, account).sortWithinPartitions(account, *order)
-    ev = ev.select(account, "_w", "_amt", "_eid")
+    ev = ev.select(account, "_w", "_amt", "_eid", "_open")
+    names = [account, *TOTALS]
 
-    totals_cols = [account, "balance", "n_deposits", "n_withdrawals", "n_rejected", "rejected_amount"]
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: AccountState | None = None
-        for pdf in batches:
-            if pdf.empty:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None  # the account open at the end of a batch: its value and totals
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            acct = pdf[account].to_numpy()
-            amt = pdf["_amt"].to_numpy(dtype=np.int64)
-            is_w = pdf["_w"].to_numpy(dtype=bool)
-            acc, bal_after, finished, state = walk_batch(acct, np.where(is_w, -amt, amt), is_w, amt >= 0, state)
+            key = batch.column(0)
+            code = key.dictionary_encode().indices.fill_null(-1).to_numpy()
+            amt = batch.column(2)
+            valid = pc.fill_null(pc.greater_equal(amt, 0), False).to_numpy(zero_copy_only=False)
+            value = amt.fill_null(0).to_numpy()
+            is_w = batch.column(1).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            begin = batch.column(4).to_numpy()[starts].copy()
+            goes_on = held is not None and key[0].as_py() == held[0]
+            if goes_on:
+                begin[0] = held[1][0]
+            accepted, after = walk_batch(starts, value, is_w, valid, begin)
             if per_event:
-                yield pd.DataFrame({account: acct, "event_id": pdf["_eid"].to_numpy(),
-                                    "accepted": acc, "balance_after": bal_after})
-            elif finished:
-                yield pd.DataFrame(finished, columns=totals_cols)
-        if not per_event and state is not None:
-            yield pd.DataFrame([state.totals()], columns=totals_cols)
-
-    schema = (LEDGER_EVENTS_SCHEMA if per_event else LEDGER_TOTALS_SCHEMA).format(acct=account,
-                                                                                  acct_type=acct_type)
-    return ev.mapInPandas(fold, schema)
-
-
-# Functions of this module run inside Python workers (mapInPandas).  They are
-# pickled by value, so executors need numpy and pandas but not this package.
+                reason = np.where(accepted, 0, np.where(valid, 3, 2))
+                reason[amt.is_null().to_numpy(zero_copy_only=False)] = 1
+                yield pa.RecordBatch.from_arrays(
+                    [key, batch.column(3), pa.array(accepted), pa.array(after), pa.array(REASONS).take(pa.array(reason))],
+                    names=[account, "event_id", "accepted", "balance_after", "reason"])
+            ends = np.append(starts[1:], len(code)) - 1
+            sums = [np.add.reduceat(x.astype(np.int64), starts) for x in (
+                accepted & ~is_w, accepted & is_w, ~accepted, np.where(accepted, 0, np.abs(value)))]
+            if goes_on:
+                for total, before in zip(sums, held[1][1:], strict=True):
+                    total[0] += before
+            elif held is not None and not per_event:
+                yield finished(pa.array([held[0]], key.type), [np.array([x]) for x in held[1]])
+            held = (key[int(starts[-1])].as_py(), [int(after[-1]), *[int(x[-1]) for x in sums]])
+            if len(starts) > 1 and not per_event:
+                yield finished(key.take(pa.array(starts[:-1])), [after[ends[:-1]], *[x[:-1] for x in sums]])
+            kind_of_key = key.type
+        if held is not None and not per_event:
+            yield finished(pa.array([held[0]], kind_of_key), [np.array([x]) for x in held[1]])
+
+    def finished(key: pa.Array, totals: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([key, *[pa.array(x, pa.int64()) for x in totals]], names=names)
+
+    long = T.LongType()
+    acct = T.StructField(account, events.schema[account].dataType)
+    if per_event:
+        fields = [T.StructField("event_id", long), T.StructField("accepted", T.BooleanType()),
+                  T.StructField("balance_after", long), T.StructField("reason", T.StringType())]
+    else:
+        fields = [T.StructField(c, long) for c in TOTALS]
+    return ev.mapInArrow(fold, T.StructType([acct, *fields]))
+
+
+# Functions of this module run inside Python workers (mapInArrow).  They are
+# pickled by value, so executors need numpy and pyarrow but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions._column import as_column as _col
-from tessera.operators.sizing import bounded_broadcast
 
 
 # ---- filters --------------------------------------------------------------
@@ -59,13 +58,12 @@ def distinct_semi(left: DataFrame, right: DataFrame, on) -> DataFrame:
 
 
 def lookup(df: DataFrame, dim: DataFrame, left_key, dim_key: str, value_cols: Sequence[str],
-           missing: str = "not found", max_dim_rows: int = 100_000) -> DataFrame:
+           missing: str = "not found") -> DataFrame:
     """Left join to a dimension; a miss keeps its row, gets ``found = false``
-    and ``missing`` in string value columns.  The dimension is broadcast only
-    after its size is checked."""
+    and ``missing`` in string value columns.  Whether the dimension is
+    broadcast is Spark's choice, from its measured size."""
     key = _col(left_key)
     d = dim.select(F.col(dim_key).alias("_dim_key"), *value_cols, F.lit(True).alias("_hit"))
-    d = bounded_broadcast(d, max_dim_rows)
     joined = df.join(d, key == F.col("_dim_key"), "left")
     outs = []
     for v in value_cols:

@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions._column import as_column as _col
-from tessera.operators.sizing import row_count_at_most
-from tessera.sources.literals import seeded_order_key, seeded_unit_hash
+from tessera.sources.literals import seeded_fine_hash, seeded_order_key
 
 
 def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
@@ -42,34 +41,29 @@ def random_pick(df: DataFrame, group: Sequence[str], value: str, key: Sequence[s
 
 
 def random_element(df: DataFrame, group: Sequence[str], array: Column, key: Sequence[str], seed: int,
-                   out: str = "value", max_groups: int = 100_000) -> DataFrame:
+                   out: str = "value") -> DataFrame:
     """One element per group, uniform over all elements of the arrays held by
     the group's rows (e.g. one word among all words of all texts).
 
     Exact, with one hash per *row* instead of one per element: a row wins
     with probability proportional to its element count (exponential race
-    ``-ln(u) / n``, smallest wins), then a second seeded draw picks the
-    position inside the winning row.  The race is a hash aggregate over
-    fixed-width values (key, position); the winning element is then read
-    from the winning rows only (one per group, broadcast when the number of
-    groups is proven to be at most ``max_groups``).
+    ``-ln(u) / n``, smallest wins, ties to the smallest key), then a second
+    seeded draw picks the position inside the winning row.  Draws have 52 bits
+    and are never 0.  The race is a partial hash aggregate of one number per
+    group; rows that reach it (one, but for ties) are compared by key.
     ``key`` must identify a row.
     """
     n = F.size(array)
-    # empty arrays get a NULL race (try_divide), which min_by skips
-    race = F.try_divide(-F.log(F.lit(1.0) - seeded_unit_hash(seed, *key)), n.cast("double"))
-    pos = F.floor(seeded_unit_hash(seed + 1, *key) * n).cast("int") + 1
-    win = (df.select(*group, *key, race.alias("_race"), pos.alias("_pos"))
-           .groupBy(*group)
-           .agg(F.min_by(F.struct(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_pos")),
-                         F.col("_race")).alias("_w"))
-           .select(*[F.col(f"_w._k{i}").alias(k) for i, k in enumerate(key)], F.col("_w._pos").alias("_pos"))
-           .where(F.col("_pos").isNotNull()))
-    # the winners table has one row per group: prove it small by counting the
-    # distinct groups on the group columns alone (a pruned scan), then broadcast
-    if row_count_at_most(df.select(*group).distinct(), max_groups):
-        win = F.broadcast(win)
-    return df.join(win, list(key)).select(*group, F.element_at(array, F.col("_pos")).alias(out))
+    # empty arrays get a NULL race (try_divide), which min skips
+    race = F.try_divide(-F.log(seeded_fine_hash(seed, *key)), n.cast("double"))
+    pos = F.floor(seeded_fine_hash(seed + 1, *key) * n).cast("int") + 1
+    d = df.withColumns({"_race": race, "_pos": F.least(pos, n)})
+    best = d.groupBy(*group).agg(F.min("_race").alias("_best"))
+    from tessera.operators.windows import _join_on_keys
+
+    tied = _join_on_keys(d, best, list(group)).where(F.col("_race") == F.col("_best"))
+    first = F.row_number().over(Window.partitionBy(*group).orderBy(*key))
+    return tied.withColumn("_r", first).where("_r = 1").select(*group, F.element_at(array, F.col("_pos")).alias(out))
 
 
 def shuffle_deal(df: DataFrame, group: Sequence[str], key: Sequence[str], seed: int, per_group: int,

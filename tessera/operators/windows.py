@@ -5,15 +5,15 @@ Scale rule: a key (user, day, game) may hold a large share of all rows, so
 no operator here puts a whole key into one window partition.
 
 * Running sums and the previous value are *segmented scans*: rows are cut
-  into chunks along the order (``Segments``: equal slices of a measure such
-  as the timestamp, sized from each key's own row count, or an explicit
-  chunk column).  The window runs per (key, chunk); a small table of
-  per-chunk totals gives each chunk its offset.  With ``hot_rows`` only keys
-  above that many rows are cut (found by a partial count per key), so
-  ordinary keys cost one offset row each.
-* First occurrences are an aggregate (partial, map-side) plus a join back;
-  the aggregate side has one row per group, so AQE can split a skewed join
-  partition of the large side.
+  into chunks along the order (``Segments``), the window runs per (key,
+  chunk), and a small table of per-chunk totals gives each chunk its offset.
+  Chunks are cut at row ranks, not at equal widths: a seeded hash of the order
+  columns samples about ``OVERSAMPLE`` rows for each chunk of a key, and every
+  ``OVERSAMPLE``-th of them is a cut, so a burst at one timestamp is split by
+  the columns that break its ties.  Keys with few rows have no cut.
+* First occurrences are an aggregate (partial, map-side, on one packed order
+  value, so that it hashes) plus a join back; the aggregate side has one row
+  per group, so AQE can split a skewed join partition of the large side.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions._column import as_column as _col
 from pyspark.sql import types as T
 
+from tessera.functions._column import as_column as _col
+from tessera.operators.ordering import order_value
+
 
 def _order_cols(order: Sequence) -> list[Column]:
     return [_col(c) for c in order]
@@ -87,86 +89,54 @@ def wall_seconds(ts) -> Column:
     return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
-def epoch_seconds(ts) -> Column:
-    """Seconds since the epoch of a zoned ``timestamp`` (its wall clock can
-    go back at a daylight-saving change; the instant never does)."""
-    return F.unix_seconds(_col(ts))
-
-
-def time_measure(df: DataFrame, column: str) -> Column:
-    """A measure that never decreases along ``column`` (for ``Segments``):
-    wall-clock seconds of a ``timestamp_ntz``, epoch seconds of a zoned
-    ``timestamp``, the value itself for numbers."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return wall_seconds(column)
-    if isinstance(kind, T.TimestampType):
-        return epoch_seconds(column)
-    return F.col(column).cast("double")
-
-
 def minute_bucket(ts) -> Column:
     """Minutes since 1970-01-01 of a wall-clock timestamp, for use as a chunk."""
     return F.floor(wall_seconds(ts) / 60).cast("bigint")
 
 
+#: Sampled rows for each chunk; more of them make chunks more even.
+OVERSAMPLE = 16
+
+
 @dataclass(frozen=True)
 class Segments:
     """How a segmented scan cuts the rows of a key into chunks.
 
-    * ``measure``: a number that never decreases along the order (e.g.
-      ``wall_seconds(ts)`` or a position).  Each cut key gets about
-      ``rows / chunk_rows`` chunks of equal measure width, computed from its
-      own count, minimum and maximum, so chunks hold ~``chunk_rows`` rows
-      whatever the density of the key.
+    * ``chunk_rows``: about this many rows a chunk, whatever the spread of the
+      rows along the order;
     * ``chunk``: or an explicit chunk number that never decreases along the
       order (a day, a block of positions).
-    * ``hot_rows``: only keys with more rows than this are cut; every other
-      key is one chunk and costs one offset row.
     """
 
-    measure: Column | None = None
     chunk: Column | None = None
-    hot_rows: int | None = None
     chunk_rows: int = 250_000
 
 
-def _with_chunk(df: DataFrame, keys: Sequence[str], seg: Segments) -> DataFrame:
+def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segments) -> DataFrame:
     """Add ``_chunk`` (bigint, never NULL) as described by ``seg``.
 
-    Key statistics come from one partial aggregate per key.  With
-    ``hot_rows`` the statistics table holds only hot keys and is broadcast:
-    it has at most ``rows / hot_rows`` entries (a million keys per trillion
-    rows at the registry's setting), so its size is bounded by construction
-    and the large side is tagged without a shuffle.
+    The sampled rows of a key (``OVERSAMPLE`` / ``chunk_rows`` of its rows) become
+    one sorted array of cuts; keys without a cut have no row in that table.
+    Each row finds its chunk by a binary search in its key's array.  No count
+    and no job runs beforehand; AQE sees how small the table is.
     """
-    if seg.measure is None and seg.chunk is None:
-        raise ValueError("Segments needs a measure or a chunk")
-    # a NULL order value sorts first (ascending), so its chunk comes first too
-    explicit = F.coalesce(seg.chunk.cast("bigint"), F.lit(-(2 ** 63)).cast("bigint")) if seg.chunk is not None else None
-    if seg.measure is None and seg.hot_rows is None:
-        return df.withColumn("_chunk", explicit)
-    m = seg.measure.cast("double") if seg.measure is not None else None
-    aggs = [F.count("*").alias("_n")]
-    if m is not None:
-        aggs += [F.min(m).alias("_lo"), F.max(m).alias("_hi")]
-    stats = df.groupBy(*keys).agg(*aggs)
-    if seg.hot_rows is not None:
-        stats = F.broadcast(stats.where(F.col("_n") > seg.hot_rows))
-    tagged = _join_on_keys(df, stats.withColumn("_cut", F.lit(True)), keys, "left")
-    if m is None:
-        chunk = explicit
-    else:
-        n_chunks = F.ceil(F.col("_n") / F.lit(seg.chunk_rows))
-        span = F.col("_hi") - F.col("_lo")
-        pos = F.floor((m - F.col("_lo")) / span * n_chunks)
-        # least() skips NULLs, so a NULL measure is placed first explicitly
-        chunk = (F.when(m.isNull(), F.lit(-1)).when(span > 0, F.least(pos, n_chunks - 1))
-                 .otherwise(F.lit(0)).cast("bigint"))
-    # a key is wholly cut or not, so the constant 0 never mixes with real
-    # chunk numbers inside one key
-    out = tagged.withColumn("_chunk", F.when(F.col("_cut"), chunk).otherwise(F.lit(0).cast("bigint")))
-    return out.drop("_cut", "_n", *(["_lo", "_hi"] if m is not None else []))
+    if seg.chunk is not None:
+        # a NULL order value sorts first (ascending), so its chunk comes first too
+        return df.withColumn("_chunk", F.coalesce(seg.chunk.cast("bigint"), F.lit(-(2 ** 63)).cast("bigint")))
+    every = max(1, seg.chunk_rows // OVERSAMPLE)
+    step = max(1, seg.chunk_rows // every)
+    d = df.withColumn("_ord", order_value(df, order))
+    sampled = d.where(F.pmod(F.xxhash64("_ord"), F.lit(every)) == 0)
+    cuts = sampled.groupBy(*keys).agg(F.array_sort(F.collect_list("_ord")).alias("_s"))
+    cuts = cuts.select(*keys, F.filter("_s", lambda _, i: (i + 1) % step == 0).alias("_cuts")).where(F.size("_cuts") > 0)
+    tagged = _join_on_keys(d, cuts, keys, "left")
+    size = F.size("_cuts")
+    # number of cuts below or at the row, found from the highest bit down
+    below = F.aggregate(
+        F.array(*[F.lit(1 << b) for b in range(24, -1, -1)]), F.lit(0),
+        lambda at, b: F.when((at + b <= size) & (F.get("_cuts", at + b - 1) <= F.col("_ord")), at + b).otherwise(at))
+    chunk = F.when(F.col("_cuts").isNotNull(), below).otherwise(0).cast("bigint")
+    return tagged.withColumn("_chunk", chunk).drop("_ord", "_cuts")
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapping[str, Column],
@@ -188,7 +158,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Mapp
             out = out.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
         return out
 
-    d = _with_chunk(df, keys, segments)
+    d = _with_chunk(df, keys, order, segments)
     d, pk = _non_null_keys(d, keys)
     part = pk + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(Window.unboundedPreceding, upper)
@@ -216,12 +186,14 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence, value: s
     ordc = _order_cols(order)
     if segments is None:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*ordc)))
-    d = _with_chunk(df, keys, segments)
+    d = _with_chunk(df, keys, order, segments)
     d, pk = _non_null_keys(d, keys)
     part = pk + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*ordc)
     local = d.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(value).over(w))
-    lasts = local.groupBy(*part).agg(F.max_by(F.col(value), F.struct(*ordc)).alias("_last"))
+    # the last row of each chunk is the one without a next row: no aggregate
+    lasts = (d.withColumn("_next", F.lead(F.lit(True)).over(w)).where(F.col("_next").isNull())
+             .select(*part, F.col(value).alias("_last")))
     prev = lasts.select(*part, F.lag("_last").over(Window.partitionBy(*pk).orderBy("_chunk")).alias("_prev"))
     joined = local.join(prev, part)
     drop = ["_chunk", "_rn", "_lag", "_prev"] + [c for c in pk if c not in keys]
@@ -237,53 +209,44 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence, out: str =
 
 # ---- first occurrences ----------------------------------------------------
 
-def first_flags(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "is_first",
-                max_broadcast_groups: int | None = None) -> DataFrame:
+def first_flags(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "is_first") -> DataFrame:
     """``out`` is true on the first row of each group in ``order``.
 
-    The first row per group is found by a partial ``min(struct(order))``
-    aggregate and joined back (no window over a whole group).  With
-    ``max_broadcast_groups``, a probe counts the distinct groups on the group
-    columns alone; when there are at most that many, the one-row-per-group
-    table is broadcast and the large side is not shuffled at all.
+    The first row per group is a partial hash aggregate of one order value,
+    joined back (no window over a whole group).
     """
     group = list(group)
-    ordc = _order_cols(order)
-    firsts = df.groupBy(*group).agg(F.min(F.struct(*ordc)).alias("_first"))
-    if max_broadcast_groups is not None:
-        from tessera.operators.sizing import row_count_at_most
-        if row_count_at_most(df.select(*group).distinct(), max_broadcast_groups):
-            firsts = F.broadcast(firsts)
-    joined = _join_on_keys(df, firsts, group)
-    # NULL-safe: an order field that is NULL still identifies the first row
-    return joined.withColumn(out, F.struct(*ordc).eqNullSafe(F.col("_first"))).drop("_first")
+    d = df.withColumn("_ord", order_value(df, order))
+    firsts = d.groupBy(*group).agg(F.min("_ord").alias("_first"))
+    return _join_on_keys(d, firsts, group).withColumn(out, F.col("_ord") == F.col("_first")).drop("_first", "_ord")
 
 
 def repeat_flags(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                 out: str = "repeated", max_broadcast_groups: int | None = None) -> DataFrame:
+                 out: str = "repeated") -> DataFrame:
     """Was this value already seen earlier in the session?"""
-    flagged = first_flags(df, list(session) + [value], order, "_is_first", max_broadcast_groups)
+    flagged = first_flags(df, list(session) + [value], order, "_is_first")
     return flagged.withColumn(out, ~F.col("_is_first")).drop("_is_first")
 
 
-def first_claims(df: DataFrame, slot: Sequence[str], order: Sequence, out: str = "accepted",
-                 max_broadcast_groups: int | None = None) -> DataFrame:
+def first_claims(df: DataFrame, slot: Sequence[str], order: Sequence, out: str = "accepted") -> DataFrame:
     """First writer of a slot wins; later claims of the slot are rejected."""
-    return first_flags(df, slot, order, out, max_broadcast_groups)
+    return first_flags(df, slot, order, out)
 
 
 def first_valid(df: DataFrame, key: Sequence[str], order: Sequence, valid: Column,
                 out: str = "registered") -> DataFrame:
-    """A key is registered by its first *valid* row; invalid rows never take
-    the key, later valid rows are duplicates.  Adds ``out`` and ``reason``."""
-    d = df.withColumn("_valid", valid)
-    ok = first_flags(d.where(F.col("_valid")), key, order, "_win").select(*d.columns, "_win")
-    bad = d.where(~F.col("_valid")).withColumn("_win", F.lit(False))
-    both = ok.unionByName(bad)
-    return (both.withColumn(out, F.col("_win"))
+    """A key is registered by its first *valid* row; invalid rows (and rows
+    whose validity is NULL) never take the key, later valid rows are
+    duplicates.  Adds ``out`` and ``reason``."""
+    d = df.withColumn("_valid", F.coalesce(valid, F.lit(False)))
+    d = d.withColumn("_ord", order_value(d, order))
+    firsts = d.groupBy(*key).agg(F.min(F.when(F.col("_valid"), F.col("_ord"))).alias("_first"))
+    joined = _join_on_keys(d, firsts, list(key))
+    win = F.col("_valid") & (F.col("_ord") == F.col("_first"))
+    return (joined.withColumn(out, win)
             .withColumn("reason", F.when(~F.col("_valid"), F.lit("not_numeric"))
-                        .when(F.col("_win"), F.lit("ok")).otherwise(F.lit("duplicate")))
-            .drop("_valid", "_win"))
+                        .when(F.col(out), F.lit("ok")).otherwise(F.lit("duplicate")))
+            .drop("_valid", "_ord", "_first"))
 
 
 def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: str,
@@ -302,12 +265,11 @@ def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: s
 # ---- sessions replayed as games -------------------------------------------
 
 def running_counters(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                     targets: Sequence[str], segments: Segments | None = None,
-                     max_broadcast_groups: int | None = None) -> DataFrame:
+                     targets: Sequence[str], segments: Segments | None = None) -> DataFrame:
     """Running counts per session: ``step`` (all rows), ``n_new`` (values not
     seen before), ``n_miss`` (new values outside ``targets``; a repeated miss
     is not counted again)."""
-    flagged = first_flags(df, list(session) + [value], order, "is_new", max_broadcast_groups)
+    flagged = first_flags(df, list(session) + [value], order, "is_new")
     miss = ~F.col(value).isin(list(targets))
     return running_sums(flagged, session, order, {
         "step": F.lit(1).cast("bigint"),
@@ -317,14 +279,12 @@ def running_counters(df: DataFrame, session: Sequence[str], value: str, order: S
 
 
 def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                    targets: Sequence[str], miss_budget: int, segments: Segments | None = None,
-                    max_broadcast_groups: int | None = None) -> DataFrame:
+                    targets: Sequence[str], miss_budget: int, segments: Segments | None = None) -> DataFrame:
     """Per session: the step at which every target value has been seen, the
     step at which the miss budget is used up, and the outcome (whichever
     comes first; ``unfinished`` if neither).  ``min_steps`` = number of targets."""
     session = list(session)
-    c = running_counters(df, session, value, order, targets, segments=segments,
-                         max_broadcast_groups=max_broadcast_groups)
+    c = running_counters(df, session, value, order, targets, segments=segments)
     is_target_first = F.col("is_new") & F.col(value).isin(list(targets))
     per = c.groupBy(*session).agg(
         F.count("*").alias("n_steps"),
@@ -350,10 +310,17 @@ def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Se
 
 def first_last(df: DataFrame, keys: Sequence[str], order: Sequence, value: str,
                first: str = "first_value", last: str = "last_value") -> DataFrame:
-    """First and last ``value`` per key in ``order`` (partial aggregates)."""
-    ordc = F.struct(*_order_cols(order))
-    return df.groupBy(*keys).agg(F.min_by(F.col(value), ordc).alias(first),
-                                 F.max_by(F.col(value), ordc).alias(last))
+    """First and last ``value`` per key in ``order``.
+
+    The two order values per key are one partial hash aggregate; the values
+    are read from the rows that have them (two rows a key)."""
+    keys = list(keys)
+    d = df.select(*keys, F.col(value).alias("_v"), order_value(df, order).alias("_ord"))
+    ends = d.groupBy(*keys).agg(F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi"))
+    marked = _join_on_keys(d, ends, keys).where((F.col("_ord") == F.col("_lo")) | (F.col("_ord") == F.col("_hi")))
+    pair = F.array_sort(F.collect_list(F.struct("_ord", "_v")))
+    return marked.groupBy(*keys).agg(pair.alias("_p")).select(
+        *keys, F.get("_p", F.lit(0))["_v"].alias(first), F.element_at("_p", F.lit(-1))["_v"].alias(last))
 
 
 def global_ordinal(df: DataFrame, order: Sequence, out: str = "rank",

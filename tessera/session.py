@@ -55,7 +55,7 @@ def build_session(
 
 
 def partition_settings(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20,
-                       max_partitions: int = 100_000) -> dict[str, str]:
+                       max_partitions: int = 1_000_000) -> dict[str, str]:
     """Scan-split and shuffle sizes for a job over ``input_bytes`` on
     ``total_cores`` task slots, so that partitions stay near ``target_bytes``
     (they must fit in one task's share of executor memory when sorted or
@@ -63,8 +63,8 @@ def partition_settings(input_bytes: int, total_cores: int, target_bytes: int = 2
     case (shuffle as large as the input) and AQE coalesces small ones and
     splits skewed ones at run time.
 
-    100 TB on 8,000 cores: 256 MB splits, 100,000 initial shuffle partitions
-    (capped), AQE target 256 MB, skew threshold 1 GB.
+    100 TB on 8,000 cores: 256 MB splits, about 410,000 initial shuffle
+    partitions, AQE target 256 MB, skew threshold 1 GB.
     """
     partitions = max(2 * total_cores, min(max_partitions, -(-input_bytes // target_bytes)))
     return {

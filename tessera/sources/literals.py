@@ -1,7 +1,6 @@
 """Constant lists and dicts as tables, integer ranges and seeded random values.
 
-Literal tables are small by construction; ``bounded_broadcast`` still
-checks their size before they are broadcast.  Random values are a hash
+Literal tables are small by construction.  Random values are a hash
 of (seed, key), so they do not depend on partitioning and a re-run task
 produces the same rows.
 """
@@ -52,6 +51,13 @@ def seeded_unit_hash(seed: int, *keys) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def seeded_fine_hash(seed: int, *keys) -> Column:
+    """A number in (0, 1) from 52 bits of md5(seed, keys), exact in a double."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string")
+                                                for k in keys])
+    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(2**52))
+
+
 def seeded_choice_step(seed: int, keys: list, start: int, stop: int, step: int) -> Column:
     """``random.randrange(start, stop, step)`` drawn per row from a seeded hash."""
     n = (stop - start + step - 1) // step

@@ -23,7 +23,7 @@ def test_empty_inputs(spark):
     ev = spark.createDataFrame([], EVENT_SCHEMA)
     assert windows.coverage_replay(ev, ["session"], "v", ["step"], ["a"], 1).count() == 0
     assert windows.running_counters(ev, ["session"], "v", ["step"], ["a"],
-                                    segments=windows.Segments(measure=F.col("step"), hot_rows=10)).count() == 0
+                                    segments=windows.Segments(chunk_rows=10)).count() == 0
     cards = spark.createDataFrame([], "hand long, v int")
     assert folds.hand_values(cards, ["hand"], F.col("v"), F.lit(False)).count() == 0
     assert agg.value_counts(spark.createDataFrame([], "pos long, x string"), "x", ["pos"]).count() == 0
@@ -75,7 +75,7 @@ def test_floor_arithmetic_follows_python(spark, pairs):
 def test_partition_settings():
     from tessera.session import partition_settings
     big = partition_settings(100 * 2 ** 40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"
     assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
     assert partition_settings(10 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.strings import normalise_key
 from tessera.operators import relational
-from tessera.operators.sizing import bounded_broadcast, row_count_at_most
 from tessera.sources import cards
 
 
@@ -65,16 +64,6 @@ def test_lookup_keeps_misses(spark):
     assert got == [("Artur", "1980-03-14", True), ("Ewa", "1988-04-13", True), ("Jan", "not found", False)]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert row_count_at_most(small, 10) and not row_count_at_most(big, 10)
-    hinted = bounded_broadcast(small, 10)
-    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-    assert bounded_broadcast(big, 10) is big
-
-
 def test_deck_product_and_first_five(spark):
     ranks = spark.createDataFrame([(i, r) for i, r in enumerate(cards.RANKS)], "rank_no int, rank string")
     deck = relational.with_each(ranks, "suit", cards.SUITS, position="suit_no")

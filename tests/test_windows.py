@@ -36,9 +36,9 @@ def test_hot_key_only_segmentation(spark):
     df = _skewed(spark)
     order = ["t", "event_id"]
     plain = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
-    hot = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=Segments(chunk=F.floor(F.col("t") / 50), hot_rows=5000))
+    hot = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=Segments(chunk_rows=700))
     assert rows(plain, "event_id", "rs") == rows(hot, "event_id", "rs")
-    lag_hot = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(chunk=F.floor(F.col("t") / 50), hot_rows=5000))
+    lag_hot = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(chunk_rows=700))
     ref = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
     assert rows(lag_hot, "event_id", "prev") == rows(ref, "event_id", "prev")
 
@@ -138,29 +138,49 @@ def test_global_ordinal_over_shuffled_input(spark):
     assert rows(got, "k", "rank") == expected
 
 
-def test_adaptive_segments_equal_window(spark):
-    # chunks sized from each key's own count: the hot key (10,000 rows) gets
-    # ~10,000 / 700 chunks of equal width in t, the others stay whole
+def test_chunks_follow_row_ranks_equal_window(spark):
     df = _skewed(spark)
     order = ["t", "event_id"]
-    seg = Segments(measure=F.col("t"), hot_rows=5000, chunk_rows=700)
+    seg = Segments(chunk_rows=700)
     got = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=seg)
     ref = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
     assert rows(got, "event_id", "rs") == rows(ref, "event_id", "rs")
-    lag = windows.previous_value(df, ["k"], order, "s", "prev", segments=Segments(measure=F.col("t"), chunk_rows=700))
+    lag = windows.previous_value(df, ["k"], order, "s", "prev", segments=seg)
     ref_lag = df.withColumn("prev", F.lag("s").over(Window.partitionBy("k").orderBy(*order)))
     assert rows(lag, "event_id", "prev") == rows(ref_lag, "event_id", "prev")
-    chunks = windows._with_chunk(df, ["k"], seg).where(F.col("k") == 0).select("_chunk").distinct().count()
-    assert 10 <= chunks <= 15
+
+
+def test_bunched_hot_keys_are_cut(spark):
+    # key 0: 20,000 rows at one timestamp; key 1: one row in 2020, 19,999 in 2024
+    one = F.lit("2024-03-01 12:00:00").cast("timestamp_ntz")
+    old = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    df = spark.range(40000).select(
+        F.col("id"), (F.col("id") % 2).alias("k"), (F.col("id") % 13).alias("v"),
+        F.when((F.col("id") == 1), old).otherwise(one).alias("ts"))
+    seg = Segments(chunk_rows=500)
+    sizes = [r["count"] for r in windows._with_chunk(df, ["k"], ["ts", "id"], seg).groupBy("k", "_chunk").count().collect()]
+    assert max(sizes) < 1500 and 50 <= len(sizes) <= 130
+    got = windows.running_sums(df, ["k"], ["ts", "id"], {"rs": F.col("v")}, segments=seg)
+    ref = windows.running_sums(df, ["k"], ["ts", "id"], {"rs": F.col("v")})
+    assert rows(got, "id", "rs") == rows(ref, "id", "rs")
+
+
+def test_order_values_sort_like_their_columns(spark):
+    from tessera.operators.ordering import order_value, unpacked
+    df = spark.sql("""select * from values (timestamp_ntz'2024-01-01 10:00:00.000001', -5L), (timestamp_ntz'2024-01-01 10:00:00.000001', 9223372036854775807L),
+      (timestamp_ntz'1960-12-31 23:59:59.999999', -9223372036854775808L), (null, 3L), (timestamp_ntz'2024-01-01 10:00:00', null), (null, null) as t(ts, id)""")
+    by_value = [tuple(r) for r in df.withColumn("o", order_value(df, ["ts", "id"])).orderBy("o").select("ts", "id").collect()]
+    assert by_value == [tuple(r) for r in df.orderBy("ts", "id").collect()]
+    pairs = [(0, 0), (2**61, -2**63), (-2**61, 2**63 - 1), (7, -1)]
+    ints = spark.createDataFrame(pairs, "a long, b long")
+    assert [tuple(r) for r in ints.select(*unpacked(order_value(ints, ["a", "b"]))).collect()] == pairs
 
 
 def test_segments_keep_rows_with_null_order_values(spark):
     df = _skewed(spark).withColumn("t", F.when(F.col("event_id") % 101 == 0, F.lit(None)).otherwise(F.col("t")))
     order = ["t", "event_id"]
     ref = windows.running_sums(df, ["k"], order, {"rs": F.col("v")})
-    for seg in (Segments(measure=F.col("t"), hot_rows=5000, chunk_rows=700),
-                Segments(chunk=F.floor(F.col("t") / 50)),
-                Segments(chunk=F.floor(F.col("t") / 50), hot_rows=5000)):
+    for seg in (Segments(chunk=F.floor(F.col("t") / 50)), Segments(chunk_rows=700)):
         got = windows.running_sums(df, ["k"], order, {"rs": F.col("v")}, segments=seg)
         assert got.count() == df.count()
         assert rows(got, "event_id", "rs") == rows(ref, "event_id", "rs")
@@ -172,19 +192,23 @@ def test_first_flags_with_null_order_value(spark):
     assert rows(out, "id", "is_first") == [(10, True), (11, False), (12, True)]
 
 
-def test_time_measure_never_goes_back_across_dst(spark):
-    # zoned timestamps around a fall-back change: the wall clock repeats an
-    # hour, the epoch measure keeps increasing
+def test_first_valid_keeps_rows_of_unknown_validity(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", True), (3, "a", False), (4, None, True), (5, None, True)], "seq long, k string, ok boolean")
+    out = windows.first_valid(df, ["k"], ["seq"], F.col("ok"))
+    assert rows(out, "seq", "registered", "reason") == [(1, False, "not_numeric"), (2, True, "ok"), (3, False, "not_numeric"),
+                                                        (4, True, "ok"), (5, False, "duplicate")]
+
+
+def test_order_by_zoned_timestamps_across_dst(spark):
+    # the wall clock repeats an hour at a fall-back change, the order does not
+    from tessera.operators.ordering import order_value
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         df = spark.createDataFrame([(i,) for i in range(6)], "i int").select(
             "i", F.to_utc_timestamp(F.lit("2024-11-03 05:00:00"), "UTC").alias("base"))
         df = df.select("i", (F.col("base") + F.make_dt_interval(F.lit(0), F.col("i") * 30)).alias("ts"))
-        got = [r["m"] for r in df.select("i", windows.time_measure(df, "ts").alias("m")).orderBy("i").collect()]
+        got = [r["m"] for r in df.select("i", order_value(df, ["ts"]).alias("m")).orderBy("i").collect()]
         assert got == sorted(got) and len(set(got)) == len(got)
-        # the local wall clock alone would go back by an hour here
-        wall = [r["w"] for r in df.select("i", F.hour("ts").alias("w")).orderBy("i").collect()]
-        assert wall != sorted(wall)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -192,7 +216,7 @@ def test_time_measure_never_goes_back_across_dst(spark):
 def test_segmented_counters_and_parity_on_events(spark):
     # thresholds small enough that most users / days are cut into chunks
     e = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", "user_id", "ts", "event_type")
-    seg = Segments(measure=windows.wall_seconds("ts"), hot_rows=30, chunk_rows=10)
+    seg = Segments(chunk_rows=10)
     targets = ["signup", "purchase", "view"]
     order = ["ts", "event_id"]
     a = windows.running_counters(e, ["user_id"], "event_type", order, targets, segments=seg)

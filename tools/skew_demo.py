@@ -54,8 +54,7 @@ def main() -> None:
     cents = F.round(F.col("value") * 100).cast("bigint")
     plain = windows.running_sums(big, ["user_id"], order, {"rs": cents})
     seg = windows.running_sums(big, ["user_id"], order, {"rs": cents},
-                               segments=windows.Segments(measure=windows.wall_seconds("ts"), hot_rows=1_000_000,
-                                                         chunk_rows=250_000))
+                               segments=windows.Segments(chunk_rows=250_000))
 
     tracker = spark.sparkContext.statusTracker()
     stages_of: dict[str, set] = {}
