@@ -11,12 +11,26 @@ from tessera.session import require_checkpoint_dir
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    return f"{require_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-
-
-def file_stream(spark: SparkSession, source: str, schema: str, fmt: str, files_per_trigger: int,
-                 glob: str | None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    """A new folder; Spark removes it when the driver's JVM ends."""
+    path = f"{require_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path
+
+
+def file_stream(spark: SparkSession, source: str, schema: str, fmt: str, files_per_trigger: int | None,
+                glob: str | None) -> DataFrame:
+    """A stream over a folder of files or over one file.
+
+    A file source takes folders or patterns; the last character of the path
+    is written as a pattern, which matches a table in either shape.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(source)
+        return reader.option("pathGlobFilter", glob).load(source)
+    path = source.rstrip("/")
+    return reader.load(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")

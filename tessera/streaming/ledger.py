@@ -1,84 +1,81 @@
 """Structured Streaming form of the ledger fold.
 
-An ``availableNow`` query over a file source (a folder of files, optionally
-narrowed by a glob; micro-batches bounded by ``maxFilesPerTrigger``) keeps
-per-account state with ``applyInPandasWithState``, writes every
-micro-batch with ``foreachBatch`` to a folder under the session's
-checkpoint folder, and returns the latest totals as a batch DataFrame.
-Streaming state and progress live in the same shared folder, so a lost
-executor or a restarted driver resumes from the last committed batch.
+An ``availableNow`` query over a file source runs the batch fold
+(``folds.ledger``) on every micro-batch, opened with the balances stored so
+far.  The accounts a micro-batch changed are added as a new folder under the
+session's checkpoint folder (a replayed batch replaces only its own); the
+latest row per account is the state.  Rows are streamed through the sorted
+fold, so an account of any size never stands in memory.
+
+Events must arrive in order.  One that comes before the last event applied to
+its account cannot be applied any more: it goes to a table of late events
+and is counted in ``n_late``.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tessera.operators.folds import AccountState, walk_account
+from tessera.operators.folds import TOTALS, ledger
+from tessera.operators.ordering import order_value
+from tessera.operators.windows import _join_on_keys
 from tessera.streaming._common import file_stream, run_dir
 
+_COUNTS = [c for c in TOTALS if c != "balance"] + ["n_late"]
+
 
 def stream_ledger(spark: SparkSession, source: str, schema: str, account: str, order: Sequence[str],
                   kind: str, amount_cents_expr: str, deposit_kinds: Sequence[str],
-                  withdraw_kinds: Sequence[str], files_per_trigger: int = 1, fmt: str = "parquet",
+                  withdraw_kinds: Sequence[str], files_per_trigger: int | None = 1000, fmt: str = "parquet",
                   glob: str | None = None) -> DataFrame:
-    """The guarded ledger of ``folds.ledger`` with per-account state kept by
-    ``applyInPandasWithState``; returns the latest totals per account.
+    """Totals per account as ``folds.ledger`` gives them, and ``n_late``.
 
-    Within a micro-batch an account's events are sorted by ``order``;
-    micro-batches are assumed to arrive in time order.
+    ``order`` is one or two whole-number, date or timestamp columns.  Within a
+    micro-batch events are sorted; ``DataFrame.late_events`` of the result is the
+    table of late ones.
     """
     base = run_dir(spark, "ledger")
-    out = f"{base}/table"
     kinds = list(deposit_kinds) + list(withdraw_kinds)
     stream = file_stream(spark, source, schema, fmt, files_per_trigger, glob)
-    ev = (stream.where(F.col(kind).isin(kinds))
-          .select(F.col(account), *[F.col(c) for c in order],
-                  F.col(kind).isin(list(withdraw_kinds)).alias("_w"),
-                  F.expr(amount_cents_expr).cast("bigint").alias("_amt")))
-    acct_type = stream.schema[account].dataType.simpleString()
-    out_schema = (f"{account} {acct_type}, balance bigint, n_deposits bigint, n_withdrawals bigint, "
-                  "n_rejected bigint, rejected_amount bigint")
-    state_schema = "bal long, dep long, wd long, rej long, rej_amt long"
-    order_cols = list(order)
-
-    def update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order_cols, kind="stable")
-        prev = state.get if state.exists else (0, 0, 0, 0, 0)
-        # the walk of folds.ledger, continued from the stored state
-        s = AccountState(key[0], *[int(x) for x in prev])
-        amt = pdf["_amt"].to_numpy(dtype=np.int64)
-        is_w = pdf["_w"].to_numpy(dtype=bool)
-        n = len(pdf)
-        walk_account(np.where(is_w, -amt, amt), is_w, amt >= 0, s,
-                     np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64))
-        state.update((s.balance, s.deposits, s.withdrawals, s.rejected, s.rejected_amount))
-        yield pd.DataFrame([s.totals()],
-                           columns=[account, "balance", "n_deposits", "n_withdrawals", "n_rejected",
-                                    "rejected_amount"])
+    events = stream.where(F.col(kind).isin(kinds)).select(
+        account, *order, F.col(kind), F.expr(amount_cents_expr).cast("bigint").alias("_amt"))
+    acct = events.select(account).schema[0].dataType.simpleString()
+    state_schema = (f"`{account}` {acct}, balance bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
+                    + ", _last decimal(38,0), batch bigint")
+    late_schema = events.schema
+    spark.createDataFrame([], state_schema).write.parquet(f"{base}/state/b=-1")
+    spark.createDataFrame([], late_schema).write.parquet(f"{base}/late/b=-1")
 
-    totals = ev.groupBy(account).applyInPandasWithState(update, out_schema, state_schema, "update",
-                                                        GroupStateTimeout.NoTimeout)
+    def latest(before: int | None = None) -> DataFrame:
+        rows = spark.read.schema(state_schema).parquet(f"{base}/state").select(account, "balance", *_COUNTS, "_last", "batch")
+        if before is not None:
+            rows = rows.where(F.col("batch") < before)
+        newest = rows.groupBy(account).agg(F.max("batch").alias("_newest"))
+        return _join_on_keys(rows, newest, [account]).where(F.col("batch") == F.col("_newest")).drop("batch", "_newest")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
+        known = latest(batch_id).select(account, F.col("balance").alias("_open"), *[F.col(c).alias(f"_{c}") for c in _COUNTS],
+                                        F.col("_last").alias("_before"))
+        ordered = batch.withColumn("_ord", order_value(batch, order).cast("decimal(38,0)"))
+        joined = _join_on_keys(ordered, known, [account], "left")
+        late = F.coalesce(F.col("_ord") <= F.col("_before"), F.lit(False))
+        joined.where(late).select(*batch.columns).write.mode("overwrite").parquet(f"{base}/late/b={batch_id}")
+        folded = ledger(joined.where(~late), account, order, kind, F.col("_amt"), deposit_kinds, withdraw_kinds, opening="_open")
+        lasts = joined.groupBy(account).agg(F.max(F.when(~late, F.col("_ord"))).alias("_now"), F.count_if(late).alias("_late"))
+        changed = _join_on_keys(_join_on_keys(lasts, folded, [account], "left"), known, [account], "left")
+        totals = [(F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_{c}"), F.lit(0))).alias(c) for c in _COUNTS[:-1]]
+        state = changed.select(
+            account, F.coalesce("balance", "_open", F.lit(0)).cast("bigint").alias("balance"), *totals,
+            (F.col("_late") + F.coalesce("_n_late", F.lit(0))).cast("bigint").alias("n_late"),
+            F.coalesce("_now", "_before").alias("_last"), F.lit(batch_id).cast("bigint").alias("batch"))
+        state.write.mode("overwrite").parquet(f"{base}/state/b={batch_id}")
 
-    q = (totals.writeStream.outputMode("update").foreachBatch(write)
+    q = (events.writeStream.outputMode("append").foreachBatch(write)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    rows = spark.read.parquet(out)
-    latest = F.max_by(F.struct(*[c for c in rows.columns if c not in (account, "batch_id")]), F.col("batch_id"))
-    return rows.groupBy(account).agg(latest.alias("_s")).select(account, "_s.*")
-
-
-# Functions of this module run inside Python workers (applyInPandasWithState).
-# They are pickled by value, so executors need numpy and pandas but not this
-# package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    out = latest().select(account, *TOTALS, "n_late")
+    out.late_events = spark.read.schema(late_schema).parquet(f"{base}/late")
+    return out

@@ -43,4 +43,4 @@ def test_stream_ledger_equals_batch_fold_over_micro_batches(spark, scratch):
                                "round(value * 100)", ["signup"], ["purchase"], glob="batch*.parquet")
     batch = folds.ledger(e, "user_id", ["ts", "event_id"], "event_type", F.round(F.col("value") * 100),
                          ["signup"], ["purchase"])
-    assert rows(out) == rows(batch)
+    assert rows(out.drop("n_late")) == rows(batch)
