@@ -1,53 +1,99 @@
 """Headings of HTML pages held in a string column (no network fetch).
 
-Headings are found with JVM regular expressions, so the work stays in
-whole-stage code and no Python worker is started.  A heading that holds a
-link gives the link text, otherwise its first text child; newlines become
-blanks, the result is stripped and the five XML entities are decoded.
+Pages are read by Python's HTML parser in Arrow batches, which knows comments,
+scripts, any quoting, nesting and all character references.  A heading that
+holds a link gives the link text, otherwise its first text child; newlines of
+a link text become blanks and the result is stripped.
 """
 
 from __future__ import annotations
 
-import re
+import sys
+from collections.abc import Iterator
+from html.parser import HTMLParser
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions.strings import html_unescape_basic, py_strip
 
+class _Open:
+    """A heading whose end has not been read yet."""
 
-def heading_pattern(tag: str | None = None, css_class: str | None = None) -> str:
-    """Regex whose group 1 is the inner HTML of each matching element."""
-    if (tag is None) == (css_class is None):
-        raise ValueError("give exactly one of tag or css_class")
-    if tag is not None:
-        t = re.escape(tag)
-        return f"(?is)<{t}(?:\\s[^>]*)?>(.*?)</{t}\\s*>"
-    c = re.escape(css_class)
-    # element of any tag whose class list holds the class; closed by the same tag
-    return (f"(?is)<([a-z][a-z0-9]*)\\s[^>]*class\\s*=\\s*\"(?:[^\"]*\\s)?{c}(?:\\s[^\"]*)?\"[^>]*>"
-            f"(.*?)</\\1\\s*>")
+    def __init__(self, place: int, tag: str):
+        self.place, self.tag, self.depth = place, tag, 1
+        self.first, self.children = "", False
+        self.link, self.in_link = None, False
 
 
-def heading_text(inner: Column) -> Column:
-    """Text of one heading from its inner HTML."""
-    link = F.regexp_extract(inner, "(?is)<a(?:\\s[^>]*)?>(.*?)</a\\s*>", 1)
-    has_link = inner.rlike("(?is)<a(?:\\s[^>]*)?>")
-    link_text = F.regexp_replace(link, "<[^>]*>", "")
-    first_child = F.regexp_extract(inner, "^([^<]*)", 1)
-    text = F.when(has_link, F.replace(link_text, F.lit("\n"), F.lit(" "))).otherwise(first_child)
-    return html_unescape_basic(py_strip(text))
+class HeadingParser(HTMLParser):
+    """Texts of the closed elements of one tag or one class, in the order of
+    their beginnings."""
+
+    def __init__(self, tag: str | None, css_class: str | None):
+        super().__init__(convert_charrefs=True)
+        self.tag, self.css_class = tag, css_class
+        self.open: list[_Open] = []
+        self.found: list[str | None] = []
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        for h in self.open:
+            h.children = True
+            h.depth += tag == h.tag
+            if tag == "a" and h.link is None:
+                h.link, h.in_link = "", True
+        if tag == self.tag if self.tag else self.css_class in (dict(attrs).get("class") or "").split():
+            self.open.append(_Open(len(self.found), tag))
+            self.found.append(None)
+
+    def handle_endtag(self, tag: str) -> None:
+        for h in self.open:
+            if tag == "a":
+                h.in_link = False
+            h.depth -= tag == h.tag
+            if h.depth == 0:
+                text = h.first if h.link is None else h.link.replace("\n", " ")
+                self.found[h.place] = text.strip()
+        self.open = [h for h in self.open if h.depth]
+
+    def handle_data(self, data: str) -> None:
+        for h in self.open:
+            if h.in_link:
+                h.link += data
+            if not h.children:
+                h.first += data
+
+
+def heading_texts(page: str, tag: str | None = None, css_class: str | None = None) -> list[str]:
+    """Heading texts of one page; elements that never end are left out."""
+    parser = HeadingParser(tag, css_class)
+    parser.feed(page)
+    parser.close()
+    return [t for t in parser.found if t is not None]
 
 
 def headings(df: DataFrame, html_col: str, keys: list[str], tag: str | None = "h1",
              css_class: str | None = None, out: str = "heading") -> DataFrame:
-    """``keys + [heading_no, heading]``; a page without a heading keeps one
-    row with NULLs (a miss is reported, not dropped)."""
+    """``keys + [heading_no, heading]``; a page without a heading (or without
+    text) keeps one row with NULLs (a miss is reported, not dropped)."""
     if css_class is not None:
         tag = None
-    pattern = heading_pattern(tag, css_class)
-    group = 1 if tag is not None else 2
-    inners = F.regexp_extract_all(F.col(html_col), F.lit(pattern), group)
-    exploded = df.select(*keys, F.posexplode_outer(inners).alias("_pos", "_inner"))
-    return exploded.select(*keys, (F.col("_pos") + 1).cast("bigint").alias("heading_no"),
-                           F.when(F.col("_inner").isNotNull(), heading_text(F.col("_inner"))).alias(out))
+    elif tag is None:
+        raise ValueError("give a tag or a css_class")
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("_found", T.ArrayType(T.StringType()))])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [heading_texts(p or "", tag, css_class) for p in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.string()))], names=names)
+
+    parsed = df.select(*keys, html_col).mapInArrow(run, schema)
+    exploded = parsed.select(*keys, F.posexplode_outer("_found").alias("_pos", out))
+    return exploded.select(*keys, (F.col("_pos") + 1).cast("bigint").alias("heading_no"), out)
+
+
+# Used inside Python workers, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

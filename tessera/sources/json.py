@@ -7,17 +7,29 @@ from pyspark.sql import functions as F
 
 
 def json_entries(df: DataFrame, json_col: str, keys: list[str],
-                 key: str = "key", value: str = "value") -> DataFrame:
+                 key: str = "key", value: str = "value", reason: str | None = None) -> DataFrame:
     """One row per entry of a JSON object held in ``json_col``.
 
-    Values are kept as text (numbers as their digits); a row whose text is
-    not a JSON object yields no entries.
+    Values are kept as text (numbers as their digits); of entries that repeat
+    a key the last stays.  With ``reason``, a row without entries is kept too,
+    with NULL key and value: ``no_text``, ``not_an_object`` or ``empty`` (entries
+    have ``ok``); without, it yields nothing.
     """
-    parsed = F.from_json(F.col(json_col), "map<string,string>")
+    parsed = df.select(*keys, F.col(json_col).isNull().alias("_none"), F.from_json(F.col(json_col), "map<string,string>").alias("_m"))
+    entries = F.map_entries("_m")
+    names = F.map_keys("_m")
+    # most objects repeat no key; only those that do are searched
+    last = F.filter(entries, lambda e, i: F.array_position(F.slice(names, i + 2, F.size(names)), e["key"]) == 0)
+    chosen = F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(last)
     # outer form + NULL filter: a plain explode makes Catalyst infer a
     # size(map) > 0 filter and parse every JSON text twice
-    return (df.select(*keys, F.explode_outer(parsed).alias(key, value))
-            .where(F.col(key).isNotNull()))
+    rows = parsed.select(*keys, "_none", F.col("_m").isNull().alias("_bad"), F.explode_outer(chosen).alias("_e"))
+    out = rows.select(*keys, F.col("_e.key").alias(key), F.col("_e.value").alias(value), "_none", "_bad", F.col("_e").isNull().alias("_no"))
+    if reason is None:
+        return out.where(~F.col("_no")).select(*keys, key, value)
+    why = (F.when(F.col("_none"), "no_text").when(F.col("_bad"), "not_an_object")
+           .when(F.col("_no"), "empty").otherwise("ok"))
+    return out.select(*keys, key, value, why.alias(reason))
 
 
 def read_json_object(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
@@ -26,6 +38,12 @@ def read_json_object(spark: SparkSession, path: str, key: str = "key", value: st
     return json_entries(raw, "value", [], key, value)
 
 
+def read_json_objects(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
+    """A file of JSON lines, one object each, as key/value rows."""
+    raw = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
+    return json_entries(raw, "value", ["_line"], key, value).drop("_line")
+
+
 def entries_to_json(df: DataFrame, group: list[str], key: str, value: str, out: str = "json",
                     style: str = "compact", order_by: str | None = None) -> DataFrame:
     """One JSON object per group.

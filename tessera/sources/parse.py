@@ -39,17 +39,16 @@ def parse_number(text, kind: str = "int") -> Column:
     return fn(_col(text))
 
 
-def move_reason(text, size, delimiter: str = ",") -> Column:
-    """Reason a ``row<delimiter>col`` move is rejected, or ``ok``.
+def move_fields(df, move: str, amount: str, delimiter: str = ","):
+    """``df`` with the parsed fields of a ``row<delimiter>col`` move and of an
+    amount, each parsed once: ``_n, _a, _b, _amount``."""
+    parts = df.withColumn("_parts", split_literal(F.col(move), delimiter))
+    return parts.withColumns({
+        "_n": F.size("_parts"), "_a": parse_int(F.try_element_at("_parts", F.lit(1))),
+        "_b": parse_int(F.try_element_at("_parts", F.lit(2))), "_amount": parse_int_floor(F.col(amount))}).drop("_parts")
 
-    Rules in order: exactly two fields, both integers, each in 1..size.
-    Only a two-field move reaches the integer rules, so just its two fields
-    are parsed (plain expressions, no per-element lambda).
-    """
-    parts = split_literal(_col(text), delimiter)
-    n = F.size(parts)
-    a = parse_int(F.try_element_at(parts, F.lit(1)))
-    b = parse_int(F.try_element_at(parts, F.lit(2)))
+
+def _move(n: Column, a: Column, b: Column, size) -> Column:
     return (F.when(n < 2, F.lit("too_few"))
             .when(n > 2, F.lit("too_many"))
             .when(a.isNull() | b.isNull(), F.lit("not_integer"))
@@ -58,11 +57,31 @@ def move_reason(text, size, delimiter: str = ",") -> Column:
             .otherwise(F.lit("ok")))
 
 
-def amount_reason(amount_text, limit) -> Column:
-    """Reason an amount (text) is rejected against the limit held by the row:
-    not a number, negative, above the limit, or ``ok``."""
-    value = parse_int_floor(_col(amount_text))
+def _amount(value: Column, limit) -> Column:
     return (F.when(value.isNull(), F.lit("not_number"))
             .when(value < 0, F.lit("negative"))
             .when(value > _col(limit), F.lit("above_limit"))
             .otherwise(F.lit("ok")))
+
+
+def move_reason(text, size, delimiter: str = ",") -> Column:
+    """Reason a ``row<delimiter>col`` move is rejected, or ``ok``: exactly two
+    fields, both integers, each in 1..size, checked in this order."""
+    parts = split_literal(_col(text), delimiter)
+    return _move(F.size(parts), parse_int(F.try_element_at(parts, F.lit(1))), parse_int(F.try_element_at(parts, F.lit(2))), size)
+
+
+def move_reason_of(size) -> Column:
+    """``move_reason`` of fields parsed by ``move_fields``."""
+    return _move(F.col("_n"), F.col("_a"), F.col("_b"), size)
+
+
+def amount_reason(amount_text, limit) -> Column:
+    """Reason an amount (text) is rejected against the limit held by the row:
+    not a number, negative, above the limit, or ``ok``."""
+    return _amount(parse_int_floor(_col(amount_text)), limit)
+
+
+def amount_reason_of(limit) -> Column:
+    """``amount_reason`` of an amount parsed by ``move_fields``."""
+    return _amount(F.col("_amount"), limit)

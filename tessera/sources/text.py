@@ -43,6 +43,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
               .agg(F.count("*").alias("_n"), F.min("_row").alias("_first")))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # one row per split: Spark broadcasts it where it is small
     return (raw.join(splits.select("file", "_block", "_first", "_offset"), ["file", "_block"])
             .select("file",
                     (F.col("_offset") + F.col("_row") - F.col("_first") + 1).cast("bigint").alias("line_no"),
@@ -52,13 +53,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def typed_lines(df: DataFrame, value_col: str, out: str = "value", strict: bool = True) -> DataFrame:
     """Lines to integers, surrounding blanks tolerated.
 
-    ``strict``: a bad line fails the job (ANSI cast, as ``int(line)`` raises);
+    ``strict``: a bad line fails the job, as ``int(line)`` raises;
     otherwise the value is NULL and ``is_valid`` is false.
     """
     text = F.col(value_col)
-    if strict:
-        return df.withColumn(out, F.trim(text).cast("bigint"))
     value = parse_int(text)
+    if strict:
+        bad = text.isNotNull() & value.isNull()
+        message = F.concat(F.lit("not an integer: "), text)
+        return df.withColumn(out, F.when(bad, F.raise_error(message)).otherwise(value))
     return df.withColumn(out, value).withColumn("is_valid", value.isNotNull())
 
 
