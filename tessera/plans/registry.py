@@ -22,7 +22,7 @@ from tessera.functions import dates, numbers, strings
 from tessera.functions.numbers import FLOAT_TEXT, INT_TEXT
 from tessera.functions.strings import LINE_BREAK_REGEX, PY_WHITESPACE, WHITESPACE_CLASS
 from tessera.operators import aggregates as agg
-from tessera.operators import folds, relational, sampling, sizing, windows
+from tessera.operators import folds, relational, sampling, windows
 from tessera.sources import cards, html, literals, parse, text
 from tessera.sources import json as jsn
 from tessera.session import Tables, ensure_checkpoint_dir
@@ -42,21 +42,26 @@ def register(op_id: str, sql: str | None = None):
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder.  Only a local session that names
-    none gets a scratch folder; a cluster session must name a shared one
+    """The session's checkpoint folder.  Only a session on one machine that
+    names none gets a scratch folder; a cluster session must name a shared one
     (``spark.checkpoint.dir``), never a machine-local folder."""
     from tessera.session import checkpoint_dir
     current = checkpoint_dir(spark)
     if current:
         return ensure_checkpoint_dir(spark, current)
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster session")
     return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tessera-ckpt-"))
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the session's checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder under the session's checkpoint folder, removed when the
+    driver's JVM ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 # ---- SQL fragments mirroring the Spark expressions ---------------------------
@@ -96,6 +101,11 @@ def sql_md5_unit(seed: int, *keys: str) -> str:
     return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / 4294967296.0)"
 
 
+def sql_md5_fine(seed: int, *keys: str) -> str:
+    text = "concat_ws(':', '" + str(seed) + "', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
+    return f"((CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
 def sql_md5_key(seed: int, *keys: str) -> str:
     return "md5(concat_ws(':', '" + str(seed) + "', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + "))"
 
@@ -135,19 +145,12 @@ def _hands(t: Tables) -> DataFrame:
                              F.col("rank") == cards.FLEXIBLE_RANK, cards.BLACKJACK)
 
 
-# Keys (a user, a day) with more rows than this are cut by the segmented
-# scans into chunks of about CHUNK_ROWS rows along the timestamp; smaller
-# keys are one window partition each.
-HOT_KEY_ROWS = 1_000_000
+# Rows of a key (a user, a day) that one task of a segmented scan sorts.
 CHUNK_ROWS = 250_000
-# A one-row-per-group table with at most this many groups (proven by a
-# distinct count on the group columns) is broadcast.
-MAX_BROADCAST_GROUPS = 100_000
 
 
-def _time_segments() -> windows.Segments:
-    # events.ts is a timestamp_ntz: wall-clock seconds never go backwards
-    return windows.Segments(measure=windows.wall_seconds("ts"), hot_rows=HOT_KEY_ROWS, chunk_rows=CHUNK_ROWS)
+def _segments() -> windows.Segments:
+    return windows.Segments(chunk_rows=CHUNK_ROWS)
 
 
 def _hour_of_ts():
@@ -172,23 +175,34 @@ def q_typed_lines(spark, sf):
 
 
 @register("wordlist_scan", f"""
-  WITH w AS (SELECT doc_id, list_transform({sql_split_lines('text')}, lambda x: trim(x, {WS_SQL})) AS words
-             FROM documents),
+  WITH w AS (SELECT doc_id, list_transform({sql_split_lines('t')}, lambda x: trim(x, {WS_SQL})) AS words
+             FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN replace(text, chr(10), chr(10) || ' ' || chr(10))
+                                       ELSE text END AS t FROM documents)),
   e AS (SELECT doc_id, coalesce(list_position(words, ''), 0) AS blank,
                generate_subscripts(words, 1) AS i, unnest(words) AS word FROM w)
   SELECT doc_id, CAST(i AS BIGINT) AS line_no, word, (blank = 0 OR i < blank) AS before_blank
   FROM e WHERE word <> ''
 """)
 def q_wordlist_scan(spark, sf):
-    return text.word_list(_t(spark, sf).documents, "text", ["doc_id"])
+    spaced = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit("\n"), F.lit("\n \n"))).otherwise(F.col("text"))
+    return text.word_list(_t(spark, sf).documents.select("doc_id", spaced.alias("t")), "t", ["doc_id"])
 
 
 @register("json_map_scan", """
-  SELECT event_id, unnest(map_keys(m)) AS key, unnest(map_values(m)) AS value
-  FROM (SELECT event_id, CAST(props::JSON AS MAP(VARCHAR, VARCHAR)) AS m FROM events)
+  SELECT event_id, unnest(map_keys(m)) AS key, unnest(map_values(m)) AS value, 'ok' AS reason
+  FROM (SELECT event_id, CAST(props::JSON AS MAP(VARCHAR, VARCHAR)) AS m FROM events
+        WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0)
+  UNION ALL
+  SELECT event_id, NULL, NULL, CASE WHEN event_id % 97 = 0 THEN 'no_text' WHEN event_id % 89 = 0 THEN 'not_an_object'
+                                    ELSE 'empty' END
+  FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0
 """)
 def q_json_map_scan(spark, sf):
-    return jsn.json_entries(_t(spark, sf).events, "props", ["event_id"])
+    e, i = _t(spark, sf).events, F.col("event_id")
+    # some texts are made missing, broken or empty, so that every reason occurs
+    props = F.when(i % 97 == 0, None).when(i % 89 == 0, F.substring("props", 2, 1_000_000)).when(i % 83 == 0, "{}")
+    return jsn.json_entries(e.select("event_id", props.otherwise(F.col("props")).alias("props")), "props", ["event_id"],
+                            reason="reason")
 
 
 @register("json_map_write", """
@@ -200,9 +214,11 @@ def q_json_map_scan(spark, sf):
 """)
 def q_json_map_write(spark, sf):
     t = _t(spark, sf)
-    nr = t.nation.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-    per_nation = (t.customer.join(sizing.bounded_broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
-                  .groupBy("r_name", "n_name").agg(F.count("*").alias("n")))
+    # customers are counted by key first; names are joined to one row a nation
+    counts = t.customer.groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    nr = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    per_nation = (counts.join(nr, F.col("c_nationkey") == F.col("n_nationkey"))
+                  .groupBy("r_name", "n_name").agg(F.sum("n").alias("n")))
     # one object per region: a region holds a bounded number of nations
     return jsn.entries_to_json(per_nation, ["r_name"], "n_name", "n")
 
@@ -214,8 +230,32 @@ def q_text_write(spark, sf):
     return spark.read.text(path)
 
 
+@register("json_file", """
+  SELECT unnest(['s_name', 's_suppkey']) AS key, unnest([s_name, CAST(s_suppkey AS VARCHAR)]) AS value FROM supplier
+""")
+def q_json_file(spark, sf):
+    path = scratch_dir(spark, "json_file")
+    jsn.write_json_lines(_t(spark, sf).supplier.select("s_name", "s_suppkey"), path)
+    return jsn.read_json_objects(spark, path)
+
+
+@register("file_lines", """
+  SELECT p_name AS line, count(*) AS n, (SELECT count(*) FROM part) AS n_lines FROM part GROUP BY 1
+""")
+def q_file_lines(spark, sf):
+    path = scratch_dir(spark, "file_lines")
+    text.write_text(_t(spark, sf).part, "p_name", path)
+    lines = text.read_lines(spark, path)
+    # the last line number of each file is its line count
+    total = lines.groupBy("file").agg(F.max("line_no").alias("last")).agg(F.sum("last").alias("n_lines"))
+    return lines.groupBy("line").agg(F.count("*").alias("n")).join(F.broadcast(total)).select("line", "n", "n_lines")
+
+
 @register("heading_extract", r"""
-  WITH h AS (SELECT page_id, regexp_extract_all(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>', 1) AS hs FROM pages),
+  WITH p AS (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN replace(html, 'h1', 'h5')
+                                  WHEN page_id % 10 = 0 THEN '<!-- <h1>old</h1> -->' || html || html ELSE html END AS html
+             FROM pages),
+  h AS (SELECT page_id, regexp_extract_all(replace(html, '<!-- <h1>old</h1> -->', ''), '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>', 1) AS hs FROM p),
   e AS (SELECT page_id, generate_subscripts(hs, 1) AS i, unnest(hs) AS inner_html FROM h),
   t AS (SELECT page_id, i,
           CASE WHEN regexp_matches(inner_html, '(?is)<a(?:\s[^>]*)?>')
@@ -230,7 +270,24 @@ def q_text_write(spark, sf):
   SELECT page_id, NULL, NULL FROM h WHERE len(hs) = 0
 """.replace("WS)", WS_SQL + ")"))
 def q_heading_extract(spark, sf):
-    return html.headings(_t(spark, sf).pages, "html", ["page_id"], tag="h1")
+    # some pages get no heading, some two and one that is commented out
+    i, h = F.col("page_id"), F.col("html")
+    page = F.when(i % 9 == 0, F.replace(h, F.lit("h1"), F.lit("h5"))).when(
+        i % 10 == 0, F.concat(F.lit("<!-- <h1>old</h1> -->"), h, h)).otherwise(h)
+    return html.headings(_t(spark, sf).pages.select("page_id", page.alias("html")), "html", ["page_id"], tag="h1")
+
+
+@register("heading_class", r"""
+  WITH h AS (SELECT page_id, regexp_extract_all(html, '<div class="ad">([^<]*)', 1) AS hs FROM pages),
+  e AS (SELECT page_id, generate_subscripts(hs, 1) AS i, unnest(hs) AS raw FROM h)
+  SELECT page_id, CAST(i AS BIGINT) AS heading_no,
+    replace(replace(replace(replace(replace(trim(raw, WS), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+            '&#39;', ''''), '&amp;', '&') AS heading FROM e
+  UNION ALL
+  SELECT page_id, NULL, NULL FROM h WHERE len(hs) = 0
+""".replace("WS)", WS_SQL + ")"))
+def q_heading_class(spark, sf):
+    return html.headings(_t(spark, sf).pages, "html", ["page_id"], css_class="ad")
 
 
 STATUS_LABELS = {"F": "fulfilled", "O": "open", "P": "partial"}
@@ -255,8 +312,12 @@ def q_literal_table(spark, sf):
 """)
 def q_int_range(spark, sf):
     part = _t(spark, sf).part
-    domain = part.agg(F.max("p_size").cast("bigint").alias("hi")).select(
-        F.explode(literals.int_sequence(F.lit(1).cast("bigint"), F.col("hi"))).alias("n"))
+    # blocks first, dealt out, then their numbers: no row holds the whole domain
+    width = 10_000
+    blocks = part.agg(F.max("p_size").cast("bigint").alias("hi")).select(
+        "hi", F.explode(literals.int_sequence(F.lit(0).cast("bigint"), F.floor(F.col("hi") / width))).alias("b"))
+    domain = blocks.repartition("b").select(F.explode(literals.int_sequence(
+        F.col("b") * width + 1, F.least("hi", (F.col("b") + 1) * width))).alias("n"))
     counts = part.groupBy(F.col("p_size").cast("bigint").alias("n")).agg(F.count("*").alias("cnt"))
     return domain.join(counts, "n", "left").select("n", F.coalesce("cnt", F.lit(0)).alias("n_parts"))
 
@@ -303,18 +364,23 @@ def q_int_list_parse(spark, sf):
 
 @register("numeric_parse", f"""
   SELECT p_partkey,
-    {sql_parse_int("regexp_extract(p_brand, '#(.*)$', 1)")} AS brand_value,
-    {sql_parse_int("regexp_extract(p_brand, '#(.*)$', 1)")} IS NOT NULL AS brand_ok,
-    {sql_parse_float('p_name')} AS name_value,
-    {sql_parse_float('p_name')} IS NOT NULL AS name_ok,
+    {sql_parse_int("brand")} AS brand_value,
+    {sql_parse_int("brand")} IS NOT NULL AS brand_ok,
+    {sql_parse_float('name')} AS name_value,
+    {sql_parse_float('name')} IS NOT NULL AS name_ok,
     CAST(floor({sql_parse_float('CAST(p_retailprice AS VARCHAR)')}) AS BIGINT) AS price_floor,
     {sql_parse_float('CAST(p_retailprice AS VARCHAR)')} IS NOT NULL AS price_ok
-  FROM part
+  FROM (SELECT *, CASE WHEN p_partkey % 7 = 0 THEN p_brand ELSE regexp_extract(p_brand, '#(.*)$', 1) END AS brand,
+               CASE WHEN p_partkey % 5 = 0 THEN CAST(p_size AS VARCHAR) || '.5' ELSE p_name END AS name FROM part)
 """)
 def q_numeric_parse(spark, sf):
-    p = _t(spark, sf).part
-    brand = parse.parse_number(F.regexp_extract("p_brand", "#(.*)$", 1), "int")
-    name = parse.parse_number(F.col("p_name"), "float")
+    key = F.col("p_partkey")
+    p = _t(spark, sf).part.select(
+        "p_partkey", "p_retailprice",
+        F.when(key % 7 == 0, F.col("p_brand")).otherwise(F.regexp_extract("p_brand", "#(.*)$", 1)).alias("brand"),
+        F.when(key % 5 == 0, F.concat(F.col("p_size").cast("string"), F.lit(".5"))).otherwise(F.col("p_name")).alias("name"))
+    brand = parse.parse_number(F.col("brand"), "int")
+    name = parse.parse_number(F.col("name"), "float")
     price_text = F.col("p_retailprice").cast("string")
     price = parse.parse_number(price_text, "int_floor")
     return p.select("p_partkey", brand.alias("brand_value"), brand.isNotNull().alias("brand_ok"),
@@ -327,18 +393,20 @@ def _move_text_spark():
     a = F.pmod(F.col("l_partkey"), F.lit(9)).cast("string")
     b = F.pmod(F.col("l_suppkey"), F.lit(3)).cast("string")
     return (F.when(F.col("l_returnflag") == "R", ln)
-            .when(F.col("l_returnflag") == "A", F.concat_ws(",", ln, a))
+            .when(F.col("l_returnflag") == "A", F.concat_ws(",", ln, F.when(F.col("l_suppkey") % 5 == 0, F.lit("x")).otherwise(a)))
             .otherwise(F.concat_ws(",", ln, F.when(F.col("l_linestatus") == "F", F.lit("x")).otherwise(a), b)))
 
 
 _SQL_MOVE = ("CASE WHEN l_returnflag = 'R' THEN CAST(l_linenumber AS VARCHAR) "
-             "WHEN l_returnflag = 'A' THEN CAST(l_linenumber AS VARCHAR) || ',' || CAST(l_partkey % 9 AS VARCHAR) "
+             "WHEN l_returnflag = 'A' THEN CAST(l_linenumber AS VARCHAR) || ',' || "
+             "(CASE WHEN l_suppkey % 5 = 0 THEN 'x' ELSE CAST(l_partkey % 9 AS VARCHAR) END) "
              "ELSE CAST(l_linenumber AS VARCHAR) || ',' || (CASE WHEN l_linestatus = 'F' THEN 'x' "
              "ELSE CAST(l_partkey % 9 AS VARCHAR) END) || ',' || CAST(l_suppkey % 3 AS VARCHAR) END")
 
 
 @register("range_validate", f"""
-  WITH m AS (SELECT {_SQL_MOVE} AS mv, CAST(l_quantity AS VARCHAR) AS amt, p_size
+  WITH m AS (SELECT {_SQL_MOVE} AS mv, CASE WHEN l_orderkey % 11 = 0 THEN 'none'
+                    WHEN l_orderkey % 13 = 0 THEN '-' || CAST(l_quantity AS VARCHAR) ELSE CAST(l_quantity AS VARCHAR) END AS amt, p_size
              FROM lineitem JOIN part ON l_partkey = p_partkey),
   v AS (SELECT *, string_split(mv, ',') AS parts,
                list_transform(string_split(mv, ','), lambda x: {sql_parse_int('x')}) AS vals,
@@ -355,12 +423,14 @@ _SQL_MOVE = ("CASE WHEN l_returnflag = 'R' THEN CAST(l_linenumber AS VARCHAR) "
 """)
 def q_range_validate(spark, sf):
     t = _t(spark, sf)
-    li = t.lineitem.select("l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
-                           "l_quantity")
+    quantity = F.col("l_quantity").cast("string")
+    amount = (F.when(F.col("l_orderkey") % 11 == 0, "none")
+              .when(F.col("l_orderkey") % 13 == 0, F.concat(F.lit("-"), quantity)).otherwise(quantity))
+    li = t.lineitem.select("l_partkey", _move_text_spark().alias("move"), amount.alias("amount"))
     joined = li.join(t.part.select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
-    reasons = joined.select(parse.move_reason(_move_text_spark(), F.lit(7)).alias("move_reason"),
-                            parse.amount_reason(F.col("l_quantity").cast("string"), F.col("p_size"))
-                            .alias("amount_reason"))
+    fields = parse.move_fields(joined, "move", "amount")  # each field is parsed once, in its own projection
+    reasons = fields.select(parse.move_reason_of(F.lit(7)).alias("move_reason"),
+                            parse.amount_reason_of(F.col("p_size")).alias("amount_reason"))
     return reasons.groupBy("move_reason", "amount_reason").agg(F.count("*").alias("n"))
 
 
@@ -426,22 +496,27 @@ def q_isin_literal(spark, sf):
 @register("hand_settle", f"""
   WITH hv AS ({SQL_HANDS})
   SELECT p.l_orderkey AS game, p.hand_value AS player_value, d.hand_value AS dealer_value,
-    CASE WHEN p.hand_value = 21 THEN 'win_exact' WHEN p.hand_value > 21 THEN 'lose_bust'
+    CASE WHEN d.hand_value IS NULL THEN 'unpaired' WHEN p.hand_value = 21 THEN 'win_exact' WHEN p.hand_value > 21 THEN 'lose_bust'
          WHEN d.hand_value > 21 THEN 'win_dealer_bust' WHEN p.hand_value > d.hand_value THEN 'win_higher'
          ELSE 'lose' END AS outcome,
-    CASE WHEN p.hand_value = 21 OR (p.hand_value < 21 AND (d.hand_value > 21 OR p.hand_value > d.hand_value))
+    CASE WHEN d.hand_value IS NULL THEN 0 WHEN p.hand_value = 21 OR (p.hand_value < 21 AND (d.hand_value > 21 OR p.hand_value > d.hand_value))
          THEN 10 * p.n_cards ELSE -10 * p.n_cards END AS amount
-  FROM hv p JOIN hv d ON d.l_orderkey = p.l_orderkey + 1
+  FROM hv p LEFT JOIN hv d ON d.l_orderkey = p.l_orderkey + 1
 """)
 def q_hand_settle(spark, sf):
     h = _hands(_t(spark, sf))
-    player = h.select(F.col("l_orderkey").alias("game"), F.col("hand_value").alias("player_value"),
-                      (F.col("n_cards") * 10).alias("bet"))
-    dealer = h.select((F.col("l_orderkey") - 1).alias("game"), F.col("hand_value").alias("dealer_value"))
-    j = player.join(dealer, "game")
+    # one aggregate over the cards; each hand then stands in two games
+    value, bet = F.col("hand_value"), F.col("n_cards") * 10
+    roles = h.select(F.explode(F.array(
+        F.struct(F.col("l_orderkey").alias("game"), value.alias("player"), bet.alias("bet"), F.lit(None).cast("bigint").alias("dealer")),
+        F.struct((F.col("l_orderkey") - 1).alias("game"), F.lit(None).cast("bigint").alias("player"),
+                 F.lit(None).cast("bigint").alias("bet"), value.alias("dealer")))).alias("r")).select("r.*")
+    j = (roles.groupBy("game").agg(F.max("player").alias("player_value"), F.max("dealer").alias("dealer_value"), F.max("bet").alias("bet"))
+         .where(F.col("player_value").isNotNull()))
+    alone = F.col("dealer_value").isNull()
     return j.select("game", "player_value", "dealer_value",
-                    folds.settle_outcome("player_value", "dealer_value").alias("outcome"),
-                    folds.settle("player_value", "dealer_value", "bet").cast("bigint").alias("amount"))
+                    F.when(alone, "unpaired").otherwise(folds.settle_outcome("player_value", "dealer_value")).alias("outcome"),
+                    F.when(alone, F.lit(0)).otherwise(folds.settle("player_value", "dealer_value", "bet")).cast("bigint").alias("amount"))
 
 
 # =============================================================================
@@ -477,6 +552,22 @@ def q_dict_lookup(spark, sf):
     return relational.lookup(c, t.nation, "key", "n_nationkey", ["n_name"]).select("c_custkey", "n_name", "found")
 
 
+SEGMENT_CODES = {"Automobile": "1", "Building": "2", "Household": "3", "Machinery": "4"}
+
+
+@register("text_key_lookup", """
+  SELECT c_custkey, coalesce(code, 'not found') AS code, code IS NOT NULL AS found
+  FROM customer LEFT JOIN (VALUES ('AUTOMOBILE', '1'), ('BUILDING', '2'), ('HOUSEHOLD', '3'), ('MACHINERY', '4')) s(name, code)
+    ON name = c_mktsegment
+""")
+def q_text_key_lookup(spark, sf):
+    # keys as a user types them: any case, blanks around
+    typed = F.concat(F.lit("  "), F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment")), F.lit("\t"))
+    c = _t(spark, sf).customer.select("c_custkey", strings.normalise_key(typed).alias("key"))
+    dim = literals.dict_table(spark, SEGMENT_CODES, "name", "code")
+    return relational.lookup(c, dim, "key", "name", ["code"]).select("c_custkey", "code", "found")
+
+
 @register("value_lookup", f"""
   SELECT l_orderkey, l_linenumber, l_partkey, {SQL_RANK_NAMES}[r + 1] AS rank,
          CAST({SQL_CARD_VALUE} AS BIGINT) AS card_value
@@ -501,11 +592,12 @@ def q_cross_join(spark, sf):
 
 
 @register("element_search", """
-  SELECT DISTINCT p_size, p_size IN (SELECT l_quantity FROM lineitem) AS found FROM part
+  SELECT DISTINCT CAST(p_size * 3 AS BIGINT) AS size_3, p_size * 3 IN (SELECT l_quantity FROM lineitem) AS found FROM part
 """)
 def q_element_search(spark, sf):
     t = _t(spark, sf)
-    return relational.presence(t.part, "p_size", t.lineitem, "l_quantity")
+    probes = t.part.select((F.col("p_size") * 3).cast("bigint").alias("size_3"))
+    return relational.presence(probes, "size_3", t.lineitem, "l_quantity")
 
 
 # =============================================================================
@@ -545,15 +637,15 @@ def q_count_value(spark, sf):
 
 
 @register("dup_split", """
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-         count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS occurrences,
-         CASE WHEN count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 THEN 'repeated' ELSE 'single' END
+  SELECT l_orderkey, nullif(l_linenumber, 7) AS line_no, l_partkey, l_suppkey,
+         count(*) OVER (PARTITION BY l_orderkey, nullif(l_linenumber, 7)) AS occurrences,
+         CASE WHEN count(*) OVER (PARTITION BY l_orderkey, nullif(l_linenumber, 7)) > 1 THEN 'repeated' ELSE 'single' END
            AS kind
   FROM lineitem
 """)
 def q_dup_split(spark, sf):
-    li = _t(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return agg.occurrence_split(li, ["l_orderkey", "l_linenumber"])
+    li = _t(spark, sf).lineitem.select("l_orderkey", F.nullif("l_linenumber", F.lit(7)).alias("line_no"), "l_partkey", "l_suppkey")
+    return agg.occurrence_split(li, ["l_orderkey", "line_no"])
 
 
 @register("distinct_vals", "SELECT DISTINCT p_name FROM part")
@@ -569,7 +661,7 @@ def q_distinct_vals(spark, sf):
 """)
 def q_ordered_distinct(spark, sf):
     return agg.first_seen_distinct(_t(spark, sf).events, ["user_id"], "event_type", ["ts", "event_id"],
-                                   first_id="first_event_id", chunk_rows=HOT_KEY_ROWS)
+                                   first_id="first_event_id", chunk_rows=CHUNK_ROWS)
 
 
 @register("max_fold", f"""
@@ -603,20 +695,19 @@ def q_unanimous_groups(spark, sf):
 
 
 def _cells(t: Tables) -> DataFrame:
-    # each order is a 3x3 board whose cells are its line numbers 1..9 in row
-    # order (the data's line numbers are 1..7, so no row is left out); a
-    # cell's value is its part key mod 3 (0 = empty), the largest if repeated
-    li = t.lineitem.where(F.col("l_linenumber").between(1, 9))
-    idx = F.col("l_linenumber") - 1
-    return (li.groupBy("l_orderkey", F.floor(idx / 3).cast("bigint").alias("r"),
-                       F.pmod(idx, F.lit(3)).cast("bigint").alias("c"))
+    # each order is a 3x3 board; a line item lies on the cell that its part key
+    # divided by 3 names, with the part key mod 3 as its value (0 = empty), the
+    # largest if a cell has several: every row lies on its board
+    cell = F.pmod(F.floor(F.col("l_partkey") / 3), F.lit(9))
+    return (t.lineitem.groupBy("l_orderkey", F.floor(cell / 3).cast("bigint").alias("r"),
+                               F.pmod(cell, F.lit(3)).cast("bigint").alias("c"))
             .agg(F.max(F.pmod(F.col("l_partkey"), F.lit(3))).alias("v")))
 
 
 @register("matrix_lines", """
-  WITH cells AS (SELECT l_orderkey, (l_linenumber - 1) // 3 AS r, (l_linenumber - 1) % 3 AS c,
+  WITH cells AS (SELECT l_orderkey, (l_partkey // 3) % 9 // 3 AS r, (l_partkey // 3) % 9 % 3 AS c,
                         max(l_partkey % 3) AS v
-                 FROM lineitem WHERE l_linenumber BETWEEN 1 AND 9 GROUP BY 1, 2, 3),
+                 FROM lineitem GROUP BY 1, 2, 3),
   tags AS (SELECT l_orderkey, 'row' AS kind, r AS line, v FROM cells
            UNION ALL SELECT l_orderkey, 'col', c, v FROM cells
            UNION ALL SELECT l_orderkey, 'diag', 0, v FROM cells WHERE r = c
@@ -648,27 +739,33 @@ SQL_LEDGER = f"""
   WITH RECURSIVE ev AS (
     SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
            event_type = 'purchase' AS w, {sql_cents('value')} AS amt
-    FROM events WHERE event_type IN ('signup', 'purchase')),
+    FROM {{events}} WHERE event_type IN ('signup', 'purchase')),
   walk(user_id, rn, bal, dep, wd, rej, rej_amt) AS (
     SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT),
            CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM ev
     UNION ALL
     SELECT e.user_id, e.rn,
-      k.bal + CASE WHEN e.amt < 0 THEN 0 WHEN NOT e.w THEN e.amt WHEN e.amt <= k.bal THEN -e.amt ELSE 0 END,
+      k.bal + CASE WHEN e.amt IS NULL OR e.amt < 0 THEN 0 WHEN NOT e.w THEN e.amt WHEN e.amt <= k.bal THEN -e.amt ELSE 0 END,
       k.dep + CASE WHEN e.amt >= 0 AND NOT e.w THEN 1 ELSE 0 END,
       k.wd + CASE WHEN e.amt >= 0 AND e.w AND e.amt <= k.bal THEN 1 ELSE 0 END,
-      k.rej + CASE WHEN e.amt < 0 OR (e.w AND e.amt > k.bal) THEN 1 ELSE 0 END,
+      k.rej + CASE WHEN e.amt IS NULL OR e.amt < 0 OR (e.w AND e.amt > k.bal) THEN 1 ELSE 0 END,
       k.rej_amt + CASE WHEN e.amt < 0 OR (e.w AND e.amt > k.bal) THEN abs(e.amt) ELSE 0 END
-    FROM walk k JOIN ev e ON e.user_id = k.user_id AND e.rn = k.rn + 1)
+    FROM walk k JOIN ev e ON e.user_id IS NOT DISTINCT FROM k.user_id AND e.rn = k.rn + 1)
   SELECT user_id, bal AS balance, dep AS n_deposits, wd AS n_withdrawals, rej AS n_rejected,
          rej_amt AS rejected_amount
   FROM walk QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1
 """
 
 
-@register("ledger_fold", SQL_LEDGER)
+# some events lack an account or an amount
+SQL_EVENTS_WITH_GAPS = ("(SELECT event_id, ts, event_type, nullif(user_id % 40, 7) AS user_id, "
+                        "CASE WHEN event_id % 101 <> 0 THEN value END AS value FROM events)")
+
+
+@register("ledger_fold", SQL_LEDGER.replace("{events}", SQL_EVENTS_WITH_GAPS))
 def q_ledger_fold(spark, sf):
-    e = _t(spark, sf).events
+    e = _t(spark, sf).events.select("event_id", "ts", "event_type", F.nullif(F.col("user_id") % 40, F.lit(7)).alias("user_id"),
+                                    F.when(F.col("event_id") % 101 != 0, F.col("value")).alias("value"))
     return folds.ledger(e, "user_id", ["ts", "event_id"], "event_type", numbers.to_cents(F.col("value")),
                         ["signup"], ["purchase"])
 
@@ -696,7 +793,7 @@ def q_running_balance(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "value")
     out = windows.running_sums(e, ["user_id"], ["ts", "event_id"],
                                {"running_cents": numbers.to_cents(F.col("value"))},
-                               segments=_time_segments())
+                               segments=_segments())
     return out.select("event_id", "user_id", "running_cents")
 
 
@@ -708,7 +805,7 @@ def q_running_balance(spark, sf):
 def q_adjacent_compare(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     out = windows.previous_value(e, ["user_id"], ["ts", "event_id"], "event_type", "prev_type",
-                                 segments=_time_segments())
+                                 segments=_segments())
     changed = F.coalesce(F.col("prev_type") != F.col("event_type"), F.lit(False))
     return out.select("event_id", "user_id", "prev_type", changed.alias("changed"))
 
@@ -727,8 +824,7 @@ def q_line_number(spark, sf):
 """)
 def q_repeat_flag(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "event_type", "ts")
-    return windows.repeat_flags(e, ["user_id"], "event_type", ["ts", "event_id"],
-                                max_broadcast_groups=MAX_BROADCAST_GROUPS).select("event_id", "repeated")
+    return windows.repeat_flags(e, ["user_id"], "event_type", ["ts", "event_id"]).select("event_id", "repeated")
 
 
 _TARGETS_SQL = "(" + ", ".join(f"'{x}'" for x in TARGETS) + ")"
@@ -750,19 +846,20 @@ SQL_COUNTERS = f"""
 def q_running_counters(spark, sf):
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
     out = windows.running_counters(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS,
-                                   segments=_time_segments(), max_broadcast_groups=MAX_BROADCAST_GROUPS)
+                                   segments=_segments())
     return out.select("event_id", "user_id", "step", "n_new", "n_miss")
 
 
 @register("coverage_replay", f"""
-  WITH c AS ({SQL_COUNTERS}),
-  p AS (SELECT user_id, count(*) AS n_steps,
+  WITH c AS ({SQL_COUNTERS.replace("SELECT event_id, user_id,", "SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,").replace(
+      "PARTITION BY user_id", "PARTITION BY user_id, CAST(ts AS DATE)")}),
+  p AS (SELECT user_id, day, count(*) AS n_steps,
           count_if(is_new AND event_type IN {_TARGETS_SQL}) AS seen,
           max(CASE WHEN is_new AND event_type IN {_TARGETS_SQL} THEN step END) AS last_target,
           min(CASE WHEN is_new AND is_miss AND n_miss = 2 THEN step END) AS budget_step
-        FROM c GROUP BY user_id),
+        FROM c GROUP BY user_id, day),
   q AS (SELECT *, CASE WHEN seen = {len(TARGETS)} THEN last_target END AS covered_step FROM p)
-  SELECT user_id, covered_step, budget_step,
+  SELECT user_id, day, covered_step, budget_step,
     CASE WHEN covered_step IS NOT NULL AND (budget_step IS NULL OR covered_step < budget_step) THEN 'covered'
          WHEN budget_step IS NOT NULL THEN 'exhausted' ELSE 'unfinished' END AS outcome,
     CAST(coalesce(least(covered_step, budget_step), n_steps) AS BIGINT) AS steps_used,
@@ -770,9 +867,10 @@ def q_running_counters(spark, sf):
   FROM q
 """)
 def q_coverage_replay(spark, sf):
-    e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type")
-    return windows.coverage_replay(e, ["user_id"], "event_type", ["ts", "event_id"], TARGETS, 2,
-                                   segments=_time_segments(), max_broadcast_groups=MAX_BROADCAST_GROUPS)
+    # a session is a user's day, so that some end before either limit
+    e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type", F.to_date("ts").cast("string").alias("day"))
+    return windows.coverage_replay(e, ["user_id", "day"], "event_type", ["ts", "event_id"], TARGETS, 2,
+                                   segments=_segments())
 
 
 @register("first_claim", """
@@ -783,15 +881,15 @@ def q_coverage_replay(spark, sf):
 def q_first_claim(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts",
                                     F.to_date("ts").cast("string").alias("day"))
-    return windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"],
-                                max_broadcast_groups=MAX_BROADCAST_GROUPS).select(
+    return windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"]).select(
         "event_id", "event_type", "day", "accepted")
 
 
 @register("first_valid", f"""
   WITH v AS (SELECT p_partkey, p_name,
-               CASE WHEN p_type = 'PROMO' THEN p_type ELSE CAST(p_size AS VARCHAR) END AS value_text FROM part),
-  f AS (SELECT *, {sql_parse_int('value_text')} IS NOT NULL AS valid FROM v)
+               CASE WHEN p_type = 'PROMO' THEN p_type WHEN p_partkey % 11 <> 0 THEN CAST(p_size AS VARCHAR) END AS value_text
+             FROM part),
+  f AS (SELECT *, coalesce({sql_parse_int('value_text')} > 0, false) AS valid FROM v)
   SELECT p_partkey, p_name, value_text,
     valid AND row_number() OVER (PARTITION BY p_name, valid ORDER BY p_partkey) = 1 AS registered,
     CASE WHEN NOT valid THEN 'not_numeric'
@@ -803,8 +901,9 @@ def q_first_valid(spark, sf):
     p = _t(spark, sf).part
     v = p.select("p_partkey", "p_name",
                  F.when(F.col("p_type") == "PROMO", F.col("p_type"))
-                 .otherwise(F.col("p_size").cast("string")).alias("value_text"))
-    out = windows.first_valid(v, ["p_name"], ["p_partkey"], numbers.parse_int(F.col("value_text")).isNotNull())
+                 .when(F.col("p_partkey") % 11 != 0, F.col("p_size").cast("string")).alias("value_text"))
+    # the test of a missing text is NULL, not false
+    out = windows.first_valid(v, ["p_name"], ["p_partkey"], numbers.parse_int(F.col("value_text")) > 0)
     return out.select("p_partkey", "p_name", "value_text", "registered", "reason")
 
 
@@ -820,9 +919,8 @@ def q_first_valid(spark, sf):
 """)
 def q_turn_parity(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts", F.to_date("ts").cast("string").alias("day"))
-    claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"],
-                                   max_broadcast_groups=MAX_BROADCAST_GROUPS)
-    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", segments=_time_segments())
+    claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"])
+    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", segments=_segments())
     return out.select("event_id", "day", "accepted", "accepted_before", "player")
 
 
@@ -861,8 +959,8 @@ def q_head_n(spark, sf):
 
 @register("random_pick", f"""
   WITH w AS (SELECT doc_id, lang, {sql_split_ws('text')} AS words FROM documents),
-  c AS (SELECT lang, words, -ln(1.0 - {sql_md5_unit(42, 'doc_id')}) / len(words) AS race,
-               CAST(floor({sql_md5_unit(43, 'doc_id')} * len(words)) AS INTEGER) + 1 AS pos
+  c AS (SELECT lang, words, -ln({sql_md5_fine(42, 'doc_id')}) / len(words) AS race,
+               CAST(floor({sql_md5_fine(43, 'doc_id')} * len(words)) AS INTEGER) + 1 AS pos
         FROM w WHERE len(words) > 0)
   SELECT lang, arg_min(words[pos], race) AS word FROM c GROUP BY lang
 """)
@@ -978,10 +1076,11 @@ def q_palindrome(spark, sf):
     # one row per word, tested by generated code (no per-element lambda); the
     # partial aggregate folds each document inside its task, so the shuffle
     # carries about one row per document
-    words = d.select("doc_id", F.explode_outer(strings.split_whitespace(F.col("text"))).alias("w"))
-    return words.groupBy("doc_id").agg(
+    rows = d.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))  # documents may share an id
+    words = rows.select("doc_id", "row", F.explode_outer(strings.split_whitespace(F.col("text"))).alias("w"))
+    return words.groupBy("doc_id", "row").agg(
         F.count("w").alias("n_words"),
-        F.count_if(strings.is_palindrome(F.col("w"))).cast("bigint").alias("n_palindromes"))
+        F.count_if(strings.is_palindrome(F.col("w"))).cast("bigint").alias("n_palindromes")).drop("row")
 
 
 @register("split_str", """
@@ -1006,7 +1105,7 @@ def q_join_str(spark, sf):
     t = _t(spark, sf)
     indebted = t.customer.where(F.col("c_acctbal") < 0).select(F.col("c_nationkey").alias("n_nationkey"))
     nations = relational.semi_join(t.nation, indebted, "n_nationkey")
-    nr = nations.join(sizing.bounded_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    nr = nations.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     # a region holds a bounded number of nations, so its list is one small value
     return nr.groupBy("r_name").agg(coll.sorted_join(F.collect_list("n_name"), ", ").alias("nations"))
 
@@ -1033,17 +1132,33 @@ def q_contains_str(spark, sf):
     return _t(spark, sf).part.select("p_partkey", strings.contains_text(F.col("p_name"), "ring").alias("has_ring"))
 
 
+@register("contains_row_str", """
+  SELECT p_partkey, contains(upper(p_name), upper(left(p_type, 2))) AS has_type FROM part
+""")
+def q_contains_row_str(spark, sf):
+    p = _t(spark, sf).part
+    return p.select("p_partkey", strings.contains_text(F.col("p_name"), F.left("p_type", F.lit(2))).alias("has_type"))
+
+
+@register("mask_row_chars", """
+  SELECT p_partkey, CASE WHEN p_name = '' THEN '' ELSE array_to_string(list_transform(string_split(upper(p_name), ''),
+    lambda ch: CASE WHEN contains(upper(p_type), ch) THEN ch ELSE '_' END), ' ') END AS masked FROM part
+""")
+def q_mask_row_chars(spark, sf):
+    return _t(spark, sf).part.select("p_partkey", strings.mask_chars(F.col("p_name"), F.col("p_type")).alias("masked"))
+
+
 @register("repeat_str", "SELECT p_partkey, repeat('#', greatest(0, p_size)) AS bar FROM part")
 def q_repeat_str(spark, sf):
     return _t(spark, sf).part.select("p_partkey", strings.repeat_text(F.lit("#"), F.col("p_size")).alias("bar"))
 
 
 @register("format_text", """
-  SELECT c_custkey, printf('Account owner: %s, balance: %.2f', c_name, c_acctbal) AS statement FROM customer
+  SELECT c_custkey, printf('%s holds %.2f', c_name, c_acctbal) AS statement FROM customer
 """)
 def q_format_text(spark, sf):
     c = _t(spark, sf).customer
-    return c.select("c_custkey", F.format_string("Account owner: %s, balance: %.2f", "c_name", "c_acctbal")
+    return c.select("c_custkey", F.format_string("%s holds %.2f", "c_name", "c_acctbal")
                     .alias("statement"))
 
 
@@ -1114,7 +1229,7 @@ def q_divisors(spark, sf):
 """)
 def q_fibonacci(spark, sf):
     p = _t(spark, sf).part
-    return p.select("p_partkey", "p_size", numbers.fibonacci(F.col("p_size")).cast("bigint").alias("fib"))
+    return numbers.fibonacci_of(p.select("p_partkey", "p_size"), "p_size", "fib")
 
 
 @register("current_year", """
@@ -1166,12 +1281,11 @@ def q_array_ops(spark, sf):
 def q_map_ops(spark, sf):
     e = _t(spark, sf).events
     counts = e.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    # after the count each user has one entry per event type: a bounded map
-    maps = counts.groupBy("user_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
-    return maps.select("user_id", F.explode("m").alias("event_type", "n"),
-                       coll.map_has("m", "purchase").alias("has_purchase"),
-                       F.coalesce(coll.map_get("m", "purchase"), F.lit(0).cast("bigint")).alias("n_purchase"))
+    has = F.max(F.when(F.col("event_type") == "purchase", F.col("n")))
+    users = counts.groupBy("user_id").agg(has.alias("_p"))
+    return counts.join(users, "user_id").select(
+        "user_id", "event_type", "n", F.col("_p").isNotNull().alias("has_purchase"),
+        F.coalesce("_p", F.lit(0).cast("bigint")).alias("n_purchase"))
 
 
 # =============================================================================
@@ -1184,11 +1298,12 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 @register("stream_group_count", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def q_stream_group_count(spark, sf):
     scratch_dir(spark, "streams")  # makes sure a checkpoint folder is named
-    return stream.stream_counts(spark, sf, EVENTS_SCHEMA, "event_type", glob="events.parquet")
+    return stream.stream_counts(spark, f"{sf}/events.parquet", EVENTS_SCHEMA, "event_type")
 
 
-@register("ledger_stream", SQL_LEDGER)
+@register("ledger_stream", SQL_LEDGER.replace("{events}", "events"))
 def q_ledger_stream(spark, sf):
     scratch_dir(spark, "streams")
-    return stream.stream_ledger(spark, sf, EVENTS_SCHEMA, "user_id", ["ts", "event_id"], "event_type",
-                                "round(value * 100)", ["signup"], ["purchase"], glob="events.parquet")
+    out = stream.stream_ledger(spark, f"{sf}/events.parquet", EVENTS_SCHEMA, "user_id", ["ts", "event_id"], "event_type",
+                               "round(value * 100)", ["signup"], ["purchase"])
+    return out.drop("n_late")
