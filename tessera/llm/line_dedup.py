@@ -79,6 +79,16 @@ def char_shingles(units: np.ndarray, starts: np.ndarray, ends: np.ndarray, size:
     return mix64((total[stop] - total[at]) * powers(_BACK, len(units) + 1)[at]), first
 
 
+def unpack(items: pa.Array) -> list[np.ndarray]:
+    """Shingle sets of lines kept as text."""
+    out = []
+    for _, _, data, offsets in text_slices(items, 1 << 20):
+        units, starts, ends, _, _ = line_units(data, offsets)
+        grams, first = char_shingles(units, starts, ends, SHINGLE)
+        out += [np.unique(grams[a:b]) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(grams)], strict=True)]
+    return out
+
+
 def estimate(sig: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return (sig[i] == sig[j]).mean(1) if len(i) else np.zeros(0)
 
@@ -139,25 +149,14 @@ def line_components(docs: DataFrame, text_col: str, id_col: str, num: int = 80,
     alias = stored(lines.where("sig is not null").select("cid", "x", "y")
                    .join(reps.where("k > 1"), ["x", "y"], "left").select("cid", F.coalesce("rep", "cid").alias("rep")), "aliases")
 
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, end, data, offsets in text_slices(batch.column(1), 1 << 20):
-                units, starts, ends, doc, _ = line_units(data, offsets)
-                grams, first = char_shingles(units, starts, ends, SHINGLE)
-                last = [*first[1:].tolist(), len(grams)]
-                items = [np.unique(grams[a:b]).tobytes() for a, b in zip(first.tolist(), last, strict=True)]
-                rows = pa.array(end - (len(offsets) - 1) + doc)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(items, pa.binary())], names=["cid", "items"])
-
     def sets_of(cids: DataFrame) -> DataFrame:
         where = lines.where("lid = cid").select("cid", "rid", "line_no").join(cids.select("cid"), "cid", "left_semi")
         wanted = where.groupBy("rid").agg(F.collect_list(F.struct("line_no", "cid")).alias("want"))  # lines of one text
         texts = base.select("rid", "text").join(wanted, "rid")
         parts = texts.select(F.split("text", "\n").alias("parts"), F.explode("want").alias("w"))
-        return parts.select(F.col("w.cid").alias("cid"), F.get("parts", F.col("w.line_no")).alias("text")).mapInArrow(
-            full_sets, "cid bigint, items binary")
+        return parts.select(F.col("w.cid").alias("cid"), F.get("parts", F.col("w.line_no")).alias("items"))
 
-    comp = near_links(nodes, sets_of, BANDS, 2 * BAND_REGISTERS, num, den, estimate, num / den - SLACK,
+    comp = near_links(nodes, sets_of, unpack, BANDS, 2 * BAND_REGISTERS, num, den, estimate, num / den - SLACK,
                       estimate_first=False, alias=alias)
     roots = alias.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("cid", F.coalesce("comp", "rep").alias("root"))
     span = F.lit(str(2**63)).cast("decimal(19,0)")

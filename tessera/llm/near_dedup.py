@@ -56,6 +56,11 @@ def estimate(sig: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np
     return out
 
 
+def unpack(items: pa.Array) -> list[np.ndarray]:
+    """Sets kept as bytes of sorted 64-bit values."""
+    return [np.frombuffer(x, np.uint64) for x in items.to_pylist()]
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80,
                den: int = 100, materialise: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
@@ -119,7 +124,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return texts.mapInArrow(full_sets, "cid bigint, items binary")
 
     least = num / den - MARGIN * float(np.sqrt(num / den * (1 - num / den) / functions))
-    comp = near_links(nodes, sets_of, BANDS, 2 * BAND_REGISTERS, num, den, estimate, least, estimate_first=True)
+    comp = near_links(nodes, sets_of, unpack, BANDS, 2 * BAND_REGISTERS, num, den, estimate, least, estimate_first=True)
 
     span = F.lit(str(2**63)).cast("decimal(19,0)")
     order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), span.cast("decimal(20,0)")) * span + F.col("rid")
