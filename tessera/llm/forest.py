@@ -135,7 +135,6 @@ def forest_search(points: DataFrame, queries: DataFrame, k: int = 20, id_col: st
             codes = batch.column(2).flatten().to_numpy().reshape(-1, TREES)
             for q in range(len(s_ids)):
                 depth = shared(codes, s_codes[q])
-                depth[ids == s_ids[q]] = 0
                 counts = [int((depth >= x).sum()) for x in range(1, DIGITS + 1)]
                 values = np.where(ids == s_ids[q], -np.inf, scores(vectors, s_vec[q]))
                 top = nearest(ids, values, k)
@@ -218,10 +217,11 @@ def forest_search(points: DataFrame, queries: DataFrame, k: int = 20, id_col: st
 
 
 def _candidates(truth, sums, n_queries: int, k: int, target: float) -> int:
-    """The least power of two (from ``k`` on) that as a candidate count reaches
-    ``target`` recall on the sample; beyond all counts, every point is one."""
+    """How many (tree, candidate) pairs reach ``target`` recall on the sample,
+    doubled from the least number that cannot be fewer than ``k`` candidates
+    besides the query itself; beyond all counts, every point is one."""
     counts = {r["q"]: [r[f"c{x}"] for x in range(1, DIGITS + 1)] for r in sums}
-    enough = 1 << max(0, (k - 1).bit_length())
+    enough = (k + 1) * TREES
     while True:
         hit = total = 0
         everything = True

@@ -46,6 +46,14 @@ def test_segment_tree_merges_like_the_library(piece):
     assert bpe.merge_bytes(piece, model.ranks) == ENCODER._encode_single_piece(piece)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.binary(max_size=70), st.text("theanor ing", max_size=70).map(str.encode)), max_size=30))
+def test_trees_side_by_side_merge_like_the_library(pieces):
+    model = bpe._loaded(RANKS, public_tokenizers.PATTERN)
+    got = bpe.merge_all(pieces, model.ranks, model.table, side_by_side=4)
+    assert [g.tolist() for g in got] == [ENCODER._encode_single_piece(p) if p else [] for p in pieces]
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 @settings(max_examples=300, deadline=None)
 @given(texts=st.lists(ODD, max_size=6))
@@ -66,7 +74,7 @@ def _cached(name):
 
 
 def test_cache_starts_anew():
-    cache = _words.WordCache(lambda words: [[len(w)] for w in words], limit=3)
+    cache = _words.WordCache(lambda words: (np.array([len(w) for w in words]), np.ones(len(words), int)), limit=3)
     for text in ("a bb", "ccc dddd eeeee", "a bb", "", "ccc"):
         ids, offsets = cache.encode([_words.chunks(text)])
         want = [len(w) + (k > 0) for k, w in enumerate(text.split(" "))] if text else []
