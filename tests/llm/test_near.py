@@ -58,14 +58,15 @@ def test_edges(edges, nothing):
     assert sorted((str(r["doc_id"]), r["n_shingles"]) for r in got) == sorted((str(r["doc_id"]), len(word_set(r["text"] or "", 5))) for r in source)
     by = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in got}
     assert {c for (i, n), c in by.items() if i in (7, 8)} == {7} and by[10, 6] == 9 and by[0, 0] == 0 and by[1, 0] == 1
-    assert by[5, 1] == 4 and by[6, 1] == 4  # white space and case are nothing
+    # white space and case are nothing; another row has id 5 too
+    assert by[6, 1] == 4 and {r["component_id"] for r in got if r["doc_id"] == 5} == {4, 5}
     a_rows = [r for r in got if r["n_shingles"] == 1 and r["component_id"] == 3]
     assert len(a_rows) == 4 and sum(r["kept"] for r in a_rows) == 1  # doc 3 three times and one without id
     assert near.near_dedup(nothing).collect() == []
 
 
 def test_registers_and_estimate():
-    rng = np.random.default_rng(1)
+    rng = np.random.default_rng(97)  # not the seed of the hash functions: their stream must not be the values'
     assert near.registers(np.array([0, 1, 2**31, 2**32 - 1], np.uint32)).tolist() == [32 << 10, 31 << 10, 0, 1023]
     values = rng.integers(0, 2**63, 3000, dtype=np.int64).astype(np.uint64) * np.uint64(2)
     for shared in (0, 500, 800, 950):
