@@ -23,15 +23,14 @@ class FileTokenizer:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache = WordCache(self._encode_words)
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [], []
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
             found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = found.ids
-            cuts = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))).tolist()
-            out += [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
-        return out
+            ids.append(np.array(found.ids, np.int64))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and row offsets; ``end_id`` closes each row."""

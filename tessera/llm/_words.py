@@ -27,9 +27,9 @@ def chunks(text: str | None) -> list[str]:
 
 
 class WordCache:
-    """Word -> ids; starts anew beyond ``limit`` words (or eight ids for each)."""
+    """Word -> ids; starts anew beyond ``limit`` words (or four ids for each)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
         self.encode_words, self.limit = encode, limit
         self.clear()
 
@@ -37,31 +37,43 @@ class WordCache:
         self.index: dict[str, int] = {}
         self.flat, self.starts, self.sizes = array("i"), array("q"), array("q")
 
-    def add(self, words: list[str], texts: list[str]) -> None:
-        for word, ids in zip(words, self.encode_words(texts), strict=True):
-            self.index[word] = len(self.sizes)
-            self.starts.append(len(self.flat))
-            self.sizes.append(len(ids))
-            self.flat.extend(ids)
+    def add(self, words: list[str]) -> None:
+        # a key that begins with NUL stands for the rest of it, any other for itself after a space
+        ids, sizes = self.encode_words([w[1:] if w[:1] == "\x00" else " " + w for w in words])
+        first = len(self.sizes)
+        self.index.update(zip(words, range(first, first + len(words)), strict=True))
+        self.starts.frombytes((len(self.flat) + np.cumsum(sizes) - sizes).astype(np.int64).tobytes())
+        self.sizes.frombytes(sizes.astype(np.int64).tobytes())
+        self.flat.frombytes(ids.astype(np.int32).tobytes())
+
+    def _gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the words at these places, and where each ends."""
+        sizes = _view(self.sizes, np.int64)[place]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(ends[-1]) + np.repeat(_view(self.starts, np.int64)[place] - ends[:-1], sizes)
+        return _view(self.flat, np.int32)[at], ends
 
     def encode(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and row offsets of texts given as ``chunks``."""
-        if len(self.index) > self.limit or len(self.flat) > 8 * self.limit:
+        """Flat ids and row offsets of texts given as ``chunks`` (lists that
+        are not used again)."""
+        if len(self.index) > self.limit or len(self.flat) > 4 * self.limit:
             self.clear()
-        index = self.index
-        # a first piece has no space before it: kept apart by a leading NUL key
-        keys = [["\x00" + r[0], *r[1:]] if r else r for r in rows]
-        new = {w: None for r in keys for w in r if w not in index}
-        if new:
-            words = list(new)
-            self.add(words, [w[1:] if w[:1] == "\x00" else " " + w for w in words])
-        counts = np.fromiter(map(len, keys), np.int64, len(keys))
-        ids = np.fromiter((index[w] for r in keys for w in r), np.int64, int(counts.sum()))
-        starts, sizes = np.frombuffer(self.starts, np.int64) if self.starts else np.zeros(0, np.int64), \
-            np.frombuffer(self.sizes, np.int64) if self.sizes else np.zeros(0, np.int64)
-        sizes_w, starts_w = sizes[ids], starts[ids]
-        ends = np.concatenate([[0], np.cumsum(sizes_w)])
-        at = np.arange(ends[-1]) + np.repeat(starts_w - ends[:-1], sizes_w)
-        flat = np.frombuffer(self.flat, np.int32)[at] if self.flat else np.zeros(0, np.int32)
-        del starts, sizes  # views: the arrays must be free to grow again
-        return flat, ends[np.concatenate([[0], np.cumsum(counts)])]
+        words: list[str] = []
+        for row in rows:
+            if row:  # a first piece has no space before it: kept apart by a leading NUL
+                row[0] = "\x00" + row[0]
+                words += row
+        found = list(map(self.index.get, words))
+        if None in found:
+            missing = [k for k, v in enumerate(found) if v is None]
+            self.add(list(dict.fromkeys(words[k] for k in missing)))
+            for k in missing:
+                found[k] = self.index[words[k]]
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        ids, ends = self._gather(np.array(found, np.int64))
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
+
+
+def _view(values: array, kind: type) -> np.ndarray:
+    """The array's items without a copy (gone before it grows again)."""
+    return np.frombuffer(values, kind) if values else np.zeros(0, kind)

@@ -4,6 +4,7 @@ Each pre-token's bytes are the leaves of a segment tree that keeps the least
 (rank, position) of all adjacent pairs, so its root is the leftmost pair of
 lowest rank.  A merge changes three leaves: the pair itself, its left
 neighbour's pair, and the right part, which goes; each is a walk to the root.
+Distinct short pre-tokens have their trees side by side in numpy arrays.
 """
 
 from __future__ import annotations
@@ -78,13 +79,110 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class MergeTable:
+    """Rank of every pair of tokens whose bytes together are a token."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.single = np.full(256, -1, np.int64)
+        keys, values = [], []
+        for token, rank in ranks.items():
+            if len(token) == 1:
+                self.single[token[0]] = rank
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    keys.append(a << 32 | b)
+                    values.append(rank)
+        order = np.argsort(keys, kind="stable")
+        self.keys = np.append(np.array(keys, np.int64)[order], _NONE)
+        self.values = np.append(np.array(values, np.int64)[order], _NONE)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.values[at], _NONE)
+
+
+#: Longest pre-token that is merged together with others of its size class.
+_TOGETHER = 64
+
+
+def merge_together(pieces: list[bytes], table: MergeTable) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids and id counts of pre-tokens of 2 to ``_TOGETHER`` bytes of one
+    size class: the segment trees of all of them side by side, one merge in
+    each at a time."""
+    count = np.array([len(p) for p in pieces], np.int64)
+    rows, size = len(pieces), 1 << int(count.max() - 1).bit_length()
+    at = np.arange(size + 1)
+    data = np.frombuffer(b"".join(p.ljust(size + 1, b"\0") for p in pieces), np.uint8).reshape(rows, size + 1)
+    token, alive = table.single[data], at[None, :] < count[:, None]
+    after = np.broadcast_to(at + 1, (rows, size + 1)).copy()
+    before = np.broadcast_to(at - 1, (rows, size + 1)).copy()
+
+    def leaf(r: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """(rank, place) of the pair that begins at place i of rows r."""
+        j = after[r, i]
+        rank = table.rank(token[r, i], token[r, np.minimum(j, size)])
+        return np.where((j < count[r]) & (rank != _NONE), rank << 8 | i, _NONE)
+
+    tree = np.full((rows, 2 * size), _NONE, np.int64)
+    everyone = np.arange(rows)
+    for i in range(size):
+        tree[:, size + i] = np.where(i + 1 < count, leaf(everyone, np.full(rows, i)), _NONE)
+    level = size
+    while level > 1:
+        tree[:, level // 2:level] = np.minimum(tree[:, level:2 * level:2], tree[:, level + 1:2 * level:2])
+        level //= 2
+    r = np.flatnonzero(tree[:, 1] != _NONE)
+    while len(r):
+        best = tree[r, 1]
+        i = best & 0xFF
+        j = after[r, i]
+        end = after[r, j]
+        token[r, i], after[r, i], before[r, end], alive[r, j] = best >> 8, end, i, False
+        p = before[r, i]
+        paths = [(r, j, np.full(len(r), _NONE)), (r, i, leaf(r, i))]
+        has = p >= 0
+        paths.append((r[has], p[has], leaf(r[has], p[has])))
+        for q, place, value in paths:  # all leaves first, then each path to its root
+            tree[q, size + place] = value
+        for q, place, _ in paths:
+            k = size + place >> 1
+            for _ in range(size.bit_length() - 1):
+                tree[q, k] = np.minimum(tree[q, 2 * k], tree[q, 2 * k + 1])
+                k = k >> 1
+        r = r[tree[r, 1] != _NONE]
+    return token[alive], alive.sum(axis=1)
+
+
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int], table: MergeTable, side_by_side: int = 4096) -> list[np.ndarray]:
+    """Token ids of each pre-token."""
+    out: list[np.ndarray | None] = [None] * len(pieces)
+    classes: dict[int, list[int]] = {}
+    for k, piece in enumerate(pieces):
+        whole = ranks.get(piece)
+        if whole is not None:
+            out[k] = np.array([whole], np.int64)
+        elif len(piece) < 2 or len(piece) > _TOGETHER:
+            out[k] = np.array(merge_bytes(piece, ranks), np.int64)
+        else:
+            classes.setdefault((len(piece) - 1).bit_length(), []).append(k)
+    for members in classes.values():
+        for a in range(0, len(members), side_by_side):
+            some = members[a:a + side_by_side]
+            flat, sizes = merge_together([pieces[k] for k in some], table)
+            for k, ids in zip(some, np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
+                out[k] = ids
+    return out
+
+
 class ByteBPE:
     """Encoder and decoder over one file of ranks; one per worker process."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.table = regex.compile(pattern), MergeTable(self.ranks)
         self.cache = WordCache(self._encode_chunks)
         vocab = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
@@ -93,8 +191,13 @@ class ByteBPE:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(vocab), np.uint8)
 
-    def _encode_chunks(self, words: list[str]) -> list[list[int]]:
-        return [[i for m in self.pattern.findall(w) for i in merge_bytes(m.encode("utf-8"), self.ranks)] for w in words]
+    def _encode_chunks(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self.pattern.findall(w) for w in words]
+        place = {m: k for k, m in enumerate(dict.fromkeys(m for p in parts for m in p))}
+        ids = merge_all([m.encode("utf-8") for m in place], self.ranks, self.table)
+        sizes = [sum(len(ids[place[m]]) for m in p) for p in parts]
+        flat = [ids[place[m]] for p in parts for m in p]
+        return np.concatenate(flat) if flat else np.zeros(0, np.int64), np.array(sizes, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and row offsets."""
