@@ -25,8 +25,12 @@ BUCKETS = 1 << 15
 UNKNOWN = "und"
 #: Share of the trigrams' log likelihood that counts: neighbouring trigrams overlap.
 TEMPER = 0.2
+#: Prior of "no language": only texts that are disorder through and through pass it.
+UNKNOWN_PRIOR = 1e-9
+# A-Z lower-cased; digits, marks and white space all as one space
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_LOWER[[b for b in range(128) if not 97 <= _LOWER[b] <= 122]] = 32
 
 
 def markup_language(html: Column) -> Column:
@@ -42,10 +46,14 @@ def address_host(url: Column) -> Column:
 
 
 def trigram_buckets(data: np.ndarray) -> np.ndarray:
-    """Bucket of the trigram that begins at each byte but the last two."""
-    x = _LOWER[data].astype(np.uint32)
-    return ((x[:-2] * np.uint32(0x9E3779B1) ^ x[1:-1] * np.uint32(0x85EBCA77) ^ x[2:] * np.uint32(0xC2B2AE3D))
-            * np.uint32(0x27D4EB2F) >> np.uint32(17)).astype(np.int32)
+    """Bucket of the trigram that begins at each byte but the last two;
+    ``BUCKETS``, which counts for nothing, if two of its bytes are no letters."""
+    low = _LOWER[data]
+    x, blank = low.astype(np.uint32), (low == 32).astype(np.uint8)
+    found = ((x[:-2] * np.uint32(0x9E3779B1) ^ x[1:-1] * np.uint32(0x85EBCA77) ^ x[2:] * np.uint32(0xC2B2AE3D))
+             * np.uint32(0x27D4EB2F) >> np.uint32(17)).astype(np.int32)
+    found[blank[:-2] + blank[1:-1] + blank[2:] > 1] = BUCKETS
+    return found
 
 
 def _unordered(byte_counts: np.ndarray) -> np.ndarray:
@@ -56,14 +64,14 @@ def _unordered(byte_counts: np.ndarray) -> np.ndarray:
     third = np.tile(np.arange(256, dtype=np.uint8), 256)
     for b in range(256):
         triples = np.stack([np.full(65536, b, np.uint8), second, third], axis=1).reshape(-1)
-        out += np.bincount(trigram_buckets(triples)[::3], p[b] * np.outer(p, p).reshape(-1), BUCKETS)
-    return out
+        out += np.bincount(trigram_buckets(triples)[::3], p[b] * np.outer(p, p).reshape(-1), BUCKETS + 1)[:BUCKETS]
+    return out / out.sum()
 
 
 def fit_text_model(docs: DataFrame, label: Column, text_col: str = "text", train_rows: int = 400, min_rows: int = 5,
                    max_languages: int = 64) -> tuple[list[str], np.ndarray]:
-    """Languages and (BUCKETS, languages + 1) log likelihoods, the last
-    column for bytes in no order.
+    """Languages and (BUCKETS + 1, languages + 1) log likelihoods, the last
+    column for bytes in no order, the last row (no trigram) zero.
 
     Fitted on at most ``train_rows`` labelled rows a language (those of smallest
     text hash), for the ``max_languages`` labels with most rows among those with at
@@ -75,7 +83,7 @@ def fit_text_model(docs: DataFrame, label: Column, text_col: str = "text", train
     languages = [r["label"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_rows)
                  .orderBy(F.desc("n"), "label").limit(max_languages).collect()]
     if not languages:
-        return [], np.zeros((BUCKETS, 1), np.float32)
+        return [], np.zeros((BUCKETS + 1, 1), np.float32)
     ship(spark)
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
     keyed = known.select("label", F.xxhash64("text").alias("h"))
@@ -95,7 +103,7 @@ def fit_text_model(docs: DataFrame, label: Column, text_col: str = "text", train
                         total[own], single[own] = np.zeros(BUCKETS, np.int64), np.zeros(256, np.int64)
                     single[own] += np.bincount(_LOWER[data[a:b]], minlength=256)
                     if b - a >= 3:
-                        total[own] += np.bincount(trigram_buckets(data[a:b]), minlength=BUCKETS)
+                        total[own] += np.bincount(trigram_buckets(data[a:b]), minlength=BUCKETS + 1)[:BUCKETS]
         for own in total:
             yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([total[own].tolist()], pa.list_(pa.int64())),
                                               pa.array([single[own].tolist()], pa.list_(pa.int64()))], names=["label", "grams", "bytes"])
@@ -110,7 +118,8 @@ def fit_text_model(docs: DataFrame, label: Column, text_col: str = "text", train
     pooled = (grams.sum(1) + 0.01) / (grams.sum() + 0.01 * BUCKETS)
     model = (grams + 200 * pooled[:, None]) / (grams.sum(0) + 200)
     model = np.concatenate([model, _unordered(single)[:, None]], axis=1)
-    return languages, np.log(np.maximum(model, 1e-12)).astype(np.float32)
+    logs = np.log(np.maximum(model, 1e-12))
+    return languages, np.concatenate([logs, np.zeros((1, logs.shape[1]))]).astype(np.float32)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared: Column | None = None,
@@ -206,7 +215,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fused = (judged.join(channel("__declared", "ld"), "__declared", "left").join(channel("__suffix", "ls"), "__suffix", "left")
              .join(hosts, "__host", "left"))
     zero = F.array_repeat(F.lit(0.0), n_lang + 1)
-    prior = F.concat(F.transform(F.coalesce("prior", base), lambda p: F.log(p)), F.array(F.lit(float(np.log(1e-3)))))
+    prior = F.concat(F.transform(F.coalesce("prior", base), lambda p: F.log(p)), F.array(F.lit(float(np.log(UNKNOWN_PRIOR)))))
     text = F.transform("__text", lambda v: v * TEMPER)
     logs = F.zip_with(F.zip_with(text, prior, lambda x, y: x + y),
                       F.zip_with(F.coalesce("ld", zero), F.coalesce("ls", zero), lambda x, y: x + y), lambda x, y: x + y)

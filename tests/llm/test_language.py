@@ -36,7 +36,7 @@ def test_query_against_brute_force_fusion(spark):
         all_ = c.sum() / len(docs)
         logs = s * lang.TEMPER
         logs[:n] += np.log((c + 20 * all_) / (total + 20)) + np.log((h + 20 * share) / (h.sum() + 20))
-        logs[n] += np.log(all_) + np.log(1e-3)
+        logs[n] += np.log(all_) + np.log(lang.UNKNOWN_PRIOR)
         p = np.exp(logs - logs.max())
         p /= p.sum()
         r = got[d["doc_id"]]
