@@ -98,3 +98,46 @@ def test_host_prior_decides_without_text(spark):
     out = lang.language_id(urls.unionByName(short), url=F.col("url"), label=F.col("lang"))
     got = {r["doc_id"]: r["language"] for r in out.where("doc_id < 0").collect()}
     assert got == {-1: "fr", -2: "fr", -3: "en"}  # b.fr.example by its domain
+
+
+def _invented(rng, k):
+    """Words of an invented language."""
+    own = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9, replace=False)
+    return ["".join(rng.choice(own, 5)) for _ in range(30)]
+
+
+def test_every_label_is_a_language(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(80):  # one to four rows each
+        words = _invented(rng, k)
+        rows += [(100 * k + i, " ".join(rng.choice(words, 60)), f"q{k:02}") for i in range(1 + k % 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    languages, _ = lang.fit_text_model(docs, F.col("lang"))
+    assert sorted(languages) == [f"q{k:02}" for k in range(80)]
+    out = lang.language_id(docs, declared=F.col("lang"), carry=("lang",))
+    assert out.where("kept and language = lang").count() == len(rows)
+
+
+def test_unknown_scripts_and_declarations_are_kept(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("lang in ('en', 'fr')").select("doc_id", "text", F.col("lang").alias("label"), F.lit(None).cast("string").alias("said"))
+    georgian = "ყველა ადამიანი იბადება " * 20
+    swahili = "watu wote wamezaliwa huru hadhi na haki zao ni sawa wote wamejaliwa akili na dhamiri hivyo yapasa watendeane kindugu " * 3
+    english = docs.where("label = 'en' and length(text) > 300").first()["text"]
+    more = spark.createDataFrame([(-1, georgian, None, None), (-2, georgian, None, "ka"), (-3, georgian + " 12 ok", None, "und"),
+                                  (-4, swahili, None, "sw"), (-5, english, None, "sw"), (-6, "12 34", None, "sw")], docs.schema)
+    out = lang.language_id(docs.unionByName(more), declared=F.col("said"), label=F.col("label"))
+    got = {r["doc_id"]: (r["language"], r["kept"]) for r in out.where("doc_id < 0").collect()}
+    assert got == {-1: ("und", True), -2: ("ka", True), -3: ("und", True), -4: ("sw", True), -5: ("en", True), -6: ("und", False)}
+    alone = lang.language_id(more, declared=F.col("said"), label=F.col("label"))  # no labels at all
+    assert {r["doc_id"]: (r["language"], r["kept"]) for r in alone.collect()} == {
+        -1: ("und", False), -2: ("ka", True), -3: ("und", False), -4: ("sw", True), -5: ("sw", True), -6: ("und", False)}
+
+
+def test_scripts_of_letters():
+    text = "a1 éЖ中𐐀ყ’"
+    data = np.frombuffer(text.encode(), np.uint8)
+    script, _ = lang._scripts()
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    assert lang.letter_scripts(data)[starts].tolist() == [int(script[ord(c)]) for c in text]
+    assert script[ord("a")] == script[ord("é")] > 0 and script[ord("1")] == 0 and lang.letter_scripts(data).astype(bool).sum() == 6
