@@ -79,6 +79,22 @@ def char_shingles(units: np.ndarray, starts: np.ndarray, ends: np.ndarray, size:
     return mix64((total[stop] - total[at]) * powers(_BACK, len(units) + 1)[at]), first
 
 
+def distinct_counts(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Number of distinct values of each run (runs begin at ``first`` and are not empty)."""
+    count = np.diff(np.append(first, len(values)))
+    own = values ^ np.repeat(mix64(np.arange(1, len(first) + 1, dtype=np.uint64)), count)  # equal in one run only, but for chance
+    ordered = np.sort(own)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(twice):
+        marked = np.zeros(1 << 22, bool)
+        low = np.uint64(len(marked) - 1)
+        marked[twice & low] = True
+        at = np.flatnonzero(marked[own & low])
+        for k in np.unique(np.searchsorted(first, at, side="right") - 1).tolist():
+            count[k] = len(np.unique(values[first[k]:first[k] + count[k]]))
+    return count
+
+
 def unpack(items: pa.Array) -> list[np.ndarray]:
     """Shingle sets of lines kept as text."""
     out = []
@@ -129,12 +145,13 @@ def line_components(docs: DataFrame, text_col: str, id_col: str, num: int = 80,
                         fresh.append(k)
                     cid[k] = got
                 sig: list[bytes | None] = [None] * len(starts)
+                size = np.zeros(len(starts), np.int64)  # of the set; copies need none
                 if fresh:
                     new = np.array(fresh)
                     grams, first = char_shingles(units, starts[new], ends[new], SHINGLE)
+                    size[new] = distinct_counts(grams, first)
                     for k, row in zip(fresh, min_hashes(grams, first, functions).astype(np.uint16), strict=True):
                         sig[k] = row.tobytes()
-                size = np.maximum(ends - starts - SHINGLE + 1, 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lid), pa.array(rids[low + doc]), ids.take(pa.array(low + doc)), pa.array(line_no.astype(np.int32)),
                      pa.array(cid), pa.array(x), pa.array(y), pa.array(size), pa.array(sig, pa.binary())],

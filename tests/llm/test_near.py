@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import _links, _shingles, near_dedup as near
-from tessera.llm.line_dedup import SHINGLE, line_dedup
+from tessera.llm.line_dedup import SHINGLE, distinct_counts, line_dedup
 
 from .conftest import SF01
 from .helpers import line_of, linked, word_set
@@ -145,6 +145,29 @@ def test_fuzzy_lines(spark):
     assert got == {k[0]: t for k, t in want.items()}
 
 
+def test_repeated_shingles_are_counted_once(spark):
+    rng = random.Random(11)
+    base = "".join(rng.choice("abcdefghij klmnop") for _ in range(120))
+    docs = []
+    for _ in range(300):  # first members of the two lines' bands, similar to neither
+        at = rng.randrange(20, len(base) - 32)
+        docs.append(base[:at] + "".join(rng.choice("qrstuvwxyz") for _ in range(12)) + base[at + 12:] + "." * 20 + " 5")
+    docs += [base + "." * 20 + " 5", base + "." * 200 + " 5"]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: r["text"] for r in line_dedup(frame).collect()}
+    assert got == {k[0]: t for k, t in _deduped([((i, 0), t) for i, t in enumerate(docs)]).items()}
+    assert [i for i, t in got.items() if not t] == [301]
+
+
+def test_distinct_counts_of_runs():
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 40, 5000, dtype=np.int64).astype(np.uint64)
+    first = np.unique(np.concatenate([[0], rng.integers(1, 5000, 300)]))
+    want = [len(set(v.tolist())) for v in np.split(values, first[1:])]
+    assert distinct_counts(values, first).tolist() == want
+    assert distinct_counts(np.arange(7, dtype=np.uint64), np.array([0, 3])).tolist() == [3, 4]
+
+
 def test_queries_on_whole_tables(spark, docs01):
     from tessera.llm.queries import QUERIES
 
