@@ -51,7 +51,7 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most ``SEQUENCE`` tokens and their places in sequences."""
-    pieces = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE)
+    pieces = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE, special_as_text=False)
     return packing.pack(with_crc32(pieces).drop("ids"), SEQUENCE)
 
 

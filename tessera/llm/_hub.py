@@ -8,19 +8,23 @@ import numpy as np
 
 from tessera.llm._words import WordCache, chunks
 
-_ready: dict[str, "FileTokenizer"] = {}
+_ready: dict[tuple[str, bool], "FileTokenizer"] = {}
 
 
 class FileTokenizer:
-    """A tokenizer file of the tokenizers library, without special tokens;
-    each distinct word goes through the library once per worker."""
+    """A tokenizer file of the tokenizers library, which adds no special tokens;
+    each distinct word goes through the library once per worker.
 
-    def __init__(self, path: str):
+    Where the string of a special token stands in a text, it is ordinary text, or
+    that token (the library's own way) if not ``special_as_text``.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         self.cache = WordCache(self._encode_words)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +45,7 @@ class FileTokenizer:
         return ids, offsets
 
 
-def tokenizer(path: str) -> FileTokenizer:
-    if path not in _ready:
-        _ready[path] = FileTokenizer(path)
-    return _ready[path]
+def tokenizer(path: str, special_as_text: bool = True) -> FileTokenizer:
+    if (path, special_as_text) not in _ready:
+        _ready[path, special_as_text] = FileTokenizer(path, special_as_text)
+    return _ready[path, special_as_text]

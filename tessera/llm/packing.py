@@ -66,10 +66,11 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, carry: Sequence[str] = ("doc_id",),
-               text_col: str = "text", slice_rows: int = 256) -> DataFrame:
+               text_col: str = "text", slice_rows: int = 256, special_as_text: bool = True) -> DataFrame:
     """``carry`` columns with ``piece, start, length, ids``: the tokens of each
     text and ``end_id``, cut only if longer than ``capacity``, into full pieces
-    but for the first.  Null and empty texts give one piece of ``end_id``."""
+    but for the first.  Null and empty texts give one piece of ``end_id``.
+    Strings of special tokens in a text are those tokens unless ``special_as_text``."""
     ship(docs.sparkSession)
     carry = list(carry)
     frame = docs.select(*[col(c) for c in carry], col(text_col).alias("__text"))
@@ -78,7 +79,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
     schema = T.StructType([docs.schema[c] for c in carry] + kinds)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer(tokenizer_path)
+        model = tokenizer(tokenizer_path, special_as_text)
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(at, slice_rows)

@@ -62,7 +62,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), END_ID, special_as_text=False)
     back = token_files.read_token_files(spark, path).withColumn("n_tokens", F.size("ids").cast("bigint"))
     return with_crc32(back).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -74,7 +74,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.cut_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE)
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE, special_as_text=False)
     return packing.pack(with_crc32(pieces).drop("ids"), SEQUENCE)
 
 

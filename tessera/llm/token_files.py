@@ -51,9 +51,10 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
-                      text_col: str = "text", block_ids: int = 1 << 16, slice_rows: int = 256) -> None:
+                      text_col: str = "text", block_ids: int = 1 << 16, slice_rows: int = 256, special_as_text: bool = True) -> None:
     """Tokenise whole texts, append ``end_id`` to each, and write them in
-    ascending ``id_col`` order below ``path``.
+    ascending ``id_col`` order below ``path``.  Strings of special tokens in a text
+    are those tokens unless ``special_as_text``.
 
     Null and empty texts hold ``end_id`` alone; rows without id come first;
     rows that repeat an id all stay, side by side; an empty table gives an empty
@@ -68,7 +69,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                         col(text_col).alias("text"))
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer(tokenizer_path)
+        model = tokenizer(tokenizer_path, special_as_text)
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(at, slice_rows)

@@ -186,3 +186,30 @@ def test_bound_never_exceeds_the_best_packing(lengths):
         own = sorted((int(offsets[i]), lengths[i]) for i in np.flatnonzero(bins == b))
         assert [o for o, _ in own] == np.cumsum([0] + [n for _, n in own])[:-1].tolist()
         assert sum(n for _, n in own) + free[b] == 10
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(st.lists(st.one_of(ODD, st.sampled_from(["<|endoftext|>", "<|startoftext|>", " ", " a"])), max_size=5).map("".join), max_size=4))
+def test_special_tokens_as_the_library_reads_them(name, texts):
+    model, library = _hub.tokenizer(public_tokenizers.path(name), special_as_text=False), Tokenizer.from_file(public_tokenizers.path(name))
+    ids, offsets = model.encode(texts)
+    for k, text in enumerate(texts):
+        assert ids[offsets[k]:offsets[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_queries_read_special_tokens_as_the_library_does(spark, scratch):
+    import corpus_pipeline
+    from tessera.llm.queries import QUERIES
+
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y", "plain"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+
+    def crc(name):
+        library = Tokenizer.from_file(public_tokenizers.path(name))
+        return {i: zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes()) for i, t in enumerate(texts)}
+
+    assert {r["doc_id"]: r["ids_crc32"] for r in QUERIES["op7_token_files"](spark, scratch).collect()} == crc("word_bpe_49k.json")
+    for out in (QUERIES["op9_best_fit_packing"](spark, scratch), corpus_pipeline.pack(spark, docs, scratch)):
+        assert {r["doc_id"]: r["ids_crc32"] for r in out.collect()} == crc("byte_bpe_50k.json")
