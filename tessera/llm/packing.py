@@ -99,16 +99,15 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
     return map_arrow(frame, cut, schema)
 
 
-def pack(pieces: DataFrame, capacity: int, length_col: str = "length", cell_items: int = 1 << 15,
-         max_rounds: int = 8) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, length_col: str = "length", cell_items: int = 1 << 15) -> DataFrame:
     """``pieces`` with ``sequence_id`` (any distinct longs) and ``offset``.
 
     Full pieces stand alone.  Null lengths count as 0, as do negative ones; a
     piece longer than ``capacity`` fails the job; equal pieces are packed each;
     an empty table gives an empty result; input columns named like the two new
     ones give way.  ``cell_items`` bounds what one task packs.  A new
-    arrangement of released pieces is taken only if it has fewer bins; the
-    driver sees sums only.
+    arrangement of released pieces is taken only if it has fewer bins, and rounds
+    go on until one has not or deals to one cell; the driver sees sums only.
     """
     spark = pieces.sparkSession
     ship(spark)
@@ -134,31 +133,31 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length", cell_item
             table = table.append_column(name, pa.array(values, pa.int64()))
         return table.select(schema.names)
 
-    def settled(frame: DataFrame, turn: int) -> DataFrame:
-        number = F.shiftleft(F.lit(turn).cast("bigint"), 56) + F.shiftleft(F.col("__cell"), 32) + F.col("__bin")
+    def settled(frame: DataFrame, first: int) -> DataFrame:
+        number = F.shiftleft(F.lit(first).cast("bigint") + F.col("__cell"), 32) + F.col("__bin")
         return frame.select(*columns, number.alias("sequence_id"), F.col("__offset").alias("offset"))
 
     n_items, before, old = work.count(), None, None
-    for turn in range(max_rounds):
-        if n_items == 0:
-            break
+    turn = first = cells = 0  # cells are numbered through all rounds
+    while n_items:
+        first, was = first + cells, first
         cells = max(1, -(-n_items // cell_items))
         dealt = work.withColumn("__cell", F.pmod(F.xxhash64(F.col(rid), F.lit(turn)), F.lit(cells)).cast("bigint"))
         packed = stored(dealt.groupBy("__cell").applyInArrow(fit, schema), "pack-round")
         bins = packed.where("__offset = 0").select("__cell", "__bin").distinct().count()
         if before is not None and bins >= before:  # nothing gained: the arrangement of the last round stays
-            parts.append(settled(old, turn - 1))
+            parts.append(settled(old, was))
             break
         gap = (F.col("__bins") > F.col("__bound")) & (F.col("__free") > 0) | (F.col("__free") * 2 > capacity)
-        last = cells == 1 or turn == max_rounds - 1
-        if last:
-            parts.append(settled(packed, turn))
+        if cells == 1:
+            parts.append(settled(packed, first))
             break
-        parts.append(settled(packed.where(~gap), turn))
+        parts.append(settled(packed.where(~gap), first))
         old = packed.where(gap)
         row = old.agg(F.count(F.lit(1)), F.count_distinct("__cell", "__bin")).first()
         n_items, before = row[0], row[1]
         work = old.select(*columns, size, rid)
+        turn += 1
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -213,3 +213,23 @@ def test_queries_read_special_tokens_as_the_library_does(spark, scratch):
     assert {r["doc_id"]: r["ids_crc32"] for r in QUERIES["op7_token_files"](spark, scratch).collect()} == crc("word_bpe_49k.json")
     for out in (QUERIES["op9_best_fit_packing"](spark, scratch), corpus_pipeline.pack(spark, docs, scratch)):
         assert {r["doc_id"]: r["ids_crc32"] for r in out.collect()} == crc("byte_bpe_50k.json")
+
+
+def test_packing_goes_on_while_a_round_saves_sequences(spark, monkeypatch):
+    rounds = []
+
+    def seen(frame, name, keep=packing.stored):
+        out = keep(frame, name)
+        if name == "pack-round":
+            rounds.append(out.select("__cell", "__bin", "__free", "__bins", "__bound").distinct().toPandas())
+        return out
+
+    monkeypatch.setattr(packing, "stored", seen)
+    rng = random.Random(8)
+    pieces = spark.createDataFrame([(i, rng.randint(10, 200)) for i in range(3000)], "k bigint, length bigint").coalesce(2)
+    rows = packing.pack(pieces, 1000, cell_items=3).collect()
+    assert sorted(r["k"] for r in rows) == list(range(3000))
+    _sequences(rows, 1000)
+    released = [((r["__bins"] > r["__bound"]) & (r["__free"] > 0) | (r["__free"] * 2 > 1000)).sum() for r in rounds]
+    assert rounds[-1]["__cell"].nunique() == 1 or released[-1] == 0 or len(rounds[-1]) >= released[-2]
+    assert len(rounds) > 8
