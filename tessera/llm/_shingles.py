@@ -58,7 +58,7 @@ def word_shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.n
     factors = mix64(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
     grams = np.zeros(len(words), np.uint64)
     for k in range(size):
-        grams[:len(words) - k] += words[k:] * factors[k]
+        grams[:max(0, len(words) - k)] += words[k:] * factors[k]
     grams = mix64(grams)
     out = []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):

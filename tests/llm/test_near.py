@@ -159,6 +159,11 @@ def test_repeated_shingles_are_counted_once(spark):
     assert [i for i, t in got.items() if not t] == [301]
 
 
+def test_slices_of_fewer_words_than_a_shingle():
+    for text in (b"a", b"a b", b"a b c", b"a b c d"):
+        assert [len(v) for v in _shingles.word_shingles(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 5)] == [1]
+
+
 def test_distinct_counts_of_runs():
     rng = np.random.default_rng(4)
     values = rng.integers(0, 40, 5000, dtype=np.int64).astype(np.uint64)
