@@ -7,13 +7,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, packing, sharding, token_files, url_filter
+from tessera.llm import bpe, filter_audit, packing, sharding, token_files, url_filter
 from tessera.llm._common import scratch_path, with_crc32
 from tessera.llm.exact_dedup import exact_dedup, normalised
+from tessera.llm.fill_middle import fill_in_middle, restored
 from tessera.llm.forest import forest_search
 from tessera.llm.language_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.near_dedup import near_dedup
+from tessera.llm.window_fill import pack_windows
 from tessera.session import table
 
 # Fixed values of the contracts.
@@ -22,6 +24,8 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 END_ID = 2
 SEQUENCE = 1024
 SHARDS = 8
+WINDOW_END_ID = 1
+WINDOW = 2048
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,5 +92,28 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_window_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_windows(docs, public_tokenizers.path("byte_bpe_50k.json"), WINDOW_END_ID, WINDOW, special_as_text=False, with_ids=False)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = filter_audit.text_features(docs, carry={"part": F.coalesce("source", F.lit(""))})
+    rows = filter_audit.mark_labels(filter_audit.mark_copies(rows), labels, {"good_lost": F.col("quality") == 1, "toxic_lost": F.col("toxic") == 1})
+    filters = {
+        "A": F.col("n_words") < 50, "B": 100 * F.col("n_distinct") < 65 * F.col("n_words"),
+        "C": 100 * F.col("n_upper") > 5 * F.col("n_points"), "D": F.col("has_sign"), "E": F.col("is_copy")}
+    return filter_audit.filter_audit(rows, F.col("part"), filters, {c: F.col(c) for c in ("good_lost", "toxic_lost")})
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_prefix_forest, op3_near_dedup, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_token_files, op8_url_filter, op9_best_fit_packing, op10_sharding)}
+    op1_exact_dedup, op2_prefix_forest, op3_near_dedup, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_token_files, op8_url_filter,
+    op9_best_fit_packing, op10_sharding, op11_fill_middle, op12_window_fill, op13_filter_audit)}
