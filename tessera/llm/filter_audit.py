@@ -195,7 +195,7 @@ def text_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def mark_copies(rows: DataFrame, out_col: str = "is_copy", id_col: str = "doc_id", digest_col: str = "digest",
                 hot_groups: int = 1000) -> DataFrame:
-    """A stored table ``rows`` with ``out_col``: does an equal digest stand on a row with a smaller id?
+    """``rows`` (a stored table) with ``out_col``: does an equal digest stand on a row with a smaller id?
 
     A null id counts as larger than any other; rows that repeat the smallest id
     are no copies of each other.  Groups with more than one of ``hot_groups`` parts of all rows (fewer than ``hot_groups`` can be) are
@@ -217,7 +217,8 @@ def mark_labels(rows: DataFrame, labels: DataFrame, flags: Mapping[str, Column],
     none; they are spread by their row number, not joined as one key."""
     found = labels.where(col(id_col).isNotNull()).groupBy(col(id_col).cast("bigint").alias("__key")).agg(
         *[F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()]).withColumn("__has", F.lit(True))
-    keyed = rows.withColumns({"__has": col(id_col).isNotNull(),
+    kept = rows.select(*[col(c) for c in without(rows, list(flags))])
+    keyed = kept.withColumns({"__has": col(id_col).isNotNull(),
                               "__key": F.coalesce(col(id_col).cast("bigint"), F.xxhash64(F.monotonically_increasing_id()))})
     joined = keyed.join(found, ["__key", "__has"], "left")
-    return joined.select(*[col(c) for c in without(rows, list(flags))], *[F.coalesce(F.col(n), F.lit(False)).alias(n) for n in flags])
+    return joined.select(*[col(c) for c in kept.columns], *[F.coalesce(F.col(n), F.lit(False)).alias(n) for n in flags])

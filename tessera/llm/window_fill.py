@@ -64,7 +64,7 @@ def least_squares(sets: np.ndarray, counts: np.ndarray, turns: int = 100) -> np.
         return (weight * r)[sets].sum(1)
 
     target = weight * counts
-    bound = max(float(back(times(np.ones(len(sets)))).max()), 1e-12)  # the largest row sum of a non-negative matrix bounds its norm
+    bound = back(times(np.ones(len(sets))))  # row sums of a non-negative matrix bound it: a step for each set
     x = y = np.zeros(len(sets))
     t = 1.0
     for _ in range(turns):
