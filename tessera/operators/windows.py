@@ -112,8 +112,9 @@ class Segments:
     chunk_rows: int = 250_000
 
 
-def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segments) -> DataFrame:
-    """Add ``_chunk`` (bigint, never NULL) as described by ``seg``.
+def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segments, is_cut: str | None = None) -> DataFrame:
+    """Add ``_chunk`` (bigint, never NULL) as described by ``seg``, and ``is_cut``:
+    does the row's key have cuts at all?
 
     The sampled rows of a key (``OVERSAMPLE`` / ``chunk_rows`` of its rows) become
     one sorted array of cuts; keys without a cut have no row in that table.
@@ -136,6 +137,8 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segmen
         F.array(*[F.lit(1 << b) for b in range(24, -1, -1)]), F.lit(0),
         lambda at, b: F.when((at + b <= size) & (F.get("_cuts", at + b - 1) <= F.col("_ord")), at + b).otherwise(at))
     chunk = F.when(F.col("_cuts").isNotNull(), below).otherwise(0).cast("bigint")
+    if is_cut is not None:
+        tagged = tagged.withColumn(is_cut, F.col("_cuts").isNotNull())
     return tagged.withColumn("_chunk", chunk).drop("_ord", "_cuts")
 
 

@@ -757,17 +757,18 @@ SQL_LEDGER = f"""
 """
 
 
-# some events lack an account or an amount
-SQL_EVENTS_WITH_GAPS = ("(SELECT event_id, ts, event_type, nullif(user_id % 40, 7) AS user_id, "
+# some events lack an account or an amount; all others keep their real account
+SQL_EVENTS_WITH_GAPS = ("(SELECT event_id, ts, event_type, nullif(user_id, 7) AS user_id, "
                         "CASE WHEN event_id % 101 <> 0 THEN value END AS value FROM events)")
 
 
 @register("ledger_fold", SQL_LEDGER.replace("{events}", SQL_EVENTS_WITH_GAPS))
 def q_ledger_fold(spark, sf):
-    e = _t(spark, sf).events.select("event_id", "ts", "event_type", F.nullif(F.col("user_id") % 40, F.lit(7)).alias("user_id"),
+    e = _t(spark, sf).events.select("event_id", "ts", "event_type", F.nullif(F.col("user_id"), F.lit(7)).alias("user_id"),
                                     F.when(F.col("event_id") % 101 != 0, F.col("value")).alias("value"))
+    checkpoint_root(spark)
     return folds.ledger(e, "user_id", ["ts", "event_id"], "event_type", numbers.to_cents(F.col("value")),
-                        ["signup"], ["purchase"])
+                        ["signup"], ["purchase"], chunk_rows=CHUNK_ROWS)
 
 
 # =============================================================================

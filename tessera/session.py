@@ -9,6 +9,7 @@ ad-hoc use; on a cluster the job's own session (with its own
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -118,6 +119,24 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder; Spark removes it when the driver's JVM ends."""
+    path = f"{require_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the checkpoint folder and read again:
+    cuts the lineage and survives lost executors."""
+    path = f"{run_folder(df.sparkSession, name)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables; Catalyst prunes columns and pushes filters."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

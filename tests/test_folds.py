@@ -3,10 +3,11 @@ import math
 import random
 
 import pandas as pd
+import pytest
 from conftest import SF01, rows
 from pyspark.sql import functions as F
 
-from tessera.operators import folds
+from tessera.operators import folds, windows
 from tessera.sources import cards
 
 
@@ -101,6 +102,76 @@ def test_ledger_random_against_loop_small_batches(spark):
     assert got == _py_ledger(events)
 
 
+def _hot(n, seed, withdraw_share, hot="hot"):
+    """Events of one account with half of all rows, of small ones and of the NULL account; ties in time, missing and negative amounts."""
+    rnd, out = random.Random(seed), []
+    for i in range(n):
+        acct = hot if i % 2 == 0 else None if i % 5 == 0 else f"a{rnd.randrange(30)}"
+        amount = None if rnd.random() < 0.01 else rnd.randrange(-3, 100)
+        out.append((acct, i // 50, i, rnd.random() < withdraw_share, amount))
+    return out
+
+
+def _loop(events, opening=0):
+    totals, each = {}, {}
+    for acct, _, i, is_w, amt in sorted(events, key=lambda e: e[1:3]):
+        bal, dep, wd, rej, rej_amt = totals.get(acct, (opening, 0, 0, 0, 0))
+        reason = "no_amount" if amt is None else "negative" if amt < 0 else "insufficient" if is_w and amt > bal else "ok"
+        if reason == "ok":
+            bal, dep, wd = bal + (-amt if is_w else amt), dep + (not is_w), wd + is_w
+        else:
+            rej, rej_amt = rej + 1, rej_amt + abs(amt or 0)
+        totals[acct], each[i] = (bal, dep, wd, rej, rej_amt), (reason == "ok", bal, reason)
+    return totals, each
+
+
+# few rejections; one early chunk short of money; rejections in every chunk (one task goes on from the last walk)
+@pytest.mark.parametrize("share,walks,opening", [(0.45, 8, 0), (0.45, 8, 700), (0.7, 2, 0), (0.7, 0, 0), (0.5, 40, 0)])
+def test_ledger_of_a_hot_account_in_chunks(spark, share, walks, opening):
+    events = _hot(6000, 11, share)
+    df = spark.createDataFrame([(a, t, i, "withdraw" if w else "deposit", x, opening) for a, t, i, w, x in events],
+                               "acct string, t int, seq long, kind string, amount long, opening long").repartition(5)
+    args = (df, "acct", ["t", "seq"], "kind", F.col("amount"), ["deposit"], ["withdraw"])
+    options = {"chunk_rows": 150, "walks": walks, "opening": "opening"}
+    totals, each = _loop(events, opening)
+    got = folds.ledger(*args, **options)
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == totals
+    per = folds.ledger(*args, event_id="seq", per_event=True, **options)
+    assert {r["event_id"]: (r["accepted"], r["balance_after"], r["reason"]) for r in per.collect()} == each
+    assert got.columns == ["acct", *folds.TOTALS]
+
+
+def test_chunks_of_a_hot_account_are_folded_side_by_side(spark):
+    """Where little is rejected nearly every chunk is a group of its own, and few are walked."""
+    events = _hot(6000, 3, 0.4)
+    rows = spark.createDataFrame([(a, t, i, w, x, i, 0) for a, t, i, w, x in events if a == "hot"],
+                                 "acct string, t int, seq long, _w boolean, _amt long, _eid long, _open long")
+    cut = windows._with_chunk(rows, ["acct"], ["t", "seq"], windows.Segments(chunk_rows=150)).withColumnRenamed("_chunk", "_group")
+    opened = folds._opened_chunks(cut, "acct", ["t", "seq"], None, 8).collect()
+    assert len(opened) >= 12 and all(r["_group"] == r["_to"] for r in opened)
+    starts = {r["_group"]: r["_open"] for r in opened}
+    first = {}
+    for r in cut.orderBy("t", "seq").collect():
+        first.setdefault(r["_group"], r["seq"])
+    _, each = _loop([e for e in events if e[0] == "hot"])
+    before = 0
+    for i in sorted(each):
+        for g, seq in first.items():
+            if seq == i:
+                assert starts[g] == before
+        before = each[i][1]
+
+
+def test_ledger_in_chunks_without_large_accounts(spark):
+    events = _hot(300, 4, 0.5, hot=None)
+    df = spark.createDataFrame([(a, t, i, "withdraw" if w else "deposit", x) for a, t, i, w, x in events],
+                               "acct string, t int, seq long, kind string, amount long")
+    out = folds.ledger(df, "acct", ["t", "seq"], "kind", F.col("amount"), ["deposit"], ["withdraw"], chunk_rows=10_000)
+    assert {r[0]: tuple(r[1:]) for r in out.collect()} == _loop(events)[0]
+    none = folds.ledger(df.limit(0), "acct", ["t", "seq"], "kind", F.col("amount"), ["deposit"], ["withdraw"], chunk_rows=100)
+    assert none.collect() == []
+
+
 def test_ledger_empty_input(spark):
     df = spark.createDataFrame([], "acct string, seq long, kind string, amount long")
     out = folds.ledger(df, "acct", ["seq"], "kind", F.col("amount"), ["deposit"], ["withdraw"])
