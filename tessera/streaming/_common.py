@@ -3,21 +3,13 @@ session's checkpoint folder and the file-stream reader."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import require_checkpoint_dir
+from tessera.session import run_folder
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A new folder; Spark removes it when the driver's JVM ends."""
-    path = f"{require_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(folder)
-    fs.deleteOnExit(folder)
-    return path
+    return run_folder(spark, f"streams/{name}")
 
 
 def file_stream(spark: SparkSession, source: str, schema: str, fmt: str, files_per_trigger: int | None,
