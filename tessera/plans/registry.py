@@ -240,11 +240,15 @@ def q_json_file(spark, sf):
 
 
 @register("file_lines", """
-  SELECT p_name AS line, count(*) AS n, (SELECT count(*) FROM part) AS n_lines FROM part GROUP BY 1
+  WITH l AS (SELECT unnest([p_name] || CASE WHEN p_partkey % 3 = 0 THEN [p_brand] ELSE [] END
+                           || CASE WHEN p_partkey % 5 = 0 THEN [''] ELSE [] END) AS line FROM part)
+  SELECT line, count(*) AS n, (SELECT count(*) FROM l) AS n_lines FROM l GROUP BY 1
 """)
 def q_file_lines(spark, sf):
-    path = scratch_dir(spark, "file_lines")
-    text.write_text(_t(spark, sf).part, "p_name", path)
+    path, key = scratch_dir(spark, "file_lines"), F.col("p_partkey")
+    # some values hold further line ends: a vertical tab inside, a line separator at the end
+    value = F.concat("p_name", F.when(key % 3 == 0, F.concat(F.lit("\x0b"), "p_brand")).otherwise(""), F.when(key % 5 == 0, "\u2028").otherwise(""))
+    text.write_text(_t(spark, sf).part, value, path)
     lines = text.read_lines(spark, path)
     # the last line number of each file is its line count
     total = lines.groupBy("file").agg(F.max("line_no").alias("last")).agg(F.sum("last").alias("n_lines"))

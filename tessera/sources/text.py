@@ -4,7 +4,7 @@ Order matters for the reference (files are lists), so every line carries
 its position.  Lines of a text *column* are numbered by ``posexplode``
 inside the row; lines of text *files* get their number from the file split
 they were read from plus a per-split offset, so no file ever passes through
-a single task.
+a single task (a stretch without a line feed is one value).
 """
 
 from __future__ import annotations
@@ -27,27 +27,39 @@ def lines_of(df: DataFrame, text_col: str, keys: list[str],
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text files as ``(file, line_no, line)`` with exact 1-based line numbers.
-
-    Each file split is read in order by one task; ``monotonically_increasing_id``
-    numbers rows inside the task.  A line's number is the count of lines in
-    the earlier splits of its file (a small aggregate over splits) plus its
-    index inside its split.
+    """Text files as ``(file, line_no, line)``: the lines and 1-based numbers of
+    Python's ``open(file).read().splitlines()``.
+
+    Files are read in splits at line feeds; the other line ends (``\\r``, vertical tab,
+    form feed, U+001C to U+001E, U+0085, U+2028, U+2029) cut the lines inside what stands between two
+    of them.  ``monotonically_increasing_id`` numbers the lines inside the
+    task that reads a split in order, and a prefix sum over splits gives each split its
+    offset.  Whether a file ends with a line feed follows from its size (the sum
+    over its lines), as does a byte order mark, which is given back.  Of a
+    compressed file, whose size says nothing, a last line feed is taken for granted.
     """
-    raw = (spark.read.text(path)
-           .select(F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("_block"),
-                   F.monotonically_increasing_id().alias("_row"),
-                   F.col("value").alias("line")))
-    splits = (raw.groupBy("file", "_block")
-              .agg(F.count("*").alias("_n"), F.min("_row").alias("_first")))
-    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    read = (spark.read.option("lineSep", "\n").text(path)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+                    F.col("_metadata.file_size").alias("_size"), F.octet_length("value").cast("bigint").alias("_bytes"),
+                    split_lines(F.concat("value", F.lit("\n"))).alias("_lines")))
+    raw = (read.select("file", "_block", "_size", "_bytes", F.size("_lines").alias("_many"), F.posexplode_outer("_lines").alias("_pos", "line"))
+           .withColumn("_row", F.monotonically_increasing_id()))
+    # in a file without a last line feed, a line that only that line feed would end
+    open_end = (F.col("_pos") > 0) & (F.col("_pos") == F.col("_many") - 1) & (F.col("line") == "")
+    raw = raw.select("file", "_block", "_size", "_row", "line", F.when(F.col("_pos") == 0, F.col("_bytes") + 1).alias("_used"), open_end.alias("_open"))
+    splits = raw.groupBy("file", "_block").agg(
+        F.count("*").alias("_n"), F.min("_row").alias("_first"), F.max("_row").alias("_last"), F.sum("_used").alias("_used"), F.max("_size").alias("_size"))
+    whole = Window.partitionBy("file")
+    before = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    over = F.col("_size") - F.sum("_used").over(whole)  # 0; 1 less without a last line feed; 3 more with a byte order mark
+    splits = splits.select(
+        "file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.when((F.col("_block") == F.max("_block").over(whole)) & over.isin(-1, 2), F.col("_last")).alias("_cut"),
+        F.when((F.col("_block") == F.min("_block").over(whole)) & over.isin(2, 3), F.col("_first")).alias("_mark"))
     # one row per split: Spark broadcasts it where it is small
-    return (raw.join(splits.select("file", "_block", "_first", "_offset"), ["file", "_block"])
-            .select("file",
-                    (F.col("_offset") + F.col("_row") - F.col("_first") + 1).cast("bigint").alias("line_no"),
-                    "line"))
+    joined = raw.join(splits, ["file", "_block"]).where(~(F.col("_open") & F.coalesce(F.col("_row") == F.col("_cut"), F.lit(False))))
+    marked = F.when(F.col("_row") == F.col("_mark"), F.concat(F.lit("\ufeff"), F.col("line"))).otherwise(F.col("line"))
+    return joined.select("file", (F.col("_offset") + F.col("_row") - F.col("_first") + 1).cast("bigint").alias("line_no"), marked.alias("line"))
 
 
 def typed_lines(df: DataFrame, value_col: str, out: str = "value", strict: bool = True) -> DataFrame:

@@ -599,7 +599,9 @@ def test_headings_streams_and_ledger_queries_match_python(spark):
 def test_file_and_text_key_queries_match_python(spark):
     parts = spark.read.parquet(f"{SF01}/part.parquet").collect()
     got = {r["line"]: (r["n"], r["n_lines"]) for r in QUERIES["file_lines"](spark, SF01).collect()}
-    assert got == {k: (n, len(parts)) for k, n in Counter(p["p_name"] for p in parts).items()}
+    written = "".join(p["p_name"] + ("\x0b" + p["p_brand"] if p["p_partkey"] % 3 == 0 else "") + ("\u2028" if p["p_partkey"] % 5 == 0 else "") + "\n"
+                      for p in parts).splitlines()
+    assert got == {k: (n, len(written)) for k, n in Counter(written).items()}
     sup = spark.read.parquet(f"{SF01}/supplier.parquet").collect()
     got = Counter((r["key"], r["value"]) for r in QUERIES["json_file"](spark, SF01).collect())
     assert got == Counter(x for s in sup for x in (("s_name", s["s_name"]), ("s_suppkey", str(s["s_suppkey"]))))

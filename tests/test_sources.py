@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from conftest import rows
@@ -46,7 +47,7 @@ def test_read_lines_many_splits(spark, scratch):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
         out = text.read_lines(spark, path)
-        assert out.rdd.getNumPartitions() > 1
+        assert spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions() > 1  # the output's own are AQE's choice
         got = [(r["line_no"], r["line"]) for r in out.orderBy("line_no").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -255,3 +256,29 @@ def test_headings_match_python_html_parser(spark):
         want = _py_headings(r["html"])
         mine = [h for _, h in sorted(got.get(r["page_id"], [])) if h is not None]
         assert mine == want, r["page_id"]
+
+
+def test_files_read_as_splitlines_reads_them(spark, scratch):
+    """Random files of every line end, with and without a last one, cut into many splits."""
+    rnd, want = random.Random(9), {}
+    ends = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+    os.makedirs(f"{scratch}/in")
+    for k in range(60):
+        parts = [rnd.choice(["", "a", "é\t", "x" * rnd.randrange(40), "😀 ß"]) + rnd.choice(ends) for _ in range(rnd.randrange(0, 60))]
+        body = ("\ufeff" if k % 7 == 0 else "") + "".join(parts) + rnd.choice(["", "tail", "\n"])
+        with open(f"{scratch}/in/{k}.txt", "w", encoding="utf-8", newline="") as f:
+            f.write(body)
+        with open(f"{scratch}/in/{k}.txt", encoding="utf-8") as f:
+            want[f"{k}.txt"] = f.read().splitlines()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split in ("64", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            got = {}
+            for r in text.read_lines(spark, f"{scratch}/in").orderBy("file", "line_no").collect():
+                lines = got.setdefault(os.path.basename(r["file"]), [])
+                lines.append(r["line"])
+                assert r["line_no"] == len(lines)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert got == {k: v for k, v in want.items() if v}
