@@ -239,6 +239,15 @@ def q_json_file(spark, sf):
     return jsn.read_json_objects(spark, path)
 
 
+@register("json_object_file", """
+  SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderstatus AS value FROM orders
+""")
+def q_json_object_file(spark, sf):
+    path = scratch_dir(spark, "json_object_file")
+    jsn.write_json_object(_t(spark, sf).orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", "o_orderstatus", path)
+    return jsn.read_json_object(spark, path, in_parts=True)
+
+
 @register("file_lines", """
   WITH l AS (SELECT unnest([p_name] || CASE WHEN p_partkey % 3 = 0 THEN [p_brand] ELSE [] END
                            || CASE WHEN p_partkey % 5 = 0 THEN [''] ELSE [] END) AS line FROM part)

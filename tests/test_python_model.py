@@ -605,6 +605,8 @@ def test_file_and_text_key_queries_match_python(spark):
     sup = spark.read.parquet(f"{SF01}/supplier.parquet").collect()
     got = Counter((r["key"], r["value"]) for r in QUERIES["json_file"](spark, SF01).collect())
     assert got == Counter(x for s in sup for x in (("s_name", s["s_name"]), ("s_suppkey", str(s["s_suppkey"]))))
+    got = Counter((r["key"], r["value"]) for r in QUERIES["json_object_file"](spark, SF01).collect())
+    assert got == Counter((str(o["o_orderkey"]), o["o_orderstatus"]) for o in spark.read.parquet(f"{SF01}/orders.parquet").collect())
     codes = {"AUTOMOBILE": "1", "BUILDING": "2", "HOUSEHOLD": "3", "MACHINERY": "4"}
     cust = spark.read.parquet(f"{SF01}/customer.parquet").collect()
     got = {r["c_custkey"]: (r["code"], r["found"]) for r in QUERIES["text_key_lookup"](spark, SF01).collect()}

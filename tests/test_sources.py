@@ -1,3 +1,4 @@
+import json
 import os
 import random
 
@@ -282,3 +283,58 @@ def test_files_read_as_splitlines_reads_them(spark, scratch):
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         assert got == {k: v for k, v in want.items() if v}
+
+
+def _json_value(rnd, depth=0):
+    k = rnd.randrange(7 if depth < 2 else 5)
+    if k < 2:
+        return rnd.randrange(-99, 99) if k else rnd.choice([True, False, None])
+    if k < 5:
+        return "".join(rnd.choice(['a', '"', "\\", ",", "{", "}", "[", "]", "é", "\n", " ", ":"]) for _ in range(rnd.randrange(12)))
+    many = range(rnd.randrange(4))
+    return [_json_value(rnd, depth + 1) for _ in many] if k == 5 else {f"k{i},": _json_value(rnd, depth + 1) for i in many}
+
+
+def test_one_json_object_read_in_many_splits(spark, scratch):
+    """Nested, escaped and indented objects whose strings hold commas, quotes and brackets, in splits of 200 bytes."""
+    rnd, before = random.Random(1), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        for k in range(4):
+            want = {f'key"{i},}}\\': _json_value(rnd) for i in range([0, 1, 40, 60][k])}
+            path = f"{scratch}/o{k}.json"
+            with open(path, "w", encoding="utf-8") as f:
+                f.write(json.dumps(want, indent=k % 2 * 2 or None, ensure_ascii=k > 2) + rnd.choice(["", "\n"]))
+            got = {r["key"]: r["value"] for r in jsn.read_json_object(spark, path).collect()}
+            assert set(got) == set(want)
+            for name, value in want.items():
+                assert got[name] == value if isinstance(value, str) or value is None else json.loads(got[name]) == value
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_what_is_no_object_yields_nothing(spark, scratch):
+    for k, body in enumerate(["[1, 2]", '{"a": 1', '{"a": "x}', "12", "", '{"a": [1, {"b": 2}', " {} \n"]):
+        with open(f"{scratch}/{k}.json", "w") as f:
+            f.write(body)
+        assert jsn.read_json_object(spark, f"{scratch}/{k}.json").collect() == []
+    with open(f"{scratch}/two.json", "w") as f:
+        f.write('{"a": 1, "b": {"a": 5}, "a": [2, "]"]}')
+    assert rows(jsn.read_json_object(spark, f"{scratch}/two.json")) == [("a", '[2,"]"]'), ("b", '{"a":5}')]
+
+
+def test_one_json_object_written_in_parts(spark, scratch):
+    """The files in name order are one object, in order, whatever the number of partitions and empty ones among them."""
+    values = ['a"b', "x,y", "}", None, "é\n", ""]
+    for n in (0, 1, 2, 500):
+        frame = spark.createDataFrame([(f'k{i:04d}",', values[i % 6], -i) for i in range(n)] + [(None, "gone", 1)], "k string, v string, o int").repartition(7)
+        for order in (None, "o"):
+            path = f"{scratch}/{n}{order}"
+            jsn.write_json_object(frame, "k", "v", path, order)
+            files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+            written = "".join(open(f"{path}/{f}", encoding="utf-8").read() for f in files)
+            want = {f'k{i:04d}",': values[i % 6] for i in (reversed(range(n)) if order else range(n))}
+            assert list(json.loads(written).items()) == list(want.items())
+            assert {r["key"]: r["value"] for r in jsn.read_json_object(spark, path, in_parts=True).collect()} == want
+        if n == 500:
+            assert len(files) > 3
