@@ -1226,24 +1226,32 @@ def q_clamp_min(spark, sf):
 
 
 @register("divisors", """
-  SELECT n, d AS divisor FROM (
-    SELECT n, unnest(range(1, n + 1)) AS d FROM (SELECT DISTINCT CAST(p_size AS BIGINT) AS n FROM part WHERE p_size >= 1))
+  SELECT DISTINCT n, unnest([d, n // d]) AS divisor FROM (
+    SELECT n, unnest(range(1, CAST(floor(sqrt(n)) AS BIGINT) + 1)) AS d
+    FROM (SELECT DISTINCT CAST(p_size * (p_partkey % 7 + 9973) AS BIGINT) AS n FROM part WHERE p_size >= 1))
   WHERE n % d = 0
 """)
 def q_divisors(spark, sf):
-    sizes = _t(spark, sf).part.where(F.col("p_size") >= 1).select(F.col("p_size").cast("bigint").alias("n")).distinct()
-    return sizes.select("n", F.explode(numbers.divisors(F.col("n"))).alias("divisor"))
+    sizes = _t(spark, sf).part.select((F.col("p_size") * (F.col("p_partkey") % 7 + 9973)).cast("bigint").alias("n"))
+    return numbers.divisors_of(sizes, "n")
 
 
-@register("fibonacci", """
-  WITH RECURSIVE f(n, a, b) AS (
-    SELECT 1, CAST(1 AS HUGEINT), CAST(1 AS HUGEINT)
-    UNION ALL SELECT n + 1, b, a + b FROM f WHERE n < (SELECT max(p_size) FROM part))
-  SELECT p_partkey, p_size, CAST(f.a AS BIGINT) AS fib FROM part LEFT JOIN f ON f.n = p_size
+_LIMBS = 12  # of 18 digits: enough for the 1000th term
+
+
+@register("fibonacci", f"""
+  WITH RECURSIVE f AS (
+    SELECT 1 AS n, 1::HUGEINT AS a0, 1::HUGEINT AS b0, {", ".join(f"0::HUGEINT AS a{{i}}, 0::HUGEINT AS b{{i}}".format(i=i) for i in range(1, _LIMBS))}
+    UNION ALL
+    SELECT n + 1 AS n, b0, t0 % {10**18}, {", ".join(f"b{i}, t{i} % {10**18}" for i in range(1, _LIMBS))}
+    FROM (SELECT *, a0 + b0 AS t0, {", ".join(f"a{i} + b{i} + t{i - 1} // {10**18} AS t{i}" for i in range(1, _LIMBS))} FROM f) WHERE n < 1000)
+  SELECT p_partkey, CAST(p_size * 20 AS INTEGER) AS n,
+         ltrim({" || ".join(f"lpad(CAST(a{i} AS VARCHAR), 18, '0')" for i in range(_LIMBS - 1, -1, -1))}, '0') AS fib
+  FROM part LEFT JOIN f ON f.n = p_size * 20
 """)
 def q_fibonacci(spark, sf):
     p = _t(spark, sf).part
-    return numbers.fibonacci_of(p.select("p_partkey", "p_size"), "p_size", "fib")
+    return numbers.fibonacci_of(p.select("p_partkey", (F.col("p_size") * 20).cast("int").alias("n")), "n", "fib")
 
 
 @register("current_year", """

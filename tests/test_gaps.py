@@ -2,6 +2,7 @@
 
 import os
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -129,9 +130,34 @@ def test_divisors_of_large_numbers(spark):
     assert spark.createDataFrame([(n,)], "n long").select(numbers.divisors("n")).first()[0] == [1, 999_983, 1_000_003, n]
 
 
-def test_fibonacci_terms_beyond_a_bigint_are_null(spark):
-    df = spark.createDataFrame([(0,), (1,), (92,), (93,), (None,)], "n int")
-    assert rows(numbers.fibonacci_of(df, "n"), "n", "fib") == [(0, None), (1, 1), (92, 7540113804746346429), (93, None), (None, None)]
+def test_divisors_in_blocks(spark):
+    numbers_ = [1, 2, 3, 4, 97, 65_536**2, 65_537**2, 999_983 * 1_000_003, 2**40, 3**25, 360_360, 0, -4, None, 360_360, 10**15]
+    got = {}
+    for r in numbers.divisors_of(spark.createDataFrame([(n,) for n in numbers_], "n long"), "n").collect():
+        got.setdefault(r["n"], []).append(r["divisor"])
+    for n in {n for n in numbers_ if n and n > 0}:
+        want, left, p = {1}, n, 2
+        while left > 1:
+            if p * p > left:
+                p = left
+            powers = [1]
+            while left % p == 0:
+                left //= p
+                powers.append(powers[-1] * p)
+            want = {w * q for w in want for q in powers}
+            p += 1
+        assert sorted(got.pop(n)) == sorted(want)
+    assert got == {}
+
+
+def test_fibonacci_terms_of_any_size(spark):
+    asked = [None, -5, 0, 1, 2, 3, 43, 44, 92, 93, 182, 186, 187, 1000, 1000, 4999]
+    terms = [0, 1]
+    while len(terms) < 5000:
+        terms.append(terms[-1] + terms[-2])
+    got = numbers.fibonacci_of(spark.createDataFrame([(n,) for n in asked], "n int"), "n").collect()
+    assert Counter(map(tuple, got)) == Counter((n, str(terms[n]) if n and n > 0 else None) for n in asked)
+
 
 
 def test_strict_lines_fail_without_ansi_too(spark):
