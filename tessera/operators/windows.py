@@ -282,22 +282,35 @@ def running_counters(df: DataFrame, session: Sequence[str], value: str, order: S
 
 
 def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Sequence,
-                    targets: Sequence[str], miss_budget: int, segments: Segments | None = None) -> DataFrame:
+                    targets: Sequence[str], miss_budget: int) -> DataFrame:
     """Per session: the step at which every target value has been seen, the
     step at which the miss budget is used up, and the outcome (whichever
-    comes first; ``unfinished`` if neither).  ``min_steps`` = number of targets."""
-    session = list(session)
-    c = running_counters(df, session, value, order, targets, segments=segments)
-    is_target_first = F.col("is_new") & F.col(value).isin(list(targets))
-    per = c.groupBy(*session).agg(
-        F.count("*").alias("n_steps"),
-        F.count_if(is_target_first).alias("_targets_seen"),
-        F.max(F.when(is_target_first, F.col("step"))).alias("_last_target"),
-        F.min(F.when(F.col("is_new") & F.col("is_miss") & (F.col("n_miss") == miss_budget),
-                     F.col("step"))).alias("budget_step"),
-    )
-    covered = F.when(F.col("_targets_seen") == len(set(targets)), F.col("_last_target"))
-    per = per.withColumn("covered_step", covered)
+    comes first; ``unfinished`` if neither).  ``min_steps`` = number of targets.
+
+    No running window: where each value first occurs is a partial aggregate, and two thresholds
+    per session follow from it, the last of the targets' first occurrences and the
+    ``miss_budget``-th of the others' (a limit per session, applied before the
+    shuffle).  One join back counts the rows up to each threshold; its
+    small side has one row a session, so AQE can split a hot one.
+    """
+    session, wanted = list(session), list(dict.fromkeys(targets))
+    d = df.select(*session, F.col(value).alias("_v"), order_value(df, order).alias("_ord"))
+    is_target = F.coalesce(F.col("_v").isin(wanted), F.lit(False))
+    firsts = d.where(F.col("_v").isNotNull()).groupBy(*session, "_v").agg(F.min("_ord").alias("_first")).withColumn("_target", is_target)
+    # targets first, so that a session's first rows hold them all and enough of the others
+    along = Window.partitionBy(*session).orderBy(~F.col("_target"), "_first")
+    few = firsts.withColumn("_rn", F.row_number().over(along)).where(F.col("_rn") <= len(wanted) + max(miss_budget, 0))
+    seen = F.sum(F.col("_target").cast("int")).over(Window.partitionBy(*session))
+    few = few.withColumn("_seen", seen)
+    limits = few.groupBy(*session).agg(
+        F.max(F.when(F.col("_target") & (F.col("_seen") == len(wanted)), F.col("_first"))).alias("_covered"),
+        F.max(F.when(~F.col("_target") & (F.col("_rn") - F.col("_seen") == miss_budget), F.col("_first"))).alias("_spent"))
+    per = _join_on_keys(d, limits, session, "left").groupBy(*session).agg(
+        F.count("*").alias("n_steps"), F.count_if(F.col("_ord") <= F.col("_covered")).alias("_c"),
+        F.count_if(F.col("_ord") <= F.col("_spent")).alias("_b"))
+    # a threshold is itself a row of the session, so a count of none means that there is no threshold
+    covered, budget = (F.when(F.col(c) > 0, F.col(c)) for c in ("_c", "_b"))
+    per = per.withColumns({"covered_step": covered, "budget_step": budget})
     outcome = (F.when(F.col("covered_step").isNotNull()
                       & (F.col("budget_step").isNull() | (F.col("covered_step") < F.col("budget_step"))),
                       F.lit("covered"))
@@ -306,7 +319,7 @@ def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Se
     steps_used = F.coalesce(F.least(F.col("covered_step"), F.col("budget_step")), F.col("n_steps"))
     return per.select(*session, "covered_step", "budget_step", outcome.alias("outcome"),
                       steps_used.cast("bigint").alias("steps_used"),
-                      F.lit(len(set(targets))).cast("bigint").alias("min_steps"))
+                      F.lit(len(wanted)).cast("bigint").alias("min_steps"))
 
 
 # ---- ends and global order ------------------------------------------------

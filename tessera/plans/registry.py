@@ -883,8 +883,7 @@ def q_running_counters(spark, sf):
 def q_coverage_replay(spark, sf):
     # a session is a user's day, so that some end before either limit
     e = _t(spark, sf).events.select("event_id", "user_id", "ts", "event_type", F.to_date("ts").cast("string").alias("day"))
-    return windows.coverage_replay(e, ["user_id", "day"], "event_type", ["ts", "event_id"], TARGETS, 2,
-                                   segments=_segments())
+    return windows.coverage_replay(e, ["user_id", "day"], "event_type", ["ts", "event_id"], TARGETS, 2)
 
 
 @register("first_claim", """

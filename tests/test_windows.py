@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from conftest import SF01, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -223,11 +226,31 @@ def test_segmented_counters_and_parity_on_events(spark):
     b = windows.running_counters(e, ["user_id"], "event_type", order, targets)
     cols = ("event_id", "step", "n_new", "n_miss")
     assert rows(a, *cols) == rows(b, *cols)
-    c = windows.coverage_replay(e, ["user_id"], "event_type", order, targets, 2, segments=seg)
-    d = windows.coverage_replay(e, ["user_id"], "event_type", order, targets, 2)
-    assert rows(c) == rows(d)
     day = e.withColumn("day", F.to_date("ts"))
     claimed = windows.first_claims(day, ["event_type", "day"], order)
     p1 = windows.turn_parity(claimed, ["day"], order, "accepted", segments=seg)
     p2 = windows.turn_parity(claimed, ["day"], order, "accepted")
     assert rows(p1, "event_id", "accepted_before", "player") == rows(p2, "event_id", "accepted_before", "player")
+
+
+@pytest.mark.parametrize("targets,budget", [(["a", "b", "c"], 2), (["a", "a", "z"], 1), ([], 3), (["b"], 0), (["a", "b", "c", "d"], 30)])
+def test_coverage_replay_equals_a_loop(spark, targets, budget):
+    """Sessions of any length (one holds a third of all rows), missing sessions and values."""
+    rnd = random.Random(len(targets))
+    data = [(None if k % 17 == 0 else "hot" if k % 3 == 0 else f"s{rnd.randrange(60)}", k, rnd.choice("abcdefgh") if k % 13 else None) for k in range(900)]
+    want = {}
+    for name in {r[0] for r in data}:
+        mine, seen, covered, spent, misses = [r[2] for r in data if r[0] == name], set(), None, None, 0
+        for step, v in enumerate(mine, 1):
+            if v is None or v in seen:
+                continue
+            seen.add(v)
+            if v in targets:
+                covered = step if covered is None and set(targets) <= seen else covered
+            else:
+                misses += 1
+                spent = step if misses == budget else spent
+        outcome = "covered" if covered and (spent is None or covered < spent) else "exhausted" if spent else "unfinished"
+        want[name] = (covered, spent, outcome, min([x for x in (covered, spent) if x] or [len(mine)]), len(set(targets)))
+    df = spark.createDataFrame(data, "s string, k int, v string").repartition(4)
+    assert {r[0]: tuple(r[1:]) for r in windows.coverage_replay(df, ["s"], "v", ["k"], targets, budget).collect()} == want
