@@ -265,6 +265,27 @@ def turn_parity(df: DataFrame, game: Sequence[str], order: Sequence, accepted: s
             .withColumn(out, F.get(arr, idx)).drop("_before"))
 
 
+def claimed_turns(df: DataFrame, game: Sequence[str], slot: Sequence[str], order: Sequence,
+                  players: Sequence[str] = ("X", "O"), accepted: str = "accepted", out: str = "player") -> DataFrame:
+    """``first_claims`` of the slots of a game and ``turn_parity`` of its moves at once: ``accepted`` (the
+    first claim of its slot), ``accepted_before`` and ``out``.
+
+    For games of a bounded number of slots, such as the fields of a board, with any number of moves: a slot's first claim is
+    a partial aggregate, a game's first claims are one short sorted array, and one
+    join back tells each move how many of them come before it.  (Where
+    slots are not bounded, use ``first_claims`` and ``turn_parity``.)
+    """
+    game, slot = list(game), list(slot)
+    d = df.withColumn("_ord", order_value(df, order))
+    firsts = d.groupBy(*game, *[c for c in slot if c not in game]).agg(F.min("_ord").alias("_first"))
+    claims = firsts.groupBy(*game).agg(F.array_sort(F.collect_list("_first")).alias("_claims"))
+    tagged = _join_on_keys(d, claims, game)
+    before = F.size(F.filter("_claims", lambda c: c < F.col("_ord")))
+    arr = F.array(*[F.lit(p) for p in players])
+    return (tagged.withColumns({accepted: F.array_contains("_claims", F.col("_ord")), "accepted_before": before.cast("bigint")})
+            .withColumn(out, F.get(arr, F.pmod("accepted_before", F.lit(len(players))).cast("int"))).drop("_ord", "_claims"))
+
+
 # ---- sessions replayed as games -------------------------------------------
 
 def running_counters(df: DataFrame, session: Sequence[str], value: str, order: Sequence,

@@ -673,8 +673,9 @@ def q_distinct_vals(spark, sf):
                min({'t': ts, 'e': event_id}).e AS first_event_id FROM events GROUP BY 1, 2)
 """)
 def q_ordered_distinct(spark, sf):
+    # the rank runs over a user's distinct event types, of which there are a few
     return agg.first_seen_distinct(_t(spark, sf).events, ["user_id"], "event_type", ["ts", "event_id"],
-                                   first_id="first_event_id", chunk_rows=CHUNK_ROWS)
+                                   first_id="first_event_id")
 
 
 @register("max_fold", f"""
@@ -932,8 +933,8 @@ def q_first_valid(spark, sf):
 """)
 def q_turn_parity(spark, sf):
     e = _t(spark, sf).events.select("event_id", "event_type", "ts", F.to_date("ts").cast("string").alias("day"))
-    claimed = windows.first_claims(e, ["event_type", "day"], ["ts", "event_id"])
-    out = windows.turn_parity(claimed, ["day"], ["ts", "event_id"], "accepted", segments=_segments())
+    # a day's slots are the event types, of which there are a few
+    out = windows.claimed_turns(e, ["day"], ["event_type"], ["ts", "event_id"])
     return out.select("event_id", "day", "accepted", "accepted_before", "player")
 
 

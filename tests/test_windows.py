@@ -231,6 +231,15 @@ def test_segmented_counters_and_parity_on_events(spark):
     p1 = windows.turn_parity(claimed, ["day"], order, "accepted", segments=seg)
     p2 = windows.turn_parity(claimed, ["day"], order, "accepted")
     assert rows(p1, "event_id", "accepted_before", "player") == rows(p2, "event_id", "accepted_before", "player")
+    p3 = windows.claimed_turns(day, ["day"], ["event_type"], order)
+    assert rows(p3, "event_id", "accepted", "accepted_before", "player") == rows(p2, "event_id", "accepted", "accepted_before", "player")
+
+
+def test_claimed_turns_of_missing_keys(spark):
+    data = [(None, None, 1), (None, "a", 2), (None, None, 3), (1, "a", 4), (1, "a", 5), (1, "b", 6), (1, "c", 7)]
+    got = rows(windows.claimed_turns(spark.createDataFrame(data, "g int, s string, k int"), ["g"], ["s"], ["k"], players=("1", "2", "3")),
+               "k", "accepted", "accepted_before", "player")
+    assert got == [(1, True, 0, "1"), (2, True, 1, "2"), (3, False, 2, "3"), (4, True, 0, "1"), (5, False, 1, "2"), (6, True, 1, "2"), (7, True, 2, "3")]
 
 
 @pytest.mark.parametrize("targets,budget", [(["a", "b", "c"], 2), (["a", "a", "z"], 1), ([], 3), (["b"], 0), (["a", "b", "c", "d"], 30)])
