@@ -170,8 +170,10 @@ def line_components(docs: DataFrame, text_col: str, id_col: str, num: int = 80,
         where = lines.where("lid = cid").select("cid", "rid", "line_no").join(cids.select("cid"), "cid", "left_semi")
         wanted = where.groupBy("rid").agg(F.collect_list(F.struct("line_no", "cid")).alias("want"))  # lines of one text
         texts = base.select("rid", "text").join(wanted, "rid")
-        parts = texts.select(F.split("text", "\n").alias("parts"), F.explode("want").alias("w"))
-        return parts.select(F.col("w.cid").alias("cid"), F.get("parts", F.col("w.line_no")).alias("items"))
+        # the text is split once: beside the explode, or named in its lambda, the split would be worked out again for every wanted line
+        lines_ = F.transform(F.array(F.split("text", "\n")), lambda parts: F.transform(
+            "want", lambda w: F.struct(w["cid"].alias("cid"), F.get(parts, w["line_no"]).alias("items"))))
+        return texts.select(F.explode_outer(F.get(lines_, F.lit(0))).alias("w")).where("w is not null").select("w.cid", "w.items")
 
     comp = near_links(nodes, sets_of, unpack, BANDS, 2 * BAND_REGISTERS, num, den, estimate, num / den - SLACK,
                       estimate_first=False, alias=alias)
@@ -196,7 +198,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     without id come last.  Blank lines stay where they are and count for nothing.
     Null and empty texts come back as they are; repeated rows lose their lines
     to the first of them; an empty table gives an empty result; input columns
-    named ``n_lines`` or ``n_dropped`` give way.
+    named ``n_lines`` or ``n_dropped`` give way.  A text of very many lines takes time in proportion to them.
 
     ``materialise=False`` is for inputs that give the same partitions each time
     they are read (a plain table scan).

@@ -22,6 +22,8 @@ from tessera.llm._common import col, ship, stored, without
 
 #: Ends the host part of a key; sorts below every character of a host or path.
 _END = "\x00"
+#: A rule is packed as its length, times this, plus twice its number of labels (and one if it allows).
+_LABELS = 1 << 24
 RULE = T.StructType([T.StructField(n, T.StringType()) for n in ("host", "path", "verdict")])
 
 
@@ -61,6 +63,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     each; empty tables give an empty result; input columns named like a result
     column give way to it.
 
+    URLs of any length and hosts of any number of labels are asked about up to the longest
+    rule key and the deepest rule host only, which loses nothing.
+
     Rules and pages may both be large: both are shuffled once by key range.
     Equal keys are dealt out by a random second key, so one hot URL or host
     spreads.  The only thing that reaches the driver is each partition's first
@@ -79,12 +84,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     size = F.length("host") + F.length("path")
     rule = rule.select(F.concat(_reversed(F.col("host")), F.lit(_END), F.col("path")).alias("key"),
                        F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("salt"),
-                       (size.cast("bigint") * 4096 + F.size(F.split("host", r"\.")) * 2 + F.col("allow").cast("int")).alias("rid"))
+                       (size.cast("bigint") * _LABELS + F.size(F.split("host", r"\.")) * 2 + F.col("allow").cast("int")).alias("rid"))
+    # beyond the longest rule key and the deepest rule host nothing of a URL is asked about
+    longest, deepest = rule.agg(F.max(F.length("key")), F.max(F.shiftright(F.col("rid") % _LABELS, 1))).first()
+    longest, deepest = longest or 0, int(deepest or 0)
 
     labels = F.reverse(F.split("host", r"\."))
     ask = (base.where("host <> ''").select("__rid", "path", labels.alias("labels"))
+           .select("__rid", F.left("path", F.lit(longest)).alias("path"), F.slice("labels", 1, max(deepest, 1)).alias("labels"))
            .select("__rid", "path", "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("n"))
-           .select(F.concat(F.array_join(F.slice("labels", 1, F.col("n")), "."), F.lit(_END), F.col("path")).alias("key"),
+           .select(F.left(F.concat(F.array_join(F.slice("labels", 1, F.col("n")), "."), F.lit(_END), F.col("path")), F.lit(longest)).alias("key"),
                    F.lit(1).alias("kind"), F.xxhash64("__rid").alias("salt"), F.col("__rid").alias("rid")))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # stored with its partition number: both sweeps must see the same cuts
@@ -92,7 +101,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
                   .withColumn("part", F.spark_partition_id()), "url-line")
 
     starts = line.groupBy("part").agg(F.min("key").alias("first"))
-    prefixes = starts.select("part", F.explode(F.expr("transform(sequence(1, length(first)), i -> left(first, i))")).alias("key"))
+    prefixes = starts.select("part", F.explode(F.expr("transform(sequence(1, length(first)), i -> left(first, i))")).alias("key"))  # at most `longest` of them
     seeds: dict[int, list[tuple[str, int]]] = {}
     for part, key, rid in rule.join(prefixes, "key").select("part", "key", "rid").collect():
         seeds.setdefault(part, []).append((key, rid))
@@ -118,8 +127,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     best = swept.groupBy("__rid").agg(F.max("best").alias("best"))
     out = base.join(best, "__rid", "left")
     # length and label count say which part of the URL itself the rule is
-    suffix = F.expr("substring_index(host, '.', -cast(shiftright(best & 4095, 1) as int))")
-    length = F.shiftright("best", 12).cast("int") - F.length(suffix)
+    suffix = F.expr(f"substring_index(host, '.', -cast(shiftright(best % {_LABELS}, 1) as int))")
+    length = F.call_function("div", F.col("best"), F.lit(_LABELS)).cast("int") - F.length(suffix)
     return out.select(
         *[col(c) for c in keep], "host", "path",
         F.when(F.col("best").isNotNull(), F.concat(suffix, F.left(F.col("path"), length))).alias("rule"),

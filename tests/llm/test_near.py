@@ -1,5 +1,6 @@
 """Near-duplicate documents and lines against brute force."""
 
+import time
 import random
 
 import numpy as np
@@ -182,3 +183,16 @@ def test_queries_on_whole_tables(spark, docs01):
     assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == {i: (len(sets[i]), root[i], root[i] == i) for i in sets}
     lines = {r["doc_id"]: r["text"] or "" for r in QUERIES["op6_line_dedup"](spark, SF01).collect()}
     assert lines == {k[0]: t for k, t in _deduped([((i, 0), t) for i, t in sorted(docs01.items())]).items()}
+
+
+def test_texts_of_many_lines_take_linear_time(spark):
+    """Two near-equal documents of n lines each: four times the lines take far less than sixteen times as long."""
+    took = {}
+    for n in (100, 2_000, 8_000):
+        rows = [(d, "\n".join(f"line {k * 7919 % 1_000_003} of a text with words {k} in it, document {'ab'[d] if k % 50 == 0 else 'a'}" for k in range(n))) for d in (0, 1)]
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+        began = time.perf_counter()
+        out = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup(frame).collect()}
+        took[n] = time.perf_counter() - began
+        assert out[1][0] == n and out[1][1] >= n * 0.9
+    assert took[8_000] < 4 * took[2_000]

@@ -50,3 +50,14 @@ def test_empty(spark):
     assert judge_urls(pages, rules_frame(spark, [("org", "/", "allow")])).collect() == []
     one = spark.createDataFrame([(1, "http://a.org/")], "page_id bigint, url string")
     assert judge_urls(one, rules_frame(spark, [])).first()["verdict"] == "allow"
+
+
+def test_long_urls_and_deep_hosts(spark):
+    """A path of a million characters, a host of 5,000 labels, and a rule of 3,000."""
+    deep = ".".join(["d"] * 3000) + ".org"
+    rules = [("org", "/a", "allow"), ("b.org", "/" + "a" * 300, "block"), (deep, "/", "block")]
+    urls = ["http://b.org/" + "a" * 1_000_000, "http://b.org/" + "a" * 299, "http://org/a" + "/x" * 300_000, "http://" + "d." * 5000 + "org/a",
+            "http://" + "d." * 2999 + "org/a", "http://" + "x." * 5000 + "net/"] + [f"http://b{k}.org/a" for k in range(50)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(3)
+    for r in judge_urls(pages, rules_frame(spark, rules), partitions=16).collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == _judge(urls[r["page_id"]], rules, "allow")
