@@ -103,13 +103,15 @@ class Segments:
     """How a segmented scan cuts the rows of a key into chunks.
 
     * ``chunk_rows``: about this many rows a chunk, whatever the spread of the
-      rows along the order;
+      rows along the order; a key of more than ``max_chunks`` times as many gets
+      that many chunks, evenly larger ones, so its table of cuts is bounded;
     * ``chunk``: or an explicit chunk number that never decreases along the
       order (a day, a block of positions).
     """
 
     chunk: Column | None = None
     chunk_rows: int = 250_000
+    max_chunks: int = 1024
 
 
 def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segments, is_cut: str | None = None) -> DataFrame:
@@ -118,6 +120,8 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segmen
 
     The sampled rows of a key (``OVERSAMPLE`` / ``chunk_rows`` of its rows) become
     one sorted array of cuts; keys without a cut have no row in that table.
+    Of a very large key the sampled rows with the smallest hashes are taken, a limit
+    per key that holds in each map task, so no array grows with the key.
     Each row finds its chunk by a binary search in its key's array.  No count
     and no job runs beforehand; AQE sees how small the table is.
     """
@@ -128,6 +132,9 @@ def _with_chunk(df: DataFrame, keys: Sequence[str], order: Sequence, seg: Segmen
     step = max(1, seg.chunk_rows // every)
     d = df.withColumn("_ord", order_value(df, order))
     sampled = d.where(F.pmod(F.xxhash64("_ord"), F.lit(every)) == 0)
+    smallest = Window.partitionBy(*keys).orderBy(F.xxhash64("_ord", F.lit(1)), "_ord")
+    sampled = (sampled.select(*keys, "_ord").withColumn("_rn", F.row_number().over(smallest))
+               .where(F.col("_rn") <= seg.max_chunks * step))
     cuts = sampled.groupBy(*keys).agg(F.array_sort(F.collect_list("_ord")).alias("_s"))
     cuts = cuts.select(*keys, F.filter("_s", lambda _, i: (i + 1) % step == 0).alias("_cuts")).where(F.size("_cuts") > 0)
     tagged = _join_on_keys(d, cuts, keys, "left")

@@ -8,6 +8,7 @@ a link text become blanks and the result is stripped.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -77,20 +78,30 @@ def heading_texts(page: str, tag: str | None = None, css_class: str | None = Non
 def headings(df: DataFrame, html_col: str, keys: list[str], tag: str | None = "h1",
              css_class: str | None = None, out: str = "heading") -> DataFrame:
     """``keys + [heading_no, heading]``; a page without a heading (or without
-    text) keeps one row with NULLs (a miss is reported, not dropped)."""
+    text) keeps one row with NULLs (a miss is reported, not dropped).
+
+    The JVM looks at each page first: the text of one without the tag and its end (or
+    without the class name) never reaches Python.
+    """
     if css_class is not None:
         tag = None
     elif tag is None:
         raise ValueError("give a tag or a css_class")
+    page = F.col(html_col)
+    if tag is not None:
+        name = re.escape(tag)
+        page = F.when(page.rlike(rf"(?i)<{name}\b") & page.rlike(rf"(?i)</{name}\b"), page)
+    else:
+        page = F.when(F.contains(page, F.lit(css_class)) | F.contains(page, F.lit("&")), page)
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("_found", T.ArrayType(T.StringType()))])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [heading_texts(p or "", tag, css_class) for p in batch.column(batch.num_columns - 1).to_pylist()]
+            found = [heading_texts(p, tag, css_class) if p else [] for p in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.string()))], names=names)
 
-    parsed = df.select(*keys, html_col).mapInArrow(run, schema)
+    parsed = df.select(*keys, page.alias("_page")).mapInArrow(run, schema)
     exploded = parsed.select(*keys, F.posexplode_outer("_found").alias("_pos", out))
     return exploded.select(*keys, (F.col("_pos") + 1).cast("bigint").alias("heading_no"), out)
 

@@ -189,3 +189,16 @@ def test_every_validation_reason(spark):
     got = parse.move_fields(df, "m", "a").select(parse.move_reason_of(F.lit(7)), parse.amount_reason_of(F.lit(5))).collect()
     assert [tuple(r) for r in got] == [("too_few", "not_number"), ("too_many", "negative"), ("not_integer", "above_limit"),
                                        ("too_low", "ok"), ("too_high", "ok"), ("ok", "ok")]
+
+
+def test_headings_equal_the_parser_on_every_page(spark):
+    """The look at each page beforehand loses nothing: odd case, spaces, comments, quoted and escaped attributes, unclosed ends."""
+    pages = ["<H1>a</H1>", "<h1\n class=x>b</h1 >", "<h1>c</h1", "<h1/>d</h1>", "<h10>e</h10>", "<!-- <h1>f</h1> --><h2>g</h2>", "<h1>h", "h</h1>",
+             "<p class='b&#105;g'>i</p>", "<p class=\"a big\">j</p>", "<p class=bigger>k</p>", "<p title='<h1>'>l</h1></p>", "<script>'<h1>'</script></h1>", None, ""]
+    df = spark.createDataFrame(list(enumerate(pages)), "id long, page string")
+    for tag, css in (("h1", None), (None, "big")):
+        want = []
+        for i, p in enumerate(pages):
+            found = html.heading_texts(p or "", tag, css)
+            want += [(i, k + 1, t) for k, t in enumerate(found)] or [(i, None, None)]
+        assert Counter(map(tuple, html.headings(df, "page", ["id"], tag, css).collect())) == Counter(want)

@@ -263,3 +263,18 @@ def test_coverage_replay_equals_a_loop(spark, targets, budget):
         want[name] = (covered, spent, outcome, min([x for x in (covered, spent) if x] or [len(mine)]), len(set(targets)))
     df = spark.createDataFrame(data, "s string, k int, v string").repartition(4)
     assert {r[0]: tuple(r[1:]) for r in windows.coverage_replay(df, ["s"], "v", ["k"], targets, budget).collect()} == want
+
+
+def test_cuts_of_a_large_key_are_bounded(spark):
+    """60,000 rows of one key at 100 rows a chunk would be 600 chunks; 20 are allowed, of even size, and sums stay exact."""
+    df = spark.range(60_000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("v")).repartition(6)
+    for most in (20, 1024):
+        seg = Segments(chunk_rows=100, max_chunks=most)
+        sizes = [r["count"] for r in windows._with_chunk(df, ["k"], ["t"], seg).groupBy("_chunk").count().collect()]
+        if most == 20:
+            assert 15 <= len(sizes) <= 21 and max(sizes) < 2.2 * 60_000 / len(sizes)
+        else:
+            assert 500 < len(sizes) < 700 and max(sizes) < 300
+    got = windows.running_sums(df, ["k"], ["t"], {"s": F.col("v")}, segments=Segments(chunk_rows=100, max_chunks=20))
+    want = windows.running_sums(df, ["k"], ["t"], {"s": F.col("v")})
+    assert got.select("t", "s").exceptAll(want.select("t", "s")).count() == 0 and got.count() == 60_000
