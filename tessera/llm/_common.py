@@ -111,7 +111,7 @@ def map_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
     return frame.toDF(*[f"i{k}" for k in range(len(frame.columns))]).mapInArrow(named, plain).toDF(*schema.names)
 
 
-def text_slices(text: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(text: pa.Array, max_bytes: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of a string
     column with about ``max_bytes`` of text each (one longer text stands
     alone); nulls have no bytes.  The bytes are a view, not a copy."""

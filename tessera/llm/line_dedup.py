@@ -98,7 +98,7 @@ def distinct_counts(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 def unpack(items: pa.Array) -> list[np.ndarray]:
     """Shingle sets of lines kept as text."""
     out = []
-    for _, _, data, offsets in text_slices(items, 1 << 20):
+    for _, _, data, offsets in text_slices(items):
         units, starts, ends, _, _ = line_units(data, offsets)
         grams, first = char_shingles(units, starts, ends, SHINGLE)
         out += [np.unique(grams[a:b]) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(grams)], strict=True)]
@@ -126,7 +126,7 @@ def line_components(docs: DataFrame, text_col: str, id_col: str, num: int = 80,
         for batch in batches:
             rids = batch.column(0).to_numpy()
             ids = batch.column(1)
-            for low, _, data, offsets in text_slices(batch.column(2), 1 << 20):
+            for low, _, data, offsets in text_slices(batch.column(2)):
                 units, starts, ends, doc, line_no = line_units(data, offsets)
                 if len(starts) == 0:
                     continue
