@@ -9,7 +9,7 @@ from t join g on t.norm = g.norm
 
 OP8 = r"""
 with u as (
-  select page_id, lower(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')) as host,
+  select page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
          coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path
   from pages),
 r(rhost, rpath, rverdict) as (values

@@ -31,7 +31,7 @@ def test_stages_and_run(spark, scratch):
     assert kept["near_dedup"] == {i: t for i, t in want.items() if root[i] == i}
     last = kept["near_dedup"]
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
+    tok.encode_special_tokens = False
     size = {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in last.items()}
     rows = corpus_pipeline.run(spark, SF01).collect()
     got = {}
