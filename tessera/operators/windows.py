@@ -328,7 +328,7 @@ def coverage_replay(df: DataFrame, session: Sequence[str], value: str, order: Se
     # targets first, so that a session's first rows hold them all and enough of the others
     along = Window.partitionBy(*session).orderBy(~F.col("_target"), "_first")
     few = firsts.withColumn("_rn", F.row_number().over(along)).where(F.col("_rn") <= len(wanted) + max(miss_budget, 0))
-    seen = F.sum(F.col("_target").cast("int")).over(Window.partitionBy(*session))
+    seen = F.sum(F.col("_target").cast("int")).over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     few = few.withColumn("_seen", seen)
     limits = few.groupBy(*session).agg(
         F.max(F.when(F.col("_target") & (F.col("_seen") == len(wanted)), F.col("_first"))).alias("_covered"),
