@@ -7,6 +7,8 @@ from tessera.llm.queries import QUERIES
 
 from .conftest import SF01
 
+SF1 = SF01.replace("0.01", "0.1")
+
 
 def _exact(ids, vectors, query_ids, k):
     out = {}
@@ -68,8 +70,55 @@ def test_few_and_no_vectors(spark):
 
 def test_blocks_of_a_hot_prefix(spark, monkeypatch):
     monkeypatch.setattr(forest, "POINT_BLOCK", 16)
-    monkeypatch.setattr(forest, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(forest, "STRING_BLOCK", 16)
+    monkeypatch.setattr(forest, "PAIR_BLOCK", 64)
     points = spark.range(200).selectExpr("id as vec_id", "array(1f, 2f, if(id < 150, 3f, float(id))) as embedding")
     got = _found(forest.forest_search(points, points.where("vec_id % 20 = 0"), k=5).collect())
     vectors = np.array([[1, 2, 3 if i < 150 else i] for i in range(200)], float)
     assert got == _exact(np.arange(200), vectors, range(0, 200, 20), 5)
+
+
+def _recall(found, want):
+    return np.mean([len({v for v, _ in found[q]} & {v for v, _ in w}) / len(w) for q, w in want.items()])
+
+
+def test_recall_beyond_the_fit_without_scanning(spark):
+    """sf0.1: queries that the fit has not seen (it takes 20 of 400), on
+    vectors close to random directions; none is compared with every point."""
+    points = spark.read.parquet(f"{SF1}/embeddings.parquet").select("vec_id", "embedding")
+    rows = points.orderBy("vec_id").collect()
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    out = forest.forest_search(points, points.where("vec_id % 5 = 0"), k=20, sample_queries=20, with_scored=True).collect()
+    found, want = _found(out), _exact(ids, vectors, [int(i) for i in ids if i % 5 == 0], 20)
+    assert set(found) == set(want) and _recall(found, want) >= 0.9
+    scored = {r["query_id"]: r["scored"] for r in out}
+    assert max(scored.values()) < 0.8 * len(ids) and np.mean(list(scored.values())) < 0.55 * len(ids)
+
+
+def test_clusters_are_pruned_and_small_cells_go_up(spark, monkeypatch):
+    """50 clusters of uneven size, with cells of a few strings, so that queries
+    ascend through several rounds of cells; few points are looked at."""
+    monkeypatch.setattr(forest, "CELL_STRINGS", 16)
+    monkeypatch.setattr(forest, "ROUND_BITS", 3)
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal((50, 24))
+    which = np.minimum(rng.geometric(0.06, 4000) - 1, 49)
+    vectors = centre[which] + 0.25 * rng.standard_normal((4000, 24))
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>").repartition(4)
+    out = forest.forest_search(points, points.where("vec_id % 20 = 0"), k=10, with_scored=True).collect()
+    found, want = _found(out), _exact(np.arange(4000), vectors, range(0, 4000, 20), 10)
+    assert set(found) == set(want) and _recall(found, want) >= 0.9
+    assert np.mean([r["scored"] for r in out]) < 0.2 * 4000
+
+
+def test_long_vectors_and_many_copies(spark):
+    """3000 components; a third of the rows are one vector."""
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((90, 3000))
+    vectors[::3] = vectors[0]
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>").repartition(3)
+    out = forest.forest_search(points, points.where("vec_id % 10 = 0"), k=4, with_scored=True).collect()
+    found = _found(out)
+    assert set(found) == set(range(0, 90, 10))
+    assert [v for v, _ in found[0]] == [3, 6, 9, 12] and [v for v, _ in found[30]] == [0, 3, 6, 9]
+    assert max(r["scored"] for r in out) <= 60 + 5  # of the copies only the five smallest ids are strings
