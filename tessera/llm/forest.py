@@ -30,8 +30,9 @@ from tessera.llm._common import col, mix64, ship, stored
 #: Trees, and bits of a string: those of the first hash, then single ones.
 TREES, FIRST_BITS, BITS = 128, 7, 32
 #: Strings that a task sorts at once, vectors that it scores at once, and
-#: about how many candidates it gives out or scores at once.
-STRING_BLOCK, POINT_BLOCK, PAIR_BLOCK = 1 << 16, 1 << 14, 1 << 23
+#: about how many candidates it gives out or scores at once; strings below one
+#: query's prefixes that are merged at once.
+STRING_BLOCK, POINT_BLOCK, PAIR_BLOCK, LIST_BLOCK = 1 << 16, 1 << 14, 1 << 23, 1 << 20
 #: Strings of a tree that an even cell of the first round holds, and the bits a round ascends.
 CELL_STRINGS, ROUND_BITS = 1 << 18, 4
 
@@ -103,7 +104,8 @@ def _cells(index: DataFrame, asks: DataFrame, bits: int, emits: bool) -> tuple[D
     salt = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     left = strings(index).join(sizes, cell).withColumns({"i": salt("pb"), "j": every("qb")}).select(*cell, "i", "j", "vec_id", "code")
-    right = strings(asks, "x").join(sizes, cell).withColumns({"j": salt("qb"), "i": every("pb")}).select(*cell, "i", "j", "vec_id", "code", "x")
+    carry = ["x", "parts"] if emits else []
+    right = strings(asks, *carry).join(sizes, cell).withColumns({"j": salt("qb"), "i": every("pb")}).select(*cell, "i", "j", "vec_id", "code", *carry)
     return left, right, [*cell, "i", "j"]
 
 
@@ -126,33 +128,41 @@ def _counts(index: DataFrame, asks: DataFrame, bits: int) -> DataFrame:
     return parts.groupBy("vec_id").agg(*[F.sum(c).alias(c) for c in levels])
 
 
-def _below(index: DataFrame, asks: DataFrame, bits: int, blocks: int) -> DataFrame:
-    """``query_id, blk, ids``: points below the query's prefix of ``x`` bits in
-    one tree, by block of points."""
+def _below(index: DataFrame, asks: DataFrame, bits: int) -> DataFrame:
+    """``query_id, part, ids``: points below the query's prefix of ``x`` bits
+    in one tree; a query of very many is cut in ``parts`` by id."""
     left, right, keys = _cells(index, asks, bits, True)
 
     def take(points: pa.Table, queries: pa.Table) -> pa.Table:
         codes, ids = points.column("code").to_numpy(), points.column("vec_id").to_numpy()
-        block = (mix64(ids.astype(np.uint64)) % np.uint64(blocks)).astype(np.int32)
         order = np.argsort(codes, kind="stable")
-        codes, ids, block = codes[order], ids[order], block[order]
+        codes, ids = codes[order], ids[order]
         mine, x = queries.column("code").to_numpy(), queries.column("x").to_numpy().astype(np.int64)
         low = mine >> (BITS - x) << (BITS - x)
         first, end = np.searchsorted(codes, low), np.searchsorted(codes, low + (1 << (BITS - x)))
-        asked, of_block, lists, sizes = [], [], [], []
-        for q, a, b in zip(queries.column("vec_id").to_pylist(), first.tolist(), end.tolist(), strict=True):
-            if a == b:
-                continue
-            by = np.argsort(block[a:b], kind="stable")
-            some, n = np.unique(block[a:b], return_counts=True)
-            asked += [q] * len(some)
-            of_block.append(some), lists.append(ids[a:b][by]), sizes.append(n)
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1)
-        return pa.table([pa.array(asked, pa.int64()), pa.array(np.concatenate(of_block) if of_block else np.zeros(0), pa.int32()),
-                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))], names=["query_id", "blk", "ids"])
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(take, "query_id bigint, blk int, ids array<bigint>")
+        rows: list[tuple[int, int, np.ndarray]] = []
+        for q, n, a, b in zip(queries.column("vec_id").to_pylist(), queries.column("parts").to_pylist(), first.tolist(), end.tolist(), strict=True):
+            if a < b:
+                rows += [(q, part, some) for part, some in (_split(ids[a:b], n) if n > 1 else [(0, ids[a:b])])]
+        return _lists(rows, ["query_id", "part", "ids"])
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(take, "query_id bigint, part int, ids array<bigint>")
+
+
+def _split(ids: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
+    """(number, ids) of the non-empty ones of ``n`` parts by id."""
+    part = (mix64(ids.astype(np.uint64)) % np.uint64(n)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    some, first = np.unique(part[order], return_index=True)
+    return list(zip(some.tolist(), np.split(ids[order], first[1:]), strict=True))
+
+
+def _lists(rows: list[tuple[int, int, np.ndarray]], names: list[str]) -> pa.Table:
+    """A table of a query, a number and a list of ids a row."""
+    flat = np.concatenate([r[2] for r in rows]) if rows else np.zeros(0, np.int64)
+    offsets = np.cumsum([0, *[len(r[2]) for r in rows]]).astype(np.int32)
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=names)
 
 
 def forest_search(points: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -239,8 +249,9 @@ def forest_search(points: DataFrame, queries: DataFrame, k: int = 20, id_col: st
     enough = _enough(truth, sums, len(sample), k, target_recall)
 
     def candidates(rest: DataFrame, enough: int) -> DataFrame:
-        """``blk, query_id, ids``: small cells first; a query that needs more
-        than its cell goes on in larger ones; ids from all trees, once each."""
+        """``query_id, blk, ids``: small cells first; a query that needs more
+        than its cell goes on in larger ones; ids from all trees, once each,
+        by block of points."""
         bits = max(0, (n_points - 1).bit_length() - (CELL_STRINGS - 1).bit_length())
         found = []
         while True:
@@ -248,16 +259,23 @@ def forest_search(points: DataFrame, queries: DataFrame, k: int = 20, id_col: st
             deep = [F.when(F.col(f"c{x}") >= enough, x) for x in range(BITS, max(bits, 1) - 1, -1)]
             x = F.coalesce(*deep, *([F.lit(1)] if bits == 0 else []))
             at = stored(counts.select("vec_id", x.alias("x"), F.array(*[f"c{i}" for i in range(1, BITS + 1)]).alias("c")).where("x is not null")
-                        .select("vec_id", "x", (F.get("c", F.col("x") - 1) * 4 / TREES).cast("bigint").alias("load")), "depths")
-            found.append(_below(index, asked.select("vec_id", "codes").join(at, "vec_id"), bits, blocks))
+                        .withColumn("n", F.get("c", F.col("x") - 1))
+                        .select("vec_id", "x", (F.col("n") * 4 / TREES).cast("bigint").alias("load"),
+                                F.ceil(F.col("n") / LIST_BLOCK).cast("int").alias("parts")), "depths")
+            found.append(_below(index, asked.select("vec_id", "codes").join(at, "vec_id"), bits))
             if bits == 0:
                 break
             rest, bits = rest.join(at, "vec_id", "left_anti"), max(0, bits - ROUND_BITS)
-        lists = reduce(DataFrame.unionByName, found).groupBy("blk", "query_id").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"))
-        return stored(lists, "candidates")
+        def merge(table: pa.Table) -> pa.Table:
+            ids = np.unique(table.column("ids").combine_chunks().flatten().to_numpy())
+            q = table.column("query_id")[0].as_py()
+            return _lists([(q, block, some) for block, some in _split(ids, blocks)], ["query_id", "blk", "ids"])
+
+        every = reduce(DataFrame.unionByName, found).groupBy("query_id", "part")
+        return stored(every.applyInArrow(merge, "query_id bigint, blk int, ids array<bigint>"), "candidates")
 
     # points near a query stand below it in many trees; where that leaves too few, it asks again for a count that cannot
-    every = asked.select("vec_id", "codes", F.lit(0).alias("x"), F.lit(0).cast("bigint").alias("load"))
+    every = asked.select("vec_id", "codes", F.lit(0).cast("bigint").alias("load"))
     lists = candidates(every, enough)
     have = lists.groupBy(F.col("query_id").alias("vec_id")).agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") > k)
     short = stored(every.join(have, "vec_id", "left_anti"), "short")

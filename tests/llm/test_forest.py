@@ -72,6 +72,7 @@ def test_blocks_of_a_hot_prefix(spark, monkeypatch):
     monkeypatch.setattr(forest, "POINT_BLOCK", 16)
     monkeypatch.setattr(forest, "STRING_BLOCK", 16)
     monkeypatch.setattr(forest, "PAIR_BLOCK", 64)
+    monkeypatch.setattr(forest, "LIST_BLOCK", 100)
     points = spark.range(200).selectExpr("id as vec_id", "array(1f, 2f, if(id < 150, 3f, float(id))) as embedding")
     got = _found(forest.forest_search(points, points.where("vec_id % 20 = 0"), k=5).collect())
     vectors = np.array([[1, 2, 3 if i < 150 else i] for i in range(200)], float)
