@@ -1,12 +1,13 @@
 """Uniform shuffle of rows into shards of exact size.
 
 A uniform random permutation is cut into shards without ever gathering it:
-how many rows of each input partition go to each block of each shard follows
-a multivariate hypergeometric law.  The communication matrix (partitions x
-blocks) is drawn row by row inside the tasks: a binary tree over the
-partitions splits the block sizes exactly, every node has its own seed, and a
-task walks only its own path, so no machine holds the matrix and a task that
-is run again draws the same row.
+how many rows of each input partition go to each shard follows a multivariate
+hypergeometric law.  The communication matrix (partitions x shards) is drawn
+row by row inside the tasks: a binary tree over the partitions splits the
+shard sizes exactly, every node has its own seed, and a task walks only its
+own path, so no machine holds the matrix and a task that is run again draws
+the same row.  Inside a shard rows stand in the order of random keys, which
+is dealt out by ranges of the key; counts of the ranges say where each begins.
 """
 
 from __future__ import annotations
@@ -71,17 +72,9 @@ def draw_row(sizes: np.ndarray, cells: np.ndarray, part: int, seed: int) -> np.n
     return left
 
 
-def shard_cells(n_rows: int, n_shards: int, block_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sizes of the blocks, the shard of each, and its first slot there."""
-    size, shard, start = [], [], []
-    for s in range(n_shards):
-        rows = n_rows // n_shards + (s < n_rows % n_shards)
-        blocks = max(1, -(-rows // block_rows))
-        cuts = [rows * b // blocks for b in range(blocks + 1)]
-        size += [cuts[b + 1] - cuts[b] for b in range(blocks)]
-        shard += [s] * blocks
-        start += cuts[:-1]
-    return np.array(size, np.int64), np.array(shard, np.int64), np.array(start, np.int64)
+def shard_sizes(n_rows: int, n_shards: int) -> np.ndarray:
+    """Rows of each shard; they differ by one at most."""
+    return np.array([n_rows // n_shards + (s < n_rows % n_shards) for s in range(n_shards)], np.int64)
 
 
 def shard_rows(df: DataFrame, n_shards: int, seed: int = 0, block_rows: int = 1 << 14,
@@ -92,8 +85,8 @@ def shard_rows(df: DataFrame, n_shards: int, seed: int = 0, block_rows: int = 1
 
     Every row counts as itself: nulls, empty texts and repeated rows need no
     care, an empty table gives an empty result, and input columns named
-    ``shard`` or ``slot`` give way to the new ones.  ``block_rows`` bounds what one
-    task permutes.  ``materialise=False`` is for inputs whose partitions are the
+    ``shard`` or ``slot`` give way to the new ones.  About ``block_rows`` rows of a
+    shard are permuted at once.  ``materialise=False`` is for inputs whose partitions are the
     same each time they are read (a plain table scan); a task that finds
     another row count than was drawn for fails instead of giving wrong shards.
     The driver sees one count per input partition and nothing else.
@@ -110,10 +103,10 @@ def shard_rows(df: DataFrame, n_shards: int, seed: int = 0, block_rows: int = 1
     for p, n in counts.items():
         sizes[p] = n
     total = int(sizes.sum())
-    cells, of_shard, first_slot = shard_cells(total, n_shards, block_rows)
-    cell, key, base = hidden(df, "cell"), hidden(df, "key"), hidden(df, "base")
-    schema = T.StructType(df.schema.fields + [T.StructField(cell, T.IntegerType()), T.StructField(key, T.LongType()),
-                                              T.StructField("shard", T.IntegerType()), T.StructField(base, T.LongType())])
+    shards = shard_sizes(total, n_shards)
+    ranges = -(-shards // block_rows)
+    block, key, base = hidden(df, "block"), hidden(df, "key"), hidden(df, "base")
+    added = [T.StructField("shard", T.IntegerType()), T.StructField(block, T.LongType()), T.StructField(key, T.LongType())]
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -124,20 +117,25 @@ def shard_rows(df: DataFrame, n_shards: int, seed: int = 0, block_rows: int = 1
             if labels is None:
                 if part >= len(sizes):
                     raise RuntimeError("the input's partitions changed; use materialise=True")
-                labels = np.repeat(np.arange(len(cells), dtype=np.int32), draw_row(sizes, cells, part, seed))
+                labels = np.repeat(np.arange(n_shards, dtype=np.int32), draw_row(sizes, shards, part, seed))
                 rng.shuffle(labels)  # permute locally
             mine = labels[at:at + batch.num_rows]
             at += batch.num_rows
             if len(mine) < batch.num_rows:
                 raise RuntimeError("the input's partitions changed; use materialise=True")
             keys = rng.integers(0, 2**63, batch.num_rows, dtype=np.int64)
-            new = [pa.array(mine), pa.array(keys), pa.array(of_shard[mine].astype(np.int32)), pa.array(first_slot[mine])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new],
-                                             names=[*batch.schema.names, cell, key, "shard", base])
+            new = [pa.array(mine), pa.array((keys >> 31) * ranges[mine] >> 32), pa.array(keys)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "shard", block, key])
         if at != (sizes[part] if part < len(sizes) else 0):
             raise RuntimeError("the input's partitions changed; use materialise=True")
 
-    dealt = map_arrow(df, scatter, schema)
-    # the exchange, and the second permutation: inside a block rows are ordered by their random key
-    rank = F.row_number().over(Window.partitionBy(cell).orderBy(key)) - 1
-    return dealt.withColumn("slot", rank + F.col(base)).select(*[col(c) for c in df.columns], "shard", "slot")
+    # where each range of keys begins in its shard: the same draws, over rows without columns
+    bare = df.select(F.lit(0).alias(base))
+    counted = map_arrow(bare, scatter, T.StructType([*bare.schema.fields, *added])).groupBy("shard", block).agg(F.count(F.lit(1)).alias(base))
+    before = Window.partitionBy("shard").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(counted.select("shard", block, F.coalesce(F.sum(base).over(before), F.lit(0)).alias(base)), "shard-ranges")
+    # the exchange, and the second permutation: rows of a range in the order of their random keys
+    dealt = map_arrow(df, scatter, T.StructType([*df.schema.fields, *added]))
+    rank = F.row_number().over(Window.partitionBy("shard", block).orderBy(key)) - 1
+    out = dealt.join(bases, ["shard", block]).withColumn("slot", rank + F.col(base))
+    return out.select(*[col(c) for c in df.columns], "shard", "slot")

@@ -61,7 +61,14 @@ def test_hypergeometric_beyond_numpy():
     assert set(small) <= {0, 1, 2} and abs(small.mean() - 2) < 0.1
 
 
-def test_blocks_of_a_shard():
-    cells, shard, start = sharding.shard_cells(100, 3, 10)
-    assert cells.sum() == 100 and cells.max() <= 10 and [int(cells[shard == s].sum()) for s in range(3)] == [34, 33, 33]
-    assert [int(start[shard == s][0]) for s in range(3)] == [0, 0, 0]
+def test_sizes_of_shards():
+    assert sharding.shard_sizes(100, 3).tolist() == [34, 33, 33] and sharding.shard_sizes(0, 2).tolist() == [0, 0]
+
+
+def test_slots_over_many_ranges_are_uniform(spark):
+    """Rows of one partition, in ranges of about 8 rows: slots are gapless, and
+    where a row lands in its shard says nothing about where it stood."""
+    base = spark.range(0, 4000, 1, 4)
+    rows = sharding.shard_rows(base, 2, block_rows=8, seed=5, materialise=False).collect()
+    _check(rows, 4000, 2)
+    assert abs(np.corrcoef([r["id"] for r in rows], [r["slot"] for r in rows])[0, 1]) < 0.06
