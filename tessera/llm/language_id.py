@@ -96,6 +96,13 @@ def _unordered(byte_counts: np.ndarray) -> np.ndarray:
     return out / out.sum()
 
 
+def hash_bound(wanted: int, texts: int) -> int:
+    """A 64-bit hash below which more than ``wanted`` of about ``texts``
+    (counted within a fifth) different texts surely lie; all, if they are few."""
+    share = 2.5 * (wanted + 100) / max(texts, 1)
+    return (1 << 63) - 1 if share >= 1 else int(share * (1 << 64)) - (1 << 63)
+
+
 def fit_text_model(docs: DataFrame, label: Column, text_col: str = "text", train_rows: int = 400) -> tuple[list[str], np.ndarray]:
     """Languages and (BUCKETS + 1 + scripts, languages + 1) numbers: log
     likelihoods, the last column for bytes in no order; a row of zeros (no
@@ -110,12 +117,17 @@ def fit_text_model(docs: DataFrame, label: Column, text_col: str = "text", train
     n_scripts = _scripts()[1]
     rows = docs.select(label.alias("label"), col(text_col).alias("text"))
     known = rows.where(F.col("label").isNotNull() & ~F.col("label").isin("", UNKNOWN) & (F.length("text") > 0))
-    languages = [r["label"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").collect()]
+    texts = F.approx_count_distinct(F.xxhash64("text"))
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"), texts.alias("texts")).orderBy(F.desc("n"), "label").collect()
+    languages = [r["label"] for r in sizes]
     if not languages:
         return [], np.zeros((BUCKETS + 1 + n_scripts, 1), np.float32)
     ship(spark)
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    keyed = known.select("label", F.xxhash64("text").alias("h"))
+    # hashes below a bound that about 2.5 times the wanted texts of a language pass: all that can be among the smallest
+    bounds = spark.createDataFrame([(r["label"], hash_bound(train_rows, r["texts"])) for r in sizes],
+                                   T.StructType([known.schema["label"], T.StructField("bound", T.LongType())]))
+    keyed = known.select("label", F.xxhash64("text").alias("h")).join(F.broadcast(bounds), "label").where("h <= bound").drop("bound")
     chosen = keyed.distinct().withColumn("r", rank).where(F.col("r") <= train_rows).groupBy("label").agg(F.max("h").alias("last"))
     train = (known.join(F.broadcast(chosen), "label")  # one row a language
              .where(F.xxhash64("text") <= F.col("last")).dropDuplicates(["label", "text"]).select("label", "text"))

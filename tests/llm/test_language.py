@@ -141,3 +141,13 @@ def test_scripts_of_letters():
     starts = np.flatnonzero((data & 0xC0) != 0x80)
     assert lang.letter_scripts(data)[starts].tolist() == [int(script[ord(c)]) for c in text]
     assert script[ord("a")] == script[ord("é")] > 0 and script[ord("1")] == 0 and lang.letter_scripts(data).astype(bool).sum() == 6
+
+
+def test_bounded_hashes_hold_the_smallest(spark):
+    """Of 20,000 texts of a label (two thirds of them copies of one) and 30 of
+    another, the rows fitted on are those of the smallest hashes, all the same."""
+    assert lang.hash_bound(400, 30) == (1 << 63) - 1
+    rows = spark.range(60_000).selectExpr("if(id < 30, 'b', 'a') as label", "if(id % 3 = 0, concat('t', id), 'copy') as text")
+    hashes = sorted(r[0] for r in rows.where("label = 'a'").selectExpr("xxhash64(text) as h").distinct().collect())
+    below = [h for h in hashes if h <= lang.hash_bound(400, len(hashes))]
+    assert 400 < len(below) < 2000 and below[:400] == hashes[:400]
