@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import ship, stored
+from tessera.llm._common import maybe_among, ship, stored
 
 #: Members of a band that one task compares with as many others.
 BLOCK = 512
@@ -62,17 +62,17 @@ def band_rows(nodes: DataFrame, bands: int, width: int) -> DataFrame:
 
 
 def star_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct ``a < b``: the smallest member of each band with every other.
+    """Distinct ``a < b``: one member of each band, as a rule its smallest, with every other.
 
     Dealt by range of (key, member), so that a band of any size spreads over
-    partitions; each keeps one key and its first member.  The first members
-    that one band has in several partitions are joined up afterwards.
+    partitions, and sorted by key alone (Spark's radix sort); each partition
+    keeps one key and one member.  The members that one band is compared with
+    in several partitions are joined up afterwards.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, pivot, first = None, None, True
-        none = pa.array([], pa.int64())
 
         def out(a, b, k) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(k, pa.int64())],
@@ -82,22 +82,23 @@ def star_pairs(rows: DataFrame) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             keys, cids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+            pivots = np.minimum.reduceat(cids, starts)
             if first:
-                key, pivot, first = int(keys[0]), int(cids[0]), False
-                yield out([pivot], [None], [key])
-            fresh = np.concatenate([[keys[0] != key], keys[1:] != keys[:-1]])
-            at = np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), -1))
-            pivots = np.where(at >= 0, cids[np.maximum(at, 0)], pivot)
-            more = ~fresh & (pivots != cids)
+                first = False
+                yield out([pivots[0]], [None], [keys[0]])
+            elif keys[0] == key:
+                pivots[0] = pivot  # goes on from the batch before
+            pivots, last = np.repeat(pivots, np.diff(np.append(starts, len(keys)))), pivots[-1]
+            more = pivots != cids
             if more.any():
-                yield out(pivots[more], cids[more], np.zeros(int(more.sum()), np.int64))
-            key, pivot = int(keys[-1]), int(pivots[-1])
-        if first:
-            yield out(none, none, none)
-        else:
+                a, b = pivots[more], cids[more]
+                yield out(np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64))
+            key, pivot = keys[-1], last
+        if not first:
             yield out([pivot], [None], [key])
 
-    found = stored(rows.repartitionByRange(n, "key", "cid").sortWithinPartitions("key", "cid")
+    found = stored(rows.repartitionByRange(n, "key", "cid").sortWithinPartitions("key")
                    .mapInArrow(star, "a bigint, b bigint, key bigint").where("b is null or a <> b").distinct(), "star")
     ends = found.where("b is null").select("key", "a").distinct()
     seams = ends.groupBy("key").agg(F.min("a").alias("m")).join(ends, "key").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
@@ -210,23 +211,25 @@ def near_links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], unpa
                compare: Compare, least: float, estimate_first: bool, alias: DataFrame | None = None) -> DataFrame:
     """``node, comp`` of every node with a confirmed link.
 
-    ``nodes``: cid, n, sig.  ``sets_of(cids)`` returns ``cid, items`` for the nodes
-    asked for, and ``unpack`` makes sorted distinct 64-bit values of items.
+    ``nodes``: cid, sig.  ``sets_of(cids)`` returns ``cid, n, items`` (n: size of the set)
+    for the nodes asked for, and ``unpack`` makes sorted distinct 64-bit values of items.
     ``compare(sig, n, i, j)`` estimates the similarity of rows i and j; pairs below
     ``least`` are not confirmed, which holds for the pairs with a band's smallest
     member only if ``estimate_first``.  ``alias`` (cid, rep) names nodes known to be
-    equal: only representatives are compared.
+    equal (other nodes need no row): only representatives are compared.
     """
     spark = nodes.sparkSession
     ship(spark)
     found = star_pairs(band_rows(nodes, bands, width).select("key", "cid"))
     if alias is not None:
-        found = (found.join(alias.select(F.col("cid").alias("a"), F.col("rep").alias("ra")), "a")
-                 .join(alias.select(F.col("cid").alias("b"), F.col("rep").alias("rb")), "b")
+        found = (found.join(alias.select(F.col("cid").alias("a"), F.col("rep").alias("ra")), "a", "left")
+                 .join(alias.select(F.col("cid").alias("b"), F.col("rep").alias("rb")), "b", "left")
+                 .select(F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
                  .where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
     pairs = stored(found, "pairs")
     cids = stored(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct(), "cids")
-    near = stored(nodes.join(cids, "cid", "left_semi").select("cid", "n", "sig").join(sets_of(cids), "cid"), "candidates")
+    near = stored(maybe_among(nodes.select("cid", "sig"), cids, ["cid"]).join(sets_of(cids), "cid")
+                  .select("cid", "n", "sig", "items"), "candidates")
     asked = pairs
     if estimate_first:
         side = lambda c, s: near.select(F.col("cid").alias(c), F.col("n").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"))

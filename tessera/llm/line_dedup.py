@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm._common import col, hidden, map_arrow, mix64, ship, stored, text_slices, without
+from tessera.llm._common import col, hidden, map_arrow, maybe_among, mix64, ship, stored, text_slices, without
 from tessera.llm._links import near_links
 from tessera.llm._shingles import hash_runs, min_hashes, powers
 
@@ -145,42 +146,50 @@ def line_components(docs: DataFrame, text_col: str, id_col: str, num: int = 80,
                         fresh.append(k)
                     cid[k] = got
                 sig: list[bytes | None] = [None] * len(starts)
-                size = np.zeros(len(starts), np.int64)  # of the set; copies need none
                 if fresh:
                     new = np.array(fresh)
                     grams, first = char_shingles(units, starts[new], ends[new], SHINGLE)
-                    size[new] = distinct_counts(grams, first)
                     for k, row in zip(fresh, min_hashes(grams, first, functions).astype(np.uint16), strict=True):
                         sig[k] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(lid), pa.array(rids[low + doc]), ids.take(pa.array(low + doc)), pa.array(line_no.astype(np.int32)),
-                     pa.array(cid), pa.array(x), pa.array(y), pa.array(size), pa.array(sig, pa.binary())],
-                    names=["lid", "rid", "doc_id", "line_no", "cid", "x", "y", "n", "sig"])
+                     pa.array(cid), pa.array(x), pa.array(y), pa.array(sig, pa.binary())],
+                    names=["lid", "rid", "doc_id", "line_no", "cid", "x", "y", "sig"])
 
     lines = stored(base.mapInArrow(sketch, "lid bigint, rid bigint, doc_id bigint, line_no int, cid bigint, x bigint, "
-                                           "y bigint, n bigint, sig binary"), "lines")
-    nodes = lines.where("sig is not null").select("cid", "n", "sig")
+                                           "y bigint, sig binary"), "lines")
+    nodes = lines.where("sig is not null")
     # a task names the copies of a line by the first; across tasks equal hashes name them
-    reps = lines.where("sig is not null").groupBy("x", "y").agg(F.min("cid").alias("rep"), F.count(F.lit(1)).alias("k"))
-    reps = stored(reps, "line-classes")
-    alias = stored(lines.where("sig is not null").select("cid", "x", "y")
-                   .join(reps.where("k > 1"), ["x", "y"], "left").select("cid", F.coalesce("rep", "cid").alias("rep")), "aliases")
+    reps = nodes.groupBy("x", "y").agg(F.min("cid").alias("rep"), F.count(F.lit(1)).alias("k"))
+    reps = stored(reps.where("k > 1").drop("k"), "line-classes")
+    alias = stored(maybe_among(nodes.select("cid", "x", "y"), reps, ["x", "y"]).join(reps, ["x", "y"]).select("cid", "rep"), "aliases")
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_slices(batch.column(1)):
+                units, starts, ends, _, _ = line_units(data, offsets)
+                part = batch.slice(low, high - low)
+                size = distinct_counts(*char_shingles(units, starts, ends, SHINGLE))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), part.column(1)], names=["cid", "n", "items"])
 
     def sets_of(cids: DataFrame) -> DataFrame:
-        where = lines.where("lid = cid").select("cid", "rid", "line_no").join(cids.select("cid"), "cid", "left_semi")
-        wanted = where.groupBy("rid").agg(F.collect_list(F.struct("line_no", "cid")).alias("want"))  # lines of one text
-        texts = base.select("rid", "text").join(wanted, "rid")
-        # the text is split once: beside the explode, or named in its lambda, the split would be worked out again for every wanted line
-        lines_ = F.transform(F.array(F.split("text", "\n")), lambda parts: F.transform(
-            "want", lambda w: F.struct(w["cid"].alias("cid"), F.get(parts, w["line_no"]).alias("items"))))
-        return texts.select(F.explode_outer(F.get(lines_, F.lit(0))).alias("w")).where("w is not null").select("w.cid", "w.items")
-
-    comp = near_links(nodes, sets_of, unpack, BANDS, 2 * BAND_REGISTERS, num, den, estimate, num / den - SLACK,
+        where = maybe_among(lines.where("lid = cid").select("cid", "rid", "line_no"), cids, ["cid"]).join(cids.select("cid"), "cid", "left_semi")
+        where = stored(where, "wanted")
+        texts = maybe_among(base.select("rid", "text"), where, ["rid"])
+        parts = texts.select("rid", F.posexplode(F.split("text", "\n")).alias("line_no", "items"))
+        found = maybe_among(parts, where, ["rid", "line_no"]).join(where, ["rid", "line_no"]).select("cid", "items")
+        return found.mapInArrow(sized, "cid bigint, n bigint, items string")
+
+    comp = near_links(nodes.select("cid", "sig"), sets_of, unpack, BANDS, 2 * BAND_REGISTERS, num, den, estimate, num / den - SLACK,
                       estimate_first=False, alias=alias)
-    roots = alias.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("cid", F.coalesce("comp", "rep").alias("root"))
+    # every other line is the only one of its root
+    linked = comp.select(F.col("node").alias("cid")).unionByName(alias.select("cid")).unionByName(lines.where("lid <> cid").select("cid"))
+    linked = stored(linked.distinct(), "linked")
+    roots = (linked.join(alias, "cid", "left").select("cid", F.coalesce("rep", "cid").alias("rep"))
+             .join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("cid", F.coalesce("comp", "rep").alias("root")))
     span = F.lit(str(2**63)).cast("decimal(19,0)")
     order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), span.cast("decimal(20,0)")) * span + F.col("lid")
-    member = stored(lines.select("lid", "rid", "line_no", "cid", order.alias("ord")).join(roots, "cid")
+    member = stored(maybe_among(lines.select("lid", "rid", "line_no", "cid", order.alias("ord")), linked, ["cid"]).join(roots, "cid")
                     .select("rid", "line_no", "root", "ord"), "line-members")
     heads = member.groupBy("root").agg(F.min("ord").alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
     return member.join(heads, "root").select("rid", "line_no", (F.col("ord") == F.col("head")).alias("kept"))
@@ -212,22 +221,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = line_components(docs, text_col, id_col, num, den)
     drops = stored(lines.where(~F.col("kept")).groupBy("rid").agg(F.collect_list("line_no").alias("drop")), "drops")
     rid, drop = hidden(docs, "rid"), hidden(docs, "drop")
-    frame = docs.withColumn(rid, F.monotonically_increasing_id()).join(
-        drops.select(F.col("rid").alias(rid), F.col("drop").alias(drop)), rid, "left").drop(rid)
+    numbered, drops = docs.withColumn(rid, F.monotonically_increasing_id()), drops.select(F.col("rid").alias(rid), F.col("drop").alias(drop))
+    whole = maybe_among(numbered, drops, [rid], others=True).withColumn(drop, F.lit(None).cast("array<int>"))  # keeps all its lines
+    # the plan of a large input at any size: no broadcast of what grows with the input
+    frame = maybe_among(numbered, drops, [rid]).join(drops.hint("merge"), rid, "left").select(*[col(c) for c in whole.columns]).union(whole).drop(rid)
     at = frame.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lines_, dropped = [], [], []
-            for text, gone in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
-                text, gone = text.as_py(), set(gone.as_py() or ())
-                parts = (text or "").split("\n")
-                lines_.append(sum(1 for p in parts if p.strip(" \t\n\v\f\r")))
-                dropped.append(len(gone))
-                texts.append("\n".join(p for k, p in enumerate(parts) if k not in gone) if gone else text)
+            text, gone = batch.column(at), batch.column(batch.num_columns - 1)
+            lines_ = pc.fill_null(pc.count_substring_regex(text, r"[^ \t\n\v\f\r][^\n]*"), 0).cast(pa.int64())
+            dropped = pc.fill_null(pc.list_value_length(gone), 0).cast(pa.int64())
+            shorter = []
+            for k in np.flatnonzero(dropped.to_numpy()).tolist():
+                out = set(gone[k].as_py())
+                shorter.append("\n".join(p for i, p in enumerate(text[k].as_py().split("\n")) if i not in out))
             columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines_, pa.int64()), pa.array(dropped, pa.int64())], names=schema.names)
+            if shorter:
+                columns[at] = pc.replace_with_mask(text, pc.greater(dropped, 0), pa.array(shorter, text.type))
+            yield pa.RecordBatch.from_arrays([*columns, lines_, dropped], names=schema.names)
 
     return map_arrow(frame, cut, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._common import col, ship, stored, text_slices
+from tessera.llm._common import col, maybe_among, ship, stored, text_slices
 from tessera.llm._links import near_links
 from tessera.llm._shingles import min_hashes, mix64, word_shingles
 
@@ -109,19 +109,20 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sketches = stored(base.select("doc_id", "rid", "text").mapInArrow(
         sketch, "doc_id bigint, rid bigint, n bigint, x bigint, y bigint, sig binary"), "sketches")
     classes = sketches.where("n > 0").groupBy("n", "x", "y").agg(F.min("rid").alias("cid"))
-    nodes = stored(sketches.select("rid", "n", "sig").join(classes.select("cid"), F.col("rid") == F.col("cid"), "left_semi")
-                   .select(F.col("rid").alias("cid"), "n", "sig"), "nodes")
+    nodes = stored(sketches.select("rid", "sig").join(classes.select("cid"), F.col("rid") == F.col("cid"), "left_semi")
+                   .select(F.col("rid").alias("cid"), "sig"), "nodes")
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column(1)):
-                items = [s.tobytes() for s in word_shingles(data, offsets, words)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(items, pa.binary())],
-                                                 names=["cid", "items"])
+                sets = word_shingles(data, offsets, words)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, end - first), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "n", "items"])
 
     def sets_of(cids: DataFrame) -> DataFrame:
-        texts = base.select(F.col("rid").alias("cid"), "text").join(cids.select("cid"), "cid", "left_semi")
-        return texts.mapInArrow(full_sets, "cid bigint, items binary")
+        texts = maybe_among(base.select(F.col("rid").alias("cid"), "text"), cids, ["cid"]).join(cids.select("cid"), "cid", "left_semi")
+        return texts.mapInArrow(full_sets, "cid bigint, n bigint, items binary")
 
     least = num / den - MARGIN * float(np.sqrt(num / den * (1 - num / den) / functions))
     comp = near_links(nodes, sets_of, unpack, BANDS, 2 * BAND_REGISTERS, num, den, estimate, least, estimate_first=True)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import _links, _shingles, near_dedup as near
+from tessera.llm._common import maybe_among
 from tessera.llm.line_dedup import SHINGLE, distinct_counts, line_dedup
 
 from .conftest import SF01
@@ -196,3 +197,26 @@ def test_texts_of_many_lines_take_linear_time(spark):
         took[n] = time.perf_counter() - began
         assert out[1][0] == n and out[1][1] >= n * 0.9
     assert took[8_000] < 4 * took[2_000]
+
+
+def test_rows_among_keys_pass_and_few_others(spark):
+    keys = spark.range(0, 300_000, 1000).select((F.col("id") * 7).alias("k"))
+    frame = spark.range(0, 2_100_000, 7).select(F.col("id").alias("k"), F.lit("x").alias("bits"), F.lit(1).alias("__at"))
+    got = maybe_among(frame, keys, ["k"])
+    assert got.columns == frame.columns and keys.join(got, "k", "left_anti").count() == 0
+    rest = maybe_among(frame, keys, ["k"], others=True)
+    assert got.count() + rest.count() == frame.count() and got.count() < 400 and rest.join(keys, "k").count() == 0
+    assert maybe_among(frame, keys.where("k < 0"), ["k"]).count() == 0
+
+
+def test_texts_without_dropped_lines_are_not_shuffled(spark, tmp_path):
+    """Of a table with one repeated line, its own texts alone reach an exchange."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(" ".join(rng.choice(VOCABULARY) for _ in range(12)) for _ in range(3))) for i in range(400)]
+    rows += [(400, rows[0][1].split("\n")[1]), (401, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    out = line_dedup(spark.read.parquet(str(tmp_path / "docs")), materialise=False)
+    assert {r["doc_id"]: (r["text"] or "", r["n_lines"], r["n_dropped"]) for r in out.collect()} == {
+        i: ("" if i >= 400 else t, 0 if t is None else len(t.split("\n")), int(i == 400)) for i, t in rows}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Union") == 1 and plan.count("SortMergeJoin") == 1 and plan.index("Union") < plan.index("SortMergeJoin")
