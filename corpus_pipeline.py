@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import packing
-from tessera.llm._common import hidden, scratch_path, with_crc32
+from tessera.llm._common import col, hidden, maybe_among, scratch_path, stored, with_crc32
 from tessera.llm.language_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.near_dedup import near_dedup
@@ -26,8 +26,11 @@ SEQUENCE = 1024
 def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``verdicts`` (rid, kept) do not keep."""
     rid = hidden(docs, "rid")
-    gone = verdicts.where(~F.col("kept")).select(F.col("rid").alias(rid))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(gone, rid, "left_anti").drop(rid)
+    gone = stored(verdicts.where(~F.col("kept")).select(F.col("rid").alias(rid)), "gone")
+    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    kept = [maybe_among(numbered, gone, [rid], others=True), maybe_among(numbered, gone, [rid]).join(gone, rid, "left_anti")]
+    kept = [k.select(*[col(c) for c in docs.columns]) for k in kept]
+    return kept[0].union(kept[1])
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

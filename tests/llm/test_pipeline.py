@@ -50,3 +50,14 @@ def test_stages_on_edges(spark, edges, nothing, scratch):
             docs = spark.read.parquet(f"{scratch}/{k}-{name}")
         if k:
             assert docs.count() == 0
+
+
+def test_rows_that_stay_are_not_shuffled(spark, scratch):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.format_string("text %d", "id").alias("a.text"))
+    docs.repartition(4).write.parquet(f"{scratch}/only")
+    docs = spark.read.parquet(f"{scratch}/only")
+    rid = F.monotonically_increasing_id()
+    out = corpus_pipeline._only(docs, docs.select(rid.alias("rid"), (F.col("doc_id") % 100 != 7).alias("kept")))
+    assert out.columns == docs.columns and {r[0] for r in out.collect()} == {i for i in range(1000) if i % 100 != 7}
+    assert {r[1] for r in out.collect()} == {f"text {i}" for i in range(1000) if i % 100 != 7}
+    assert "Union" in out._jdf.queryExecution().sparkPlan().toString()
