@@ -133,14 +133,31 @@ def uniform_groups(df: DataFrame, grouping_sets: Sequence[Sequence[str]], value:
 
 
 def board_lines(cells: DataFrame, board: Sequence[str], row: str, col: str, value: str, size: int,
-                empty=0) -> DataFrame:
+                empty=0, cells_col: str | None = None) -> DataFrame:
     """Rows, columns and both diagonals of square boards that are complete,
     uniform and not empty: ``board + [kind, line, winner]``.
 
-    Each cell is tagged with every line it lies on by one ``explode`` of a
+    With ``cells_col`` the frame has one row a board, and that column is the
+    array of its cells (structs of ``row``, ``col`` from 0 to ``size - 1`` and
+    ``value``): lines are then read off row by row, without an aggregate.
+    Otherwise each cell is a row; it is tagged with every line it lies on by one ``explode`` of a
     literal-size array (at most four tags), then one aggregate per line.
     """
     board = list(board)
+    if cells_col is not None:
+        def at(field: str, k: int):  # a second parameter of the lambda itself would be the element's index
+            return lambda x: x[field] == k
+
+        kinds = [("row", k, at(row, k)) for k in range(size)] + [("col", k, at(col, k)) for k in range(size)]
+        kinds += [("diag", 0, lambda x: x[row] == x[col]), ("anti", 0, lambda x: x[row] + x[col] == size - 1)]
+        found = F.array(*[F.struct(
+            F.lit(kind).alias("kind"), F.lit(k).cast("bigint").alias("line"),
+            F.transform(F.filter(F.col(cells_col), on), lambda x: x[value]).alias("vs")) for kind, k, on in kinds])
+        full = F.filter(found, lambda x: (F.size(x["vs"]) == size) & (F.array_min(x["vs"]) == F.array_max(x["vs"]))
+                        & (F.array_min(x["vs"]) != F.lit(empty)))
+        # a board of fewer cells has no line
+        lines = cells.where(F.size(cells_col) >= size).select(*board, F.explode(full).alias("_t"))
+        return lines.select(*board, "_t.kind", "_t.line", F.array_min("_t.vs").alias("winner"))
     r, c = F.col(row), F.col(col)
     tags = F.array(
         F.struct(F.lit("row").alias("kind"), r.cast("bigint").alias("line")),

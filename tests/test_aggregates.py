@@ -1,3 +1,4 @@
+import random
 from conftest import rows
 from fixtures import BOARDS, DUPS, names_lines
 from pyspark.sql import functions as F
@@ -97,3 +98,17 @@ def test_first_seen_distinct_segmented_on_timestamps(spark):
     plain = agg.first_seen_distinct(e, ["event_type"], "user_id", ["ts", "event_id"])
     seg = agg.first_seen_distinct(e, ["event_type"], "user_id", ["ts", "event_id"], chunk_rows=50)
     assert rows(seg, "event_type", "user_id", "seen_rank") == rows(plain, "event_type", "user_id", "seen_rank")
+
+
+def test_board_lines_of_boards_kept_as_arrays(spark):
+    rng = random.Random(5)
+    cells = [(b, r, c, rng.choice([0, 1, 1, 1, 2])) for b in range(300) for r in range(3) for c in range(3) if rng.random() < 0.9]
+    df = spark.createDataFrame(cells, "board int, r int, c int, v bigint")
+    boards = df.groupBy("board").agg(F.collect_list(F.struct("r", "c", "v")).alias("cells"))
+    want = rows(agg.board_lines(df, ["board"], "r", "c", "v", 3), "board", "kind", "line", "winner")
+    out = agg.board_lines(boards, ["board"], "r", "c", "v", 3, cells_col="cells")
+    assert rows(out, "board", "kind", "line", "winner") == want and len({w[1:3] for w in want}) == 8
+    from tessera.plans.registry import QUERIES
+
+    plan = QUERIES["matrix_lines"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2  # the boards', partial and final: no aggregate of tagged cells
